@@ -145,6 +145,6 @@ def unified_posts(bronze: DataFrame) -> DataFrame:
         hashtags.alias("hashtags"),
         F.when(is_rd, F.coalesce(_raw("subreddit"), F.lit(""))).alias("subreddit"),
         parse_time(created).alias("created_ts"),
-        *_coords(bronze),
+        "processed_at", *_coords(bronze),
     )
     return out

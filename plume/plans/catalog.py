@@ -12,9 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import to_ntz
 from ..operators import bronze as B
+from ..operators import kpis as K
+from ..operators import ranking as R
 from ..operators import silver as S
 from ..operators import trends as TR
+from ..operators import views as V
 from ..session import ensure_utc
 from ..sources import testbed
 from .oracle import AS_OF
@@ -39,13 +43,228 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.unified_posts(bronze(spark, sf_dir))
 
 
+PREVIOUS_REFRESH = "2024-01-30 00:00:00"
+SINCE_CUTOFF = "2024-01-20 00:00:00"
+UNIFIED_COLS = ["source", "post_id", "text", "author", "created_at", "engagement",
+                "likes", "retweets", "hashtags", "subreddit"]
+VIEW_COLS = ["source", "post_id", "author", "created_at", "engagement"]
+
+
+def with_topics(df: DataFrame) -> DataFrame:
+    """Topic of a post = its hashtags (lower-cased)."""
+    return df.withColumn("topics", F.transform("hashtags", lambda h: F.lower(h)))
+
+
 def q_trending_windows(spark, sf_dir):
     return TR.trending_windows(silver(spark, sf_dir))
 
 
+def q_trending_top(spark, sf_dir):
+    return TR.trending_top(TR.trending_windows(silver(spark, sf_dir)), 10)
+
+
+def q_window_posts(spark, sf_dir):
+    return TR.window_posts(silver(spark, sf_dir))
+
+
+def q_hourly_stats(spark, sf_dir):
+    return TR.hourly_stats(silver(spark, sf_dir))
+
+
+def q_unified_posts(spark, sf_dir):
+    return unified(spark, sf_dir).select(*UNIFIED_COLS)
+
+
+def q_count_by_source(spark, sf_dir):
+    return K.count_by_source(bronze(spark, sf_dir))
+
+
+def q_source_share(spark, sf_dir):
+    return K.source_share(unified(spark, sf_dir))
+
+
+def q_kpi_totals(spark, sf_dir):
+    return K.kpi_totals(unified(spark, sf_dir))
+
+
+def q_new_since(spark, sf_dir):
+    return K.new_since(unified(spark, sf_dir), PREVIOUS_REFRESH, ts="processed_at")
+
+
+def q_distinct_sources(spark, sf_dir):
+    return K.distinct_values(unified(spark, sf_dir), "source")
+
+
+def q_distinct_communities(spark, sf_dir):
+    return K.distinct_values(unified(spark, sf_dir), "subreddit")
+
+
+def q_posts_by_day(spark, sf_dir):
+    return V.posts_by_day(unified(spark, sf_dir), AS_OF)
+
+
+def _view(df):
+    return df.select(*VIEW_COLS)
+
+
+def q_filter_source(spark, sf_dir):
+    return _view(V.filter_source(unified(spark, sf_dir), "Reddit"))
+
+
+def _period(name):
+    def q(spark, sf_dir):
+        return _view(V.filter_period(unified(spark, sf_dir), name, AS_OF))
+    return q
+
+
+def q_filter_last_hours(spark, sf_dir):
+    return _view(V.filter_last_hours(unified(spark, sf_dir), 6, AS_OF))
+
+
+def q_filter_community(spark, sf_dir):
+    return _view(V.filter_communities(unified(spark, sf_dir), ["sub1", "sub4"]))
+
+
+def q_recent_posts(spark, sf_dir):
+    return _view(V.recent_posts(unified(spark, sf_dir), 50))
+
+
+def q_hottest_posts(spark, sf_dir):
+    return _view(V.hottest_posts(unified(spark, sf_dir), 50))
+
+
+def q_card_fields(spark, sf_dir):
+    return V.card_fields(unified(spark, sf_dir), AS_OF)
+
+
+def q_cap_per_community(spark, sf_dir):
+    df = silver(spark, sf_dir).where(F.col("community").isNotNull())
+    out = V.cap_per_group(df, "community", 5, [F.desc("created_at"), F.asc("post_id")])
+    return out.select("community", "post_id", to_ntz("created_at").alias("created_at"))
+
+
+def q_count_by_community(spark, sf_dir):
+    return K.count_by(silver(spark, sf_dir).where(F.col("community").isNotNull()), "community")
+
+
+def q_user_activity(spark, sf_dir):
+    return K.user_activity(silver(spark, sf_dir))
+
+
+def q_top_authors(spark, sf_dir):
+    return K.top_authors(silver(spark, sf_dir), 10)
+
+
+def q_influencers(spark, sf_dir):
+    return K.influencers(silver(spark, sf_dir), 10)
+
+
+def q_collection_tally(spark, sf_dir):
+    return K.collection_tally(silver(spark, sf_dir))
+
+
+def q_high_water_mark(spark, sf_dir):
+    return K.high_water_mark(silver(spark, sf_dir))
+
+
+def q_incremental_since(spark, sf_dir):
+    posts = silver(spark, sf_dir)
+    prev = posts.where(F.col("created_at") < F.lit(SINCE_CUTOFF).cast("timestamp"))
+    marks = K.high_water_mark(prev)
+    return K.incremental_since(posts, marks).select("source", "post_id")
+
+
+def q_dedup_rate(spark, sf_dir):
+    return K.dedup_rate(S.silver_all(bronze(spark, sf_dir), dedup=False), ("source", "post_id"))
+
+
+def q_dedup_id(spark, sf_dir):
+    return silver(spark, sf_dir).select("source", "post_id", "topic_offset")
+
+
+def q_hourly_volume_pivot(spark, sf_dir):
+    return R.hourly_volume_pivot(silver(spark, sf_dir))
+
+
+def _topic_hour(spark, sf_dir):
+    return R.topic_hourly(with_topics(silver(spark, sf_dir)))
+
+
+def q_topic_hourly(spark, sf_dir):
+    return _topic_hour(spark, sf_dir)
+
+
+def q_topic_timeseries(spark, sf_dir):
+    return R.topic_timeseries(_topic_hour(spark, sf_dir))
+
+
+def q_topic_rank(spark, sf_dir):
+    return R.topic_rank(_topic_hour(spark, sf_dir))
+
+
+def q_top_posts_per_hour(spark, sf_dir):
+    return R.top_posts_per_hour(with_topics(silver(spark, sf_dir)), 3)
+
+
+def q_burst_detect(spark, sf_dir):
+    return R.burst_detect(silver(spark, sf_dir), 24, 2.0)
+
+
+def q_heat_score(spark, sf_dir):
+    return R.heat_score(_topic_hour(spark, sf_dir), AS_OF, 24.0)
+
+
+def q_period_change(spark, sf_dir):
+    return R.period_change(silver(spark, sf_dir))
+
+
+def q_weekly_report(spark, sf_dir):
+    return R.weekly_report(silver(spark, sf_dir), "week")
+
+
 def queries() -> dict[str, Query]:
     return {
         "trending_windows": q_trending_windows,
+        "trending_top": q_trending_top,
+        "window_posts": q_window_posts,
+        "hourly_stats": q_hourly_stats,
+        "unified_posts": q_unified_posts,
+        "count_by_source": q_count_by_source,
+        "source_share": q_source_share,
+        "kpi_totals": q_kpi_totals,
+        "new_since": q_new_since,
+        "distinct_sources": q_distinct_sources,
+        "distinct_communities": q_distinct_communities,
+        "posts_by_day": q_posts_by_day,
+        "filter_source": q_filter_source,
+        "filter_today": _period("today"),
+        "filter_yesterday": _period("yesterday"),
+        "filter_week": _period("week"),
+        "filter_month": _period("month"),
+        "filter_last_hours": q_filter_last_hours,
+        "filter_community": q_filter_community,
+        "recent_posts": q_recent_posts,
+        "hottest_posts": q_hottest_posts,
+        "card_fields": q_card_fields,
+        "cap_per_community": q_cap_per_community,
+        "count_by_community": q_count_by_community,
+        "user_activity": q_user_activity,
+        "top_authors": q_top_authors,
+        "influencers": q_influencers,
+        "collection_tally": q_collection_tally,
+        "high_water_mark": q_high_water_mark,
+        "incremental_since": q_incremental_since,
+        "dedup_rate": q_dedup_rate,
+        "dedup_id": q_dedup_id,
+        "hourly_volume_pivot": q_hourly_volume_pivot,
+        "topic_hourly": q_topic_hourly,
+        "topic_timeseries": q_topic_timeseries,
+        "topic_rank": q_topic_rank,
+        "top_posts_per_hour": q_top_posts_per_hour,
+        "burst_detect": q_burst_detect,
+        "heat_score": q_heat_score,
+        "period_change": q_period_change,
+        "weekly_report": q_weekly_report,
     }
 
 

@@ -25,6 +25,7 @@ rec AS (
          CAST(event_id % 5 AS BIGINT) AS d,
          'user' || CAST(user_id AS VARCHAR) AS uname,
          'sub' || CAST(user_id % 9 AS VARCHAR) AS sub,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso,
          CASE WHEN user_id % 7 = 0 THEN 'fr' WHEN user_id % 11 = 0 THEN 'zh' ELSE 'en' END AS tw_lang
   FROM (SELECT *, unnest(CASE WHEN minute(ts) < 3 THEN [0, 1] ELSE [0] END) AS copy FROM events)
 )"""
@@ -57,10 +58,239 @@ silver AS (
 )"""
 
 
+# Entity decoding order used by the Spark side (&amp; last).
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
+             ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"),
+             ("&reg;", "\u00ae"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"),
+             ("&ndash;", "\u2013"), ("&amp;", "&")]
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def unescape_sql(x: str) -> str:
+    for ent, ch in _ENTITIES:
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    return x
+
+
+def collapse_sql(x: str) -> str:
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+
+
+def clean_html_sql(x: str) -> str:
+    return collapse_sql(f"regexp_replace({unescape_sql(x)}, '<[^>]+>', '', 'g')")
+
+
+def clean_plain_sql(x: str) -> str:
+    return collapse_sql(unescape_sql(x))
+
+
+UNIFIED = REC + f""",
+unified AS (
+  SELECT CASE source WHEN 'twitter' THEN 'Twitter' WHEN 'reddit' THEN 'Reddit' ELSE 'Bluesky' END AS source,
+    post_id,
+    CASE source
+      WHEN 'twitter' THEN 'Update ' || post_id || ' from @' || uname || ': #' || event_type
+                          || ' is up, see http://t.co/p' || post_id || ' and www.ex.com/' || CAST(user_id AS VARCHAR)
+      WHEN 'reddit' THEN {clean_html_sql("'Thread ' || post_id || ' &amp; ' || event_type")} || ' ' ||
+                         {clean_html_sql("'<p>Score ' || CAST(a AS VARCHAR) || '</p>  for &lt;i&gt;' || sub || ' http://r.co/' || post_id")}
+      ELSE {clean_plain_sql("'Note ' || post_id || ' #' || event_type || ' with @' || uname || '.bsky.social  &amp;  friends'")}
+    END AS text,
+    CASE source WHEN 'bluesky' THEN uname || '.bsky.social' ELSE uname END AS author,
+    CASE source WHEN 'twitter' THEN iso || '+00:00' WHEN 'reddit' THEN iso ELSE iso || 'Z' END AS created_at,
+    CASE source WHEN 'reddit' THEN a ELSE a + 2 * k END AS engagement,
+    a AS likes,
+    CASE source WHEN 'reddit' THEN 0 ELSE k END AS retweets,
+    CASE source WHEN 'reddit' THEN '' ELSE event_type END AS hashtags,
+    CASE source WHEN 'reddit' THEN sub END AS subreddit,
+    ts AS created_ts, topic_ts AS processed_at, topic_partition, topic_offset
+  FROM rec WHERE source IN ('twitter', 'reddit', 'bluesky')
+)"""
+
+
 def with_silver(body: str) -> str:
     return "WITH " + SILVER + "\n" + body
 
 
+def with_unified(body: str) -> str:
+    return "WITH " + UNIFIED + "\n" + body
+
+
+def with_rec(body: str) -> str:
+    return "WITH " + REC + "\n" + body
+
+
+_AS_OF = f"TIMESTAMP '{AS_OF}'"
+_VIEW = "SELECT source, post_id, author, created_at, engagement FROM unified"
+
+
+def _day_label(d: str) -> str:
+    n = f"greatest(date_diff('day', {d}, CAST({_AS_OF} AS DATE)), 0)"
+    return (f"CASE WHEN {d} IS NULL THEN NULL WHEN {n} = 0 THEN 'today' WHEN {n} = 1 THEN 'yesterday' "
+            f"WHEN {n} <= 7 THEN printf('%d days ago', {n}) ELSE strftime({d}, '%Y-%m-%d') END")
+
+
+def _age_bucket(ts: str) -> str:
+    secs = f"greatest(CAST(floor(epoch({_AS_OF})) AS BIGINT) - CAST(floor(epoch({ts})) AS BIGINT), 0)"
+    days = f"({secs} // 86400)"
+    rem = f"({secs} - {days} * 86400)"
+    return (f"CASE WHEN {ts} IS NULL THEN NULL "
+            f"WHEN {days} > 365 THEN printf('%d years ago', {days} // 365) "
+            f"WHEN {days} > 30 THEN printf('%d months ago', {days} // 30) "
+            f"WHEN {days} > 0 THEN printf('%d days ago', {days}) "
+            f"WHEN {rem} >= 3600 THEN printf('%d hours ago', {rem} // 3600) "
+            f"WHEN {rem} >= 60 THEN printf('%d minutes ago', {rem} // 60) ELSE 'just now' END")
+
+
+_TOPIC_HOUR = """topic_hour AS (
+  SELECT topic, hour, count(*) AS mention_count, CAST(sum(engagement_score) AS BIGINT) AS total_engagement,
+         round(sum(engagement_score) / 100.0, 4) AS trend_score
+  FROM (SELECT DISTINCT source, post_id, lower(unnest(hashtags)) AS topic,
+               date_trunc('hour', created_at) AS hour, engagement_score FROM silver)
+  GROUP BY topic, hour
+)"""
+
+_HOURLY_SRC = """hourly AS (
+  SELECT source, date_trunc('hour', created_at) AS hour, count(*) AS posts FROM silver GROUP BY 1, 2
+)"""
+
+Q = {}
+Q["trending_top"] = with_silver("""
+, tw AS (
+SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, source,
+       count(*) AS post_count, CAST(sum(engagement_score) AS BIGINT) AS total_engagement,
+       round(avg(engagement_score), 4) AS avg_engagement,
+       round(count(*) * avg(engagement_score) / 100, 4) AS trend_score
+FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, created_at),
+                        time_bucket(INTERVAL 30 MINUTE, created_at) - INTERVAL 30 MINUTE]) AS ws
+      FROM silver)
+GROUP BY ws, source)
+SELECT * FROM tw ORDER BY trend_score DESC, window_start, source LIMIT 10""")
+Q["window_posts"] = with_silver("""
+SELECT ws AS window_start, source, post_id
+FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, created_at),
+                        time_bucket(INTERVAL 30 MINUTE, created_at) - INTERVAL 30 MINUTE]) AS ws
+      FROM silver)""")
+Q["hourly_stats"] = with_silver("""
+SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community,
+       count(*) AS post_count, CAST(NULL AS DOUBLE) AS avg_sentiment,
+       array_to_string(list_sort(list_distinct(flatten(list(hashtags)))), ',') AS trending_keywords,
+       CAST(sum(engagement_score) AS BIGINT) AS total_engagement
+FROM silver GROUP BY 1, 2, 3""")
+Q["unified_posts"] = with_unified("""
+SELECT source, post_id, text, author, created_at, engagement, likes, retweets, hashtags, subreddit FROM unified""")
+Q["count_by_source"] = with_rec("SELECT source, count(*) AS post_count FROM rec GROUP BY source")
+Q["source_share"] = with_unified("""
+SELECT source, count(*) AS posts, round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS share_pct
+FROM unified GROUP BY source""")
+Q["kpi_totals"] = with_unified("""
+SELECT count(*) AS total_posts, count(*) FILTER (WHERE source = 'Twitter') AS twitter_posts,
+       count(*) FILTER (WHERE source = 'Reddit') AS reddit_posts,
+       count(*) FILTER (WHERE source = 'Bluesky') AS bluesky_posts,
+       CAST(coalesce(sum(engagement), 0) AS BIGINT) AS total_engagement FROM unified""")
+Q["new_since"] = with_unified("""
+SELECT count(*) AS total_posts, count(*) FILTER (WHERE processed_at <= TIMESTAMP '2024-01-30 00:00:00') AS previous_count,
+       count(*) - count(*) FILTER (WHERE processed_at <= TIMESTAMP '2024-01-30 00:00:00') AS new_posts FROM unified""")
+Q["distinct_sources"] = with_unified("SELECT DISTINCT source FROM unified")
+Q["distinct_communities"] = with_unified("SELECT DISTINCT subreddit FROM unified WHERE subreddit IS NOT NULL")
+Q["posts_by_day"] = with_unified(f"""
+SELECT day, count(*) AS posts, {_day_label('day')} AS label
+FROM (SELECT CAST(created_ts AS DATE) AS day FROM unified WHERE created_ts IS NOT NULL) GROUP BY day""")
+Q["filter_source"] = with_unified(_VIEW + " WHERE source = 'Reddit'")
+Q["filter_today"] = with_unified(_VIEW + f" WHERE CAST(created_ts AS DATE) = CAST({_AS_OF} AS DATE)")
+Q["filter_yesterday"] = with_unified(_VIEW + f" WHERE CAST(created_ts AS DATE) = CAST({_AS_OF} AS DATE) - 1")
+Q["filter_week"] = with_unified(_VIEW + f" WHERE created_ts >= {_AS_OF} - INTERVAL 7 DAY")
+Q["filter_month"] = with_unified(_VIEW + f" WHERE created_ts >= {_AS_OF} - INTERVAL 30 DAY")
+Q["filter_last_hours"] = with_unified(_VIEW + f" WHERE created_ts >= {_AS_OF} - INTERVAL 6 HOUR AND created_ts <= {_AS_OF}")
+Q["filter_community"] = with_unified(_VIEW + " WHERE subreddit IN ('sub1', 'sub4')")
+Q["recent_posts"] = with_unified(_VIEW + " ORDER BY created_ts DESC NULLS LAST, post_id, source LIMIT 50")
+Q["hottest_posts"] = with_unified(_VIEW + " ORDER BY engagement DESC NULLS LAST, post_id, source LIMIT 50")
+Q["card_fields"] = with_unified(f"""
+SELECT source, post_id,
+  CASE source WHEN 'Reddit' THEN 'badge-reddit' WHEN 'Bluesky' THEN 'badge-bluesky' ELSE 'badge-twitter' END AS badge,
+  concat_ws(' • ', CASE WHEN subreddit IS NOT NULL AND subreddit <> '' THEN 'r/' || subreddit END,
+            'by u/' || coalesce(author, 'Unknown'), {_age_bucket('created_ts')}) AS meta,
+  substring(text, 1, 200) || '...' AS snippet,
+  format('{{:,}}', coalesce(engagement, 0)) AS engagement_label
+FROM unified""")
+Q["cap_per_community"] = with_silver("""
+SELECT community, post_id, created_at FROM silver WHERE community IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY community ORDER BY created_at DESC, post_id) <= 5""")
+Q["count_by_community"] = with_silver(
+    "SELECT community, count(*) AS posts FROM silver WHERE community IS NOT NULL GROUP BY community")
+Q["user_activity"] = with_silver("""
+SELECT author, count(*) AS posts, CAST(sum(engagement_score) AS BIGINT) AS total_engagement,
+       round(avg(engagement_score), 4) AS avg_engagement,
+       count(DISTINCT CAST(created_at AS DATE)) AS active_days, count(DISTINCT source) AS networks
+FROM silver GROUP BY author""")
+Q["top_authors"] = with_silver("""
+SELECT author, count(*) AS posts, CAST(sum(engagement_score) AS BIGINT) AS total_engagement
+FROM silver GROUP BY author ORDER BY posts DESC, total_engagement DESC, author LIMIT 10""")
+Q["influencers"] = with_silver("""
+, a AS (SELECT author, CAST(sum(engagement_score) AS BIGINT) AS total_engagement,
+               round(avg(engagement_score), 4) AS avg_engagement, count(*) AS posts
+        FROM silver GROUP BY author ORDER BY total_engagement DESC, author LIMIT 10)
+SELECT *, dense_rank() OVER (ORDER BY total_engagement DESC) AS rank FROM a""")
+Q["collection_tally"] = with_silver("""
+SELECT source, count(*) AS collected,
+       count(DISTINCT CASE WHEN post_id IS NOT NULL THEN community END) AS communities_ok,
+       count(DISTINCT community) AS communities_tried
+FROM silver GROUP BY source""")
+Q["high_water_mark"] = with_silver(
+    "SELECT source, max(TRY_CAST(post_id AS BIGINT)) AS since_id FROM silver GROUP BY source")
+Q["incremental_since"] = with_silver("""
+, marks AS (SELECT source, max(TRY_CAST(post_id AS BIGINT)) AS since_id FROM silver
+            WHERE created_at < TIMESTAMP '2024-01-20 00:00:00' GROUP BY source)
+SELECT s.source, s.post_id FROM silver s LEFT JOIN marks m ON s.source = m.source
+WHERE m.since_id IS NULL OR TRY_CAST(s.post_id AS BIGINT) > m.since_id""")
+Q["dedup_rate"] = with_silver("""
+, per AS (SELECT source, post_id, count(*) AS n FROM silver_raw GROUP BY 1, 2)
+SELECT source, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys,
+       round(1 - count(*) / sum(n), 4) AS dup_rate FROM per GROUP BY source""")
+Q["dedup_id"] = with_silver("SELECT source, post_id, topic_offset FROM silver")
+Q["hourly_volume_pivot"] = with_silver("""
+SELECT date_trunc('hour', created_at) AS hour,
+       count(*) FILTER (WHERE source = 'twitter') AS twitter,
+       count(*) FILTER (WHERE source = 'reddit') AS reddit,
+       count(*) FILTER (WHERE source = 'bluesky') AS bluesky
+FROM silver GROUP BY 1""")
+Q["topic_hourly"] = with_silver(", " + _TOPIC_HOUR + " SELECT * FROM topic_hour")
+Q["topic_timeseries"] = with_silver(", " + _TOPIC_HOUR + """
+, grid AS (SELECT topic, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour
+           FROM topic_hour GROUP BY topic)
+SELECT g.topic, g.hour, coalesce(t.mention_count, 0) AS mention_count,
+       coalesce(t.total_engagement, 0) AS total_engagement
+FROM grid g LEFT JOIN topic_hour t ON g.topic = t.topic AND g.hour = t.hour""")
+Q["topic_rank"] = with_silver(", " + _TOPIC_HOUR + """
+SELECT *, dense_rank() OVER (PARTITION BY hour ORDER BY trend_score DESC, topic) AS rank FROM topic_hour""")
+Q["top_posts_per_hour"] = with_silver("""
+, t AS (SELECT DISTINCT lower(unnest(hashtags)) AS topic, date_trunc('hour', created_at) AS hour,
+               source, post_id, engagement_score FROM silver)
+SELECT topic, hour, source, post_id, engagement_score,
+       row_number() OVER (PARTITION BY topic, hour ORDER BY engagement_score DESC, post_id, source) AS rank
+FROM t QUALIFY rank <= 3""")
+Q["burst_detect"] = with_silver(", " + _HOURLY_SRC + """
+, b AS (SELECT *, avg(posts) OVER (PARTITION BY source ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS base
+        FROM hourly)
+SELECT source, hour, posts, round(base, 4) AS baseline, round(posts / base, 4) AS ratio,
+       coalesce(posts / base > 2.0, false) AS is_burst FROM b""")
+Q["heat_score"] = with_silver(", " + _TOPIC_HOUR + f"""
+SELECT *, round(mention_count * total_engagement /
+                pow(2.0, greatest((epoch({_AS_OF}) - epoch(hour)) / 3600.0, 0.0) / 24.0), 4) AS heat
+FROM topic_hour""")
+Q["period_change"] = with_silver("""
+, d AS (SELECT CAST(created_at AS DATE) AS day, count(*) AS posts FROM silver GROUP BY 1)
+SELECT day, posts, lag(posts) OVER (ORDER BY day) AS previous,
+       round((posts - lag(posts) OVER (ORDER BY day)) * 100.0 / lag(posts) OVER (ORDER BY day), 4) AS change_pct
+FROM d""")
+Q["weekly_report"] = with_silver("""
+SELECT date_trunc('week', created_at) AS period, source, count(*) AS posts,
+       CAST(sum(engagement_score) AS BIGINT) AS total_engagement, count(DISTINCT author) AS authors
+FROM silver GROUP BY 1, 2""")
+
+
 TRENDING_WINDOWS = with_silver("""
 SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, source,
        count(*) AS post_count, CAST(sum(engagement_score) AS BIGINT) AS total_engagement,
@@ -73,6 +303,4 @@ GROUP BY ws, source""")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "trending_windows": TRENDING_WINDOWS,
-    }
+    return {"trending_windows": TRENDING_WINDOWS, **Q}
