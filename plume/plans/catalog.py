@@ -14,13 +14,19 @@ from pyspark.sql import functions as F
 
 from ..functions.time import to_ntz
 from ..operators import bronze as B
+from ..functions import text as TF
+from ..functions.time import age_bucket, parse_time
 from ..operators import kpis as K
+from ..operators import lake as LK
+from ..operators import similarity as SIM
+from ..operators import text as TX
 from ..operators import ranking as R
 from ..operators import silver as S
 from ..operators import trends as TR
 from ..operators import views as V
-from ..session import ensure_utc
+from ..session import ensure_utc, scratch_path
 from ..sources import testbed
+from ..sources import topic as TP
 from .oracle import AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,6 +228,331 @@ def q_weekly_report(spark, sf_dir):
     return R.weekly_report(silver(spark, sf_dir), "week")
 
 
+# ---------------------------------------------------------------- text
+# Terms that occur in the test prose (the AI vocabulary does not).
+TOPIC_TERMS = ["that", "with", "from", "tion", "pour", "dans", "machine learning"]
+FILTER_TERMS = ["tion", "ther", "sich"]
+SEARCH_TERMS = ["rewh", "orre", "thatin"]
+
+
+def docs(spark, sf_dir):
+    ensure_utc(spark)
+    return testbed.read_table(spark, sf_dir, "documents")
+
+
+def q_keyword_topn(spark, sf_dir):
+    return TX.keyword_topn(docs(spark, sf_dir), "text", 20)
+
+
+def q_cloud_weights(spark, sf_dir):
+    return TX.cloud_weights(docs(spark, sf_dir), "text", 100, 50)
+
+
+def q_topic_mentions(spark, sf_dir):
+    return TX.topic_mentions(docs(spark, sf_dir), TOPIC_TERMS)
+
+
+def q_topic_top10(spark, sf_dir):
+    counts = TX.topic_counts(TX.topic_mentions(docs(spark, sf_dir), TOPIC_TERMS))
+    return counts.orderBy(F.desc("mentions"), F.asc("topic")).limit(10)
+
+
+def q_keyword_filter(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return d.where(TX.matches_any(F.col("text"), FILTER_TERMS)).select("doc_id", "source")
+
+
+def q_keyword_filter_lang(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    cond = TX.matches_any(F.col("text"), FILTER_TERMS) & (F.col("lang") == "en") & ~F.col("text").startswith("RT @")
+    return d.where(cond).select("doc_id", "source")
+
+
+def q_sql_like_count(spark, sf_dir):
+    docs(spark, sf_dir).createOrReplaceTempView("plume_documents")
+    return spark.sql("SELECT source, count(*) AS docs FROM plume_documents "
+                     "WHERE text LIKE '%tion%' GROUP BY source")
+
+
+def q_filter_lang(spark, sf_dir):
+    return docs(spark, sf_dir).where(F.col("lang").isin("en", "zh")).select("doc_id", "lang")
+
+
+def q_sentiment(spark, sf_dir):
+    return TX.sentiment(docs(spark, sf_dir)).select("doc_id", "positive", "negative", "sentiment", "label")
+
+
+def q_detect_lang(spark, sf_dir):
+    return TX.detect_language(docs(spark, sf_dir)).select("doc_id", "lang", "detected")
+
+
+def q_extract_tags(spark, sf_dir):
+    d = docs(spark, sf_dir).withColumn(
+        "tagged", F.concat(F.lit("#"), F.col("source"), F.lit(" #"), F.col("lang"), F.lit(" "), F.col("text")))
+    t = TX.extract_tags(d, "tagged")
+    return t.select("doc_id", F.array_join("hashtags", ",").alias("hashtags"),
+                    F.array_join("mentions", ",").alias("mentions"))
+
+
+def pages(spark, sf_dir):
+    ensure_utc(spark)
+    return testbed.read_table(spark, sf_dir, "pages")
+
+
+def q_clean_html(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", TF.clean_html(F.col("html")).alias("text"))
+
+
+def q_uri_tail(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", TF.uri_tail(F.col("url")).alias("tail"))
+
+
+def q_search_union_dedup(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    per_term = [d.where(TX.matches_any(F.col("text"), [t])).select("doc_id", F.lit(t).alias("term"))
+                for t in SEARCH_TERMS]
+    return TX.search_union_dedup(per_term, "doc_id")
+
+
+def q_semantic_topk(spark, sf_dir):
+    ensure_utc(spark)
+    return SIM.nearest_to_centroid(testbed.read_table(spark, sf_dir, "embeddings"), 5)
+
+
+def q_hashtag_counts(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return (s.select(F.explode(F.transform("hashtags", lambda h: F.lower(h))).alias("hashtag"))
+            .groupBy("hashtag").agg(F.count(F.lit(1)).alias("posts")))
+
+
+def q_clean_text(spark, sf_dir):
+    return silver(spark, sf_dir).select("source", "post_id", "text_clean")
+
+
+def q_post_features(spark, sf_dir):
+    d = TX.sentiment(docs(spark, sf_dir))
+    return d.select("doc_id", F.length("text").alias("n_chars"),
+                    F.size(TX.word_tokens(F.col("text"))).alias("words"),
+                    F.size(TX.matched_terms(F.col("text"), TOPIC_TERMS)).alias("keyword_hits"),
+                    "sentiment")
+
+
+# -------------------------------------------------------------- sources
+def q_scan_all(spark, sf_dir):
+    parsed = B.parse_envelope(B.decode(topic(spark, sf_dir)))
+    return parsed.select("topic_partition", "topic_offset", "source",
+                         F.col("raw_data")["id"].alias("post_id"))
+
+
+def q_scan_tail_n(spark, sf_dir):
+    t = TP.tail(topic(spark, sf_dir), 50)
+    return t.select("partition", "offset", F.col("key").cast("string").alias("key"))
+
+
+def q_end_offset_total(spark, sf_dir):
+    return TP.end_offsets(topic(spark, sf_dir))
+
+
+REPLAY_POSITIONS = {0: 1000, 1: 2000}
+
+
+def q_replay_from(spark, sf_dir):
+    r = TP.replay_from(topic(spark, sf_dir), REPLAY_POSITIONS)
+    return r.select("partition", "offset", F.col("key").cast("string").alias("key"))
+
+
+def q_envelope_json(spark, sf_dir):
+    v = topic(spark, sf_dir).select(F.col("value").cast("string").alias("j"))
+    return v.select(F.get_json_object("j", "$.source").alias("source"),
+                    F.get_json_object("j", "$.data.id").alias("post_id"),
+                    F.get_json_object("j", "$.timestamp").alias("sent_at"),
+                    F.get_json_object("j", "$.data.metrics.likes").cast("bigint").alias("likes"))
+
+
+def corrupted_topic(spark, sf_dir):
+    """The topic with a broken producer: envelopes of ``error`` events are cut
+    after 25 bytes (malformed JSON) – bad rows derived from the table itself."""
+    t = topic(spark, sf_dir)
+    s = F.col("value").cast("string")
+    bad = F.get_json_object(s, "$.source") == "error"
+    return t.withColumn("value", F.when(bad, F.substring(s, 1, 25)).otherwise(s).cast("binary"))
+
+
+def q_quarantine(spark, sf_dir):
+    q = B.split_bad(corrupted_topic(spark, sf_dir))
+    return q.select("payload", "error", "topic_partition", "topic_offset")
+
+
+def q_parse_yield(spark, sf_dir):
+    return K.parse_yield(B.parse_envelope(B.decode(corrupted_topic(spark, sf_dir))))
+
+
+def q_json_nested(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    m = F.col("raw_data")["metrics"]
+    return b.select("source", F.col("raw_data")["id"].alias("post_id"),
+                    F.from_json(m, "likes bigint, score bigint")["likes"].alias("likes"),
+                    F.get_json_object(m, "$.score").cast("bigint").alias("score"))
+
+
+def q_array_ops(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return s.select("source", "post_id", "num_hashtags", "num_mentions",
+                    F.array_join("hashtags", ",").alias("tags"),
+                    F.coalesce(F.get(F.col("hashtags"), 0), F.lit("none")).alias("first_tag"))
+
+
+def events(spark, sf_dir):
+    ensure_utc(spark)
+    return testbed.read_table(spark, sf_dir, "events")
+
+
+def q_parse_time(spark, sf_dir):
+    e = events(spark, sf_dir)
+    ts = F.col("ts").cast("timestamp")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    kind = F.col("event_id") % 4
+    s = (F.when(kind == 0, F.concat(F.date_format(ts, fmt), F.lit("Z")))
+         .when(kind == 1, F.concat(F.date_format(ts + F.expr("INTERVAL 8 HOURS"), fmt), F.lit("+08:00")))
+         .when(kind == 2, F.date_format(ts, fmt))
+         .otherwise(F.unix_seconds(ts).cast("string")))
+    return e.select("event_id", to_ntz(parse_time(s)).alias("parsed"))
+
+
+def q_format_time(spark, sf_dir):
+    e = events(spark, sf_dir)
+    return e.select("event_id", F.date_format("ts", "HH:mm:ss").alias("hms"),
+                    F.date_format("ts", "yyyy-MM-dd").alias("ymd"),
+                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"))
+
+
+def q_age_bucket(spark, sf_dir):
+    e = events(spark, sf_dir)
+    return e.select("event_id", age_bucket(F.col("ts").cast("timestamp"), AS_OF).alias("age"))
+
+
+def q_engagement_scores(spark, sf_dir):
+    return silver(spark, sf_dir).select("source", "post_id", "engagement_score", "engagement")
+
+
+# ---------------------------------------------------------------- joins
+def q_enrich_author(spark, sf_dir):
+    ensure_utc(spark)
+    o = testbed.read_table(spark, sf_dir, "orders")
+    c = testbed.read_table(spark, sf_dir, "customer")
+    users = c.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("author_name"),
+                     (F.col("c_mktsegment") == "BUILDING").alias("_v"))
+    # No broadcast hint: the user table grows with the data; AQE broadcasts it
+    # only when its measured size is under the threshold.
+    out = o.select("o_orderkey", "o_custkey").join(users, "o_custkey", "left")
+    return out.select("o_orderkey", "o_custkey", "author_name",
+                      F.coalesce("_v", F.lit(False)).alias("verified"))
+
+
+SEEN_BEFORE = "2024-01-20 00:00:00"
+BATCH_FROM = "2024-01-15 00:00:00"
+
+
+def q_new_only_anti(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    seen = s.where(F.col("created_at") < F.lit(SEEN_BEFORE).cast("timestamp")).select("source", "post_id")
+    batch = s.where(F.col("created_at") >= F.lit(BATCH_FROM).cast("timestamp"))
+    return batch.join(seen, ["source", "post_id"], "left_anti").select("source", "post_id")
+
+
+def q_seen_history_cap(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    out = V.cap_per_group(s, "source", 500, [F.desc("created_at"), F.asc("post_id")])
+    return out.select("source", "post_id")
+
+
+def _versions(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    base = (s.where(F.col("created_at") < F.lit(SEEN_BEFORE).cast("timestamp"))
+            .select("source", "post_id", "engagement_score", F.col("processed_at").alias("version")))
+    upd = (s.where(F.col("created_at") >= F.lit(BATCH_FROM).cast("timestamp"))
+           .select("source", "post_id", (F.col("engagement_score") + 100).alias("engagement_score"),
+                   (F.col("processed_at") + F.expr("INTERVAL 1 DAY")).alias("version")))
+    return base, upd
+
+
+def q_upsert_latest(spark, sf_dir):
+    base, upd = _versions(spark, sf_dir)
+    out = LK.upsert(base, upd, ["source", "post_id"], "version")
+    return out.select("source", "post_id", "engagement_score", to_ntz("version").alias("version"))
+
+
+AS_OF_READ = "2024-01-25 00:00:00"
+
+
+def q_as_of_read(spark, sf_dir):
+    base, upd = _versions(spark, sf_dir)
+    out = LK.as_of(base.unionByName(upd), ["source", "post_id"], "version", AS_OF_READ)
+    return out.select("source", "post_id", "engagement_score")
+
+
+# ----------------------------------------------------------------- lake
+def _bronze_table(spark, sf_dir, name):
+    path = scratch_path(spark, name)
+    LK.write_partitioned(bronze(spark, sf_dir), path, ["partition_date", "source"], mode="overwrite")
+    return path
+
+
+def _partition_counts(df):
+    return df.groupBy("partition_date", "source").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_bronze_scan(spark, sf_dir):
+    path = _bronze_table(spark, sf_dir, "bronze")
+    return _partition_counts(spark.read.parquet(path))
+
+
+def q_partition_read(spark, sf_dir):
+    path = _bronze_table(spark, sf_dir, "bronze")
+    t = spark.read.parquet(path).where((F.col("partition_date") == F.lit("2024-01-15").cast("date"))
+                                       & (F.col("source") == "reddit"))
+    return t.select(F.col("raw_data")["id"].alias("post_id"), "topic_offset")
+
+
+def q_retention_keep(spark, sf_dir):
+    path = _bronze_table(spark, sf_dir, "bronze")
+    return _partition_counts(LK.retention_keep(spark.read.parquet(path), AS_OF, 7))
+
+
+def q_delete_where(spark, sf_dir):
+    path = _bronze_table(spark, sf_dir, "bronze")
+    LK.delete_where(spark, path, "source = 'reddit' AND partition_date < DATE'2024-01-10'",
+                    ["partition_date", "source"], scratch_path(spark, "delete-staging"))
+    return _partition_counts(spark.read.parquet(path))
+
+
+def q_compact(spark, sf_dir):
+    path = scratch_path(spark, "bronze-small")
+    # many small files on purpose: one file per (task, partition)
+    bronze(spark, sf_dir).repartition(16).write.partitionBy("partition_date", "source").parquet(path)
+    LK.compact(spark, path, ["partition_date", "source"], scratch_path(spark, "compact-staging"))
+    return _partition_counts(spark.read.parquet(path))
+
+
+def q_zorder(spark, sf_dir):
+    s = silver(spark, sf_dir).withColumn("_id", F.col("post_id").cast("bigint"))         .withColumn("_t", F.unix_seconds("created_at"))
+    z = LK.zorder(s, ["_id", "_t"], 8)
+    return z.select("source", "post_id", "engagement_score")
+
+
+def q_merge_schema(spark, sf_dir):
+    path = scratch_path(spark, "merged")
+    s = silver(spark, sf_dir)
+    s.where(F.col("source") != "reddit").select("source", "post_id", "language") \
+        .write.parquet(f"{path}/part=a")
+    s.where(F.col("source") == "reddit").select("source", "post_id", "community") \
+        .write.parquet(f"{path}/part=b")
+    m = LK.read_merged(spark, path)
+    return m.groupBy("source").agg(F.count(F.lit(1)).alias("rows"),
+                                   F.count("language").alias("with_language"),
+                                   F.count("community").alias("with_community"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "trending_windows": q_trending_windows,
@@ -265,6 +596,49 @@ def queries() -> dict[str, Query]:
         "heat_score": q_heat_score,
         "period_change": q_period_change,
         "weekly_report": q_weekly_report,
+        "keyword_topn": q_keyword_topn,
+        "cloud_weights": q_cloud_weights,
+        "topic_mentions": q_topic_mentions,
+        "topic_top10": q_topic_top10,
+        "keyword_filter": q_keyword_filter,
+        "keyword_filter_lang": q_keyword_filter_lang,
+        "sql_like_count": q_sql_like_count,
+        "filter_lang": q_filter_lang,
+        "sentiment": q_sentiment,
+        "detect_lang": q_detect_lang,
+        "extract_tags": q_extract_tags,
+        "clean_html": q_clean_html,
+        "uri_tail": q_uri_tail,
+        "search_union_dedup": q_search_union_dedup,
+        "semantic_topk": q_semantic_topk,
+        "hashtag_counts": q_hashtag_counts,
+        "clean_text": q_clean_text,
+        "post_features": q_post_features,
+        "scan_all": q_scan_all,
+        "scan_tail_n": q_scan_tail_n,
+        "end_offset_total": q_end_offset_total,
+        "replay_from": q_replay_from,
+        "envelope_json": q_envelope_json,
+        "quarantine": q_quarantine,
+        "parse_yield": q_parse_yield,
+        "json_nested": q_json_nested,
+        "array_ops": q_array_ops,
+        "parse_time": q_parse_time,
+        "format_time": q_format_time,
+        "age_bucket": q_age_bucket,
+        "engagement_scores": q_engagement_scores,
+        "enrich_author": q_enrich_author,
+        "new_only_anti": q_new_only_anti,
+        "seen_history_cap": q_seen_history_cap,
+        "upsert_latest": q_upsert_latest,
+        "as_of_read": q_as_of_read,
+        "bronze_scan": q_bronze_scan,
+        "partition_read": q_partition_read,
+        "retention_keep": q_retention_keep,
+        "delete_where": q_delete_where,
+        "compact": q_compact,
+        "zorder": q_zorder,
+        "merge_schema": q_merge_schema,
     }
 
 

@@ -303,4 +303,229 @@ GROUP BY ws, source""")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"trending_windows": TRENDING_WINDOWS, **Q}
+    return {"trending_windows": TRENDING_WINDOWS, **Q, **_text_sql()}
+
+
+# ------------------------------------------------------------------ text
+def _list(words) -> str:
+    return "[" + ", ".join(_q(w) for w in words) + "]"
+
+
+def _text_sql():
+    from ..functions import lexicon as L
+
+    stop = _list(L.phrase_stop_words())
+    generic = _list(L.GENERIC_WORDS)
+    excluded = _list(L.EXCLUDED_PHRASES)
+    toks = "list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '')"
+    line = "(' ' || array_to_string(" + toks + ", ' ') || ' ')"
+    words_of = ("list_filter(regexp_split_to_array(trim(lower(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'))),"
+                " '\\s+'), lambda w: w <> '')")
+    out = {}
+    grams = []
+    for n in (2, 3, 4):
+        grams.append(
+            f"list_transform(list_filter(CASE WHEN len(t) >= {n} THEN generate_series(1, len(t) - {n - 1}) ELSE [] END,"
+            f" lambda i: list_bool_and(list_transform(t[i:i + {n - 1}], lambda w: NOT list_contains({stop}, w)"
+            f" AND NOT regexp_full_match(w, '\\p{{Nd}}+')))"
+            f" AND NOT list_contains({generic}, t[i]) AND NOT list_contains({generic}, t[i + {n - 1}])),"
+            f" lambda i: array_to_string(t[i:i + {n - 1}], ' '))")
+    topn = f"""
+phr_src AS (
+  SELECT unnest(regexp_split_to_array(regexp_replace(text, 'http\\S+|www\\S+', '', 'g'), '[.!?;:]+|\\n')) AS seg
+  FROM documents
+), toks AS (SELECT {words_of.format(x='seg')} AS t FROM phr_src
+), grams AS (SELECT unnest(flatten([{', '.join(grams)}])) AS keyword FROM toks
+), phr_all AS (SELECT keyword, count(*) AS mentions FROM grams
+               WHERE length(keyword) >= 8 AND NOT list_contains({excluded}, keyword) GROUP BY keyword
+), wrd_all AS (
+  SELECT keyword, count(*) AS mentions FROM (
+    SELECT unnest({words_of.format(x="regexp_replace(text, 'http\\S+|www\\S+', '', 'g')")}) AS keyword FROM documents)
+  WHERE length(keyword) >= 4 AND NOT list_contains({stop}, keyword) AND NOT list_contains({generic}, keyword)
+    AND regexp_full_match(keyword, '\\p{{L}}+') AND NOT starts_with(keyword, 'ai')
+  GROUP BY keyword
+)"""
+
+    def topn_body(n):
+        return f"""
+, phr AS (SELECT * FROM phr_all ORDER BY mentions DESC, keyword LIMIT {n})
+, wrd AS (SELECT * FROM wrd_all ORDER BY mentions DESC, keyword LIMIT {n})
+, both_ AS (SELECT *, 0 AS kind FROM phr UNION ALL SELECT *, 1 AS kind FROM wrd)
+, merged AS (SELECT keyword, mentions FROM both_ WHERE kind = 0 OR (SELECT count(*) FROM phr) < 5
+             QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY kind DESC) = 1)
+, top AS (SELECT * FROM merged ORDER BY mentions DESC, keyword LIMIT {n})"""
+
+    out["keyword_topn"] = "WITH " + topn + topn_body(20) + "\nSELECT * FROM top"
+    out["cloud_weights"] = ("WITH " + topn + topn_body(100) + """
+, best AS (SELECT trim(regexp_replace(keyword, '\\s+', ' ', 'g')) AS keyword, mentions FROM top
+           ORDER BY mentions DESC, keyword LIMIT 50)
+SELECT keyword, mentions, round(mentions / max(mentions) OVER (), 4) AS weight FROM best""")
+    from .catalog import FILTER_TERMS, SEARCH_TERMS, TOPIC_TERMS
+
+    topics = _list([t.lower() for t in TOPIC_TERMS])
+    doc_line = line.format(x="text")
+    out["topic_mentions"] = (f"SELECT doc_id, unnest(list_filter({topics}, lambda k: contains({doc_line}, ' ' || k || ' ')))"
+                             f" AS topic FROM documents")
+    out["topic_top10"] = (f"WITH m AS ({out['topic_mentions']}) SELECT topic, count(*) AS mentions FROM m"
+                          f" GROUP BY topic ORDER BY mentions DESC, topic LIMIT 10")
+    any_f = " OR ".join(f"contains({doc_line}, {_q(' ' + t + ' ')})" for t in FILTER_TERMS)
+    out["keyword_filter"] = f"SELECT doc_id, source FROM documents WHERE {any_f}"
+    out["keyword_filter_lang"] = (f"SELECT doc_id, source FROM documents WHERE ({any_f}) AND lang = 'en'"
+                                  f" AND NOT starts_with(text, 'RT @')")
+    out["sql_like_count"] = "SELECT source, count(*) AS docs FROM documents WHERE text LIKE '%tion%' GROUP BY source"
+    out["filter_lang"] = "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'zh')"
+    dt = toks.format(x="text")
+    pos, neg = _list(L.POSITIVE_WORDS), _list(L.NEGATIVE_WORDS)
+    out["sentiment"] = f"""
+WITH s AS (SELECT doc_id, {dt} AS t FROM documents),
+s2 AS (SELECT doc_id, len(list_filter(t, lambda w: list_contains({pos}, w))) AS positive,
+              len(list_filter(t, lambda w: list_contains({neg}, w))) AS negative, len(t) AS n FROM s)
+SELECT doc_id, positive, negative,
+       round(CASE WHEN n > 0 THEN (positive - negative) / n ELSE 0.0 END, 4) AS sentiment,
+       CASE WHEN round(CASE WHEN n > 0 THEN (positive - negative) / n ELSE 0.0 END, 4) > 0.05 THEN 'positive'
+            WHEN round(CASE WHEN n > 0 THEN (positive - negative) / n ELSE 0.0 END, 4) < -0.05 THEN 'negative'
+            ELSE 'neutral' END AS label
+FROM s2"""
+    votes = ", ".join(f"len(list_filter(t, lambda w: list_contains({_list(L.stop_words(name))}, w))) AS v_{code}"
+                      for code, name in L.LANGUAGES.items())
+    best, best_n = "CAST(NULL AS VARCHAR)", "0"
+    for code in L.LANGUAGES:
+        best = f"CASE WHEN v_{code} > {best_n} THEN '{code}' ELSE {best} END"
+        best_n = f"greatest({best_n}, v_{code})"
+    out["detect_lang"] = f"""
+WITH s AS (SELECT doc_id, lang, coalesce(text, '') AS txt, {dt} AS t FROM documents),
+v AS (SELECT doc_id, lang, txt, {votes} FROM s)
+SELECT doc_id, lang,
+  CASE WHEN length(txt) > 0 AND length(regexp_replace(txt, '[^\\p{{Han}}]', '', 'g')) * 3 > length(txt) THEN 'zh'
+       ELSE coalesce({best}, 'und') END AS detected
+FROM v"""
+    tagged = "'#' || source || ' #' || lang || ' ' || text"
+    out["extract_tags"] = f"""
+SELECT doc_id, array_to_string(regexp_extract_all({tagged}, '#([\\p{{L}}\\p{{N}}_]+)', 1), ',') AS hashtags,
+       array_to_string(regexp_extract_all({tagged}, '@([\\p{{L}}\\p{{N}}_.]+)', 1), ',') AS mentions
+FROM documents"""
+    out["clean_html"] = f"SELECT page_id, {clean_html_sql('html')} AS text FROM pages"
+    out["uri_tail"] = "SELECT page_id, split(url, '/')[-1] AS tail FROM pages"
+    union = " UNION ALL ".join(
+        f"SELECT doc_id, {_q(t)} AS term, {i} AS o FROM documents WHERE contains({doc_line}, {_q(' ' + t + ' ')})"
+        for i, t in enumerate(SEARCH_TERMS))
+    out["search_union_dedup"] = (f"SELECT doc_id, term FROM ({union}) "
+                                 f"QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY o) = 1")
+    out["post_features"] = f"""
+WITH s AS (SELECT doc_id, text, {dt} AS t FROM documents),
+s2 AS (SELECT doc_id, text, t, len(list_filter(t, lambda w: list_contains({pos}, w))) AS p,
+              len(list_filter(t, lambda w: list_contains({neg}, w))) AS ng FROM s)
+SELECT doc_id, length(text) AS n_chars, len(t) AS words,
+       len(list_filter({topics}, lambda k: contains(' ' || array_to_string(t, ' ') || ' ', ' ' || k || ' '))) AS keyword_hits,
+       round(CASE WHEN len(t) > 0 THEN (p - ng) / len(t) ELSE 0.0 END, 4) AS sentiment
+FROM s2"""
+    return out
+
+
+SEMANTIC_TOPK = """
+WITH ex AS (SELECT label, unnest(generate_series(1, len(embedding))) AS pos,
+                   unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+c AS (SELECT label, list(x ORDER BY pos) AS centroid
+      FROM (SELECT label, pos, avg(x) AS x FROM ex GROUP BY label, pos) GROUP BY label),
+s AS (SELECT e.label, e.vec_id,
+             list_sum(list_transform(list_zip(CAST(e.embedding AS DOUBLE[]), c.centroid), lambda p: p[1] * p[2]))
+             / (sqrt(list_sum(list_transform(CAST(e.embedding AS DOUBLE[]), lambda v: v * v)))
+                * sqrt(list_sum(list_transform(c.centroid, lambda v: v * v)))) AS score
+      FROM embeddings e JOIN c ON e.label = c.label)
+SELECT label, vec_id, round(score, 4) AS score,
+       row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank
+FROM s QUALIFY rank <= 5"""
+
+Q["semantic_topk"] = SEMANTIC_TOPK
+Q["hashtag_counts"] = with_silver(
+    "SELECT lower(unnest(hashtags)) AS hashtag, count(*) AS posts FROM silver GROUP BY 1")
+Q["clean_text"] = with_silver(f""", t AS (
+  SELECT s.source, s.post_id, r.event_type, r.user_id, r.a, r.sub FROM silver s JOIN rec r
+    ON s.topic_partition = r.topic_partition AND s.topic_offset = r.topic_offset)
+SELECT source, post_id,
+  CASE source
+    WHEN 'twitter' THEN regexp_replace(lower('Update ' || post_id || ' from @user' || CAST(user_id AS VARCHAR) || ': #'
+         || event_type || ' is up, see http://t.co/p' || post_id || ' and www.ex.com/' || CAST(user_id AS VARCHAR)),
+         'http\\S+|www\\S+|@\\S+|#', '', 'g')
+    WHEN 'reddit' THEN regexp_replace(lower('Thread ' || post_id || ' &amp; ' || event_type || ' <p>Score '
+         || CAST(a AS VARCHAR) || '</p>  for &lt;i&gt;' || sub || ' http://r.co/' || post_id), 'http\\S+|www\\S+', '', 'g')
+    ELSE regexp_replace(lower('Note ' || post_id || ' #' || event_type || ' with @user' || CAST(user_id AS VARCHAR)
+         || '.bsky.social  &amp;  friends'), 'http\\S+|www\\S+|@\\S+|#', '', 'g')
+  END AS text_clean
+FROM t""")
+
+# --------------------------------------------------------------- sources
+Q["scan_all"] = with_rec("SELECT topic_partition, topic_offset, source, post_id FROM rec")
+Q["scan_tail_n"] = with_rec("""
+, p AS (SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY topic_partition ORDER BY topic_offset DESC) <= 50)
+SELECT topic_partition AS partition, topic_offset AS "offset", post_id AS key FROM p
+ORDER BY topic_ts DESC, topic_offset DESC, topic_partition LIMIT 50""")
+Q["end_offset_total"] = with_rec("""
+, p AS (SELECT topic_partition, max(topic_offset) + 1 AS e, count(*) AS n FROM rec GROUP BY 1)
+SELECT count(*) AS partitions, CAST(sum(e) AS BIGINT) AS end_offset_total, CAST(sum(n) AS BIGINT) AS message_count
+FROM p""")
+Q["replay_from"] = with_rec("""
+SELECT topic_partition AS partition, topic_offset AS "offset", post_id AS key FROM rec
+WHERE (topic_partition = 0 AND topic_offset >= 1000) OR (topic_partition = 1 AND topic_offset >= 2000)
+   OR topic_partition NOT IN (0, 1)""")
+Q["envelope_json"] = with_rec("""
+SELECT source, post_id, iso AS sent_at, CASE WHEN source IN ('twitter', 'bluesky') THEN a END AS likes FROM rec""")
+Q["quarantine"] = with_rec("""
+SELECT '{"source":"error","timest' AS payload, 'malformed envelope' AS error, topic_partition, topic_offset
+FROM rec WHERE source = 'error'""")
+Q["parse_yield"] = with_rec("""
+SELECT count(*) AS records, count(*) FILTER (WHERE source <> 'error') AS parsed,
+       count(*) FILTER (WHERE source IN ('twitter', 'reddit', 'bluesky')) AS known_source,
+       round(count(*) FILTER (WHERE source <> 'error') / count(*), 4) AS parse_rate FROM rec""")
+Q["json_nested"] = with_rec("""
+SELECT source, post_id, CASE WHEN source IN ('twitter', 'bluesky') THEN a END AS likes,
+       CASE WHEN source = 'reddit' THEN a END AS score FROM rec""")
+Q["array_ops"] = with_silver("""
+SELECT source, post_id, len(hashtags) AS num_hashtags,
+       CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS num_mentions,
+       array_to_string(hashtags, ',') AS tags, coalesce(hashtags[1], 'none') AS first_tag FROM silver""")
+Q["parse_time"] = """
+SELECT event_id, CASE WHEN event_id % 4 = 3 THEN date_trunc('second', ts) ELSE ts END AS parsed FROM events"""
+Q["format_time"] = """
+SELECT event_id, strftime(ts, '%H:%M:%S') AS hms, strftime(ts, '%Y-%m-%d') AS ymd,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso FROM events"""
+Q["age_bucket"] = f"SELECT event_id, {_age_bucket('ts')} AS age FROM events"
+Q["engagement_scores"] = with_silver("SELECT source, post_id, engagement_score, engagement FROM silver")
+
+# ----------------------------------------------------------------- joins
+Q["enrich_author"] = """
+SELECT o.o_orderkey, o.o_custkey, c.c_name AS author_name, coalesce(c.c_mktsegment = 'BUILDING', false) AS verified
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+Q["new_only_anti"] = with_silver("""
+SELECT source, post_id FROM silver b WHERE created_at >= TIMESTAMP '2024-01-15 00:00:00'
+AND NOT EXISTS (SELECT 1 FROM silver s WHERE s.created_at < TIMESTAMP '2024-01-20 00:00:00'
+                AND s.source = b.source AND s.post_id = b.post_id)""")
+Q["seen_history_cap"] = with_silver("""
+SELECT source, post_id FROM silver
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY created_at DESC, post_id) <= 500""")
+_VERSIONS = """
+, base AS (SELECT source, post_id, engagement_score, topic_ts AS version, 0 AS side FROM silver
+           WHERE created_at < TIMESTAMP '2024-01-20 00:00:00')
+, upd AS (SELECT source, post_id, engagement_score + 100 AS engagement_score, topic_ts + INTERVAL 1 DAY AS version,
+                 1 AS side FROM silver WHERE created_at >= TIMESTAMP '2024-01-15 00:00:00')
+, h AS (SELECT * FROM base UNION ALL SELECT * FROM upd)"""
+Q["upsert_latest"] = with_silver(_VERSIONS + """
+SELECT source, post_id, engagement_score, version FROM h
+QUALIFY row_number() OVER (PARTITION BY source, post_id ORDER BY version DESC, side DESC) = 1""")
+Q["as_of_read"] = with_silver(_VERSIONS + """
+SELECT source, post_id, engagement_score FROM h WHERE version <= TIMESTAMP '2024-01-25 00:00:00'
+QUALIFY row_number() OVER (PARTITION BY source, post_id ORDER BY version DESC) = 1""")
+
+# ------------------------------------------------------------------ lake
+_PCOUNT = "SELECT CAST(topic_ts AS DATE) AS partition_date, source, count(*) AS rows FROM rec"
+Q["bronze_scan"] = with_rec(_PCOUNT + " GROUP BY 1, 2")
+Q["partition_read"] = with_rec("""
+SELECT post_id, topic_offset FROM rec WHERE CAST(topic_ts AS DATE) = DATE '2024-01-15' AND source = 'reddit'""")
+Q["retention_keep"] = with_rec(_PCOUNT + f" WHERE CAST(topic_ts AS DATE) >= CAST({_AS_OF} AS DATE) - 7 GROUP BY 1, 2")
+Q["delete_where"] = with_rec(
+    _PCOUNT + " WHERE NOT (source = 'reddit' AND CAST(topic_ts AS DATE) < DATE '2024-01-10') GROUP BY 1, 2")
+Q["compact"] = with_rec(_PCOUNT + " GROUP BY 1, 2")
+Q["zorder"] = with_silver("SELECT source, post_id, engagement_score FROM silver")
+Q["merge_schema"] = with_silver("""
+SELECT source, count(*) AS rows, count(*) FILTER (WHERE source <> 'reddit') AS with_language,
+       count(*) FILTER (WHERE source = 'reddit') AS with_community FROM silver GROUP BY source""")
