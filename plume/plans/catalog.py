@@ -18,6 +18,7 @@ from ..functions import text as TF
 from ..functions.time import age_bucket, parse_time
 from ..operators import kpis as K
 from ..operators import lake as LK
+from ..operators import models as MD
 from ..operators import similarity as SIM
 from ..operators import text as TX
 from ..operators import ranking as R
@@ -26,6 +27,7 @@ from ..operators import trends as TR
 from ..operators import views as V
 from ..session import ensure_utc, scratch_path
 from ..sources import testbed
+from ..sources import logs as LG
 from ..sources import topic as TP
 from .oracle import AS_OF
 
@@ -553,6 +555,48 @@ def q_merge_schema(spark, sf_dir):
                                    F.count("community").alias("with_community"))
 
 
+# --------------------------------------------------------------- models
+def q_forecast_volume(spark, sf_dir):
+    return MD.forecast_volume(silver(spark, sf_dir), AS_OF, 30, 168)
+
+
+def q_anomaly_flag(spark, sf_dir):
+    return MD.anomaly_flag(silver(spark, sf_dir), AS_OF, 30, 3.5)
+
+
+def q_dq_checks(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    return MD.dq_checks(b, S.silver_all(b, dedup=False), AS_OF)
+
+
+# ----------------------------------------------------------------- logs
+def log_lines(spark, sf_dir):
+    """Collector log lines derived from ``events``: posts are success lines,
+    ``error`` events failures, ``signup`` events rate-limit notices; the
+    writing collector is picked by user."""
+    e = events(spark, sf_dir)
+    who = F.col("user_id") % 3
+    file = F.concat(F.when(who == 0, "twitter").when(who == 1, "reddit").otherwise("bluesky"),
+                    F.lit("_collector.log"))
+    eid = F.col("event_id").cast("string")
+    msg = (F.when(F.col("event_type") == "error", F.concat(F.lit("❌ Error: connection failed for request "), eid))
+           .when(F.col("event_type") == "signup", F.lit("Rate limit reached (429), sleeping"))
+           .otherwise(F.concat(F.lit("Collected and sent post "), eid)))
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" - "), msg)
+    return e.select(file.alias("file"), F.col("ts").cast("timestamp").alias("ts"), line.alias("line"))
+
+
+def q_log_tail(spark, sf_dir):
+    t = LG.log_tail(log_lines(spark, sf_dir), 10, AS_OF)
+    return t.select("file", to_ntz("ts").alias("ts"), "line", "pos")
+
+
+def q_collector_health(spark, sf_dir):
+    h = LG.collector_health(log_lines(spark, sf_dir), AS_OF, 20, 300)
+    return h.select("file", "rate_limited", "last_success", "has_error",
+                    to_ntz("last_line_at").alias("last_line_at"), "status")
+
+
 def queries() -> dict[str, Query]:
     return {
         "trending_windows": q_trending_windows,
@@ -639,6 +683,11 @@ def queries() -> dict[str, Query]:
         "compact": q_compact,
         "zorder": q_zorder,
         "merge_schema": q_merge_schema,
+        "forecast_volume": q_forecast_volume,
+        "anomaly_flag": q_anomaly_flag,
+        "dq_checks": q_dq_checks,
+        "log_tail": q_log_tail,
+        "collector_health": q_collector_health,
     }
 
 

@@ -529,3 +529,79 @@ Q["zorder"] = with_silver("SELECT source, post_id, engagement_score FROM silver"
 Q["merge_schema"] = with_silver("""
 SELECT source, count(*) AS rows, count(*) FILTER (WHERE source <> 'reddit') AS with_language,
        count(*) FILTER (WHERE source = 'reddit') AS with_community FROM silver GROUP BY source""")
+
+# ---------------------------------------------------------------- models
+_NOW = f"date_trunc('hour', {_AS_OF})"
+_HOURLY_GRID = f"""
+, recent AS (SELECT * FROM silver WHERE created_at >= {_NOW} - INTERVAL 30 DAY AND created_at < {_NOW})
+, cnt AS (SELECT source, date_trunc('hour', created_at) AS hour, count(*) AS posts FROM recent GROUP BY 1, 2)
+, grid AS (SELECT source, unnest(generate_series({_NOW} - INTERVAL 30 DAY, {_NOW} - INTERVAL 1 HOUR, INTERVAL 1 HOUR))
+                  AS hour FROM (SELECT DISTINCT source FROM recent))
+, h AS (SELECT g.source, g.hour, coalesce(c.posts, 0) AS posts FROM grid g LEFT JOIN cnt c
+        ON g.source = c.source AND g.hour = c.hour)"""
+_X = f"((epoch({{h}}) - epoch({_NOW} - INTERVAL 30 DAY)) / 3600)"
+_HOW = "(CAST(floor(epoch({h}) / 3600) AS BIGINT) % 168)"
+Q["forecast_volume"] = with_silver(_HOURLY_GRID + f"""
+, hx AS (SELECT *, {_X.format(h='hour')} AS x FROM h)
+, fit AS (SELECT source, regr_slope(posts, x) AS slope, regr_intercept(posts, x) AS intercept FROM hx GROUP BY source)
+, resid AS (SELECT hx.source, {_HOW.format(h='hx.hour')} AS how,
+                   avg(hx.posts - (fit.intercept + fit.slope * hx.x)) AS season
+            FROM hx JOIN fit ON hx.source = fit.source GROUP BY 1, 2)
+, fut AS (SELECT source, slope, intercept,
+                 unnest(generate_series({_NOW}, {_NOW} + INTERVAL 167 HOUR, INTERVAL 1 HOUR)) AS hour FROM fit)
+SELECT f.source, f.hour,
+       round(greatest(f.intercept + f.slope * {_X.format(h='f.hour')} + coalesce(r.season, 0.0), 0.0), 4) AS forecast
+FROM fut f LEFT JOIN resid r ON f.source = r.source AND {_HOW.format(h='f.hour')} = r.how""")
+Q["anomaly_flag"] = with_silver(_HOURLY_GRID + """
+, med AS (SELECT source, quantile_cont(posts, 0.5) AS med FROM h GROUP BY source)
+, dev AS (SELECT h.*, med.med, abs(h.posts - med.med) AS dev FROM h JOIN med ON h.source = med.source)
+, mad AS (SELECT source, quantile_cont(dev, 0.5) AS mad FROM dev GROUP BY source)
+, z AS (SELECT dev.source, dev.hour, dev.posts,
+               round(CASE WHEN mad.mad > 0 THEN 0.6745 * (dev.posts - dev.med) / mad.mad ELSE 0.0 END, 4) AS robust_z
+        FROM dev JOIN mad ON dev.source = mad.source)
+SELECT *, abs(robust_z) > 3.5 AS is_anomaly FROM z""")
+Q["dq_checks"] = with_silver(f"""
+, b AS (SELECT count(*) AS n_b, count(*) FILTER (WHERE source NOT IN ('twitter', 'reddit', 'bluesky')) AS unk FROM rec)
+, p AS (SELECT count(*) AS n_p, count(*) FILTER (WHERE created_at > {_AS_OF}) AS fut,
+               count(*) FILTER (WHERE engagement_score < 0) AS neg FROM silver_raw)
+, k AS (SELECT source, post_id, count(*) AS c FROM silver_raw GROUP BY 1, 2)
+, d AS (SELECT CAST(sum(c - 1) AS BIGINT) AS dup, CAST(sum(c) AS BIGINT) AS n_d FROM k)
+, r AS (
+  SELECT 'unknown_source' AS rule, unk AS failed, n_b AS checked FROM b
+  UNION ALL SELECT 'missing_id', 0, n_b FROM b
+  UNION ALL SELECT 'bad_time', 0, n_p FROM p
+  UNION ALL SELECT 'future_time', fut, n_p FROM p
+  UNION ALL SELECT 'negative_engagement', neg, n_p FROM p
+  UNION ALL SELECT 'empty_text', 0, n_p FROM p
+  UNION ALL SELECT 'missing_metrics', 0, n_p FROM p
+  UNION ALL SELECT 'duplicate_rows', dup, n_d FROM d)
+SELECT rule, failed, checked, round(failed / checked, 4) AS fail_rate FROM r""")
+
+# ------------------------------------------------------------------ logs
+_LOG_LINES = """
+lines AS (
+  SELECT CASE user_id % 3 WHEN 0 THEN 'twitter' WHEN 1 THEN 'reddit' ELSE 'bluesky' END || '_collector.log' AS file,
+         ts,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - ' || CASE event_type
+           WHEN 'error' THEN '❌ Error: connection failed for request ' || CAST(event_id AS VARCHAR)
+           WHEN 'signup' THEN 'Rate limit reached (429), sleeping'
+           ELSE 'Collected and sent post ' || CAST(event_id AS VARCHAR) END AS line
+  FROM events)"""
+
+
+def _tail(n: int) -> str:
+    return (f", tail AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY ts DESC, line DESC) AS pos"
+            f" FROM lines WHERE ts <= {_AS_OF} QUALIFY pos <= {n})")
+
+
+Q["log_tail"] = "WITH " + _LOG_LINES + _tail(10) + " SELECT file, ts, line, pos FROM tail"
+Q["collector_health"] = "WITH " + _LOG_LINES + _tail(20) + f"""
+, a AS (SELECT file, bool_or(regexp_matches(line, '(?i)rate limit|429|too many requests')) AS rate_limited,
+               bool_or(regexp_matches(line, '(?i)successfully|✅|sent to kafka|collected and sent')) AS last_success,
+               bool_or(regexp_matches(line, '(?i)error|❌|failed')) AS has_error, max(ts) AS last_line_at
+        FROM tail GROUP BY file)
+SELECT file, rate_limited, last_success, has_error, last_line_at,
+  CASE WHEN CAST(floor(epoch({_AS_OF})) AS BIGINT) - CAST(floor(epoch(last_line_at)) AS BIGINT) > 300 THEN 'idle'
+       WHEN rate_limited THEN 'limited' WHEN last_success THEN 'running' WHEN has_error THEN 'error'
+       ELSE 'idle' END AS status
+FROM a"""
