@@ -28,6 +28,7 @@ from ..operators import views as V
 from ..session import ensure_utc, scratch_path
 from ..sources import testbed
 from ..sources import logs as LG
+from ..streaming import runner as RUN
 from ..sources import topic as TP
 from .oracle import AS_OF
 
@@ -597,6 +598,119 @@ def q_collector_health(spark, sf_dir):
                     to_ntz("last_line_at").alias("last_line_at"), "status")
 
 
+# ------------------------------------------------------------ streaming
+FILES_PER_SLICE = 2
+
+
+def _landed_topic(spark, sf_dir, name, first=None, skip=0):
+    path = scratch_path(spark, name)
+    testbed.write_topic_slices(topic(spark, sf_dir), path, 10, FILES_PER_SLICE, first=first, skip=skip)
+    return path
+
+
+def _topic_stream(spark, path):
+    return TP.read_topic_files(spark, path, streaming=True, max_files_per_trigger=FILES_PER_SLICE)
+
+
+def _bronze_stream(spark, path):
+    return RUN.bronze_stream(_topic_stream(spark, path), processed_at=F.col("topic_timestamp"))
+
+
+def q_stream_envelope(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    out = scratch_path(spark, "stream-bronze")
+    RUN.drain(RUN.start(_bronze_stream(spark, src), scratch_path(spark, "ckpt"), "parquet", out))
+    b = RUN.read_sink(spark, out)
+    return b.select("source", F.col("raw_data")["id"].alias("post_id"), "topic_offset")
+
+
+def q_bronze_roundtrip(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    out = scratch_path(spark, "stream-bronze")
+    RUN.drain(RUN.start(_bronze_stream(spark, src), scratch_path(spark, "ckpt"), "parquet", out,
+                        partition_by=["partition_date", "source"]))
+    return _partition_counts(RUN.read_sink(spark, out))
+
+
+def q_stream_restart(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files", first=1)
+    out, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "ckpt")
+
+    def run():
+        RUN.drain(RUN.start(_bronze_stream(spark, src), ckpt, "parquet", out,
+                            partition_by=["partition_date", "source"]))
+    run()
+    testbed.write_topic_slices(topic(spark, sf_dir), src, 10, FILES_PER_SLICE, skip=1)
+    run()   # restart from the checkpoint: only the new files are read
+    run()   # nothing new: adds no rows
+    return _partition_counts(RUN.read_sink(spark, out))
+
+
+def q_stream_count_by_source(spark, sf_dir):
+    import uuid
+
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    name = f"plume_counts_{uuid.uuid4().hex[:8]}"
+    agg = K.count_by_source(_bronze_stream(spark, src))
+    RUN.drain(RUN.start(agg, scratch_path(spark, "ckpt"), "memory", mode="complete", query_name=name))
+    return spark.table(name)
+
+
+def q_sql_stream(spark, sf_dir):
+    import uuid
+
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    view, name = f"plume_bronze_{uuid.uuid4().hex[:8]}", f"plume_sql_{uuid.uuid4().hex[:8]}"
+    _bronze_stream(spark, src).createOrReplaceTempView(view)
+    agg = spark.sql(f"SELECT source, count(*) AS post_count FROM {view} "
+                    f"WHERE raw_data['text'] LIKE '%from @user1%' GROUP BY source")
+    RUN.drain(RUN.start(agg, scratch_path(spark, "ckpt"), "memory", mode="complete", query_name=name))
+    return spark.table(name)
+
+
+def q_stream_dedup(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    out = scratch_path(spark, "stream-silver")
+    sil = RUN.silver_stream(_bronze_stream(spark, src))
+    RUN.drain(RUN.start(sil, scratch_path(spark, "ckpt"), "parquet", out))
+    return RUN.read_sink(spark, out).select("source", "post_id")
+
+
+def q_stream_trending(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    out = scratch_path(spark, "stream-gold")
+    gold = RUN.trending_stream(RUN.silver_stream(_bronze_stream(spark, src)))
+    RUN.drain(RUN.start(gold, scratch_path(spark, "ckpt"), "parquet", out))
+    return RUN.read_sink(spark, out)
+
+
+def q_stream_fanout(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    bronze_out, counts_out = scratch_path(spark, "fan-bronze"), scratch_path(spark, "fan-counts")
+
+    def both(batch, epoch_id):
+        batch.persist()
+        try:   # per-epoch folders make a replayed epoch overwrite itself (idempotent)
+            batch.write.mode("overwrite").parquet(f"{bronze_out}/epoch={epoch_id}")
+            RUN.counts_by_source_batch(batch).write.mode("overwrite").parquet(f"{counts_out}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
+    RUN.drain(RUN.start_foreach_batch(_bronze_stream(spark, src), scratch_path(spark, "ckpt"), both))
+    counts = RUN.read_sink(spark, counts_out)
+    return counts.groupBy("source").agg(F.sum("post_count").alias("post_count"))
+
+
+def q_medallion_e2e(spark, sf_dir):
+    src = _landed_topic(spark, sf_dir, "topic-files")
+    bronze_out, silver_out = scratch_path(spark, "m-bronze"), scratch_path(spark, "m-silver")
+    RUN.drain(RUN.start(_bronze_stream(spark, src), scratch_path(spark, "ckpt"), "parquet", bronze_out,
+                        partition_by=["partition_date", "source"]))
+    schema = spark.read.parquet(bronze_out).schema
+    bronze_files = spark.readStream.schema(schema).parquet(bronze_out)
+    RUN.drain(RUN.start(RUN.silver_stream(bronze_files), scratch_path(spark, "ckpt"), "parquet", silver_out))
+    return TR.trending_windows(RUN.read_sink(spark, silver_out))
+
+
 def queries() -> dict[str, Query]:
     return {
         "trending_windows": q_trending_windows,
@@ -688,6 +802,15 @@ def queries() -> dict[str, Query]:
         "dq_checks": q_dq_checks,
         "log_tail": q_log_tail,
         "collector_health": q_collector_health,
+        "stream_envelope": q_stream_envelope,
+        "bronze_roundtrip": q_bronze_roundtrip,
+        "stream_restart": q_stream_restart,
+        "stream_count_by_source": q_stream_count_by_source,
+        "sql_stream": q_sql_stream,
+        "stream_dedup": q_stream_dedup,
+        "stream_trending": q_stream_trending,
+        "stream_fanout": q_stream_fanout,
+        "medallion_e2e": q_medallion_e2e,
     }
 
 

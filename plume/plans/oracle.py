@@ -605,3 +605,18 @@ SELECT file, rate_limited, last_success, has_error, last_line_at,
        WHEN rate_limited THEN 'limited' WHEN last_success THEN 'running' WHEN has_error THEN 'error'
        ELSE 'idle' END AS status
 FROM a"""
+
+# ------------------------------------------------------------- streaming
+Q["stream_envelope"] = with_rec("SELECT source, post_id, topic_offset FROM rec")
+Q["bronze_roundtrip"] = Q["bronze_scan"]
+Q["stream_restart"] = Q["bronze_scan"]
+Q["stream_count_by_source"] = Q["count_by_source"]
+Q["sql_stream"] = with_rec("""
+SELECT source, count(*) AS post_count FROM rec
+WHERE source = 'twitter' AND ('Update ' || post_id || ' from @' || uname || ':') LIKE '%from @user1%'
+GROUP BY source""")
+Q["stream_dedup"] = with_silver("SELECT source, post_id FROM silver")
+Q["stream_trending"] = TRENDING_WINDOWS + """
+HAVING ws + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM silver) - INTERVAL 10 MINUTE"""
+Q["stream_fanout"] = Q["count_by_source"]
+Q["medallion_e2e"] = TRENDING_WINDOWS

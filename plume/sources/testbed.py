@@ -120,3 +120,21 @@ def events_topic(events: DataFrame) -> DataFrame:
 
 def topic_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_topic(read_table(spark, sf_dir, "events"))
+
+
+def write_topic_slices(topic: DataFrame, path: str, slice_days: int = 10, files_per_slice: int = 2,
+                       first: int | None = None, skip: int = 0) -> int:
+    """Land the topic as Parquet files in arrival order, one write per time
+    slice, so a file stream sees the slices as successive micro-batches
+    (``maxFilesPerTrigger = files_per_slice``). ``skip``/``first`` select a
+    range of slices (to land data in two steps for restart tests). Returns
+    the number of slices written. Test-harness only: it stands in for the
+    broker."""
+    sl = F.floor(F.unix_seconds("timestamp") / (86400 * slice_days))
+    t = topic.withColumn("_slice", sl)
+    ids = sorted(r[0] for r in t.select("_slice").distinct().collect())
+    ids = ids[skip:] if first is None else ids[skip:skip + first]
+    for i in ids:
+        (t.where(F.col("_slice") == i).drop("_slice").repartition(files_per_slice)
+         .write.mode("append").parquet(path))
+    return len(ids)
