@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions import metrics as M
 from ..functions import text as T
@@ -84,11 +84,55 @@ def silver_bluesky(bronze: DataFrame, strict: bool = False) -> DataFrame:
     return bronze.where(F.col("source") == "bluesky").select(*cols, *_coords(bronze))
 
 
+ALL_METRICS = StructType([StructField(n, LongType()) for n in
+                          ("likes", "retweets", "replies", "quotes", "score", "num_comments", "reposts")]
+                         + [StructField("upvote_ratio", DoubleType())])
+
+
+def silver_posts(bronze: DataFrame, strict: bool = False, languages=SILVER_LANGUAGES) -> DataFrame:
+    """All three networks in one pass over bronze – the same rows and columns
+    as the union of the per-network functions, but each envelope's metrics
+    are parsed once (superset schema) and bronze is scanned once."""
+    src = F.col("source")
+    tw, rd = src == "twitter", src == "reddit"
+    m = F.from_json(_raw("metrics"), ALL_METRICS)
+
+    def pick(t, r, b):
+        return F.when(tw, t).when(rd, r).otherwise(b)
+    text = pick(_raw("text"), F.concat_ws(" ", _raw("title"), _raw("text")), _raw("text"))
+    clean = F.when(rd, T.clean_reddit(text)).otherwise(T.clean_twitter(text))
+    none_s, none_l = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    empty = F.array().cast(_STR_ARRAY)
+    likes = pick(m["likes"], m["score"], m["likes"])
+    shares = pick(m["retweets"], none_l, m["reposts"])
+    replies = pick(m["replies"], m["num_comments"], m["replies"])
+    quotes = pick(m["quotes"], none_l, m["quotes"])
+    hashtags = F.when(rd, empty).otherwise(_arr("hashtags"))
+    mentions = F.when(rd, empty).otherwise(_arr("mentions"))
+    cols = [
+        src.alias("source"), _raw("id").alias("post_id"), text.alias("text"), clean.alias("text_clean"),
+        pick(_raw("author_username"), _raw("author"), _raw("author_handle")).alias("author"),
+        pick(_raw("author_id"), _raw("author"), _raw("author_did")).alias("author_id"),
+        parse_time(pick(_raw("created_at"), _raw("created_utc"), _raw("created_at"))).alias("created_at"),
+        pick(_raw("language"), F.lit("en"), F.coalesce(_raw("language"), F.lit("en"))).alias("language"),
+        F.when(rd, _raw("subreddit")).otherwise(none_s).alias("community"),
+        likes.alias("likes"), shares.alias("shares"), replies.alias("replies"), quotes.alias("quotes"),
+        M.engagement_score(src, likes, shares, replies, quotes, strict).alias("engagement_score"),
+        M.engagement(src, likes, shares).alias("engagement"),
+        hashtags.alias("hashtags"), mentions.alias("mentions"),
+        F.coalesce(F.size(hashtags), F.lit(0)).alias("num_hashtags"),
+        F.coalesce(F.size(mentions), F.lit(0)).alias("num_mentions"),
+        F.col("processed_at"),
+    ]
+    keep = src.isin("twitter", "reddit", "bluesky")
+    if languages:
+        keep = keep & (~tw | _raw("language").isin(list(languages)))
+    return bronze.where(keep).select(*cols, *_coords(bronze))
+
+
 def silver_all(bronze: DataFrame, dedup: bool = True, strict: bool = False) -> DataFrame:
     """All three networks in one schema, deduplicated on (source, post_id)."""
-    out = (silver_twitter(bronze, strict)
-           .unionByName(silver_reddit(bronze, strict))
-           .unionByName(silver_bluesky(bronze, strict)))
+    out = silver_posts(bronze, strict)
     return dedup_posts(out) if dedup else out
 
 
@@ -122,12 +166,10 @@ def unified_posts(bronze: DataFrame) -> DataFrame:
     are skipped; missing values take the dashboard defaults.
     """
     src = F.col("source")
-    m_tw = F.from_json(_raw("metrics"), TWITTER_METRICS)
-    m_rd = F.from_json(_raw("metrics"), REDDIT_METRICS)
-    m_bs = F.from_json(_raw("metrics"), BLUESKY_METRICS)
+    m = F.from_json(_raw("metrics"), ALL_METRICS)
     is_tw, is_rd = src == "twitter", src == "reddit"
-    likes = F.when(is_tw, m_tw["likes"]).when(is_rd, m_rd["score"]).otherwise(m_bs["likes"])
-    shares = F.when(is_tw, m_tw["retweets"]).when(is_rd, F.lit(0)).otherwise(m_bs["reposts"])
+    likes = F.when(is_tw, m["likes"]).when(is_rd, m["score"]).otherwise(m["likes"])
+    shares = F.when(is_tw, m["retweets"]).when(is_rd, F.lit(0)).otherwise(m["reposts"])
     reddit_text = F.concat(T.clean_html(F.coalesce(_raw("title"), F.lit(""))), F.lit(" "),
                            T.clean_html(F.coalesce(_raw("text"), F.lit(""))))
     text = (F.when(is_tw, F.coalesce(_raw("text"), F.lit("")))

@@ -29,7 +29,21 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (JSON, regex, n-grams) every core.
+
+    A scan yields one task per file split; a small file with one row group
+    is one task however many cores there are. When the scan has fewer
+    partitions than the default parallelism, round-robin it out. At cluster
+    scale the scan already has thousands of splits and nothing changes
+    (no extra shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def source_of(event_type: Column) -> Column:
