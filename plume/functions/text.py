@@ -1,7 +1,8 @@
 """String Column functions (F1–F15). All JVM-side, no Python in the hot path."""
 
-from __future__ import annotations
+import html
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ TWITTER_CLEAN_PATTERN = r"http\S+|www\S+|@\S+|#"
 # must come last so that ``&amp;lt;`` decodes once, to ``&lt;``.
 HTML_ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-    ("&apos;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"),
+    ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "·"), ("&copy;", "©"),
     ("&reg;", "®"), ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
     ("&amp;", "&"),
 ]
@@ -41,7 +42,7 @@ def clean_reddit(text) -> Column:
 def html_unescape(text, full: bool = False) -> Column:
     """decode HTML entities.
 
-    The default decodes the named entities above plus decimal/hex numeric
+    The default decodes the named entities listed above in the JVM; numeric
     references are left as they are. ``full=True`` routes through one Arrow
     batch UDF calling Python's ``html.unescape`` for the complete HTML5 set.
     """
@@ -53,16 +54,19 @@ def html_unescape(text, full: bool = False) -> Column:
     return out
 
 
-def _html_unescape_udf(col: Column) -> Column:
-    import html
+def _unescape_batch(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: None if v is None else html.unescape(v))
+
 
-    import pandas as pd
+_UNESCAPE_UDF = None
 
-    @F.pandas_udf("string")
-    def _unescape(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else html.unescape(v))
 
-    return _unescape(col)
+def _html_unescape_udf(col: Column) -> Column:
+    """Arrow-batched (vectorised) ``html.unescape``: whole column batches per call."""
+    global _UNESCAPE_UDF
+    if _UNESCAPE_UDF is None:
+        _UNESCAPE_UDF = F.pandas_udf(_unescape_batch, "string")
+    return _UNESCAPE_UDF(col)
 
 
 def strip_tags(text) -> Column:
