@@ -219,3 +219,61 @@ def search_union_dedup(results: list[DataFrame], key: str) -> DataFrame:
     rest = [c for c in tagged.columns if c != key]
     return (tagged.groupBy(key).agg(F.min_by(F.struct(*rest), F.col("_term_order")).alias("_r"))
             .select(key, "_r.*").drop("_term_order"))
+
+
+def lda_topics(docs: DataFrame, text: str = "text", k: int = 5, max_iter: int = 10,
+               vocab_size: int = 2000, terms_per_topic: int = 8, seed: int = 7) -> DataFrame:
+    """K5: LDA topics (Spark ML, online optimizer: mini-batches of documents,
+    so no corpus ever sits in one task). Stop words removed; output one row
+    per (topic, term rank) with the term and its weight."""
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizer
+
+    stop = L.phrase_stop_words()
+    toks = docs.select(F.filter(word_tokens(F.col(text)),
+                                lambda w: ~w.isin(stop) & (F.length(w) >= 3)).alias("tokens"))
+    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size, minDF=2.0).fit(toks)
+    vec = cv.transform(toks)
+    model = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online").fit(vec)
+    vocab = F.array(*[F.lit(w) for w in cv.vocabulary])
+    desc = model.describeTopics(terms_per_topic)
+    return desc.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t")) \
+        .select("topic", "rank", F.element_at(vocab, F.col("t.termIndices") + 1).alias("term"),
+                F.round("t.termWeights", 6).alias("weight"))
+
+
+# Fixed parameters of the related-document signature (ours).
+MINHASH_FUNCS = 8
+MINHASH_BAND = 2
+
+
+def minhash_signature(text, n_funcs: int = MINHASH_FUNCS) -> Column:
+    """K7: MinHash over the set of word tokens, one hash function per salt:
+    h_i(w) = md5(i || ':' || w); the signature keeps the minimum per i.
+    md5 is the same function in every engine, so signatures are portable."""
+    toks = F.array_distinct(word_tokens(text))
+    return F.array(*[F.array_min(F.transform(toks, _salted_md5(i))) for i in range(n_funcs)])
+
+
+def _salted_md5(i: int):
+    return lambda w: F.md5(F.concat(F.lit(f"{i}:"), w))
+
+
+def related_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                   n_funcs: int = MINHASH_FUNCS, band: int = MINHASH_BAND) -> DataFrame:
+    """K7: documents related by MinHash banding (LSH), as a group id.
+
+    Each band of ``band`` signature values is a bucket; the group of a
+    document is the smallest id among the documents sharing any of its
+    buckets. Built from two aggregates (bucket → min id, document → min
+    over its buckets): linear work, and no candidate *pairs* are ever
+    formed, so a bucket holding millions of copies costs no more than its
+    rows. Documents that share no bucket are their own group."""
+    sig = docs.select(key, minhash_signature(F.col(text), n_funcs).alias("sig"))
+    bands = sig.select(key, F.posexplode(F.array(*[
+        F.concat_ws("|", *[F.col("sig")[b * band + j] for j in range(band)])
+        for b in range(n_funcs // band)])).alias("band", "bucket"))
+    bucket_min = bands.groupBy("band", "bucket").agg(F.min(key).alias("_g"), F.count(F.lit(1)).alias("_n"))
+    per_doc = (bands.join(bucket_min, ["band", "bucket"])
+               .groupBy(key).agg(F.min("_g").alias("group_id"), F.max("_n").alias("bucket_size")))
+    return per_doc.withColumn("related", F.col("bucket_size") > 1)

@@ -400,8 +400,10 @@ def q_json_nested(spark, sf_dir):
 
 def q_array_ops(spark, sf_dir):
     s = silver(spark, sf_dir)
+    objects = F.transform("hashtags", lambda h: F.struct(h.alias("tag")))      # entity objects
     return s.select("source", "post_id", "num_hashtags", "num_mentions",
                     F.array_join("hashtags", ",").alias("tags"),
+                    F.array_join(F.transform(objects, lambda o: o["tag"]), ",").alias("tag_objects"),
                     F.coalesce(F.get(F.col("hashtags"), 0), F.lit("none")).alias("first_tag"))
 
 
@@ -711,6 +713,30 @@ def q_medallion_e2e(spark, sf_dir):
     return TR.trending_windows(RUN.read_sink(spark, silver_out))
 
 
+# -------------------------------------------------- per-network silver
+SILVER_COLS = ["source", "post_id", "author", "created_at", "language", "community", "likes", "shares",
+               "replies", "quotes", "engagement_score", "num_hashtags", "num_mentions", "topic_offset"]
+
+
+def _net(fn):
+    def q(spark, sf_dir):
+        out = fn(bronze(spark, sf_dir))
+        return out.withColumn("created_at", to_ntz("created_at")).select(*SILVER_COLS)
+    return q
+
+
+def q_latest_feed(spark, sf_dir):
+    return _view(V.recent_posts(unified(spark, sf_dir), 20))
+
+
+def q_lda_topics(spark, sf_dir):
+    return TX.lda_topics(docs(spark, sf_dir), k=5, max_iter=10, vocab_size=2000, terms_per_topic=8)
+
+
+def q_related_docs(spark, sf_dir):
+    return TX.related_groups(docs(spark, sf_dir), "doc_id", "text")
+
+
 def queries() -> dict[str, Query]:
     return {
         "trending_windows": q_trending_windows,
@@ -811,6 +837,12 @@ def queries() -> dict[str, Query]:
         "stream_trending": q_stream_trending,
         "stream_fanout": q_stream_fanout,
         "medallion_e2e": q_medallion_e2e,
+        "silver_twitter": _net(S.silver_twitter),
+        "silver_reddit": _net(S.silver_reddit),
+        "silver_bluesky": _net(S.silver_bluesky),
+        "latest_feed": q_latest_feed,
+        "lda_topics": q_lda_topics,
+        "related_docs": q_related_docs,
     }
 
 

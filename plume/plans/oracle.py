@@ -483,7 +483,8 @@ SELECT source, post_id, CASE WHEN source IN ('twitter', 'bluesky') THEN a END AS
 Q["array_ops"] = with_silver("""
 SELECT source, post_id, len(hashtags) AS num_hashtags,
        CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS num_mentions,
-       array_to_string(hashtags, ',') AS tags, coalesce(hashtags[1], 'none') AS first_tag FROM silver""")
+       array_to_string(hashtags, ',') AS tags, array_to_string(hashtags, ',') AS tag_objects,
+       coalesce(hashtags[1], 'none') AS first_tag FROM silver""")
 Q["parse_time"] = """
 SELECT event_id, CASE WHEN event_id % 4 = 3 THEN date_trunc('second', ts) ELSE ts END AS parsed FROM events"""
 Q["format_time"] = """
@@ -620,3 +621,35 @@ Q["stream_trending"] = TRENDING_WINDOWS + """
 HAVING ws + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM silver) - INTERVAL 10 MINUTE"""
 Q["stream_fanout"] = Q["count_by_source"]
 Q["medallion_e2e"] = TRENDING_WINDOWS
+
+
+# ------------------------------------------------------ per-network silver
+def _silver_net(src: str) -> str:
+    return with_silver(f"""
+SELECT source, post_id, author, created_at, language, community, likes, shares, replies, quotes,
+       engagement_score, len(hashtags) AS num_hashtags,
+       CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS num_mentions, topic_offset
+FROM silver_raw WHERE source = '{src}'""")
+
+
+Q["silver_twitter"] = _silver_net("twitter")
+Q["silver_reddit"] = _silver_net("reddit")
+Q["silver_bluesky"] = _silver_net("bluesky")
+Q["latest_feed"] = with_unified(_VIEW + " ORDER BY created_ts DESC NULLS LAST, post_id, source LIMIT 20")
+
+
+def _related_sql(n_funcs: int = 8, band: int = 2) -> str:
+    sig = ", ".join(f"list_min(list_transform(toks, lambda w: md5('{i}:' || w)))" for i in range(n_funcs))
+    bands = ", ".join("concat_ws('|', " + ", ".join(f"sig[{b * band + j + 1}]" for j in range(band)) + ")"
+                      for b in range(n_funcs // band))
+    return f"""
+WITH t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+'),
+                                                   lambda w: w <> '')) AS toks FROM documents),
+s AS (SELECT doc_id, [{sig}] AS sig FROM t),
+b AS (SELECT doc_id, unnest(generate_series(0, {n_funcs // band - 1})) AS band, unnest([{bands}]) AS bucket FROM s),
+m AS (SELECT band, bucket, min(doc_id) AS g, count(*) AS n FROM b GROUP BY 1, 2)
+SELECT b.doc_id, min(m.g) AS group_id, max(m.n) AS bucket_size, max(m.n) > 1 AS related
+FROM b JOIN m ON b.band = m.band AND b.bucket = m.bucket GROUP BY b.doc_id"""
+
+
+Q["related_docs"] = _related_sql()
