@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import to_ntz
@@ -50,19 +50,29 @@ def trending_top(gold: DataFrame, n: int = 10) -> DataFrame:
 
 
 def hourly_stats(silver: DataFrame, sentiment_col: str | None = None,
-                 keywords_col: str = "hashtags") -> DataFrame:
+                 keywords_col: str = "hashtags", top_k: int = 5) -> DataFrame:
     """Tumbling hour × source × community: count, mean sentiment,
-    distinct keywords (sorted), total engagement."""
-    df = silver.where(F.col("created_at").isNotNull())
+    the ``top_k`` most used keywords (count desc, then text) and total
+    engagement.
+
+    Keywords are counted by (group, keyword) – a partial aggregate – and cut
+    to ``top_k`` per group with a map-side group limit, so a group with
+    millions of distinct keywords never builds one giant list."""
+    df = silver.where(F.col("created_at").isNotNull()).withColumn(
+        "hour", F.window("created_at", "1 hour").start).withColumn(
+        "community", F.coalesce("community", F.lit("")))
+    keys = ["hour", "source", "community"]
     sent = F.avg(sentiment_col) if sentiment_col else F.lit(None).cast("double")
-    agg = df.groupBy(F.window("created_at", "1 hour").alias("w"), "source",
-                     F.coalesce("community", F.lit("")).alias("community")).agg(
-        F.count(F.lit(1)).alias("post_count"),
-        sent.alias("_sent"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(keywords_col)))).alias("trending_keywords"),
-        F.sum("engagement_score").alias("total_engagement"),
-    )
-    return agg.select(to_ntz(F.col("w.start")).alias("hour"), "source", "community", "post_count",
-                      F.round("_sent", 4).alias("avg_sentiment"),
-                      F.array_join("trending_keywords", ",").alias("trending_keywords"),
-                      "total_engagement")
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("post_count"), sent.alias("_sent"),
+                                F.sum("engagement_score").alias("total_engagement"))
+    kw = (df.select(*keys, F.explode(keywords_col).alias("kw"))
+          .groupBy(*keys, "kw").agg(F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc("kw"))
+    top = (kw.withColumn("r", F.row_number().over(w)).where(F.col("r") <= top_k)
+           .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("r", "kw"))).alias("_t"))
+           .select(*keys, F.array_join(F.transform("_t", lambda x: x["kw"]), ",").alias("trending_keywords")))
+    return (agg.join(top, keys, "left")
+            .select(to_ntz(F.col("hour")).alias("hour"), "source", "community", "post_count",
+                    F.round("_sent", 4).alias("avg_sentiment"),
+                    F.coalesce("trending_keywords", F.lit("")).alias("trending_keywords"),
+                    "total_engagement"))

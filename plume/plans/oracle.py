@@ -174,11 +174,18 @@ FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, created_at),
                         time_bucket(INTERVAL 30 MINUTE, created_at) - INTERVAL 30 MINUTE]) AS ws
       FROM silver)""")
 Q["hourly_stats"] = with_silver("""
-SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community,
-       count(*) AS post_count, CAST(NULL AS DOUBLE) AS avg_sentiment,
-       array_to_string(list_sort(list_distinct(flatten(list(hashtags)))), ',') AS trending_keywords,
-       CAST(sum(engagement_score) AS BIGINT) AS total_engagement
-FROM silver GROUP BY 1, 2, 3""")
+, g AS (SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, hashtags,
+               engagement_score FROM silver)
+, kw AS (SELECT hour, source, community, kw, count(*) AS n
+         FROM (SELECT hour, source, community, unnest(hashtags) AS kw FROM g) GROUP BY ALL)
+, top AS (SELECT hour, source, community, string_agg(kw, ',' ORDER BY r) AS trending_keywords
+          FROM (SELECT *, row_number() OVER (PARTITION BY hour, source, community ORDER BY n DESC, kw) AS r FROM kw)
+          WHERE r <= 5 GROUP BY ALL)
+, a AS (SELECT hour, source, community, count(*) AS post_count, CAST(NULL AS DOUBLE) AS avg_sentiment,
+               CAST(sum(engagement_score) AS BIGINT) AS total_engagement FROM g GROUP BY ALL)
+SELECT a.hour, a.source, a.community, a.post_count, a.avg_sentiment,
+       coalesce(top.trending_keywords, '') AS trending_keywords, a.total_engagement
+FROM a LEFT JOIN top ON a.hour = top.hour AND a.source = top.source AND a.community = top.community""")
 Q["unified_posts"] = with_unified("""
 SELECT source, post_id, text, author, created_at, engagement, likes, retweets, hashtags, subreddit FROM unified""")
 Q["count_by_source"] = with_rec("SELECT source, count(*) AS post_count FROM rec GROUP BY source")
