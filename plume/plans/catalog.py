@@ -725,6 +725,22 @@ def _net(fn):
     return q
 
 
+def q_sql_functions(spark, sf_dir):
+    from ..functions import sql as SQLF
+
+    SQLF.register(spark)
+    docs(spark, sf_dir).createOrReplaceTempView("plume_documents")
+    p = pages(spark, sf_dir)
+    p.createOrReplaceTempView("plume_pages")
+    d = spark.sql("SELECT doc_id AS id, 'doc' AS kind, plume_detect_language(text) AS detected, "
+                  "plume_sentiment_score(text) AS sentiment, size(plume_extract_keywords(text)) AS keywords, "
+                  "CAST(NULL AS STRING) AS clean FROM plume_documents")
+    h = spark.sql("SELECT page_id AS id, 'page' AS kind, CAST(NULL AS STRING) AS detected, "
+                  "CAST(NULL AS DOUBLE) AS sentiment, CAST(NULL AS INT) AS keywords, "
+                  "plume_clean_html(html) AS clean FROM plume_pages")
+    return d.unionByName(h)
+
+
 def q_latest_feed(spark, sf_dir):
     return _view(V.recent_posts(unified(spark, sf_dir), 20))
 
@@ -841,6 +857,7 @@ def queries() -> dict[str, Query]:
         "silver_reddit": _net(S.silver_reddit),
         "silver_bluesky": _net(S.silver_bluesky),
         "latest_feed": q_latest_feed,
+        "sql_functions": q_sql_functions,
         "lda_topics": q_lda_topics,
         "related_docs": q_related_docs,
     }

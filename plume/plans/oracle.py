@@ -426,6 +426,19 @@ SELECT doc_id, length(text) AS n_chars, len(t) AS words,
        len(list_filter({topics}, lambda k: contains(' ' || array_to_string(t, ' ') || ' ', ' ' || k || ' '))) AS keyword_hits,
        round(CASE WHEN len(t) > 0 THEN (p - ng) / len(t) ELSE 0.0 END, 4) AS sentiment
 FROM s2"""
+    url_free = "regexp_replace(text, 'http\\S+|www\\S+', '', 'g')"
+    wrd = (f"list_filter({words_of.format(x=url_free)},"
+           f" lambda w: length(w) >= 4 AND NOT list_contains({stop}, w) AND NOT list_contains({generic}, w)"
+           f" AND regexp_full_match(w, '\\p{{L}}+') AND NOT starts_with(w, 'ai'))")
+    det = out["detect_lang"].replace("SELECT doc_id, lang,", "SELECT doc_id,")
+    snt = out["sentiment"]
+    out["sql_functions"] = f"""
+WITH det AS ({det}), snt AS ({snt}),
+kw AS (SELECT doc_id, len({wrd}) AS keywords FROM documents)
+SELECT d.doc_id AS id, 'doc' AS kind, d.detected, s.sentiment, k.keywords, CAST(NULL AS VARCHAR) AS clean
+FROM det d JOIN snt s ON d.doc_id = s.doc_id JOIN kw k ON d.doc_id = k.doc_id
+UNION ALL
+SELECT page_id, 'page', NULL, NULL, NULL, {clean_html_sql('html')} FROM pages"""
     return out
 
 
