@@ -130,9 +130,17 @@ def silver_posts(bronze: DataFrame, strict: bool = False, languages=SILVER_LANGU
     return bronze.where(keep).select(*cols, *_coords(bronze))
 
 
-def silver_all(bronze: DataFrame, dedup: bool = True, strict: bool = False) -> DataFrame:
-    """All three networks in one schema, deduplicated on (source, post_id)."""
+def silver_all(bronze: DataFrame, dedup: bool = True, strict: bool = False, columns=None) -> DataFrame:
+    """All three networks in one schema, deduplicated on (source, post_id).
+
+    ``columns`` narrows the rows *before* the dedup: the optimizer cannot
+    prune fields out of the struct the dedup aggregate carries, so a caller
+    that needs four columns should not shuffle twenty (text included)."""
     out = silver_posts(bronze, strict)
+    if columns:
+        keep = ["source", "post_id"] + [c for c in columns if c not in ("source", "post_id")]
+        keep += [c for c in ("topic_offset", "topic_partition") if c in out.columns and c not in keep]
+        out = out.select(*keep)
     return dedup_posts(out) if dedup else out
 
 

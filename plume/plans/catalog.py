@@ -44,8 +44,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.bronze(topic(spark, sf_dir), processed_at=F.col("topic_timestamp"))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.silver_all(bronze(spark, sf_dir))
+def silver(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Deduplicated silver posts; name the columns a query needs so the
+    dedup shuffle carries only those."""
+    return S.silver_all(bronze(spark, sf_dir), columns=list(columns) or None)
 
 
 def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,19 +67,19 @@ def with_topics(df: DataFrame) -> DataFrame:
 
 
 def q_trending_windows(spark, sf_dir):
-    return TR.trending_windows(silver(spark, sf_dir))
+    return TR.trending_windows(silver(spark, sf_dir, "created_at", "engagement_score"))
 
 
 def q_trending_top(spark, sf_dir):
-    return TR.trending_top(TR.trending_windows(silver(spark, sf_dir)), 10)
+    return TR.trending_top(TR.trending_windows(silver(spark, sf_dir, "created_at", "engagement_score")), 10)
 
 
 def q_window_posts(spark, sf_dir):
-    return TR.window_posts(silver(spark, sf_dir))
+    return TR.window_posts(silver(spark, sf_dir, "created_at"))
 
 
 def q_hourly_stats(spark, sf_dir):
-    return TR.hourly_stats(silver(spark, sf_dir))
+    return TR.hourly_stats(silver(spark, sf_dir, "created_at", "community", "hashtags", "engagement_score"))
 
 
 def q_unified_posts(spark, sf_dir):
@@ -157,19 +159,19 @@ def q_count_by_community(spark, sf_dir):
 
 
 def q_user_activity(spark, sf_dir):
-    return K.user_activity(silver(spark, sf_dir))
+    return K.user_activity(silver(spark, sf_dir, "author", "engagement_score", "created_at"))
 
 
 def q_top_authors(spark, sf_dir):
-    return K.top_authors(silver(spark, sf_dir), 10)
+    return K.top_authors(silver(spark, sf_dir, "author", "engagement_score"), 10)
 
 
 def q_influencers(spark, sf_dir):
-    return K.influencers(silver(spark, sf_dir), 10)
+    return K.influencers(silver(spark, sf_dir, "author", "engagement_score"), 10)
 
 
 def q_collection_tally(spark, sf_dir):
-    return K.collection_tally(silver(spark, sf_dir))
+    return K.collection_tally(silver(spark, sf_dir, "community"))
 
 
 def q_high_water_mark(spark, sf_dir):
@@ -177,7 +179,7 @@ def q_high_water_mark(spark, sf_dir):
 
 
 def q_incremental_since(spark, sf_dir):
-    posts = silver(spark, sf_dir)
+    posts = silver(spark, sf_dir, "created_at")
     prev = posts.where(F.col("created_at") < F.lit(SINCE_CUTOFF).cast("timestamp"))
     marks = K.high_water_mark(prev)
     return K.incremental_since(posts, marks).select("source", "post_id")
@@ -188,15 +190,15 @@ def q_dedup_rate(spark, sf_dir):
 
 
 def q_dedup_id(spark, sf_dir):
-    return silver(spark, sf_dir).select("source", "post_id", "topic_offset")
+    return silver(spark, sf_dir, "topic_offset").select("source", "post_id", "topic_offset")
 
 
 def q_hourly_volume_pivot(spark, sf_dir):
-    return R.hourly_volume_pivot(silver(spark, sf_dir))
+    return R.hourly_volume_pivot(silver(spark, sf_dir, "created_at"))
 
 
 def _topic_hour(spark, sf_dir):
-    return R.topic_hourly(with_topics(silver(spark, sf_dir)))
+    return R.topic_hourly(with_topics(silver(spark, sf_dir, "created_at", "hashtags", "engagement_score")))
 
 
 def q_topic_hourly(spark, sf_dir):
@@ -212,11 +214,11 @@ def q_topic_rank(spark, sf_dir):
 
 
 def q_top_posts_per_hour(spark, sf_dir):
-    return R.top_posts_per_hour(with_topics(silver(spark, sf_dir)), 3)
+    return R.top_posts_per_hour(with_topics(silver(spark, sf_dir, "created_at", "hashtags", "engagement_score")), 3)
 
 
 def q_burst_detect(spark, sf_dir):
-    return R.burst_detect(silver(spark, sf_dir), 24, 2.0)
+    return R.burst_detect(silver(spark, sf_dir, "created_at"), 24, 2.0)
 
 
 def q_heat_score(spark, sf_dir):
@@ -224,11 +226,11 @@ def q_heat_score(spark, sf_dir):
 
 
 def q_period_change(spark, sf_dir):
-    return R.period_change(silver(spark, sf_dir))
+    return R.period_change(silver(spark, sf_dir, "created_at"))
 
 
 def q_weekly_report(spark, sf_dir):
-    return R.weekly_report(silver(spark, sf_dir), "week")
+    return R.weekly_report(silver(spark, sf_dir, "created_at", "engagement_score", "author"), "week")
 
 
 # ---------------------------------------------------------------- text
@@ -329,7 +331,7 @@ def q_hashtag_counts(spark, sf_dir):
 
 
 def q_clean_text(spark, sf_dir):
-    return silver(spark, sf_dir).select("source", "post_id", "text_clean")
+    return silver(spark, sf_dir, "text_clean").select("source", "post_id", "text_clean")
 
 
 def q_post_features(spark, sf_dir):
@@ -437,7 +439,7 @@ def q_age_bucket(spark, sf_dir):
 
 
 def q_engagement_scores(spark, sf_dir):
-    return silver(spark, sf_dir).select("source", "post_id", "engagement_score", "engagement")
+    return silver(spark, sf_dir, "engagement_score", "engagement").select("source", "post_id", "engagement_score", "engagement")
 
 
 # ---------------------------------------------------------------- joins
@@ -459,20 +461,20 @@ BATCH_FROM = "2024-01-15 00:00:00"
 
 
 def q_new_only_anti(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, "created_at")
     seen = s.where(F.col("created_at") < F.lit(SEEN_BEFORE).cast("timestamp")).select("source", "post_id")
     batch = s.where(F.col("created_at") >= F.lit(BATCH_FROM).cast("timestamp"))
     return batch.join(seen, ["source", "post_id"], "left_anti").select("source", "post_id")
 
 
 def q_seen_history_cap(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, "created_at")
     out = V.cap_per_group(s, "source", 500, [F.desc("created_at"), F.asc("post_id")])
     return out.select("source", "post_id")
 
 
 def _versions(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, "created_at", "engagement_score", "processed_at")
     base = (s.where(F.col("created_at") < F.lit(SEEN_BEFORE).cast("timestamp"))
             .select("source", "post_id", "engagement_score", F.col("processed_at").alias("version")))
     upd = (s.where(F.col("created_at") >= F.lit(BATCH_FROM).cast("timestamp"))
@@ -560,11 +562,11 @@ def q_merge_schema(spark, sf_dir):
 
 # --------------------------------------------------------------- models
 def q_forecast_volume(spark, sf_dir):
-    return MD.forecast_volume(silver(spark, sf_dir), AS_OF, 30, 168)
+    return MD.forecast_volume(silver(spark, sf_dir, "created_at"), AS_OF, 30, 168)
 
 
 def q_anomaly_flag(spark, sf_dir):
-    return MD.anomaly_flag(silver(spark, sf_dir), AS_OF, 30, 3.5)
+    return MD.anomaly_flag(silver(spark, sf_dir, "created_at"), AS_OF, 30, 3.5)
 
 
 def q_dq_checks(spark, sf_dir):
