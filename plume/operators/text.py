@@ -71,6 +71,31 @@ def _gram_of(n: int):
     return gram
 
 
+def _phrase_array(seg: DataFrame, min_n: int, max_n: int, min_chars: int, stop, generic, excluded) -> DataFrame:
+    """Adds ``grams`` (kept phrases) and ``words`` (fallback words) arrays to
+    rows of segment tokens ``t``."""
+    flagged = seg.select(
+        "t",
+        F.transform("t", lambda w: ~(w.isin(stop) | w.rlike(r"^\p{Nd}+$"))).alias("ok"),
+        F.transform("t", lambda w: w.isin(generic)).alias("gen"))
+    k = max_n - 1
+    shifted = flagged.select(
+        *[F.slice(c, j + 1, F.size("t")).alias(f"{c}{j}") for c in ("t", "ok", "gen") for j in range(k + 1)])
+    z = F.arrays_zip(*[F.col(f"{c}{j}") for c in ("t", "ok", "gen") for j in range(k + 1)])
+    per_n = [F.transform(z, _gram_of(n)) for n in range(min_n, max_n + 1)]
+    grams = F.filter(F.concat(*per_n),
+                     lambda g: g.isNotNull() & (F.length(g) >= min_chars) & ~g.isin(excluded))
+    words = F.filter("t0", lambda w: (F.length(w) >= 4) & ~w.isin(stop) & ~w.isin(generic)
+                     & w.rlike(r"^\p{L}+$") & ~w.startswith("ai"))
+    return shifted.select(grams.alias("grams"), words.alias("words"))
+
+
+def _lists(stop, generic, excluded):
+    return (list(stop if stop is not None else L.phrase_stop_words()),
+            list(generic if generic is not None else L.GENERIC_WORDS),
+            list(excluded if excluded is not None else L.EXCLUDED_PHRASES))
+
+
 def phrase_rows(docs: DataFrame, text: str = "text", min_n: int = 2, max_n: int = 4,
                 min_chars: int = 8, stop=None, generic=None, excluded=None) -> DataFrame:
     """K1 candidates, one row per phrase occurrence.
@@ -85,22 +110,9 @@ def phrase_rows(docs: DataFrame, text: str = "text", min_n: int = 2, max_n: int
     copies, so every lambda reads only its own element (linear work per
     segment, no per-position re-evaluation of the token array).
     """
-    stop = list(stop if stop is not None else L.phrase_stop_words())
-    generic = list(generic if generic is not None else L.GENERIC_WORDS)
-    excluded = list(excluded if excluded is not None else L.EXCLUDED_PHRASES)
-    seg = _segment_tokens(docs, text)
-    flagged = seg.select(
-        "t",
-        F.transform("t", lambda w: ~(w.isin(stop) | w.rlike(r"^\p{Nd}+$"))).alias("ok"),
-        F.transform("t", lambda w: w.isin(generic)).alias("gen"))
-    k = max_n - 1
-    shifted = flagged.select(
-        *[F.slice(c, j + 1, F.size("t")).alias(f"{c}{j}") for c in ("t", "ok", "gen") for j in range(k + 1)])
-    z = F.arrays_zip(*[F.col(f"{c}{j}") for c in ("t", "ok", "gen") for j in range(k + 1)])
-    per_n = [F.transform(z, _gram_of(n)) for n in range(min_n, max_n + 1)]
-    grams = F.filter(F.concat(*per_n),
-                     lambda g: g.isNotNull() & (F.length(g) >= min_chars) & ~g.isin(excluded))
-    return shifted.select(F.explode(grams).alias("keyword"))
+    stop, generic, excluded = _lists(stop, generic, excluded)
+    arrays = _phrase_array(_segment_tokens(docs, text), min_n, max_n, min_chars, stop, generic, excluded)
+    return arrays.select(F.explode("grams").alias("keyword"))
 
 
 def word_rows(docs: DataFrame, text: str = "text", min_len: int = 4, stop=None, generic=None) -> DataFrame:
@@ -124,14 +136,20 @@ def keyword_topn(docs: DataFrame, text: str = "text", top_n: int = 20, min_phras
     """Top-n phrases; when fewer than ``min_phrases`` phrases exist,
     single words are merged in and the union re-ranked and cut.
 
-    Map-side: candidate arrays per document → explode → partial count per
-    phrase; the shuffle carries (phrase, partial count) only. The fallback
-    decision runs over at most 2·n rows (no driver round trip).
+    One scan and one tokenisation feed both candidate kinds: each segment
+    yields (kind, keyword) pairs, counted by a partial aggregate (the shuffle
+    carries (kind, keyword, partial count) only); the top n per kind come
+    from a map-side group limit. The fallback decision runs over at most
+    2·n rows (no driver round trip).
     """
-    phrases = phrase_rows(docs, text).groupBy("keyword").agg(F.count(F.lit(1)).alias("mentions"))
-    words = word_rows(docs, text).groupBy("keyword").agg(F.count(F.lit(1)).alias("mentions"))
-    both = (_top(phrases, top_n).withColumn("kind", F.lit(0))
-            .unionByName(_top(words, top_n).withColumn("kind", F.lit(1))))
+    stop, generic, excluded = _lists(None, None, None)
+    arrays = _phrase_array(_segment_tokens(docs, text), 2, 4, 8, stop, generic, excluded)
+    tagged = F.concat(F.transform("grams", lambda g: F.struct(F.lit(0).alias("kind"), g.alias("keyword"))),
+                      F.transform("words", lambda w: F.struct(F.lit(1).alias("kind"), w.alias("keyword"))))
+    counts = (arrays.select(F.inline(tagged)).groupBy("kind", "keyword")
+              .agg(F.count(F.lit(1)).alias("mentions")))
+    per_kind = Window.partitionBy("kind").orderBy(F.desc("mentions"), F.asc("keyword"))
+    both = counts.withColumn("_r", F.row_number().over(per_kind)).where(F.col("_r") <= top_n).drop("_r")
     n_phr = F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(Window.partitionBy())
     # Later (word) count wins on a key clash – a phrase has a blank, a word
     # has none, so the clash cannot happen; the rule is kept for fidelity.
