@@ -27,7 +27,8 @@ def parse_time(s) -> Column:
     """
     s = _c(s).cast("string")
     epoch = F.timestamp_seconds(s.try_cast("double"))
-    return F.when(s.rlike(r"^\d+(\.\d+)?$"), epoch).otherwise(F.try_to_timestamp(s))
+    # at most 11 integer digits: a plausible epoch, never a timestamp overflow
+    return F.when(s.rlike(r"^\d{1,11}(\.\d+)?$"), epoch).otherwise(F.try_to_timestamp(s))
 
 
 def format_time(ts, fmt: str = "yyyy-MM-dd'T'HH:mm:ss") -> Column:

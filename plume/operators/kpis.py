@@ -21,7 +21,7 @@ def source_share(df: DataFrame, col: str = "source") -> DataFrame:
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("posts"))
     total = F.sum("posts").over(Window.partitionBy())
-    return counts.select(col, "posts", F.round(F.col("posts") * 100.0 / total, 4).alias("share_pct"))
+    return counts.select(col, "posts", F.round(F.try_divide(F.col("posts") * 100.0, total), 4).alias("share_pct"))
 
 
 def kpi_totals(df: DataFrame, labels=tuple(SOURCE_LABELS.values())) -> DataFrame:
@@ -110,7 +110,7 @@ def parse_yield(decoded: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("source").isNotNull()).alias("parsed"),
         F.count_if(F.col("source").isin(known)).alias("known_source"),
-    ).withColumn("parse_rate", F.round(F.col("parsed") / F.col("records"), 4))
+    ).withColumn("parse_rate", F.round(F.try_divide(F.col("parsed"), F.col("records")), 4))
 
 
 def dedup_rate(df: DataFrame, keys=("source", "post_id")) -> DataFrame:

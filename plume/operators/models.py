@@ -104,4 +104,4 @@ def dq_checks(bronze: DataFrame, posts: DataFrame, as_of, keys=("source", "post_
     rules_d = d.select(F.lit("duplicate_rows").alias("rule"), F.col("duplicate_rows").cast("bigint").alias("failed"),
                        F.col("n_d").cast("bigint").alias("checked"))
     out = rules_b.unionByName(rules_p).unionByName(rules_d)
-    return out.withColumn("fail_rate", F.round(F.col("failed") / F.col("checked"), 4))
+    return out.withColumn("fail_rate", F.round(F.try_divide(F.col("failed"), F.col("checked")), 4))

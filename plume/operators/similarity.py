@@ -22,7 +22,8 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Cosine similarity; NULL for a zero vector (ANSI-safe division)."""
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
 def centroids(vectors: DataFrame, key: str = "label", vec: str = "embedding") -> DataFrame:
