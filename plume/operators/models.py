@@ -4,7 +4,7 @@ rows), never on raw posts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import as_of_lit, to_ntz
@@ -14,17 +14,21 @@ HOUR_S = 3600
 
 def hourly_counts(df: DataFrame, as_of, days: int, ts: str = "created_at") -> DataFrame:
     """Posts per network and hour over the ``days`` before the clock, with
-    empty hours present as 0 (grid from ``sequence``: bounded by the span)."""
+    empty hours present as 0.
+
+    One pass: the hourly counts of a network are folded into a map (one entry
+    per busy hour – bounded by the span, not by the volume), then the hour
+    grid is generated with ``sequence`` and looked up. No self-join, so the
+    posts are read once."""
     now = F.date_trunc("hour", as_of_lit(as_of))
     lo = now - F.make_dt_interval(days=F.lit(days))
     recent = df.where((F.col(ts) >= lo) & (F.col(ts) < now))
     counts = recent.groupBy("source", F.date_trunc("hour", F.col(ts)).alias("hour")) \
         .agg(F.count(F.lit(1)).alias("posts"))
-    grid = (recent.select("source").distinct()
-            .select("source", F.explode(F.sequence(lo, now - F.expr("INTERVAL 1 HOUR"),
-                                                   F.expr("INTERVAL 1 HOUR"))).alias("hour")))
-    return (grid.join(counts, ["source", "hour"], "left")
-            .select("source", "hour", F.coalesce("posts", F.lit(0)).alias("posts")))
+    per_src = counts.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("hour", "posts"))).alias("m"))
+    grid = per_src.select("source", "m", F.explode(F.sequence(lo, now - F.expr("INTERVAL 1 HOUR"),
+                                                              F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    return grid.select("source", "hour", F.coalesce(F.col("m")[F.col("hour")], F.lit(0)).cast("bigint").alias("posts"))
 
 
 def _how(hour_col) -> F.Column:
@@ -36,40 +40,43 @@ def forecast_volume(df: DataFrame, as_of, history_days: int = 30, horizon_hours:
                     ts: str = "created_at") -> DataFrame:
     """M1: next ``horizon_hours`` per network = linear trend (least squares on
     the hourly history) + the mean residual of the same hour of week,
-    floored at 0."""
+    floored at 0. The history needs at least one week so that every hour of
+    week has a residual.
+
+    Single pipeline over the hourly grid: the fit is a window aggregate per
+    network, residuals are grouped per (network, hour of week), and each
+    group emits the horizon hours that share its hour of week."""
     now = F.date_trunc("hour", as_of_lit(as_of))
     lo_s = F.unix_seconds(now - F.make_dt_interval(days=F.lit(history_days)))
-    h = hourly_counts(df, as_of, history_days, ts)
+    per = Window.partitionBy("source")
     # hours since the start of the history: keeps the fit well conditioned
-    h = h.withColumn("x", (F.unix_seconds("hour") - lo_s) / HOUR_S)
-    fit = h.groupBy("source").agg(F.regr_slope("posts", "x").alias("slope"),
-                                  F.regr_intercept("posts", "x").alias("intercept"))
-    resid = (h.join(fit, "source")
-             .withColumn("r", F.col("posts") - (F.col("intercept") + F.col("slope") * F.col("x")))
-             .groupBy("source", _how(F.col("hour")).alias("how")).agg(F.avg("r").alias("season")))
-    future = fit.select("source", "slope", "intercept",
-                        F.explode(F.sequence(now, now + F.make_dt_interval(hours=F.lit(horizon_hours - 1)),
-                                             F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    out = (future.withColumn("how", _how(F.col("hour")))
-           .join(resid, ["source", "how"], "left")
-           .withColumn("forecast", F.greatest(
-               F.col("intercept") + F.col("slope") * ((F.unix_seconds("hour") - lo_s) / HOUR_S)
-               + F.coalesce("season", F.lit(0.0)), F.lit(0.0))))
-    return out.select("source", to_ntz("hour").alias("hour"), F.round("forecast", 4).alias("forecast"))
+    h = (hourly_counts(df, as_of, history_days, ts)
+         .withColumn("x", (F.unix_seconds("hour") - lo_s) / HOUR_S)
+         .withColumn("slope", F.regr_slope("posts", "x").over(per))
+         .withColumn("intercept", F.regr_intercept("posts", "x").over(per))
+         .withColumn("r", F.col("posts") - (F.col("intercept") + F.col("slope") * F.col("x"))))
+    season = h.groupBy("source", _how(F.col("hour")).alias("how")).agg(
+        F.avg("r").alias("season"), F.first("slope").alias("slope"), F.first("intercept").alias("intercept"))
+    future = season.select("*", F.explode(F.sequence(now, now + F.make_dt_interval(hours=F.lit(horizon_hours - 1)),
+                                                     F.expr("INTERVAL 1 HOUR"))).alias("hour")) \
+        .where(_how(F.col("hour")) == F.col("how"))
+    fc = F.greatest(F.col("intercept") + F.col("slope") * ((F.unix_seconds("hour") - lo_s) / HOUR_S)
+                    + F.coalesce("season", F.lit(0.0)), F.lit(0.0))
+    return future.select("source", to_ntz("hour").alias("hour"), F.round(fc, 4).alias("forecast"))
 
 
 def anomaly_flag(df: DataFrame, as_of, days: int = 30, cutoff: float = 3.5,
                  ts: str = "created_at") -> DataFrame:
     """M3: robust z-score of hourly volume per network,
     z = 0.6745 · (x − median) / MAD; anomalous when |z| > cutoff.
-    Medians are exact percentiles over the hourly aggregate."""
-    h = hourly_counts(df, as_of, days, ts)
-    med = h.groupBy("source").agg(F.percentile("posts", 0.5).alias("med"))
-    dev = h.join(med, "source").withColumn("dev", F.abs(F.col("posts") - F.col("med")))
-    mad = dev.groupBy("source").agg(F.percentile("dev", 0.5).alias("mad"))
+    Medians are exact percentiles, taken as window aggregates over the
+    hourly grid (networks × hours rows), so the posts are read once."""
+    per = Window.partitionBy("source")
+    h = hourly_counts(df, as_of, days, ts).withColumn("med", F.percentile("posts", 0.5).over(per))
+    dev = h.withColumn("dev", F.abs(F.col("posts") - F.col("med"))) \
+        .withColumn("mad", F.percentile("dev", 0.5).over(per))
     z = F.when(F.col("mad") > 0, 0.6745 * (F.col("posts") - F.col("med")) / F.col("mad")).otherwise(F.lit(0.0))
-    return (dev.join(mad, "source")
-            .select("source", to_ntz("hour").alias("hour"), "posts", F.round(z, 4).alias("robust_z"))
+    return (dev.select("source", to_ntz("hour").alias("hour"), "posts", F.round(z, 4).alias("robust_z"))
             .withColumn("is_anomaly", F.abs(F.col("robust_z")) > cutoff))
 
 

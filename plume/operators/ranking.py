@@ -37,13 +37,17 @@ def topic_hourly(df: DataFrame, topic_col: str = "topics", ts: str = "created_at
 
 def topic_timeseries(topic_hour: DataFrame) -> DataFrame:
     """One row per topic and hour between its first and last hour, gaps
-    filled with 0. The hour grid is generated per topic with ``sequence`` –
-    bounded by the span in hours, not by the data volume."""
-    span = topic_hour.groupBy("topic").agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
-    grid = span.select("topic", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    return (grid.join(topic_hour, ["topic", "hour"], "left")
-            .select("topic", "hour", F.coalesce("mention_count", F.lit(0)).alias("mention_count"),
-                    F.coalesce("total_engagement", F.lit(0)).alias("total_engagement")))
+    filled with 0. A topic's busy hours are folded into a map (bounded by its
+    span in hours, not by the data volume), the grid comes from ``sequence``
+    and is looked up: one pass, no self-join."""
+    per = topic_hour.groupBy("topic").agg(
+        F.min("hour").alias("lo"), F.max("hour").alias("hi"),
+        F.map_from_entries(F.collect_list(F.struct("hour", F.struct("mention_count", "total_engagement"))))
+        .alias("m"))
+    grid = per.select("topic", "m", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    v = F.col("m")[F.col("hour")]
+    return grid.select("topic", "hour", F.coalesce(v["mention_count"], F.lit(0)).alias("mention_count"),
+                       F.coalesce(v["total_engagement"], F.lit(0)).alias("total_engagement"))
 
 
 def topic_rank(topic_hour: DataFrame, score: str = "trend_score") -> DataFrame:
