@@ -120,14 +120,17 @@ def zorder_key(*cols, bits: int = 16) -> F.Column:
 
 def zorder(df: DataFrame, cols, num_partitions: int, bits: int = 16) -> DataFrame:
     """L4: cluster rows by a Z-order key. Each column is scaled into
-    [0, 2^bits) by its min/max – two scalar subqueries, no join and no
-    global sort – then rows are range-partitioned on the interleaved key and
-    sorted within partitions, so data skipping works on every key column."""
+    [0, 2^bits) by its min/max – all bounds from one aggregate used as a
+    scalar subquery (no join, no global sort) – then rows are
+    range-partitioned on the interleaved key and sorted within partitions,
+    so data skipping works on every key column. Meant for a stored table:
+    the bounds and the range sampling each read the input once more."""
     top = (1 << bits) - 1
+    bounds = df.agg(F.struct(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
+                             *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])).scalar()
     scaled = df
     for i, c in enumerate(cols):
-        lo = df.agg(F.min(F.col(c).cast("double"))).scalar()
-        hi = df.agg(F.max(F.col(c).cast("double"))).scalar()
+        lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
         v = F.col(c).cast("double")
         scaled = scaled.withColumn(
             f"_z{i}", F.when(hi > lo, F.floor((v - lo) / (hi - lo) * top)).otherwise(F.lit(0)).cast("bigint"))

@@ -83,32 +83,33 @@ def anomaly_flag(df: DataFrame, as_of, days: int = 30, cutoff: float = 3.5,
 def dq_checks(bronze: DataFrame, posts: DataFrame, as_of, keys=("source", "post_id"),
               known=("twitter", "reddit", "bluesky")) -> DataFrame:
     """M4/M5: one row per rule – failed rows, rows checked, failure rate.
-    Each table is scanned once; rules are columns of one aggregate, then
-    unpivoted (``stack``) into rows."""
+
+    ``bronze`` gives the envelope rules, ``posts`` (silver before dedup) the
+    post rules; the duplicate rule needs per-key counts. Posts are grouped
+    once by key with every rule as a conditional count (partial aggregate,
+    so a hot key is combined map-side), then summed; bronze is one more
+    aggregate. Rules become rows with ``stack``."""
     now = as_of_lit(as_of)
     b = bronze.agg(
         F.count(F.lit(1)).alias("n_b"),
         F.count_if(~F.col("source").isin(list(known))).alias("unknown_source"),
         F.count_if(F.col("raw_data")["id"].isNull()).alias("missing_id"),
     )
-    per_key = posts.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
-    d = per_key.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicate_rows"),
-                    F.coalesce(F.sum("c"), F.lit(0)).alias("n_d"))
-    p = posts.agg(
-        F.count(F.lit(1)).alias("n_p"),
+    per_key = posts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("c"),
         F.count_if(F.col("created_at").isNull()).alias("bad_time"),
         F.count_if(F.col("created_at") > now).alias("future_time"),
         F.count_if(F.coalesce(F.col("engagement_score"), F.lit(0)) < 0).alias("negative_engagement"),
         F.count_if(F.coalesce(F.length(F.trim("text")), F.lit(0)) == 0).alias("empty_text"),
         F.count_if(F.col("likes").isNull()).alias("missing_metrics"),
     )
+    rules = ["bad_time", "future_time", "negative_engagement", "empty_text", "missing_metrics"]
+    p = per_key.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n_p"),
+                    F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicate_rows"),
+                    *[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in rules])
     rules_b = b.select(F.expr("stack(2, 'unknown_source', unknown_source, n_b, 'missing_id', missing_id, n_b)"
                               " AS (rule, failed, checked)"))
-    rules_p = p.select(F.expr(
-        "stack(5, 'bad_time', bad_time, n_p, 'future_time', future_time, n_p, "
-        "'negative_engagement', negative_engagement, n_p, 'empty_text', empty_text, n_p, "
-        "'missing_metrics', missing_metrics, n_p) AS (rule, failed, checked)"))
-    rules_d = d.select(F.lit("duplicate_rows").alias("rule"), F.col("duplicate_rows").cast("bigint").alias("failed"),
-                       F.col("n_d").cast("bigint").alias("checked"))
-    out = rules_b.unionByName(rules_p).unionByName(rules_d)
+    stacked = ", ".join(f"'{r}', CAST({r} AS BIGINT), CAST(n_p AS BIGINT)" for r in rules + ["duplicate_rows"])
+    rules_p = p.select(F.expr(f"stack({len(rules) + 1}, {stacked}) AS (rule, failed, checked)"))
+    out = rules_b.unionByName(rules_p)
     return out.withColumn("fail_rate", F.round(F.try_divide(F.col("failed"), F.col("checked")), 4))

@@ -542,9 +542,13 @@ def q_compact(spark, sf_dir):
 
 
 def q_zorder(spark, sf_dir):
-    s = silver(spark, sf_dir).withColumn("_id", F.col("post_id").cast("bigint"))         .withColumn("_t", F.unix_seconds("created_at"))
-    z = LK.zorder(s, ["_id", "_t"], 8)
-    return z.select("source", "post_id", "engagement_score")
+    src, out = scratch_path(spark, "silver-table"), scratch_path(spark, "silver-zordered")
+    (silver(spark, sf_dir, "created_at", "engagement_score")
+     .select("source", "post_id", "created_at", "engagement_score").write.parquet(src))
+    table = spark.read.parquet(src).withColumn("_id", F.col("post_id").cast("bigint")) \
+        .withColumn("_t", F.unix_seconds("created_at"))
+    LK.zorder(table, ["_id", "_t"], 8).drop("_id", "_t", "_zkey").write.parquet(out)
+    return spark.read.parquet(out).select("source", "post_id", "engagement_score")
 
 
 def q_merge_schema(spark, sf_dir):
