@@ -76,3 +76,28 @@ def test_batch_equals_stream_for_complete_counts(spark):
     agg = K.count_by_source(B.bronze(read_topic_files(spark, src, streaming=True)))
     RUN.drain(RUN.start(agg, scratch_path(spark, "ckpt"), "memory", mode="complete", query_name=name))
     assert sorted(map(tuple, batch)) == sorted(map(tuple, spark.table(name).collect()))
+
+
+def test_submit_jobs_bronze_silver_gold(spark):
+    import argparse
+
+    from plume.streaming import jobs
+
+    src, bronze, silver, gold = (scratch_path(spark, n) for n in ("src", "bronze", "silver", "gold"))
+    _land(spark, src, [_post(1, 0), _post(2, 5), _post(3, 95), _post(4, 96, pid=3)]
+          + [(b"x", b'{"bad', "t", 0, 99, dt.datetime(2025, 11, 11))])
+
+    def run(job, **kw):
+        args = argparse.Namespace(servers=None, topic="t", starting="earliest", checkpoint=None,
+                                  format="parquet", trigger="1 second", watermark="10 minutes",
+                                  max_per_trigger=None, **kw)
+        q = getattr(jobs, f"{job}_job")(spark, args)
+        q.processAllAvailable()
+        q.stop()
+    run("bronze", input=src, out=bronze)
+    assert spark.read.parquet(bronze).count() == 4
+    assert spark.read.parquet(bronze + "_quarantine").count() == 1
+    run("silver", input=bronze, out=silver)
+    assert sorted(r["post_id"] for r in spark.read.parquet(silver).collect()) == ["1", "2", "3"]
+    run("gold", input=silver, out=gold)
+    assert spark.read.parquet(gold).count() >= 1
