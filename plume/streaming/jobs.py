@@ -8,7 +8,7 @@
 
 Example::
 
-    spark-submit -m plume.streaming.jobs bronze --servers broker:9092 \\
+    spark-submit --py-files plume.zip submit_job.py bronze --servers broker:9092 \\
         --topic social-raw --out s3a://lake/bronze --checkpoint s3a://lake/_chk/bronze
 
 The source is Kafka when ``--servers`` is given, else topic records stored as
