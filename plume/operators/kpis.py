@@ -77,7 +77,7 @@ def influencers(df: DataFrame, n: int = 10, author: str = "author") -> DataFrame
                                   F.count(F.lit(1)).alias("posts"))
            .orderBy(F.desc("total_engagement"), F.asc(author)).limit(n))
     w = Window.orderBy(F.desc("total_engagement"))
-    return agg.withColumn("rank", F.dense_rank().over(w))
+    return agg.withColumn("rank", F.dense_rank().over(w).cast("bigint"))
 
 
 def collection_tally(df: DataFrame, community: str = "community") -> DataFrame:

@@ -53,7 +53,7 @@ def topic_timeseries(topic_hour: DataFrame) -> DataFrame:
 def topic_rank(topic_hour: DataFrame, score: str = "trend_score") -> DataFrame:
     """Dense rank of topics inside each hour (ties by topic name)."""
     w = Window.partitionBy("hour").orderBy(F.desc(score), F.asc("topic"))
-    return topic_hour.withColumn("rank", F.dense_rank().over(w))
+    return topic_hour.withColumn("rank", F.dense_rank().over(w).cast("bigint"))
 
 
 def top_posts_per_hour(df: DataFrame, k: int = 3, topic_col: str = "topics",
@@ -65,7 +65,7 @@ def top_posts_per_hour(df: DataFrame, k: int = 3, topic_col: str = "topics",
         F.explode(F.array_distinct(topic_col)).alias("topic"), to_ntz(_hour(ts)).alias("hour"),
         "source", "post_id", "engagement_score")
     w = Window.partitionBy("topic", "hour").orderBy(F.desc("engagement_score"), F.asc("post_id"), F.asc("source"))
-    return t.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return t.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 def burst_detect(df: DataFrame, lookback: int = 24, threshold: float = 2.0,

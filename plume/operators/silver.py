@@ -38,8 +38,8 @@ def _common(source: str, text: Column, text_clean: Column, author: Column, autho
         M.engagement_score(src, likes, shares, replies, quotes, strict).alias("engagement_score"),
         M.engagement(src, likes, shares).alias("engagement"),
         hashtags.alias("hashtags"), mentions.alias("mentions"),
-        F.coalesce(F.size(hashtags), F.lit(0)).alias("num_hashtags"),
-        F.coalesce(F.size(mentions), F.lit(0)).alias("num_mentions"),
+        F.coalesce(F.size(hashtags), F.lit(0)).cast("bigint").alias("num_hashtags"),
+        F.coalesce(F.size(mentions), F.lit(0)).cast("bigint").alias("num_mentions"),
         F.col("processed_at"),
     ]
 
@@ -120,8 +120,8 @@ def silver_posts(bronze: DataFrame, strict: bool = False, languages=SILVER_LANGU
         M.engagement_score(src, likes, shares, replies, quotes, strict).alias("engagement_score"),
         M.engagement(src, likes, shares).alias("engagement"),
         hashtags.alias("hashtags"), mentions.alias("mentions"),
-        F.coalesce(F.size(hashtags), F.lit(0)).alias("num_hashtags"),
-        F.coalesce(F.size(mentions), F.lit(0)).alias("num_mentions"),
+        F.coalesce(F.size(hashtags), F.lit(0)).cast("bigint").alias("num_hashtags"),
+        F.coalesce(F.size(mentions), F.lit(0)).cast("bigint").alias("num_mentions"),
         F.col("processed_at"),
     ]
     keep = src.isin("twitter", "reddit", "bluesky")

@@ -44,5 +44,5 @@ def nearest_to_centroid(vectors: DataFrame, k: int = 5, key: str = "label", vec:
     scored = (vectors.join(cents, key)
               .select(key, id_col, cosine(F.col(vec).cast("array<double>"), F.col("centroid")).alias("score")))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc(id_col))
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
             .withColumn("score", F.round("score", 4)))

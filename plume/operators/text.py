@@ -189,7 +189,8 @@ def sentiment(docs: DataFrame, text: str = "text", pos=None, neg=None, margin: f
     p = F.size(F.filter(toks, lambda w: w.isin(pos)))
     n = F.size(F.filter(toks, lambda w: w.isin(neg)))
     score = F.when(F.size(toks) > 0, (p - n) / F.size(toks)).otherwise(F.lit(0.0))
-    return docs.select("*", p.alias("positive"), n.alias("negative"), F.round(score, 4).alias("sentiment")) \
+    return docs.select("*", p.cast("bigint").alias("positive"), n.cast("bigint").alias("negative"),
+                       F.round(score, 4).alias("sentiment")) \
         .withColumn("label", F.when(F.col("sentiment") > margin, "positive")
                     .when(F.col("sentiment") < -margin, "negative").otherwise("neutral"))
 

@@ -336,9 +336,9 @@ def q_clean_text(spark, sf_dir):
 
 def q_post_features(spark, sf_dir):
     d = TX.sentiment(docs(spark, sf_dir))
-    return d.select("doc_id", F.length("text").alias("n_chars"),
-                    F.size(TX.word_tokens(F.col("text"))).alias("words"),
-                    F.size(TX.matched_terms(F.col("text"), TOPIC_TERMS)).alias("keyword_hits"),
+    return d.select("doc_id", F.length("text").cast("bigint").alias("n_chars"),
+                    F.size(TX.word_tokens(F.col("text"))).cast("bigint").alias("words"),
+                    F.size(TX.matched_terms(F.col("text"), TOPIC_TERMS)).cast("bigint").alias("keyword_hits"),
                     "sentiment")
 
 
@@ -739,10 +739,10 @@ def q_sql_functions(spark, sf_dir):
     p = pages(spark, sf_dir)
     p.createOrReplaceTempView("plume_pages")
     d = spark.sql("SELECT doc_id AS id, 'doc' AS kind, plume_detect_language(text) AS detected, "
-                  "plume_sentiment_score(text) AS sentiment, size(plume_extract_keywords(text)) AS keywords, "
+                  "plume_sentiment_score(text) AS sentiment, CAST(size(plume_extract_keywords(text)) AS BIGINT) AS keywords, "
                   "CAST(NULL AS STRING) AS clean FROM plume_documents")
     h = spark.sql("SELECT page_id AS id, 'page' AS kind, CAST(NULL AS STRING) AS detected, "
-                  "CAST(NULL AS DOUBLE) AS sentiment, CAST(NULL AS INT) AS keywords, "
+                  "CAST(NULL AS DOUBLE) AS sentiment, CAST(NULL AS BIGINT) AS keywords, "
                   "plume_clean_html(html) AS clean FROM plume_pages")
     return d.unionByName(h)
 

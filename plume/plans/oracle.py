@@ -502,7 +502,7 @@ SELECT source, post_id, CASE WHEN source IN ('twitter', 'bluesky') THEN a END AS
        CASE WHEN source = 'reddit' THEN a END AS score FROM rec""")
 Q["array_ops"] = with_silver("""
 SELECT source, post_id, len(hashtags) AS num_hashtags,
-       CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS num_mentions,
+       CAST(CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS BIGINT) AS num_mentions,
        array_to_string(hashtags, ',') AS tags, array_to_string(hashtags, ',') AS tag_objects,
        coalesce(hashtags[1], 'none') AS first_tag FROM silver""")
 Q["parse_time"] = """
@@ -648,7 +648,7 @@ def _silver_net(src: str) -> str:
     return with_silver(f"""
 SELECT source, post_id, author, created_at, language, community, likes, shares, replies, quotes,
        engagement_score, len(hashtags) AS num_hashtags,
-       CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS num_mentions, topic_offset
+       CAST(CASE WHEN source = 'reddit' THEN 0 ELSE 1 END AS BIGINT) AS num_mentions, topic_offset
 FROM silver_raw WHERE source = '{src}'""")
 
 

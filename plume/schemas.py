@@ -120,8 +120,8 @@ SILVER = StructType([
     StructField("engagement", LongType()),
     StructField("hashtags", ArrayType(StringType())),
     StructField("mentions", ArrayType(StringType())),
-    StructField("num_hashtags", IntegerType()),
-    StructField("num_mentions", IntegerType()),
+    StructField("num_hashtags", LongType()),
+    StructField("num_mentions", LongType()),
     StructField("processed_at", TimestampType()),
     StructField("topic_partition", IntegerType()),
     StructField("topic_offset", LongType()),

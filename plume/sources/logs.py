@@ -34,7 +34,7 @@ def log_tail(lines: DataFrame, n: int = 20, as_of=None) -> DataFrame:
     if as_of is not None:
         lines = lines.where(F.col("ts") <= as_of_lit(as_of))
     w = Window.partitionBy("file").orderBy(F.desc("ts"), F.desc("line"))
-    return lines.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= n)
+    return lines.withColumn("pos", F.row_number().over(w).cast("bigint")).where(F.col("pos") <= n)
 
 
 def collector_health(lines: DataFrame, as_of, n: int = 20, idle_after_s: int = 300) -> DataFrame:
