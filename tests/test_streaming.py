@@ -88,7 +88,8 @@ def test_submit_jobs_bronze_silver_gold(spark):
           + [(b"x", b'{"bad', "t", 0, 99, dt.datetime(2025, 11, 11))])
 
     def run(job, **kw):
-        args = argparse.Namespace(servers=None, topic="t", starting="earliest", checkpoint=None,
+        args = argparse.Namespace(servers=None, topic="t", starting="earliest",
+                                  checkpoint=scratch_path(spark, f"ckpt-{job}"),
                                   format="parquet", trigger="1 second", watermark="10 minutes",
                                   max_per_trigger=None, **kw)
         q = getattr(jobs, f"{job}_job")(spark, args)
