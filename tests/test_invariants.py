@@ -41,3 +41,11 @@ def test_upsert_twice_equals_once(spark):
 def test_compaction_keeps_rows(spark):
     rows = E.queries()["compact"](spark, SF_SMALL).agg(F.sum("rows")).first()[0]
     assert rows == C.topic(spark, SF_SMALL).count()
+
+
+def test_related_docs_groups_copies(spark):
+    # the test prose holds exact and near copies: some documents must share a bucket,
+    # and every group id is the smallest id of its bucket members (never larger than the doc)
+    r = E.queries()["related_docs"](spark, SF_SMALL)
+    assert r.where("related").count() > 0
+    assert r.where(F.col("group_id") > F.col("doc_id")).count() == 0
