@@ -4,14 +4,15 @@
 import pytest
 
 import __spark_entry__ as E
+from plume.plans import catalog, oracle
 from plume.plans.verify import compare, duck
 
 from .conftest import SF_SMALL
 
-SQL = E.oracle_sql()
+SQL = oracle.oracle_sql()
 # Iterative model fitting has no SQL form: checked for rows/shape only.
 NO_ORACLE = {"lda_topics"}
-NAMES = sorted(set(E.queries()) - NO_ORACLE)
+NAMES = sorted(set(catalog.queries()) - NO_ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def test_every_query_has_an_oracle():
 
 
 def test_lda_topics_shape(spark):
-    df = E.queries()["lda_topics"](spark, SF_SMALL)
+    df = catalog.queries()["lda_topics"](spark, SF_SMALL)
     rows = df.collect()
     assert df.columns == ["topic", "rank", "term", "weight"]
     assert len(rows) == 5 * 8 and all(r["term"] for r in rows)
@@ -32,7 +33,7 @@ def test_lda_topics_shape(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     ok, detail = compare(df, con, SQL[name])
     assert ok, detail
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from plume.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -17,32 +17,32 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - WRITES))
 def test_no_cartesian_products(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p
 
 
 def test_partition_filters_reach_the_scan(spark):
-    df = E.queries()["partition_read"](spark, SF_SMALL)
+    df = catalog.queries()["partition_read"](spark, SF_SMALL)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "PartitionFilters: [isnotnull(partition_date" in p and "source" in p
 
 
 def test_projection_is_pruned(spark):
-    df = E.queries()["uri_tail"](spark, SF_SMALL)
+    df = catalog.queries()["uri_tail"](spark, SF_SMALL)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema: struct<page_id:bigint,url:string>" in p
 
 
 @pytest.mark.parametrize("name", ["top_posts_per_hour", "cap_per_community", "seen_history_cap", "log_tail"])
 def test_topk_per_group_limits_before_shuffle(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "WindowGroupLimit" in p, p
 
 
 @pytest.mark.parametrize("name", ["dedup_id", "upsert_latest", "search_union_dedup"])
 def test_dedup_is_a_partial_aggregate(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "partial_min_by" in p or "partial_max_by" in p, p
