@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,9 +15,29 @@ from plume.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Also sees to it that executors can import this package."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors through Spark, once a context; a job started
+    with ``--py-files`` has it already."""
+    context = spark.sparkContext
+    if any(os.path.basename(f).startswith("plume") for f in getattr(context, "_python_includes", [])):
+        return
+    import plume
+
+    root = Path(plume.__file__).parent
+    if root.parent.suffix == ".zip":
+        return
+    target = Path(tempfile.mkdtemp(prefix="plume-package-")) / "plume.zip"  # the driver serves it
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, f"plume/{file.relative_to(root)}")
+    context.addPyFile(str(target))
+
+
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

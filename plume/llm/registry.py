@@ -5,18 +5,53 @@ where SQL expresses the result; the others are tested against brute force in
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plume.llm import quality_rules
+from plume.llm import importance, license_scan, quality_rules, token_output, warc
 from plume.llm.common import table
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_output.write_archive(table(spark, sf_dir, "documents"),
+                                      public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.read_archive(spark, path)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archive(table(spark, sf_dir, "pages"))
+    return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path, payloads=False)))
+
+
 QUERIES = {f.__name__: f for f in (
+    op1_token_output,
     op6_quality_rules,
+    op8_importance,
+    op9_license_scan,
+    op10_warc,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+h AS (SELECT payload_digest, min(page_id) AS head FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN h.head <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN h.head <> p.page_id THEN h.head END AS refers_to
+FROM p LEFT JOIN h USING (payload_digest)""",
+}
