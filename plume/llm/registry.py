@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plume.llm import importance, license_scan, quality_rules, token_output, warc
+from plume.llm import decontaminate, importance, license_scan, link_trust, quality_rules, token_output, warc
 from plume.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_archive(spark, path)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +45,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_output,
+    op3_decontaminate,
+    op4_link_trust,
     op6_quality_rules,
     op8_importance,
     op9_license_scan,
@@ -44,6 +54,62 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_link_trust": """
+WITH RECURSIVE addresses AS (
+    SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parts AS (
+    SELECT page_id, html,
+           translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM addresses),
+rules(rule, verdict, rule_host, rule_path) AS (VALUES
+    ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
+    ('www.example.com/en/', 'allow', 'www.example.com', '/en/'), ('net/es/', 'block', 'net', '/es/'),
+    ('net/fr/', 'block', 'net', '/fr/')),
+fitting AS (
+    SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS rule_verdict
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id),
+judged AS (SELECT p.page_id, host, path, rule, rule_verdict FROM parts p LEFT JOIN fitting f ON p.page_id = f.page_id),
+links AS (
+    SELECT host AS source, unnest(regexp_extract_all(coalesce(html, ''),
+        '(?i)href\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"''\s<>]+)', 1)) AS link FROM parts),
+targets AS (
+    SELECT source, translate(regexp_extract(substr(full_link, strpos(full_link, '://') + 3), '^([^/?#]*)', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target
+    FROM (SELECT source, CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END AS full_link FROM links)),
+edges AS (
+    SELECT source, target, count(*) AS links FROM targets
+    WHERE source <> target AND source <> '' AND target <> '' GROUP BY ALL),
+steps AS (
+    SELECT 'trust' AS kind, source AS from_host, target AS to_host, links / sum(links) OVER (PARTITION BY source) AS p FROM edges
+    UNION ALL
+    SELECT 'distrust', target, source, links / sum(links) OVER (PARTITION BY target) FROM edges),
+shares AS (
+    SELECT host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
+           avg(CASE WHEN rule_verdict = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
+    FROM judged WHERE host <> '' GROUP BY host),
+seeds AS (
+    SELECT 'trust' AS kind, host, 0.15 * trust AS score FROM shares WHERE trust > 0
+    UNION ALL SELECT 'distrust', host, 0.15 * distrust FROM shares WHERE distrust > 0),
+scores AS (
+    SELECT 0 AS step, kind, host, score FROM seeds
+    UNION ALL
+    SELECT step, kind, host, sum(score) FROM (
+        SELECT s.step + 1 AS step, e.kind, e.to_host AS host, 0.85 * s.score * e.p AS score
+        FROM scores s JOIN steps e ON s.kind = e.kind AND s.host = e.from_host WHERE s.step < 15
+        UNION ALL
+        SELECT b.step + 1, seeds.kind, seeds.host, seeds.score
+        FROM seeds, (SELECT DISTINCT step FROM scores WHERE step < 15) b)
+    GROUP BY ALL),
+hosts AS (
+    SELECT host, sum(CASE WHEN kind = 'trust' THEN score ELSE 0 END) AS trust,
+           sum(CASE WHEN kind = 'distrust' THEN score ELSE 0 END) AS distrust
+    FROM scores WHERE step = 15 GROUP BY host)
+SELECT page_id, j.host, path, rule,
+       coalesce(rule_verdict, CASE WHEN distrust > 0.5 * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN hosts h ON j.host = h.host""",
     "op10_warc": """
 WITH p AS (
     SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
