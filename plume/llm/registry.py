@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plume.llm import decontaminate, importance, license_scan, link_trust, quality_rules, token_output, warc
+from plume.llm import decontaminate, importance, license_scan, link_trust, piece_lattice, quality_rules, token_output, warc
 from plume.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_archive(spark, path)
 
 
+def op2_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +49,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_output,
+    op2_piece_lattice,
     op3_decontaminate,
     op4_link_trust,
     op6_quality_rules,
