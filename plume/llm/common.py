@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from plume.session import scratch_path
 
@@ -80,3 +81,19 @@ def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 def text_columns(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns; extra columns of the table never reach the operator."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front as long as the table has such columns itself."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def with_longs(df: DataFrame, *names: str) -> StructType:
+    """The table's schema and further columns of whole numbers."""
+    return StructType([*df.schema.fields, *[StructField(name, LongType()) for name in names]])

@@ -6,9 +6,10 @@ where SQL expresses the result; the others are tested against brute force in
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plume.llm import decontaminate, importance, license_scan, link_trust, piece_lattice, quality_rules, token_output, warc
+from plume.llm import decontaminate, importance, jaccard_join, license_scan, line_dedup, link_trust, piece_lattice, \
+    quality_rules, token_output, warc
 from plume.llm.common import table
 
 
@@ -30,10 +31,20 @@ def op4_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), ("n_lines", "n_dropped"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.char_length("text").cast("long").alias("n_chars_left"),
+                      F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,14 +63,16 @@ QUERIES = {f.__name__: f for f in (
     op2_piece_lattice,
     op3_decontaminate,
     op4_link_trust,
+    op5_jaccard_join,
     op6_quality_rules,
+    op7_line_dedup,
     op8_importance,
     op9_license_scan,
     op10_warc,
 )}
 
 ORACLE_SQL: dict[str, str] = {
-    "op4_link_trust": """
+    "op4_link_trust": r"""
 WITH RECURSIVE addresses AS (
     SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
     FROM pages),
@@ -115,6 +128,29 @@ hosts AS (
 SELECT page_id, j.host, path, rule,
        coalesce(rule_verdict, CASE WHEN distrust > 0.5 * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged j LEFT JOIN hosts h ON j.host = h.host""",
+    "op5_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN list_aggregate(w, 'string_agg', ' ')
+        ELSE list_aggregate(w[i:i + 4], 'string_agg', ' ') END AS shingle
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON reach.other = both_ways.x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)""",
     "op10_warc": """
 WITH p AS (
     SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
