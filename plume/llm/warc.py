@@ -195,11 +195,16 @@ def assemble(records: DataFrame) -> DataFrame:
 
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """Page rows; a revisit takes its payload's size from the response it refers to."""
-    own = captures.select("capture", "response.type", "response.page_id", "response.payload_bytes",
-                          "response.payload_digest", "response.refers_to", "copies").where("type IS NOT NULL")
+    own = stored(captures.select("capture", "response.type", "response.page_id", "response.payload_bytes",
+                                 "response.payload_digest", "response.refers_to", "copies").where("type IS NOT NULL"),
+                 "captures")
     heads = own.where("type = 'response'").select(
         F.col("capture").alias("there"), F.col("page_id").alias("head"), F.col("payload_bytes").alias("full"))
-    joined = own.join(heads, (own["refers_to"] == heads["there"]) & (own["type"] == "revisit"), "left")
+    # Only revisits take part in the join: responses name no record, and would all meet at null.
+    again = own.where("type = 'revisit'")
+    joined = again.join(heads, again["refers_to"] == heads["there"], "left").select(*own.columns, "head", "full")
+    joined = joined.unionByName(own.where("type = 'response'").withColumns(
+        {"head": F.lit(None).cast("long"), "full": F.lit(None).cast("long")}))
     return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
         "page_id", F.coalesce("payload_bytes", "full").alias("payload_bytes"), "payload_digest",
         F.col("type").alias("record_type"), F.when(F.col("type") == "revisit", F.col("head")).alias("refers_to"))
