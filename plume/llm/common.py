@@ -94,6 +94,12 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def with_longs(df: DataFrame, *names: str) -> StructType:
-    """The table's schema and further columns of whole numbers."""
-    return StructType([*df.schema.fields, *[StructField(name, LongType()) for name in names]])
+def map_whole(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              known: tuple[str, ...] = ("text",), drop: tuple[str, ...] = (), longs: tuple[str, ...] = ()) -> DataFrame:
+    """``mapInArrow`` over all columns whatever their names: only the ``known`` ones keep theirs inside. ``run``
+    returns the columns in order without the ``drop`` ones, then ``longs``, whole numbers."""
+    inside = [c if c in known else f"column{i}" for i, c in enumerate(df.columns)]
+    kept = [i for i, c in enumerate(df.columns) if c not in drop]
+    schema = StructType([StructField(inside[i], df.schema.fields[i].dataType) for i in kept]
+                        + [StructField(c, LongType()) for c in longs])
+    return df.toDF(*inside).mapInArrow(run, schema).toDF(*[df.columns[i] for i in kept], *longs)

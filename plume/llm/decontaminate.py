@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, text_columns
+from plume.llm.common import map_batches, map_whole, text_columns
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -208,5 +208,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 clean[[m[0] for m in matches(part, shared.value)]] = False
                 yield part.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_whole(docs, run)
     return docs

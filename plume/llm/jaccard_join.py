@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, stored, text_columns, unused, with_longs
+from plume.llm.common import map_batches, map_whole, stored, text_columns, unused
 from plume.llm.linking import link
 
 SHINGLE = 5
@@ -259,7 +259,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns, node], names=[*part.schema.names, node_])
 
     sets = heads.select(F.col("doc_id").alias(keep_), F.col("set_id").alias(set_)).distinct()
-    more = pick(several).mapInArrow(named, with_longs(docs, node_)).join(
+    more = map_whole(pick(several), named, longs=(node_,)).join(
         sets, F.col("doc_id").eqNullSafe(F.col(keep_)) & F.col(node_).eqNullSafe(F.col(set_)), "left_semi")
     more = more.where(F.col(node_).isNull()).unionByName(
         more.where(F.col(node_).isNotNull()).dropDuplicates(["doc_id", node_]))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, stored, text_columns, unused, with_longs
+from plume.llm.common import map_batches, map_whole, stored, text_columns, unused
 from plume.llm.linking import link
 
 THRESHOLD = 2
@@ -207,7 +207,6 @@ def dedup(docs: DataFrame, counts: tuple[str, str] | None = None) -> DataFrame:
     own = docs.withColumn(hash_, F.xxhash64("text"))
     joined = own.join(gone.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(text_), F.col("lines").alias(lines_)),
                       own["doc_id"].eqNullSafe(F.col(id_)) & (own[hash_] == F.col(text_)), "left")
-    schema = with_longs(docs, *(counts or ()))
 
     def rebuild(batches):
         for part in tb.slices(batches):
@@ -219,11 +218,11 @@ def dedup(docs: DataFrame, counts: tuple[str, str] | None = None) -> DataFrame:
                 if drop:
                     bad = set(drop)
                     texts[i] = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in bad)
-            columns = [pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in docs_columns]
+            names = [c for c in part.schema.names if c != lines_]
+            columns = [pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in names]
             if counts:
                 columns += [pa.array(n_lines, pa.int64()), pa.array(lost, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *(counts or ())])
 
-    docs_columns = docs.columns
-    names = [*docs_columns, *(counts or ())]
-    return joined.select(*[F.col(f"`{c}`") for c in docs_columns], lines_).mapInArrow(rebuild, schema)
+    return map_whole(joined.select(*[F.col(f"`{c}`") for c in docs.columns], lines_), rebuild,
+                     ("text", lines_), (lines_,), counts or ())

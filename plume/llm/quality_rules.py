@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, text_columns
+from plume.llm.common import map_batches, map_whole, text_columns
 
 #: Labelled rows used to fit the classifier, at most; half for each class.
 SAMPLE = 3000
@@ -222,7 +222,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, model: Model | None = None) ->
         for part in tb.slices(batches):
             yield part.filter(pa.array(_verdicts(part, shared.value)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_whole(docs, run)
 
 
 def _shared(docs: DataFrame, labels: DataFrame, model: Model | None):
