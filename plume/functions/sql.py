@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from . import lexicon as L
-from .text import HTML_ENTITIES, URL_PATTERN
+from .text import BLANK, HTML_ENTITIES, URL_PATTERN
 
 
 def _lit(s: str) -> str:
@@ -23,7 +23,7 @@ def clean_html_sql(x: str = "x") -> str:
     for ent, ch in HTML_ENTITIES:
         out = f"replace({out}, {_lit(ent)}, {_lit(ch)})"
     out = f"regexp_replace({out}, {_lit('<[^>]+>')}, '')"
-    return f"trim(regexp_replace({out}, {_lit(r'\s+')}, ' '))"
+    return f"trim(regexp_replace({out}, {_lit(rf'[{BLANK}]+')}, ' '))"
 
 
 def _tokens(x: str) -> str:
@@ -34,7 +34,7 @@ def keywords_sql(x: str = "x") -> str:
     """K1's single-word keywords of one text (the fallback rule)."""
     stop, generic = _arr(L.phrase_stop_words()), _arr(L.GENERIC_WORDS)
     toks = (f"filter(split(trim(lower(regexp_replace(regexp_replace({x}, {_lit(URL_PATTERN)}, ''), "
-            f"{_lit(r'[^\p{L}\p{N}_\s]')}, ' '))), {_lit(r'\s+')}), w -> w != '')")
+            f"{_lit(rf'[^\p{{L}}\p{{N}}_{BLANK}]')}, ' '))), {_lit(rf'[{BLANK}]+')}), w -> w != '')")
     return (f"filter({toks}, w -> length(w) >= 4 AND NOT array_contains({stop}, w) "
             f"AND NOT array_contains({generic}, w) AND w RLIKE {_lit(r'^\p{L}+$')} AND NOT startswith(w, 'ai'))")
 

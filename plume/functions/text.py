@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 # Java's \w is ASCII-only, so spell the Unicode class out.
 WORD = r"[\p{L}\p{N}_]"
 
+# Blanks as Python's text functions see them: Java's \s is ASCII only, which
+# would let an address run on through an ideographic space and its text.
+BLANK = r"\s\x0B\x1C-\x1F\x85\p{Z}"
+SOLID = rf"[^{BLANK}]"
+
 # URL patterns removed before any text analysis.
-URL_PATTERN = r"http\S+|www\S+"
+URL_PATTERN = rf"http{SOLID}+|www{SOLID}+"
 # Twitter cleaning also drops mentions and the '#' character.
-TWITTER_CLEAN_PATTERN = r"http\S+|www\S+|@\S+|#"
+TWITTER_CLEAN_PATTERN = rf"http{SOLID}+|www{SOLID}+|@{SOLID}+|#"
 
 # Named entities decoded without a Python worker. ``&amp;``
 # must come last so that ``&amp;lt;`` decodes once, to ``&lt;``.
@@ -39,12 +44,12 @@ def clean_reddit(text) -> Column:
     return F.regexp_replace(F.lower(_c(text)), URL_PATTERN, "")
 
 
-def html_unescape(text, full: bool = False) -> Column:
-    """decode HTML entities.
+def html_unescape(text, full: bool = True) -> Column:
+    """decode HTML entities, named and numeric, the complete HTML5 set.
 
-    The default decodes the named entities listed above in the JVM; numeric
-    references are left as they are. ``full=True`` routes through one Arrow
-    batch UDF calling Python's ``html.unescape`` for the complete HTML5 set.
+    One Arrow batch UDF calls Python's ``html.unescape``. ``full=False``
+    decodes only the named entities listed above, in the JVM, and leaves the
+    others as they are.
     """
     if full:
         return _html_unescape_udf(_c(text))
@@ -55,7 +60,7 @@ def html_unescape(text, full: bool = False) -> Column:
 
 
 def _unescape_batch(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else html.unescape(v))
+    return s.map(lambda v: html.unescape(v) if isinstance(v, str) and "&" in v else v)
 
 
 _UNESCAPE_UDF = None
@@ -75,11 +80,11 @@ def strip_tags(text) -> Column:
 
 
 def collapse_ws(text) -> Column:
-    """runs of blanks to one space, trimmed."""
-    return F.trim(F.regexp_replace(_c(text), r"\s+", " "))
+    """runs of blanks (Unicode ones too) to one space, trimmed."""
+    return F.trim(F.regexp_replace(_c(text), rf"[{BLANK}]+", " "))
 
 
-def clean_html(text, full: bool = False) -> Column:
+def clean_html(text, full: bool = True) -> Column:
     """F5–F7 in the reference order: unescape, strip tags, collapse blanks."""
     return collapse_ws(strip_tags(html_unescape(text, full)))
 
@@ -96,7 +101,7 @@ def snippet(text, n: int = 200) -> Column:
 
 def drop_punct(text) -> Column:
     """every non-word, non-blank character becomes a blank."""
-    return F.regexp_replace(_c(text), r"[^\p{L}\p{N}_\s]", " ")
+    return F.regexp_replace(_c(text), rf"[^\p{{L}}\p{{N}}_{BLANK}]", " ")
 
 
 def extract_hashtags(text) -> Column:

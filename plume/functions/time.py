@@ -20,15 +20,19 @@ def as_of_lit(as_of) -> Column:
 
 
 def parse_time(s) -> Column:
-    """ISO strings (with ``Z``, an offset or none) or epoch seconds.
+    """ISO strings (with ``Z``, an offset or none) or epochs (seconds,
+    milliseconds or microseconds, told apart by their digits).
 
     ANSI mode raises on bad input for ``to_timestamp``; ``try_to_timestamp``
     gives NULL (Q30). Numeric strings are epoch seconds (Q25: UTC).
     """
     s = _c(s).cast("string")
-    epoch = F.timestamp_seconds(s.try_cast("double"))
-    # at most 11 integer digits: a plausible epoch, never a timestamp overflow
-    return F.when(s.rlike(r"^\d{1,11}(\.\d+)?$"), epoch).otherwise(F.try_to_timestamp(s))
+    n = s.try_cast("double")
+    # Up to 11 integer digits are seconds, 12 to 14 milliseconds, 15 to 17 microseconds.
+    return (F.when(s.rlike(r"^\d{1,11}(\.\d+)?$"), F.timestamp_seconds(n))
+            .when(s.rlike(r"^\d{12,14}(\.\d+)?$"), F.timestamp_seconds(n / 1000))
+            .when(s.rlike(r"^\d{15,17}$"), F.timestamp_micros(s.try_cast("bigint")))
+            .otherwise(F.try_to_timestamp(s)))
 
 
 def format_time(ts, fmt: str = "yyyy-MM-dd'T'HH:mm:ss") -> Column:

@@ -95,12 +95,20 @@ def high_water_mark(df: DataFrame, id_col: str = "post_id") -> DataFrame:
     return df.groupBy("source").agg(F.max(F.col(id_col).try_cast("bigint")).alias("since_id"))
 
 
-def incremental_since(df: DataFrame, marks: DataFrame, id_col: str = "post_id") -> DataFrame:
-    """Rows newer than each network's mark. ``marks`` has one row per
-    network, so the join side is bounded by the number of networks."""
-    return (df.join(F.broadcast(marks), "source", "left")
-            .where(F.col("since_id").isNull() | (F.col(id_col).try_cast("bigint") > F.col("since_id")))
-            .drop("since_id"))
+def read_marks(df: DataFrame, id_col: str = "post_id", ts: str = "created_at") -> DataFrame:
+    """The last post read of each network, by (time, id). Ids of some networks
+    are base 36 or no numbers at all, so time comes first and ids, as text,
+    only order posts of one moment."""
+    return df.where(F.col(ts).isNotNull()).groupBy("source").agg(F.max(F.struct(ts, id_col)).alias("since"))
+
+
+def incremental_since(df: DataFrame, marks: DataFrame, id_col: str = "post_id", ts: str = "created_at") -> DataFrame:
+    """Rows behind each network's mark, one row per network in ``marks``
+    (:func:`read_marks`). Rows without a time, and networks without a mark,
+    are always read again rather than lost."""
+    newer = F.struct(ts, id_col) > F.col("since")
+    return (df.join(marks, "source", "left")
+            .where(F.col("since").isNull() | F.col(ts).isNull() | newer).drop("since"))
 
 
 def parse_yield(decoded: DataFrame) -> DataFrame:

@@ -70,7 +70,9 @@ def delete_where(spark: SparkSession, path: str, predicate: str, partition_cols,
     table = spark.read.format(fmt).load(path)
     cols = list(partition_cols)
     touched = table.where(predicate).select(*cols).distinct()
-    keep = table.join(touched, cols, "left_semi").where(f"NOT ({predicate})")
+    same = [table[c].eqNullSafe(F.col(f"_{c}")) for c in cols]
+    # A row for which the predicate is unknown is not a match: it stays.
+    keep = table.join(touched.toDF(*[f"_{c}" for c in cols]), same, "left_semi").where(f"NOT coalesce(({predicate}), false)")
     keep.write.mode("overwrite").format(fmt).save(staging)
     staged = spark.read.format(fmt).load(staging)
     emptied = touched.join(staged.select(*cols).distinct(), cols, "left_anti").collect()

@@ -70,13 +70,15 @@ def top_posts_per_hour(df: DataFrame, k: int = 3, topic_col: str = "topics",
 
 def burst_detect(df: DataFrame, lookback: int = 24, threshold: float = 2.0,
                  ts: str = "created_at") -> DataFrame:
-    """Hourly posts per network against the mean of the previous
-    ``lookback`` hours; a burst when the ratio exceeds ``threshold``.
+    """Hourly posts per network against the mean of the hours with posts
+    among the previous ``lookback`` hours; a burst when the ratio exceeds ``threshold``.
     Runs on the hourly aggregate (hours × networks rows), so the
     per-network window never sees raw posts."""
     hourly = (df.where(F.col(ts).isNotNull())
               .groupBy("source", to_ntz(_hour(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("posts")))
-    w = Window.partitionBy("source").orderBy("hour").rowsBetween(-lookback, -1)
+    # Hours without posts have no row, so the frame goes by the clock.
+    seconds = F.unix_seconds(F.col("hour").cast("timestamp"))
+    w = Window.partitionBy("source").orderBy(seconds).rangeBetween(-lookback * 3600, -3600)
     base = F.avg("posts").over(w)
     return (hourly.withColumn("baseline", F.round(base, 4))
             .withColumn("ratio", F.round(F.col("posts") / base, 4))

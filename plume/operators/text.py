@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as T
+from ..session import scratch_path
 
 # Sentence punctuation: phrase candidates never cross it.
 SENTENCE_SPLIT = r"[.!?;:]+|\n"
@@ -43,11 +44,25 @@ def matches_any(text, terms) -> Column:
 
 def matched_terms(text, terms) -> Column:
     """K2: the terms (in list order) that occur in the text, as an array.
-    One ``when`` per term over a shared token line (computed once per row by
-    subexpression elimination; no lambda re-evaluates it per term)."""
-    line = token_line(text)
-    hits = [F.when(F.contains(line, F.lit(f" {t.lower()} ")), F.lit(t.lower())) for t in terms]
-    return F.filter(F.array(*hits), lambda k: k.isNotNull())
+    The token line is bound to a lambda variable, so it is built once a row
+    however many terms there are; each term is one substring test."""
+    def hits(line):
+        return F.filter(F.array(*[F.when(F.contains(line, F.lit(f" {t.lower()} ")), F.lit(t.lower())) for t in terms]),
+                        lambda k: k.isNotNull())
+
+    return F.element_at(F.transform(F.array(token_line(text)), hits), 1)
+
+
+def with_topics(posts: DataFrame, terms=None, text: str = "text_clean", hashtags: str = "hashtags") -> DataFrame:
+    """Adds ``topics``: the vocabulary's terms in the text (K2, by default the
+    AI vocabulary) and the lower-cased hashtags, each once."""
+    found = matched_terms(F.coalesce(F.col(text), F.lit("")), list(terms or L.AI_KEYWORDS))
+    return posts.withColumn("topics", F.array_union(found, F.transform(hashtags, lambda h: F.lower(h))))
+
+
+def first_term(text, terms) -> Column:
+    """U1 in one pass: the first of the terms (list order) that occurs, else null."""
+    return F.get(matched_terms(text, terms), F.lit(0))
 
 
 def _segment_tokens(docs: DataFrame, text: str) -> DataFrame:
@@ -55,7 +70,7 @@ def _segment_tokens(docs: DataFrame, text: str) -> DataFrame:
     lower-cased word tokens. ``explode`` is a per-row generator: no shuffle."""
     no_url = F.regexp_replace(F.col(text), T.URL_PATTERN, "")
     segs = docs.select(F.explode(F.split(no_url, SENTENCE_SPLIT)).alias("seg"))
-    toks = F.filter(F.split(F.trim(F.lower(T.drop_punct(F.col("seg")))), r"\s+"), lambda w: w != "")
+    toks = F.filter(F.split(F.trim(F.lower(T.drop_punct(F.col("seg")))), rf"[{T.BLANK}]+"), lambda w: w != "")
     return segs.select(toks.alias("t")).where(F.size("t") > 0)
 
 
@@ -120,7 +135,7 @@ def word_rows(docs: DataFrame, text: str = "text", min_len: int = 4, stop=None,
     stop = list(stop if stop is not None else L.phrase_stop_words())
     generic = list(generic if generic is not None else L.GENERIC_WORDS)
     c = F.col(text)
-    toks = F.filter(F.split(F.trim(F.lower(T.drop_punct(F.regexp_replace(c, T.URL_PATTERN, "")))), r"\s+"),
+    toks = F.filter(F.split(F.trim(F.lower(T.drop_punct(F.regexp_replace(c, T.URL_PATTERN, "")))), rf"[{T.BLANK}]+"),
                     lambda w: w != "")
     w = F.col("keyword")
     return (docs.select(F.explode(toks).alias("keyword"))
@@ -241,24 +256,30 @@ def search_union_dedup(results: list[DataFrame], key: str) -> DataFrame:
 
 
 def lda_topics(docs: DataFrame, text: str = "text", k: int = 5, max_iter: int = 10,
-               vocab_size: int = 2000, terms_per_topic: int = 8, seed: int = 7) -> DataFrame:
-    """K5: LDA topics (Spark ML, online optimizer: mini-batches of documents,
-    so no corpus ever sits in one task). Stop words removed; output one row
-    per (topic, term rank) with the term and its weight."""
+               vocab_size: int = 1 << 18, terms_per_topic: int = 8, seed: int = 7) -> DataFrame:
+    """K5: LDA topics (Spark ML, online optimizer, every document in every
+    iteration). Stop words removed; output one row per (topic, term rank) with
+    the term and its weight. ``vocab_size`` bounds the model: each topic holds
+    a weight per word on the driver, so words beyond the most frequent ones
+    are left out there. The token vectors are stored once, not made anew in
+    every iteration."""
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
     stop = L.phrase_stop_words()
     toks = docs.select(F.filter(word_tokens(F.col(text)),
                                 lambda w: ~w.isin(stop) & (F.length(w) >= 3)).alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size, minDF=2.0).fit(toks)
-    vec = cv.transform(toks)
-    model = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online").fit(vec)
-    vocab = F.array(*[F.lit(w) for w in cv.vocabulary])
+    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size, minDF=1.0).fit(toks)
+    path = scratch_path(docs.sparkSession, "lda")
+    cv.transform(toks).select("features").write.parquet(path)
+    vec = docs.sparkSession.read.parquet(path)
+    model = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0).fit(vec)
     desc = model.describeTopics(terms_per_topic)
+    # Only the words that are named: k * terms_per_topic at most.
+    named = sorted({i for r in desc.select("termIndices").collect() for i in r["termIndices"]})
+    vocab = F.create_map(*[F.lit(x) for i in named for x in (i, cv.vocabulary[i])])
     return desc.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t")) \
-        .select("topic", "rank", F.element_at(vocab, F.col("t.termIndices") + 1).alias("term"),
-                F.round("t.termWeights", 6).alias("weight"))
+        .select("topic", "rank", vocab[F.col("t.termIndices")].alias("term"), F.round("t.termWeights", 6).alias("weight"))
 
 
 # Fixed parameters of the related-document signature (ours).
@@ -287,8 +308,12 @@ def related_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     buckets. Built from two aggregates (bucket → min id, document → min
     over its buckets): linear work, and no candidate *pairs* are ever
     formed, so a bucket holding millions of copies costs no more than its
-    rows. Documents that share no bucket are their own group."""
-    sig = docs.select(key, minhash_signature(F.col(text), n_funcs).alias("sig"))
+    rows. Documents that share no bucket, and texts without words, are their
+    own group. ``group_id`` is a bucket's head, one hop away: relation is not
+    carried on from document to document."""
+    worded = docs.select(key, text).withColumn("_w", F.coalesce(F.size(word_tokens(text)), F.lit(0)) > 0)
+    sig = worded.select(key, minhash_signature(F.col(text), n_funcs).alias("_s"), "_w").select(
+        key, F.when(F.col("_w"), F.col("_s")).otherwise(F.array(*[F.col(key).cast("string")] * n_funcs)).alias("sig"))
     bands = sig.select(key, F.posexplode(F.array(*[
         F.concat_ws("|", *[F.col("sig")[b * band + j] for j in range(band)])
         for b in range(n_funcs // band)])).alias("band", "bucket"))

@@ -49,30 +49,26 @@ def trending_top(gold: DataFrame, n: int = 10) -> DataFrame:
     return gold.orderBy(F.desc("trend_score"), F.asc("window_start"), F.asc("source")).limit(n)
 
 
-def hourly_stats(silver: DataFrame, sentiment_col: str | None = None,
-                 keywords_col: str = "hashtags", top_k: int = 5) -> DataFrame:
-    """Tumbling hour × source × community: count, mean sentiment,
-    the ``top_k`` most used keywords (count desc, then text) and total
-    engagement.
-
-    Keywords are counted by (group, keyword) – a partial aggregate – and cut
-    to ``top_k`` per group with a map-side group limit, so a group with
-    millions of distinct keywords never builds one giant list."""
-    df = silver.where(F.col("created_at").isNotNull()).withColumn(
+def _hour_groups(silver: DataFrame) -> DataFrame:
+    return silver.where(F.col("created_at").isNotNull()).withColumn(
         "hour", F.window("created_at", "1 hour").start).withColumn(
         "community", F.coalesce("community", F.lit("")))
-    keys = ["hour", "source", "community"]
+
+
+def hourly_stats(silver: DataFrame, sentiment_col: str | None = None) -> DataFrame:
+    """Tumbling hour × source × community: count, mean sentiment and
+    total engagement, in one partial aggregate."""
     sent = F.avg(sentiment_col) if sentiment_col else F.lit(None).cast("double")
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("post_count"), sent.alias("_sent"),
-                                F.sum("engagement_score").alias("total_engagement"))
-    kw = (df.select(*keys, F.explode(keywords_col).alias("kw"))
-          .groupBy(*keys, "kw").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc("kw"))
-    top = (kw.withColumn("r", F.row_number().over(w)).where(F.col("r") <= top_k)
-           .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("r", "kw"))).alias("_t"))
-           .select(*keys, F.array_join(F.transform("_t", lambda x: x["kw"]), ",").alias("trending_keywords")))
-    return (agg.join(top, keys, "left")
-            .select(to_ntz(F.col("hour")).alias("hour"), "source", "community", "post_count",
-                    F.round("_sent", 4).alias("avg_sentiment"),
-                    F.coalesce("trending_keywords", F.lit("")).alias("trending_keywords"),
-                    "total_engagement"))
+    agg = _hour_groups(silver).groupBy("hour", "source", "community").agg(
+        F.count(F.lit(1)).alias("post_count"), F.round(sent, 4).alias("avg_sentiment"),
+        F.sum("engagement_score").alias("total_engagement"))
+    return agg.withColumn("hour", to_ntz(F.col("hour")))
+
+
+def hourly_keywords(silver: DataFrame, keywords_col: str = "topics") -> DataFrame:
+    """The keywords of A10 in long form: every keyword of every hour × source
+    × community with its count. A partial aggregate; nothing is cut, and no
+    group builds a list."""
+    return (_hour_groups(silver).select("hour", "source", "community", F.explode(keywords_col).alias("keyword"))
+            .groupBy("hour", "source", "community", "keyword").agg(F.count(F.lit(1)).alias("mentions"))
+            .withColumn("hour", to_ntz(F.col("hour"))))

@@ -65,6 +65,16 @@ def hottest_posts(df: DataFrame, n: int = 50, key: str = "post_id") -> DataFrame
 most_engaged_posts = hottest_posts
 
 
+def history_cap(df: DataFrame, group: str, order_cols, keep: int = 5_000, above: int = 10_000) -> DataFrame:
+    """A group of more than ``above`` rows is trimmed to its first ``keep``;
+    smaller ones stay whole. The window is limited to ``above + 1`` rows before
+    the shuffle: they tell whether the group is over the mark."""
+    w = Window.partitionBy(group).orderBy(*order_cols)
+    ranked = df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= above + 1)
+    size = F.max("_r").over(Window.partitionBy(group))
+    return ranked.withColumn("_n", size).where((F.col("_n") <= above) | (F.col("_r") <= keep)).drop("_r", "_n")
+
+
 def cap_per_group(df: DataFrame, group: str, n: int, order_cols) -> DataFrame:
     """At most n rows per group. ``row_number() <= n`` lets Spark insert
     a per-partition WindowGroupLimit before the shuffle, so a hot group ships

@@ -61,9 +61,15 @@ UNIFIED_COLS = ["source", "post_id", "text", "author", "created_at", "engagement
 VIEW_COLS = ["source", "post_id", "author", "created_at", "engagement"]
 
 
-def with_topics(df: DataFrame) -> DataFrame:
-    """Topic of a post = its hashtags (lower-cased)."""
-    return df.withColumn("topics", F.transform("hashtags", lambda h: F.lower(h)))
+# Topic and sentiment words that occur in the test posts (the AI vocabulary does not).
+POST_TOPICS = ["update", "thread", "friends", "click", "view", "purchase"]
+POST_POSITIVE, POST_NEGATIVE = ["up", "friends"], ["score"]
+
+
+def topic_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver posts with their topics, from text and hashtags."""
+    posts = silver(spark, sf_dir, "created_at", "community", "text_clean", "hashtags", "engagement_score")
+    return TX.with_topics(posts, POST_TOPICS).drop("text_clean", "hashtags")
 
 
 def q_trending_windows(spark, sf_dir):
@@ -79,7 +85,13 @@ def q_window_posts(spark, sf_dir):
 
 
 def q_hourly_stats(spark, sf_dir):
-    return TR.hourly_stats(silver(spark, sf_dir, "created_at", "community", "hashtags", "engagement_score"))
+    posts = silver(spark, sf_dir, "created_at", "community", "text_clean", "engagement_score")
+    scored = TX.sentiment(posts, "text_clean", POST_POSITIVE, POST_NEGATIVE)
+    return TR.hourly_stats(scored, "sentiment")
+
+
+def q_hourly_keywords(spark, sf_dir):
+    return TR.hourly_keywords(topic_posts(spark, sf_dir))
 
 
 def q_unified_posts(spark, sf_dir):
@@ -181,8 +193,7 @@ def q_high_water_mark(spark, sf_dir):
 def q_incremental_since(spark, sf_dir):
     posts = silver(spark, sf_dir, "created_at")
     prev = posts.where(F.col("created_at") < F.lit(SINCE_CUTOFF).cast("timestamp"))
-    marks = K.high_water_mark(prev)
-    return K.incremental_since(posts, marks).select("source", "post_id")
+    return K.incremental_since(posts, K.read_marks(prev)).select("source", "post_id")
 
 
 def q_dedup_rate(spark, sf_dir):
@@ -198,7 +209,7 @@ def q_hourly_volume_pivot(spark, sf_dir):
 
 
 def _topic_hour(spark, sf_dir):
-    return R.topic_hourly(with_topics(silver(spark, sf_dir, "created_at", "hashtags", "engagement_score")))
+    return R.topic_hourly(topic_posts(spark, sf_dir))
 
 
 def q_topic_hourly(spark, sf_dir):
@@ -214,7 +225,7 @@ def q_topic_rank(spark, sf_dir):
 
 
 def q_top_posts_per_hour(spark, sf_dir):
-    return R.top_posts_per_hour(with_topics(silver(spark, sf_dir, "created_at", "hashtags", "engagement_score")), 3)
+    return R.top_posts_per_hour(topic_posts(spark, sf_dir), 3)
 
 
 def q_burst_detect(spark, sf_dir):
@@ -313,10 +324,8 @@ def q_uri_tail(spark, sf_dir):
 
 
 def q_search_union_dedup(spark, sf_dir):
-    d = docs(spark, sf_dir)
-    per_term = [d.where(TX.matches_any(F.col("text"), [t])).select("doc_id", F.lit(t).alias("term"))
-                for t in SEARCH_TERMS]
-    return TX.search_union_dedup(per_term, "doc_id")
+    found = docs(spark, sf_dir).select("doc_id", TX.first_term(F.col("text"), SEARCH_TERMS).alias("term"))
+    return found.where("term IS NOT NULL")
 
 
 def q_semantic_topk(spark, sf_dir):
@@ -375,12 +384,14 @@ def q_envelope_json(spark, sf_dir):
 
 
 def corrupted_topic(spark, sf_dir):
-    """The topic with a broken producer: envelopes of ``error`` events are cut
-    after 25 bytes (malformed JSON) – bad rows derived from the table itself."""
-    t = topic(spark, sf_dir)
-    s = F.col("value").cast("string")
-    bad = F.get_json_object(s, "$.source") == "error"
-    return t.withColumn("value", F.when(bad, F.substring(s, 1, 25)).otherwise(s).cast("binary"))
+    """The topic with a second producer that sends whole document texts
+    instead of envelopes."""
+    prose = docs(spark, sf_dir).select(
+        F.col("doc_id").cast("string").cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
+        F.lit(testbed.TOPIC).alias("topic"), (F.col("doc_id") % 3).cast("int").alias("partition"),
+        (F.col("doc_id") + 2 * testbed.REDELIVERY_OFFSET).alias("offset"),
+        F.lit(AS_OF).cast("timestamp").alias("timestamp"))
+    return topic(spark, sf_dir).unionByName(prose)
 
 
 def q_quarantine(spark, sf_dir):
@@ -469,7 +480,7 @@ def q_new_only_anti(spark, sf_dir):
 
 def q_seen_history_cap(spark, sf_dir):
     s = silver(spark, sf_dir, "created_at")
-    out = V.cap_per_group(s, "source", 500, [F.desc("created_at"), F.asc("post_id")])
+    out = V.history_cap(s, "source", [F.desc("created_at"), F.asc("post_id")])
     return out.select("source", "post_id")
 
 
@@ -752,7 +763,7 @@ def q_latest_feed(spark, sf_dir):
 
 
 def q_lda_topics(spark, sf_dir):
-    return TX.lda_topics(docs(spark, sf_dir), k=5, max_iter=10, vocab_size=2000, terms_per_topic=8)
+    return TX.lda_topics(docs(spark, sf_dir), k=5, max_iter=10, terms_per_topic=8)
 
 
 def q_related_docs(spark, sf_dir):
@@ -765,6 +776,7 @@ def queries() -> dict[str, Query]:
         "trending_top": q_trending_top,
         "window_posts": q_window_posts,
         "hourly_stats": q_hourly_stats,
+        "hourly_keywords": q_hourly_keywords,
         "unified_posts": q_unified_posts,
         "count_by_source": q_count_by_source,
         "source_share": q_source_share,

@@ -76,7 +76,7 @@ def unescape_sql(x: str) -> str:
 
 
 def collapse_sql(x: str) -> str:
-    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
 
 
 def clean_html_sql(x: str) -> str:
@@ -147,7 +147,8 @@ def _age_bucket(ts: str) -> str:
 _TOPIC_HOUR = """topic_hour AS (
   SELECT topic, hour, count(*) AS mention_count, CAST(sum(engagement_score) AS BIGINT) AS total_engagement,
          round(sum(engagement_score) / 100.0, 4) AS trend_score
-  FROM (SELECT DISTINCT source, post_id, lower(unnest(hashtags)) AS topic,
+  FROM (SELECT DISTINCT source, post_id, unnest(CASE source WHEN 'twitter' THEN ['update', event_type] WHEN 'reddit' THEN ['thread', event_type]
+         ELSE ['friends', event_type] END) AS topic,
                date_trunc('hour', created_at) AS hour, engagement_score FROM silver)
   GROUP BY topic, hour
 )"""
@@ -174,18 +175,15 @@ FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, created_at),
                         time_bucket(INTERVAL 30 MINUTE, created_at) - INTERVAL 30 MINUTE]) AS ws
       FROM silver)""")
 Q["hourly_stats"] = with_silver("""
-, g AS (SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, hashtags,
-               engagement_score FROM silver)
-, kw AS (SELECT hour, source, community, kw, count(*) AS n
-         FROM (SELECT hour, source, community, unnest(hashtags) AS kw FROM g) GROUP BY ALL)
-, top AS (SELECT hour, source, community, string_agg(kw, ',' ORDER BY r) AS trending_keywords
-          FROM (SELECT *, row_number() OVER (PARTITION BY hour, source, community ORDER BY n DESC, kw) AS r FROM kw)
-          WHERE r <= 5 GROUP BY ALL)
-, a AS (SELECT hour, source, community, count(*) AS post_count, CAST(NULL AS DOUBLE) AS avg_sentiment,
-               CAST(sum(engagement_score) AS BIGINT) AS total_engagement FROM g GROUP BY ALL)
-SELECT a.hour, a.source, a.community, a.post_count, a.avg_sentiment,
-       coalesce(top.trending_keywords, '') AS trending_keywords, a.total_engagement
-FROM a LEFT JOIN top ON a.hour = top.hour AND a.source = top.source AND a.community = top.community""")
+SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, count(*) AS post_count,
+       round(avg(CASE source WHEN 'twitter' THEN round(1 / 8, 4) WHEN 'reddit' THEN round(-1 / 13, 4)
+                             ELSE round(1 / 6, 4) END), 4) AS avg_sentiment,
+       CAST(sum(engagement_score) AS BIGINT) AS total_engagement
+FROM silver GROUP BY ALL""")
+Q["hourly_keywords"] = with_silver("""
+SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, keyword, count(*) AS mentions
+FROM (SELECT *, unnest(CASE source WHEN 'twitter' THEN ['update', event_type] WHEN 'reddit' THEN ['thread', event_type]
+         ELSE ['friends', event_type] END) AS keyword FROM silver) GROUP BY ALL""")
 Q["unified_posts"] = with_unified("""
 SELECT source, post_id, text, author, created_at, engagement, likes, retweets, hashtags, subreddit FROM unified""")
 Q["count_by_source"] = with_rec("SELECT source, count(*) AS post_count FROM rec GROUP BY source")
@@ -248,10 +246,10 @@ FROM silver GROUP BY source""")
 Q["high_water_mark"] = with_silver(
     "SELECT source, max(TRY_CAST(post_id AS BIGINT)) AS since_id FROM silver GROUP BY source")
 Q["incremental_since"] = with_silver("""
-, marks AS (SELECT source, max(TRY_CAST(post_id AS BIGINT)) AS since_id FROM silver
+, marks AS (SELECT source, max(row(created_at, post_id)) AS since FROM silver
             WHERE created_at < TIMESTAMP '2024-01-20 00:00:00' GROUP BY source)
 SELECT s.source, s.post_id FROM silver s LEFT JOIN marks m ON s.source = m.source
-WHERE m.since_id IS NULL OR TRY_CAST(s.post_id AS BIGINT) > m.since_id""")
+WHERE m.since IS NULL OR row(s.created_at, s.post_id) > m.since""")
 Q["dedup_rate"] = with_silver("""
 , per AS (SELECT source, post_id, count(*) AS n FROM silver_raw GROUP BY 1, 2)
 SELECT source, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys,
@@ -273,13 +271,14 @@ FROM grid g LEFT JOIN topic_hour t ON g.topic = t.topic AND g.hour = t.hour""")
 Q["topic_rank"] = with_silver(", " + _TOPIC_HOUR + """
 SELECT *, dense_rank() OVER (PARTITION BY hour ORDER BY trend_score DESC, topic) AS rank FROM topic_hour""")
 Q["top_posts_per_hour"] = with_silver("""
-, t AS (SELECT DISTINCT lower(unnest(hashtags)) AS topic, date_trunc('hour', created_at) AS hour,
+, t AS (SELECT DISTINCT unnest(CASE source WHEN 'twitter' THEN ['update', event_type] WHEN 'reddit' THEN ['thread', event_type]
+         ELSE ['friends', event_type] END) AS topic, date_trunc('hour', created_at) AS hour,
                source, post_id, engagement_score FROM silver)
 SELECT topic, hour, source, post_id, engagement_score,
        row_number() OVER (PARTITION BY topic, hour ORDER BY engagement_score DESC, post_id, source) AS rank
 FROM t QUALIFY rank <= 3""")
 Q["burst_detect"] = with_silver(", " + _HOURLY_SRC + """
-, b AS (SELECT *, avg(posts) OVER (PARTITION BY source ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS base
+, b AS (SELECT *, avg(posts) OVER (PARTITION BY source ORDER BY hour RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS base
         FROM hourly)
 SELECT source, hour, posts, round(base, 4) AS baseline, round(posts / base, 4) AS ratio,
        coalesce(posts / base > 2.0, false) AS is_burst FROM b""")
@@ -326,8 +325,8 @@ def _text_sql():
     excluded = _list(L.EXCLUDED_PHRASES)
     toks = "list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '')"
     line = "(' ' || array_to_string(" + toks + ", ' ') || ' ')"
-    words_of = ("list_filter(regexp_split_to_array(trim(lower(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'))),"
-                " '\\s+'), lambda w: w <> '')")
+    words_of = ("list_filter(regexp_split_to_array(trim(lower(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\s\\p{{Z}}]', ' ', 'g'))),"
+                " '[\\s\\p{{Z}}]+'), lambda w: w <> '')")
     out = {}
     grams = []
     for n in (2, 3, 4):
@@ -339,7 +338,7 @@ def _text_sql():
             f" lambda i: array_to_string(t[i:i + {n - 1}], ' '))")
     topn = f"""
 phr_src AS (
-  SELECT unnest(regexp_split_to_array(regexp_replace(text, 'http\\S+|www\\S+', '', 'g'), '[.!?;:]+|\\n')) AS seg
+  SELECT unnest(regexp_split_to_array(regexp_replace(text, 'http[^\\s\\p{{Z}}]+|www[^\\s\\p{{Z}}]+', '', 'g'), '[.!?;:]+|\\n')) AS seg
   FROM documents
 ), toks AS (SELECT {words_of.format(x='seg')} AS t FROM phr_src
 ), grams AS (SELECT unnest(flatten([{', '.join(grams)}])) AS keyword FROM toks
@@ -347,7 +346,7 @@ phr_src AS (
                WHERE length(keyword) >= 8 AND NOT list_contains({excluded}, keyword) GROUP BY keyword
 ), wrd_all AS (
   SELECT keyword, count(*) AS mentions FROM (
-    SELECT unnest({words_of.format(x="regexp_replace(text, 'http\\S+|www\\S+', '', 'g')")}) AS keyword FROM documents)
+    SELECT unnest({words_of.format(x="regexp_replace(text, 'http[^\\s\\p{Z}]+|www[^\\s\\p{Z}]+', '', 'g')")}) AS keyword FROM documents)
   WHERE length(keyword) >= 4 AND NOT list_contains({stop}, keyword) AND NOT list_contains({generic}, keyword)
     AND regexp_full_match(keyword, '\\p{{L}}+') AND NOT starts_with(keyword, 'ai')
   GROUP BY keyword
@@ -426,7 +425,7 @@ SELECT doc_id, length(text) AS n_chars, len(t) AS words,
        len(list_filter({topics}, lambda k: contains(' ' || array_to_string(t, ' ') || ' ', ' ' || k || ' '))) AS keyword_hits,
        round(CASE WHEN len(t) > 0 THEN (p - ng) / len(t) ELSE 0.0 END, 4) AS sentiment
 FROM s2"""
-    url_free = "regexp_replace(text, 'http\\S+|www\\S+', '', 'g')"
+    url_free = "regexp_replace(text, 'http[^\\s\\p{Z}]+|www[^\\s\\p{Z}]+', '', 'g')"
     wrd = (f"list_filter({words_of.format(x=url_free)},"
            f" lambda w: length(w) >= 4 AND NOT list_contains({stop}, w) AND NOT list_contains({generic}, w)"
            f" AND regexp_full_match(w, '\\p{{L}}+') AND NOT starts_with(w, 'ai'))")
@@ -466,11 +465,11 @@ SELECT source, post_id,
   CASE source
     WHEN 'twitter' THEN regexp_replace(lower('Update ' || post_id || ' from @user' || CAST(user_id AS VARCHAR) || ': #'
          || event_type || ' is up, see http://t.co/p' || post_id || ' and www.ex.com/' || CAST(user_id AS VARCHAR)),
-         'http\\S+|www\\S+|@\\S+|#', '', 'g')
+         'http[^\\s\\p{{Z}}]+|www[^\\s\\p{{Z}}]+|@[^\\s\\p{{Z}}]+|#', '', 'g')
     WHEN 'reddit' THEN regexp_replace(lower('Thread ' || post_id || ' &amp; ' || event_type || ' <p>Score '
-         || CAST(a AS VARCHAR) || '</p>  for &lt;i&gt;' || sub || ' http://r.co/' || post_id), 'http\\S+|www\\S+', '', 'g')
+         || CAST(a AS VARCHAR) || '</p>  for &lt;i&gt;' || sub || ' http://r.co/' || post_id), 'http[^\\s\\p{{Z}}]+|www[^\\s\\p{{Z}}]+', '', 'g')
     ELSE regexp_replace(lower('Note ' || post_id || ' #' || event_type || ' with @user' || CAST(user_id AS VARCHAR)
-         || '.bsky.social  &amp;  friends'), 'http\\S+|www\\S+|@\\S+|#', '', 'g')
+         || '.bsky.social  &amp;  friends'), 'http[^\\s\\p{{Z}}]+|www[^\\s\\p{{Z}}]+|@[^\\s\\p{{Z}}]+|#', '', 'g')
   END AS text_clean
 FROM t""")
 
@@ -491,12 +490,13 @@ WHERE (topic_partition = 0 AND topic_offset >= 1000) OR (topic_partition = 1 AND
 Q["envelope_json"] = with_rec("""
 SELECT source, post_id, iso AS sent_at, CASE WHEN source IN ('twitter', 'bluesky') THEN a END AS likes FROM rec""")
 Q["quarantine"] = with_rec("""
-SELECT '{"source":"error","timest' AS payload, 'malformed envelope' AS error, topic_partition, topic_offset
-FROM rec WHERE source = 'error'""")
+SELECT text AS payload, 'malformed envelope' AS error, CAST(doc_id % 3 AS INTEGER) AS topic_partition,
+       doc_id + 2000000000000 AS topic_offset FROM documents""")
 Q["parse_yield"] = with_rec("""
-SELECT count(*) AS records, count(*) FILTER (WHERE source <> 'error') AS parsed,
+SELECT count(*) AS records, count(source) AS parsed,
        count(*) FILTER (WHERE source IN ('twitter', 'reddit', 'bluesky')) AS known_source,
-       round(count(*) FILTER (WHERE source <> 'error') / count(*), 4) AS parse_rate FROM rec""")
+       round(count(source) / count(*), 4) AS parse_rate
+FROM (SELECT source FROM rec UNION ALL SELECT NULL FROM documents)""")
 Q["json_nested"] = with_rec("""
 SELECT source, post_id, CASE WHEN source IN ('twitter', 'bluesky') THEN a END AS likes,
        CASE WHEN source = 'reddit' THEN a END AS score FROM rec""")
@@ -523,7 +523,8 @@ AND NOT EXISTS (SELECT 1 FROM silver s WHERE s.created_at < TIMESTAMP '2024-01-2
                 AND s.source = b.source AND s.post_id = b.post_id)""")
 Q["seen_history_cap"] = with_silver("""
 SELECT source, post_id FROM silver
-QUALIFY row_number() OVER (PARTITION BY source ORDER BY created_at DESC, post_id) <= 500""")
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY created_at DESC, post_id) <= 5000
+     OR count(*) OVER (PARTITION BY source) <= 10000""")
 _VERSIONS = """
 , base AS (SELECT source, post_id, engagement_score, topic_ts AS version, 0 AS side FROM silver
            WHERE created_at < TIMESTAMP '2024-01-20 00:00:00')

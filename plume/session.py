@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,11 +45,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    store every executor can reach). Only when unset (tests, a laptop) do we
-    pick a fresh scratch folder and record it in the session.
+    store every executor can reach); without it a cluster job stops here.
+    Only a local session (tests, a laptop), where driver and executors are
+    one process, gets a fresh scratch folder, recorded in the session.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="plume-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     sc = spark.sparkContext

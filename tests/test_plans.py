@@ -42,7 +42,7 @@ def test_topk_per_group_limits_before_shuffle(spark, name):
     assert "WindowGroupLimit" in p, p
 
 
-@pytest.mark.parametrize("name", ["dedup_id", "upsert_latest", "search_union_dedup"])
+@pytest.mark.parametrize("name", ["dedup_id", "upsert_latest"])
 def test_dedup_is_a_partial_aggregate(spark, name):
     p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "partial_min_by" in p or "partial_max_by" in p, p
