@@ -333,6 +333,13 @@ def q_semantic_topk(spark, sf_dir):
     return SIM.nearest_to_centroid(testbed.read_table(spark, sf_dir, "embeddings"), 5)
 
 
+def q_semantic_search(spark, sf_dir):
+    ensure_utc(spark)
+    vectors = testbed.read_table(spark, sf_dir, "embeddings")
+    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return SIM.semantic_search(vectors, queries, 10)
+
+
 def q_hashtag_counts(spark, sf_dir):
     s = silver(spark, sf_dir)
     return (s.select(F.explode(F.transform("hashtags", lambda h: F.lower(h))).alias("hashtag"))
@@ -829,6 +836,7 @@ def queries() -> dict[str, Query]:
         "uri_tail": q_uri_tail,
         "search_union_dedup": q_search_union_dedup,
         "semantic_topk": q_semantic_topk,
+        "semantic_search": q_semantic_search,
         "hashtag_counts": q_hashtag_counts,
         "clean_text": q_clean_text,
         "post_features": q_post_features,

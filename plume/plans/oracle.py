@@ -456,6 +456,14 @@ SELECT label, vec_id, round(score, 4) AS score,
 FROM s QUALIFY rank <= 5"""
 
 Q["semantic_topk"] = SEMANTIC_TOPK
+Q["semantic_search"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+s AS (SELECT a.vec_id, q.vec_id AS query_id,
+             round(list_sum(list_transform(list_zip(a.e, q.e), lambda p: p[1] * p[2])) / (a.norm * q.norm), 6) AS score
+      FROM n a JOIN n q ON q.vec_id % 100 = 0)
+SELECT vec_id, query_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+FROM s WHERE score IS NOT NULL QUALIFY rank <= 10"""
 Q["hashtag_counts"] = with_silver(
     "SELECT lower(unnest(hashtags)) AS hashtag, count(*) AS posts FROM silver GROUP BY 1")
 Q["clean_text"] = with_silver(f""", t AS (
