@@ -60,6 +60,15 @@ def with_topics(posts: DataFrame, terms=None, text: str = "text_clean", hashtags
     return posts.withColumn("topics", F.array_union(found, F.transform(hashtags, lambda h: F.lower(h))))
 
 
+def enrich_posts(posts: DataFrame, terms=None, pos=None, neg=None, text: str = "text_clean") -> DataFrame:
+    """P8 and the enriched silver columns: posts with text only (neither null
+    nor blank), with ``topics``, ``sentiment`` and the ``detected`` language.
+    Row-wise work, no shuffle."""
+    worded = posts.where(F.col(text).isNotNull() & F.col(text).rlike(rf"[^{T.BLANK}]"))
+    scored = sentiment(with_topics(worded, terms, text), text, pos, neg).drop("positive", "negative", "label")
+    return detect_language(scored, text)
+
+
 def first_term(text, terms) -> Column:
     """U1 in one pass: the first of the terms (list order) that occurs, else null."""
     return F.get(matched_terms(text, terms), F.lit(0))

@@ -72,6 +72,28 @@ def topic_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TX.with_topics(posts, POST_TOPICS).drop("text_clean", "hashtags")
 
 
+def _enriched(spark, sf_dir):
+    posts = silver(spark, sf_dir, "created_at", "community", "text_clean", "hashtags", "engagement_score")
+    return TX.enrich_posts(posts, POST_TOPICS, POST_POSITIVE, POST_NEGATIVE)
+
+
+def q_silver_enriched(spark, sf_dir):
+    return _enriched(spark, sf_dir).select("source", "post_id", F.array_join("topics", ",").alias("topics"), "sentiment")
+
+
+def q_silver_write(spark, sf_dir):
+    """Enriched silver, written once by date and network and appended to, then
+    read through its partitions."""
+    path = scratch_path(spark, "silver")
+    posts = _enriched(spark, sf_dir).withColumn("partition_date", F.to_date("created_at"))
+    first = F.col("partition_date") < F.lit(SINCE_CUTOFF).cast("date")
+    for part in (posts.where(first), posts.where(~first)):
+        part.write.mode("append").partitionBy("partition_date", "source").parquet(path)
+    stored = spark.read.parquet(path).where("partition_date >= DATE '2024-01-15' AND source <> 'twitter'")
+    return stored.groupBy("partition_date", "source").agg(
+        F.count("*").alias("posts"), F.round(F.avg("sentiment"), 4).alias("avg_sentiment"))
+
+
 def q_trending_windows(spark, sf_dir):
     return TR.trending_windows(silver(spark, sf_dir, "created_at", "engagement_score"))
 
@@ -782,6 +804,8 @@ def queries() -> dict[str, Query]:
         "trending_windows": q_trending_windows,
         "trending_top": q_trending_top,
         "window_posts": q_window_posts,
+        "silver_enriched": q_silver_enriched,
+        "silver_write": q_silver_write,
         "hourly_stats": q_hourly_stats,
         "hourly_keywords": q_hourly_keywords,
         "unified_posts": q_unified_posts,

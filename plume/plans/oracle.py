@@ -174,6 +174,14 @@ SELECT ws AS window_start, source, post_id
 FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, created_at),
                         time_bucket(INTERVAL 30 MINUTE, created_at) - INTERVAL 30 MINUTE]) AS ws
       FROM silver)""")
+_SENTIMENT = ("CASE source WHEN 'twitter' THEN round(1 / 8, 4) WHEN 'reddit' THEN round(-1 / 13, 4)"
+              " ELSE round(1 / 6, 4) END")
+Q["silver_enriched"] = with_silver("""
+SELECT source, post_id, CASE source WHEN 'twitter' THEN 'update,' WHEN 'reddit' THEN 'thread,' ELSE 'friends,' END
+       || event_type AS topics, """ + _SENTIMENT + """ AS sentiment FROM silver""")
+Q["silver_write"] = with_silver("""
+SELECT CAST(created_at AS DATE) AS partition_date, source, count(*) AS posts, round(avg(""" + _SENTIMENT + """), 4) AS avg_sentiment
+FROM silver WHERE CAST(created_at AS DATE) >= DATE '2024-01-15' AND source <> 'twitter' GROUP BY ALL""")
 Q["hourly_stats"] = with_silver("""
 SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, count(*) AS post_count,
        round(avg(CASE source WHEN 'twitter' THEN round(1 / 8, 4) WHEN 'reddit' THEN round(-1 / 13, 4)
