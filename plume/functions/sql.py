@@ -14,8 +14,14 @@ def _lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _arr(words) -> str:
-    return "array(" + ", ".join(_lit(w) for w in words) + ")"
+def _among(words) -> str:
+    """``w IN (...)``: one hash look-up a word."""
+    return "w IN (" + ", ".join(_lit(w) for w in words) + ")"
+
+
+def _with_tokens(x: str, body: str) -> str:
+    """``body`` over ``t``, the word tokens of x, which are made once."""
+    return f"element_at(transform(array({_tokens(x)}), t -> {body}), 1)"
 
 
 def clean_html_sql(x: str = "x") -> str:
@@ -32,27 +38,23 @@ def _tokens(x: str) -> str:
 
 def keywords_sql(x: str = "x") -> str:
     """K1's single-word keywords of one text (the fallback rule)."""
-    stop, generic = _arr(L.phrase_stop_words()), _arr(L.GENERIC_WORDS)
     toks = (f"filter(split(trim(lower(regexp_replace(regexp_replace({x}, {_lit(URL_PATTERN)}, ''), "
             f"{_lit(rf'[^\p{{L}}\p{{N}}_{BLANK}]')}, ' '))), {_lit(rf'[{BLANK}]+')}), w -> w != '')")
-    return (f"filter({toks}, w -> length(w) >= 4 AND NOT array_contains({stop}, w) "
-            f"AND NOT array_contains({generic}, w) AND w RLIKE {_lit(r'^\p{L}+$')} AND NOT startswith(w, 'ai'))")
+    return (f"filter({toks}, w -> length(w) >= 4 AND NOT {_among(L.phrase_stop_words())} "
+            f"AND NOT {_among(L.GENERIC_WORDS)} AND w RLIKE {_lit(r'^\p{L}+$')} AND NOT startswith(w, 'ai'))")
 
 
 def sentiment_sql(x: str = "x") -> str:
-    t = _tokens(x)
-    pos = f"size(filter({t}, w -> array_contains({_arr(L.POSITIVE_WORDS)}, w)))"
-    neg = f"size(filter({t}, w -> array_contains({_arr(L.NEGATIVE_WORDS)}, w)))"
-    return f"round(CASE WHEN size({t}) > 0 THEN ({pos} - {neg}) / size({t}) ELSE 0.0 END, 4)"
+    hits = lambda words: f"size(filter(t, w -> {_among(words)}))"
+    return _with_tokens(x, f"round(CASE WHEN size(t) > 0 THEN ({hits(L.POSITIVE_WORDS)} - {hits(L.NEGATIVE_WORDS)})"
+                           f" / size(t) ELSE 0.0 END, 4)")
 
 
 def language_sql(x: str = "x") -> str:
-    t = _tokens(x)
-    best, best_n = "CAST(NULL AS STRING)", "0"
-    for code, name in L.LANGUAGES.items():
-        v = f"size(filter({t}, w -> array_contains({_arr(L.stop_words(name))}, w)))"
-        best = f"CASE WHEN {v} > {best_n} THEN '{code}' ELSE {best} END"
-        best_n = f"greatest({best_n}, {v})"
+    # Most stop words first, then the order of the list.
+    votes = ", ".join(f"named_struct('n', -size(filter(t, w -> {_among(L.stop_words(name))})), 'i', {i}, 'code', '{code}')"
+                      for i, (code, name) in enumerate(L.LANGUAGES.items()))
+    best = _with_tokens(x, f"transform(array(array_min(array({votes}))), v -> CASE WHEN v.n < 0 THEN v.code END)[0]")
     c = f"coalesce({x}, '')"
     cjk = f"length(regexp_replace({c}, {_lit(r'[^\p{IsHan}]')}, ''))"
     return f"CASE WHEN length({c}) > 0 AND {cjk} * 3 > length({c}) THEN 'zh' ELSE coalesce({best}, 'und') END"
