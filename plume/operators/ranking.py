@@ -85,6 +85,18 @@ def burst_detect(df: DataFrame, lookback: int = 24, threshold: float = 2.0,
             .withColumn("is_burst", F.coalesce(F.col("posts") / base > threshold, F.lit(False))))
 
 
+def topic_burst(grid: DataFrame, lookback: int = 24, threshold: float = 2.0) -> DataFrame:
+    """N3 per topic: hourly mentions on the gap-filled grid of
+    :func:`topic_timeseries` against the mean of the previous ``lookback``
+    hours, empty ones included; a burst when the ratio exceeds ``threshold``.
+    A topic's window is its span in hours, however many posts it has."""
+    w = Window.partitionBy("topic").orderBy("hour").rowsBetween(-lookback, -1)
+    base = F.avg("mention_count").over(w)
+    ratio = F.try_divide(F.col("mention_count"), base)
+    return grid.select("topic", "hour", "mention_count", F.round(base, 4).alias("baseline"),
+                       F.round(ratio, 4).alias("ratio"), F.coalesce(ratio > threshold, F.lit(False)).alias("is_burst"))
+
+
 def heat_score(topic_hour: DataFrame, as_of, half_life_hours: float = 24.0) -> DataFrame:
     """Mentions × engagement ÷ time decay, decay = 2^(age_h / half_life).
     The decay form is not given anywhere; this exponential one is our choice."""

@@ -254,6 +254,10 @@ def q_burst_detect(spark, sf_dir):
     return R.burst_detect(silver(spark, sf_dir, "created_at"), 24, 2.0)
 
 
+def q_topic_burst(spark, sf_dir):
+    return R.topic_burst(R.topic_timeseries(_topic_hour(spark, sf_dir)))
+
+
 def q_heat_score(spark, sf_dir):
     return R.heat_score(_topic_hour(spark, sf_dir), AS_OF, 24.0)
 
@@ -843,6 +847,7 @@ def queries() -> dict[str, Query]:
         "top_posts_per_hour": q_top_posts_per_hour,
         "burst_detect": q_burst_detect,
         "heat_score": q_heat_score,
+        "topic_burst": q_topic_burst,
         "period_change": q_period_change,
         "weekly_report": q_weekly_report,
         "keyword_topn": q_keyword_topn,

@@ -276,6 +276,16 @@ Q["topic_timeseries"] = with_silver(", " + _TOPIC_HOUR + """
 SELECT g.topic, g.hour, coalesce(t.mention_count, 0) AS mention_count,
        coalesce(t.total_engagement, 0) AS total_engagement
 FROM grid g LEFT JOIN topic_hour t ON g.topic = t.topic AND g.hour = t.hour""")
+Q["topic_burst"] = with_silver(", " + _TOPIC_HOUR + """
+, grid AS (SELECT topic, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour
+           FROM topic_hour GROUP BY topic)
+, filled AS (SELECT g.topic, g.hour, coalesce(t.mention_count, 0) AS mention_count
+             FROM grid g LEFT JOIN topic_hour t ON g.topic = t.topic AND g.hour = t.hour)
+, b AS (SELECT *, avg(mention_count) OVER (PARTITION BY topic ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS base
+        FROM filled)
+SELECT topic, hour, mention_count, round(base, 4) AS baseline,
+       round(CASE WHEN base <> 0 THEN mention_count / base END, 4) AS ratio,
+       coalesce(CASE WHEN base <> 0 THEN mention_count / base END > 2.0, false) AS is_burst FROM b""")
 Q["topic_rank"] = with_silver(", " + _TOPIC_HOUR + """
 SELECT *, dense_rank() OVER (PARTITION BY hour ORDER BY trend_score DESC, topic) AS rank FROM topic_hour""")
 Q["top_posts_per_hour"] = with_silver("""
