@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
 from plume.llm.common import map_batches, map_whole, stored, text_columns, unused
-from plume.llm.linking import link
+from plume.llm.linking import bits_of, link, may_hold
 
 THRESHOLD = 2
 MIN_CHARS = 24
@@ -78,7 +78,11 @@ def _postings(part: pa.RecordBatch) -> dict:
     power, inverse = _powers(len(chars) + 1)
     sums = np.concatenate([[tb.U64(0)], np.cumsum(tb.mix(chars.astype(tb.U64)) * power[:len(chars)], dtype=tb.U64)])
     size = end - begin
-    keys, nodes, indexed = [], [], []
+    keys, nodes, indexed, parities = [], [], [], []
+    # Bit c: whether characters of class c are odd in number. An edit changes two bits at most.
+    flips = np.concatenate([[tb.U64(0)], np.bitwise_xor.accumulate(tb.U64(1) << (chars.astype(tb.U64) * tb.U64(0x9E3779B97F4A7C15) >> tb.U64(58)))]) \
+        if len(chars) else np.zeros(1, tb.U64)
+    parity = (flips[end] ^ flips[begin]).astype(np.int64)
     for less in range(THRESHOLD + 1):  # how much shorter the indexed line is
         for i, (start, length) in enumerate(segments(size - less)):
             # Left of the segment at most i edits have happened, right of it at most THRESHOLD - i.
@@ -90,10 +94,12 @@ def _postings(part: pa.RecordBatch) -> dict:
                 place = (size[fits] - less).astype(tb.U64) * tb.U64(THRESHOLD + 1) + tb.U64(i)
                 keys.append(tb.mix(value ^ tb.mix(place)))
                 nodes.append(node[fits])
+                parities.append(parity[fits])
                 indexed.append(np.full(len(fits), less == 0 and move == 0))
-    key = np.concatenate(keys)
-    return {"key": key.astype(np.int64), "node": np.concatenate(nodes), "class": np.zeros(len(key), np.int64),
-            "indexed": np.concatenate(indexed)}
+    key, nodes, indexed = np.concatenate(keys), np.concatenate(nodes), np.concatenate(indexed)
+    none = np.zeros(len(key), np.int64)
+    return {"key": key.astype(np.int64), "node": nodes, "class": none, "rank": none, "indexed": indexed,
+            "parity": np.concatenate(parities)}
 
 
 def within(a: str, b: str, threshold: int = THRESHOLD) -> bool:
@@ -158,17 +164,21 @@ def _verify(docs: DataFrame, lines: DataFrame):
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         places = lines.join(nodes, "node", "left_semi").groupBy("node").agg(
             F.min(F.struct("doc_id", "text_hash", "line")).alias("p"))
-        wanted = stored(places.groupBy(F.col("p.doc_id").alias("id"), F.col("p.text_hash").alias("hash")).agg(
-            F.collect_set("p.line").alias("wanted")), "wanted")  # as many as a text has lines
-        own = _keyed(docs)
-        texts = own.join(wanted, own["doc_id"].eqNullSafe(F.col("id")) & (own["text_hash"] == F.col("hash"))).select(
-            "text", "wanted")
+        spark = docs.sparkSession
+        texts_wanted = spark.sparkContext.broadcast(bits_of(places.select(
+            F.xxhash64("p.doc_id", "p.text_hash").alias("key"))))  # 2**FILTER_BITS bits each
+        lines_wanted = spark.sparkContext.broadcast(bits_of(nodes.withColumnRenamed("node", "key")))
+        texts = _keyed(docs).select(F.xxhash64("doc_id", "text_hash").alias("key"), "text")
 
         def fetch(part: pa.RecordBatch) -> dict:
-            found = [line for text, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist(), strict=True)
-                     for split in [text.split("\n")] for line in map(split.__getitem__, wanted)]
-            hashes = tb.words(tb.as_texts(pa.array(found, pa.string())), tb.NOT_NEWLINE).hash
-            return {"node": hashes.astype(np.int64), "content": found}
+            part = part.filter(pa.array(may_hold(part.column("key").to_numpy(), texts_wanted.value)))
+            texts = tb.as_texts(part.column("text"))
+            found = tb.words(texts, tb.NOT_NEWLINE)
+            pick = np.unique(found.hash, return_index=True)[1]
+            pick = pick[may_hold(found.hash[pick], lines_wanted.value)]
+            raw = texts.data.tobytes()
+            return {"node": found.hash[pick].astype(np.int64),
+                    "content": [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(found.start[pick], found.end[pick], strict=True)]}
 
         content = stored(map_batches(texts, fetch, "node long, content string").dropDuplicates(["node"]), "content")
 
@@ -187,8 +197,12 @@ def _verify(docs: DataFrame, lines: DataFrame):
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers of the lines that go, from 0, for documents that lose any."""
     lines = stored(map_batches(_keyed(docs), _line_rows, "doc_id long, text_hash long, line long, node long"), "lines")
-    postings = map_batches(text_columns(docs, "text"), _postings, "key long, node long, class long, indexed boolean")
-    labels = link(postings, _verify(docs, lines), lambda a, b: F.lit(True), [])
+    postings = map_batches(text_columns(docs, "text"), _postings,
+                           "key long, node long, class int, rank int, indexed boolean, parity long")
+    # Of two lines that are both indexed at a key, each pair once.
+    once = lambda a, b: ~F.col(f"{b}_indexed") | (F.col(f"{a}_node") < F.col(f"{b}_node"))
+    alike = lambda a, b: F.bit_count(F.col(f"{a}_parity").bitwiseXOR(F.col(f"{b}_parity"))) <= 2 * THRESHOLD
+    labels = link(postings, _verify(docs, lines), once, alike, ["parity"])
     first = F.min(F.struct("doc_id", "text_hash", "line"))
     # Only lines that occur again, or have near copies, can go.
     nodes = stored(lines.groupBy("node").agg(first.alias("p"), F.count("*").alias("n")).join(labels, "node", "left").where(
@@ -205,7 +219,9 @@ def dedup(docs: DataFrame, counts: tuple[str, str] | None = None) -> DataFrame:
     gone = repeated(docs)
     hash_, id_, text_, lines_ = unused(docs, "hash_", "id_", "text_", "lines_")
     own = docs.withColumn(hash_, F.xxhash64("text"))
-    joined = own.join(gone.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(text_), F.col("lines").alias(lines_)),
+    drops = gone.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(text_), F.col("lines").alias(lines_))
+    # As many rows as documents that lose lines: a shuffle join at any size.
+    joined = own.join(drops.hint("merge"),
                       own["doc_id"].eqNullSafe(F.col(id_)) & (own[hash_] == F.col(text_)), "left")
 
     def rebuild(batches):

@@ -15,12 +15,18 @@ maxima that are taken before the shuffle too.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plume.llm.common import stored
 
+#: Bits of the table that tells wanted keys from others without a shuffle: 8 MB. Where more keys are wanted than it
+#: can tell apart it lets more through; the result is the same.
+FILTER_BITS = 26
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable over edges (a, b), for every node that has an edge.
@@ -47,35 +53,65 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("node", F.col("next").alias("label"))
 
 
+def bits_of(keys: DataFrame) -> np.ndarray:
+    """A bit for each ``key`` in a table of 2**FILTER_BITS, put together by Spark: 2**FILTER_BITS / 64 numbers at most
+    come to the driver, however many keys there are."""
+    rows = keys.select(F.shiftrightunsigned("key", 70 - FILTER_BITS).cast("int").alias("word"),
+                       F.expr("shiftleft(1L, cast(key & 63 AS int))").alias("bits")).groupBy("word").agg(
+        F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return table.view(np.uint64)
+
+
+def may_hold(key: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether the table has the bit of each key; true for every key that went in."""
+    key = key.view(np.uint64)
+    word = (key >> np.uint64(70 - FILTER_BITS)).astype(np.int64)
+    return (table[word] >> (key & np.uint64(63))) & np.uint64(1) > 0
+
+
+def narrowed(df: DataFrame, keys: DataFrame, column: str = "key") -> DataFrame:
+    """The rows whose ``column`` is among the ``key`` values, and few others, without a shuffle."""
+    bits = df.sparkSession.sparkContext.broadcast(bits_of(keys))  # 2**FILTER_BITS bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield part.filter(pa.array(may_hold(part.column(column).to_numpy(), bits.value)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
-         carry: list[str]) -> DataFrame:
+         alike: Callable[[str, str], Column], carry: list[str]) -> DataFrame:
     """(node, label) of all nodes that link with another.
 
-    ``postings``: key, node, class, indexed, and the columns in ``carry``;
-    one of two nodes that may link is ``indexed`` at a shared key.
-    ``may_link(a, b)``: condition on the carried columns of two postings,
-    given their name prefixes. ``verify``: of pairs (a, b), a < b, those that
-    link.
+    ``postings``: key, node, class, rank, indexed, and the columns in
+    ``carry``; of two nodes that may link, one is ``indexed`` at a shared key.
+    The leader of a key is the indexed node with the smallest rank.
+    ``alike(a, b)``: a condition on the carried columns of two nodes, given
+    their name prefixes, that holds for all that link. ``may_link(a, b)``: a
+    further one on two postings, the first one indexed. ``verify``: of pairs
+    (a, b), a < b, those that link.
     """
     postings = stored(postings, "postings")
-    shared = stored(postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(
-        "lo <> hi").select("key"), "keys")
-    members = stored(postings.join(shared, "key"), "members")
-    leaders = stored(members.where("indexed").groupBy("key", "class").agg(F.min("node").alias("leader")), "leaders")
-    first = stored(members.join(leaders, ["key", "class"]).where("node <> leader").select(
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "pairs")
+    shared = stored(postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                                F.max("indexed").alias("any")).where("lo <> hi AND any").select("key"), "keys")
+    members = stored(narrowed(postings, shared).join(shared, "key"), "members")
+    leaders = stored(members.where("indexed").groupBy("key", "class").agg(
+        F.min(F.struct("rank", "node", *carry)).alias("l")).select(
+        "key", "class", F.col("l.node").alias("l_node"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in carry]), "leaders")
+    own = members.select("key", "class", *[F.col(c).alias(f"m_{c}") for c in ("node", *carry)])
+    first = stored(own.join(leaders, ["key", "class"]).where((F.col("m_node") != F.col("l_node")) & alike("m", "l")).select(
+        F.least("m_node", "l_node").alias("a"), F.greatest("m_node", "l_node").alias("b")).distinct(), "pairs")
     links = stored(verify(first), "links")
     labels = components(links)
-    named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = stored(named, "members")
+    named = stored(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     open_ = stored(named.join(mixed, "key"), "members")
-    side = lambda p: open_.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "label", "indexed", *carry)])
-    left, right = side("x").where("x_indexed"), side("y")
-    # Of two indexed postings, each pair once.
-    across = left.join(right, "key").where(
-        (F.col("x_label") != F.col("y_label")) & (~F.col("y_indexed") | (F.col("x_node") < F.col("y_node"))) &
-        may_link("x", "y"))
+    side = lambda p: open_.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "label", "rank", "indexed", *carry)])
+    across = side("x").where("x_indexed").join(side("y"), "key").where(
+        (F.col("x_label") != F.col("y_label")) & may_link("x", "y") & alike("x", "y"))
     second = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     more = stored(verify(second.join(first, ["a", "b"], "left_anti")), "links")
     if more.isEmpty():
