@@ -8,7 +8,8 @@ sets that link share one shingle among the first ``s - ceil(0.8 s) + 1`` of
 each, and two among the first ``s - ceil(0.8 s) + 2``. Sets up to a boundary
 enumerate the two-shingle subsets of the latter and meet at equal subsets;
 larger ones scan the inverted lists of the former, on which sets that are
-just small enough to link with a large one stand too. The boundary is where
+just small enough to link with a large one stand too (as the smaller set of a
+pair, with its first ``s - ceil(8 s / 9) + 1`` only). The boundary is where
 the estimated rows and candidates of both ways add up to the least.
 
 Equal sets are one node from the start. Candidates are narrowed by an exact
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
 from plume.llm.common import map_batches, map_whole, stored, text_columns, unused
-from plume.llm.linking import link
+from plume.llm.linking import bits_of, link, may_hold
 
 SHINGLE = 5
 ORDER_BITS = 18
@@ -118,6 +119,11 @@ def boundary(sizes: dict[int, int], counts: np.ndarray) -> int:
     return at
 
 
+def index_prefix(size: np.ndarray) -> np.ndarray:
+    """Shingles among which a set shares one with a larger or equal one that links: s - ceil(8 s / 9) + 1."""
+    return size - (8 * size + 8) // 9 + 1
+
+
 def _postings(part: pa.RecordBatch, counts: np.ndarray, light: int) -> dict:
     texts = tb.as_texts(part.column("text"))
     value, text = _sets(texts)
@@ -127,8 +133,8 @@ def _postings(part: pa.RecordBatch, counts: np.ndarray, light: int) -> dict:
     own = np.zeros(len(texts), bool)
     own[np.unique(node, return_index=True)[1]] = True
     size = np.diff(bounds)
-    keep = own[text]
-    value, text = value[keep], text[keep]
+    mine = own[text]
+    value, text = value[mine], text[mine]
     order = np.lexsort((value, counts[(value >> tb.U64(64 - ORDER_BITS)).astype(np.int64)], text))
     value, text = value[order], text[order]
     first = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -136,30 +142,37 @@ def _postings(part: pa.RecordBatch, counts: np.ndarray, light: int) -> dict:
     own_size = size[text]
     listed = (rank < prefix(own_size)) & ((own_size > light) | (5 * own_size >= 4 * (light + 1)))
     keys, of, ranks = [value[listed]], [text[listed]], [rank[listed] + 1]
-    small = np.flatnonzero((size <= light) & (size >= 4) & own)
-    for i in small:
+    for i in np.flatnonzero((size <= light) & (size >= 4) & own):
         head = value[first[i]:first[i] + int(prefix(size[i])) + 1]
         a, b = np.triu_indices(len(head), 1)
         keys.append(tb.mix(head[a] * tb.U64(0x9E3779B97F4A7C15) + tb.mix(head[b])))
         of.append(np.full(len(a), i))
         ranks.append(np.zeros(len(a), np.int64))
     key, of, ranks = np.concatenate(keys), np.concatenate(of), np.concatenate(ranks)
-    return {"key": key.astype(np.int64), "node": node[of], "size": size[of], "rank": ranks,
-            "class": np.floor(np.log(np.maximum(size[of], 1)) / np.log(1.25)).astype(np.int64),
-            "indexed": np.ones(len(of), bool)}
+    own_size = size[of]
+    return {"key": key.astype(np.int64), "node": node[of], "size": own_size, "rank": ranks,
+            "class": np.floor(np.log(np.maximum(own_size, 1)) / np.log(1.25)).astype(np.int64),
+            "indexed": (ranks == 0) | (ranks <= index_prefix(own_size))}
 
 
 def _may_link(light: int):
     def condition(a: str, b: str):
         x, y, i, j = (F.col(f"{p}_{c}") for c in ("size", "rank") for p in (a, b))
+        # The indexed set is the smaller one; of equal sizes, the one with the smaller number, unless only it is indexed.
+        order = (x < y) | ((x == y) & (~F.col(f"{b}_indexed") | (F.col(f"{a}_node") < F.col(f"{b}_node"))))
         # On a list, the first common shingle leaves room for enough further ones.
         room = 1 + F.least(x - i, y - j)
-        return (5 * F.least(x, y) >= 4 * F.greatest(x, y)) & (
+        return order & ((i == 0) == (j == 0)) & (
             (i == 0) | (((x > light) | (y > light)) & (9 * room >= 4 * (x + y))))
 
     return condition
 
 
+def _alike(a: str, b: str):
+    x, y = F.col(f"{a}_size"), F.col(f"{b}_size")
+    return 5 * F.least(x, y) >= 4 * F.greatest(x, y)
+
+
 def _verify(docs: DataFrame, summaries: DataFrame):
     """Pairs of nodes to those that link: by sketches, then by whole sets."""
     known = summaries.where("n_shingles > 0")
@@ -188,11 +201,12 @@ def _verify(docs: DataFrame, summaries: DataFrame):
             return pairs
         left, facts = bounded(pairs)
         nodes = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
-        wanted = stored(facts.join(nodes, "node", "left_semi").select("doc_id").distinct(), "wanted")
-        texts = text_columns(docs, "doc_id", "text")
-        texts = texts.join(wanted.withColumnRenamed("doc_id", "wanted"), texts["doc_id"].eqNullSafe(F.col("wanted")), "left_semi")
+        ids = bits_of(facts.join(nodes, "node", "left_semi").select(F.xxhash64("doc_id").alias("key")))
+        wanted = docs.sparkSession.sparkContext.broadcast(ids)  # 2**FILTER_BITS bits
+        texts = text_columns(docs, "doc_id", "text").select(F.xxhash64("doc_id").alias("key"), "text")
 
         def whole(part: pa.RecordBatch) -> dict:
+            part = part.filter(pa.array(may_hold(part.column("key").to_numpy(), wanted.value)))
             value, text = _sets(tb.as_texts(part.column("text")))
             bounds = np.searchsorted(text, np.arange(part.num_rows + 1))
             return {"node": _nodes(value, bounds), "set": [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
@@ -227,8 +241,8 @@ def classes(docs: DataFrame) -> DataFrame:
     light = boundary({r["size"]: r["count"] for r in by_size.collect()}, counts)  # 4 * MAX_LIGHT rows at most
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers
     postings = map_batches(text_columns(docs, "text"), lambda part: _postings(part, shared.value, light),
-                           "key long, node long, size long, rank long, class long, indexed boolean")
-    labels = link(postings, _verify(docs, summaries), _may_link(light), ["size", "rank"])
+                           "key long, node long, size int, rank int, class int, indexed boolean")
+    labels = link(postings, _verify(docs, summaries), _may_link(light), _alike, ["size"])
     filled = summaries.where("n_shingles > 0").select("doc_id", "n_shingles", "node")
     named = stored(filled.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     smallest = stored(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
