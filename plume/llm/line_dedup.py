@@ -155,15 +155,14 @@ def _line_rows(part: pa.RecordBatch) -> dict:
             "line": number, "node": lines.hash[long_].astype(np.int64)}
 
 
-def _verify(docs: DataFrame, lines: DataFrame):
+def _verify(docs: DataFrame, firsts: DataFrame):
     """Pairs of nodes to those within the threshold; only the lines that take part are fetched."""
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             return pairs
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        places = lines.join(nodes, "node", "left_semi").groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash", "line")).alias("p"))
+        places = firsts.join(nodes, "node", "left_semi")
         spark = docs.sparkSession
         texts_wanted = spark.sparkContext.broadcast(bits_of(places.select(
             F.xxhash64("p.doc_id", "p.text_hash").alias("key"))))  # 2**FILTER_BITS bits each
@@ -202,10 +201,12 @@ def repeated(docs: DataFrame) -> DataFrame:
     # Of two lines that are both indexed at a key, each pair once.
     once = lambda a, b: ~F.col(f"{b}_indexed") | (F.col(f"{a}_node") < F.col(f"{b}_node"))
     alike = lambda a, b: F.bit_count(F.col(f"{a}_parity").bitwiseXOR(F.col(f"{b}_parity"))) <= 2 * THRESHOLD
-    labels = link(postings, _verify(docs, lines), once, alike, ["parity"])
-    first = F.min(F.struct("doc_id", "text_hash", "line"))
+    # Where each line stands first; a line that is everywhere is one row a task before the shuffle.
+    firsts = stored(lines.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("p"),
+                                              F.count("*").alias("n")), "firsts")
+    labels = link(postings, _verify(docs, firsts), once, alike, ["parity"])
     # Only lines that occur again, or have near copies, can go.
-    nodes = stored(lines.groupBy("node").agg(first.alias("p"), F.count("*").alias("n")).join(labels, "node", "left").where(
+    nodes = stored(firsts.join(labels, "node", "left").where(
         "n > 1 OR label IS NOT NULL").withColumn("label", F.coalesce("label", "node")), "nodes")
     heads = nodes.groupBy("label").agg(F.min("p").alias("head"))
     heads = stored(nodes.join(heads, "label").select("node", "head"), "heads")
