@@ -20,6 +20,7 @@ table gives an empty archive.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from plume.session import scratch_path
 
 END_ID = 0
 #: Words a worker remembers before it starts anew.
-MEMO = 600_000
+MEMO = 1_000_000
 SLICE = 6 << 20
 #: Blocks coded at once.
 TOGETHER = 16
@@ -57,65 +58,87 @@ class WordEncoder:
         self.opens = np.zeros(self.n_ids, bool)  # pieces that begin with a blank
         for piece, i in vocabulary.items():
             self.opens[i] = piece.startswith("Ġ")
+        self.newline, = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.clear()
 
     def clear(self) -> None:
+        self.tail: dict[str, np.ndarray] = {}
         self.code: dict[str, int] = {}
         self.ids, self.size, self.at, self.used, self.total = np.zeros(1 << 16, self.type), np.zeros(1 << 12, np.int64), \
             np.zeros(1 << 12, np.int64), 0, 0
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words as they stand after a blank; parts that the tokenizer keeps apart are learnt by themselves."""
-        cores = sorted({core for word in words if (core := word.rstrip(".,")) != word and core.isalpha()} - self.code.keys())
-        if cores:
-            self._store(cores, self._encode(cores))
-        plain, joined = [], []
+        """Encode words as they stand after a blank, in the parts that the tokenizer keeps apart anyway: two words
+        with one newline between them, and letters with full stops or commas behind them. A key that begins with a
+        newline stands for just that; other keys stand after a blank."""
+        single, pairs = set(), []
         for word in words:
-            if word in self.code:
-                continue
-            core = word.rstrip(".,")
-            if core != word and core in self.code and core.isalpha():
-                joined.append(word)
+            parts = word.split() if "\n" in word else ()
+            if len(parts) == 2 and len(parts[0]) + len(parts[1]) + 1 == len(word):
+                pairs.append((word, parts[0], "\n" + parts[1]))
             else:
-                plain.append(word)
-        self._store(plain, self._encode(plain))
-        tails = {word[len(word.rstrip(".,")):] for word in joined}
-        ends = {tail: np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, self.type) for tail in tails}
-        made = []
-        for word in joined:
+                single.add(word)
+        single.update(part for _, *own in pairs for part in own)
+        single -= self.code.keys()
+        plain, joined = set(), []
+        for word in single:
             core = word.rstrip(".,")
-            k = self.code[core]
-            made.append(np.concatenate([self.ids[self.at[k]:self.at[k] + self.size[k]], ends[word[len(core):]]]))
-        self._store(joined, made)
-
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """Many words in one call: a word's ids begin at each piece that opens with a blank."""
-        out: list[np.ndarray] = []
-        for i in range(0, len(words), 1024):
-            chunk = words[i:i + 1024]
-            lines = [" " + " ".join(chunk[k:k + 32]) for k in range(0, len(chunk), 32)]
-            ids = np.array([x for line in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-                            for x in line.ids], self.type)
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(chunk):  # a word with a blank character of its own kind inside
-                out += [np.array(self.tokenizer.encode(" " + word, add_special_tokens=False).ids, self.type)
-                        for word in chunk]
+            if len(core) < len(word) and (core[1:] if core[:1] == "\n" else core).isalpha():
+                plain.add(core)
+                joined.append((word, core, word[len(core):]))
             else:
-                out += np.split(ids, starts[1:])
-        return out
-
-    def _store(self, words: list[str], ids: list[np.ndarray]) -> None:
-        if not words:
-            return
-        size = np.array([len(x) for x in ids], np.int64)
-        n, m = self.used + len(words), self.total + int(size.sum())
+                plain.add(word)
+        plain -= self.code.keys()
+        for mark in ("\n", " "):
+            own = [word for word in plain if (word[0] == "\n") == (mark == "\n")]
+            if own:
+                self._store(own, *self._encode(own, mark))
+        for tail in {tail for _, _, tail in joined} - self.tail.keys():
+            self.tail[tail] = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, self.type)
+        if joined:
+            self._compose([(word, core) for word, core, _ in joined], [self.tail[tail] for _, _, tail in joined])
+        if pairs:
+            code = np.fromiter((self.code[b] for _, _, b in pairs), np.int64, len(pairs))
+            self._compose([(word, a) for word, a, _ in pairs], None, code)
+
+    def _compose(self, words: list[tuple[str, str]], ends: list[np.ndarray] | None, code: np.ndarray | None = None) -> None:
+        """Store words that are a known key and what follows it: given ids, or another known key."""
+        head = np.fromiter((self.code[core] for _, core in words), np.int64, len(words))
+        if code is None:
+            size, flat = np.array([len(x) for x in ends], np.int64), np.concatenate(ends)
+        else:
+            size, flat = self.size[code], _gather(self.ids, self.at[code], self.size[code])
+        self._store([word for word, _ in words],
+                    *_put_together(_gather(self.ids, self.at[head], self.size[head]), self.size[head], flat, size))
+
+    def _encode(self, words: list[str], mark: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each word has). Many words go in one line; a word's ids begin at each piece that opens
+        with a blank, or at each newline."""
+        flat, sizes = [], []
+        for i in range(0, len(words), 4096):
+            chunk = words[i:i + 4096]
+            lines = [" " + " ".join(chunk[k:k + 32]) if mark == " " else "".join(chunk[k:k + 32])
+                     for k in range(0, len(chunk), 32)]
+            ids: list[int] = []
+            for line in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+                ids += line.ids
+            own = np.array(ids, self.type)
+            starts = np.flatnonzero(self.opens[own] if mark == " " else own == self.newline)
+            if len(starts) != len(chunk):
+                raise ValueError("the tokenizer does not keep words apart at blanks")
+            flat.append(own)
+            sizes.append(np.diff(np.append(starts, len(own))))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _store(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n, m = self.used + len(words), self.total + len(ids)
         while len(self.size) < n:
             self.size, self.at = np.resize(self.size, 2 * len(self.size)), np.resize(self.at, 2 * len(self.at))
         while len(self.ids) < m:
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.size[self.used:n] = size
         self.at[self.used:n] = self.total + np.cumsum(size) - size
-        self.ids[self.total:m] = np.concatenate(ids)
+        self.ids[self.total:m] = ids
         self.code.update(zip(words, range(self.used, n), strict=True))
         self.used, self.total = n, m
 
@@ -134,29 +157,25 @@ class WordEncoder:
             if self.used > MEMO:
                 self.clear()
             # A text's first word stands after no blank: it is encoded by itself.
-            missing = [word for word in known if word not in self.code]
-            if missing:
-                self._learn(missing)
-            code = np.fromiter(map(self.code.__getitem__, known), np.int64, len(known))[np.asarray(words.indices)]
+            index = np.asarray(words.indices)
+            later = np.ones(len(index), bool)
+            later[bounds[:-1] - bounds[0]] = False
+            used = np.zeros(len(known), bool)
+            used[index[later]] = True
+            code = np.fromiter(map(self.code.get, known, repeat(-1)), np.int64, len(known))
+            missing = np.flatnonzero((code < 0) & used)
+            if len(missing):
+                new = [known[i] for i in missing]
+                self._learn(new)
+                code[missing] = np.fromiter(map(self.code.__getitem__, new), np.int64, len(new))
+            code = code[index]
             heads = words.take(pa.array(bounds[:-1] - bounds[0])).cast(pa.large_string()).to_pylist()
             head_ids = [np.array(x.ids, self.type) for x in
                         self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
-            size = self.size[code]
-            size[bounds[:-1] - bounds[0]] = 0
-            at = self.at[code]
-            tail = np.add.reduceat(size, bounds[:-1] - bounds[0])
-            body = self.ids[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+            size = np.where(later, self.size[code], 0)
             head_size = np.array([len(x) for x in head_ids], np.int64)
-            # Each text is its head, then its tail.
-            total = head_size + tail
-            out = np.empty(int(total.sum()), self.type)
-            is_head = np.zeros(len(out) + 1, np.int8)
-            begin = np.cumsum(total) - total
-            np.add.at(is_head, begin, 1)
-            np.add.at(is_head, begin + head_size, -1)
-            is_head = np.cumsum(is_head[:-1], dtype=np.int8) > 0
-            out[is_head] = np.concatenate(head_ids)
-            out[~is_head] = body
+            out, total = _put_together(np.concatenate(head_ids), head_size, _gather(self.ids, self.at[code], size),
+                                       np.add.reduceat(size, bounds[:-1] - bounds[0]))
             parts.append((plain, out, total))
         if odd.any():
             at = np.flatnonzero(odd)
@@ -174,6 +193,21 @@ class WordEncoder:
         return (np.concatenate(pieces) if pieces else np.zeros(0, self.type)), counts
 
 
+def _gather(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs ids[at:at + size], one behind the other."""
+    return ids[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+
+
+def _put_together(heads: np.ndarray, head_size: np.ndarray, tails: np.ndarray,
+                  tail_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each head followed by its tail: (ids, sizes)."""
+    sizes = np.stack([head_size, tail_size], 1).ravel()
+    is_head = np.repeat(np.tile([True, False], len(head_size)), sizes)
+    out = np.empty(len(is_head), heads.dtype)
+    out[is_head], out[~is_head] = heads, tails
+    return out, head_size + tail_size
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
