@@ -72,7 +72,7 @@ def _summaries(part: pa.RecordBatch) -> dict:
     n = len(texts)
     bounds = np.searchsorted(text, np.arange(n + 1))
     bucket = (value & tb.U64(BUCKETS - 1)).astype(np.int64) + text * BUCKETS
-    sketch = np.bincount(bucket, minlength=n * BUCKETS).clip(max=65535).astype("<u2").reshape(n, BUCKETS)
+    sketch = np.bincount(bucket, minlength=n * BUCKETS).clip(max=255).astype(np.uint8).reshape(n, BUCKETS)
     return {"doc_id": part.column("doc_id"), "n_shingles": np.diff(bounds), "node": _nodes(value, bounds),
             "sketch": [row.tobytes() for row in sketch]}
 
@@ -129,6 +129,10 @@ def _postings(part: pa.RecordBatch, counts: np.ndarray, light: int) -> dict:
     value, text = _sets(texts)
     bounds = np.searchsorted(text, np.arange(len(texts) + 1))
     node = _nodes(value, bounds)
+    # Bit c: whether the set has an odd number of shingles of class c.
+    flips = np.concatenate([[tb.U64(0)], np.bitwise_xor.accumulate(tb.U64(1) << (value & tb.U64(63)))]) if len(value) else \
+        np.zeros(1, tb.U64)
+    parity = (flips[bounds[1:]] ^ flips[bounds[:-1]]).astype(np.int64)
     # Equal sets of a slice post once.
     own = np.zeros(len(texts), bool)
     own[np.unique(node, return_index=True)[1]] = True
@@ -152,7 +156,7 @@ def _postings(part: pa.RecordBatch, counts: np.ndarray, light: int) -> dict:
     own_size = size[of]
     return {"key": key.astype(np.int64), "node": node[of], "size": own_size, "rank": ranks,
             "class": np.floor(np.log(np.maximum(own_size, 1)) / np.log(1.25)).astype(np.int64),
-            "indexed": (ranks == 0) | (ranks <= index_prefix(own_size))}
+            "indexed": (ranks == 0) | (ranks <= index_prefix(own_size)), "parity": parity[of]}
 
 
 def _may_link(light: int):
@@ -169,8 +173,10 @@ def _may_link(light: int):
 
 
 def _alike(a: str, b: str):
+    """Sets that link differ in a ninth of their shingles at most, and each of those flips one bit."""
     x, y = F.col(f"{a}_size"), F.col(f"{b}_size")
-    return 5 * F.least(x, y) >= 4 * F.greatest(x, y)
+    apart = F.bit_count(F.col(f"{a}_parity").bitwiseXOR(F.col(f"{b}_parity")))
+    return (5 * F.least(x, y) >= 4 * F.greatest(x, y)) & (9 * apart <= x + y)
 
 
 def _verify(docs: DataFrame, summaries: DataFrame):
@@ -187,8 +193,8 @@ def _verify(docs: DataFrame, summaries: DataFrame):
         def room(batches):
             for part in batches:
                 n = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
-                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").reshape(-1, BUCKETS) for c in ("s_a", "s_b"))
-                full = (a == 65535).any(axis=1) | (b == 65535).any(axis=1)
+                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in ("s_a", "s_b"))
+                full = (a == 255).any(axis=1) | (b == 255).any(axis=1)  # a bucket that may hold more bounds nothing
                 keep = full | (9 * np.minimum(a, b).sum(axis=1, dtype=np.int64) >= 4 * n)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
@@ -241,8 +247,8 @@ def classes(docs: DataFrame) -> DataFrame:
     light = boundary({r["size"]: r["count"] for r in by_size.collect()}, counts)  # 4 * MAX_LIGHT rows at most
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers
     postings = map_batches(text_columns(docs, "text"), lambda part: _postings(part, shared.value, light),
-                           "key long, node long, size int, rank int, class int, indexed boolean")
-    labels = link(postings, _verify(docs, summaries), _may_link(light), _alike, ["size"])
+                           "key long, node long, size int, rank int, class int, indexed boolean, parity long")
+    labels = link(postings, _verify(docs, summaries), _may_link(light), _alike, ["size", "parity"])
     filled = summaries.where("n_shingles > 0").select("doc_id", "n_shingles", "node")
     named = stored(filled.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     smallest = stored(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")

@@ -106,7 +106,8 @@ def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link
         F.least("m_node", "l_node").alias("a"), F.greatest("m_node", "l_node").alias("b")).distinct(), "pairs")
     links = stored(verify(first), "links")
     labels = components(links)
-    named = stored(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
+    # A shuffle join at any size: as many labels as nodes that link.
+    named = stored(members.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     open_ = stored(named.join(mixed, "key"), "members")
     side = lambda p: open_.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "label", "rank", "indexed", *carry)])
