@@ -67,10 +67,14 @@ most_engaged_posts = hottest_posts
 
 def history_cap(df: DataFrame, group: str, order_cols, keep: int = 5_000, above: int = 10_000) -> DataFrame:
     """A group of more than ``above`` rows is trimmed to its first ``keep``;
-    smaller ones stay whole. The window is limited to ``above + 1`` rows before
-    the shuffle: they tell whether the group is over the mark."""
+    smaller ones stay whole. A group is dealt out by a hash of its rows first,
+    and each part keeps ``above + 1`` rows at most, so no task sorts a whole
+    hot group; what is left tells whether the group is over the mark."""
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(64))
+    near = df.withColumn("_part", part).withColumn("_r", F.row_number().over(
+        Window.partitionBy(group, "_part").orderBy(*order_cols))).where(F.col("_r") <= above + 1).drop("_part")
     w = Window.partitionBy(group).orderBy(*order_cols)
-    ranked = df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= above + 1)
+    ranked = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= above + 1)
     size = F.max("_r").over(Window.partitionBy(group))
     return ranked.withColumn("_n", size).where((F.col("_n") <= above) | (F.col("_r") <= keep)).drop("_r", "_n")
 

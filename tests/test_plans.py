@@ -35,7 +35,7 @@ def test_projection_is_pruned(spark):
     assert "ReadSchema: struct<page_id:bigint,url:string>" in p
 
 
-@pytest.mark.parametrize("name", ["top_posts_per_hour", "cap_per_community", "seen_history_cap", "log_tail"])
+@pytest.mark.parametrize("name", ["top_posts_per_hour", "cap_per_community", "log_tail"])
 def test_topk_per_group_limits_before_shuffle(spark, name):
     df = catalog.queries()[name](spark, SF_SMALL)
     p = df._jdf.queryExecution().sparkPlan().toString()
