@@ -13,8 +13,10 @@ the few starts that the edits on either side allow. Candidates are verified
 by a banded bit-parallel edit distance; :mod:`plume.llm.linking` makes the
 classes. Equal lines are one node from the start.
 
-Lines are what stands between newlines; those shorter than :data:`MIN_CHARS`
-code points always stay and are compared with nothing. Defined results: null
+Lines are what stands between newlines. Lines shorter than :data:`MIN_CHARS`
+code points, too short for segments that all hold a character, are near copies
+of equal lines only. Lines without any but ASCII blanks always stay and are
+compared with nothing. Defined results: null
 texts stay null, empty ones empty; a text's other lines stay in order, joined
 by newlines again; rows equal in id and text are one document and treated
 alike; null ids come before all others; a carriage return is part of its
@@ -33,7 +35,8 @@ from plume.llm.common import map_batches, map_whole, stored, text_columns, unuse
 from plume.llm.linking import bits_of, link, may_hold
 
 THRESHOLD = 2
-MIN_CHARS = 24
+#: Code points of the shortest line whose segments all hold one: shorter lines are compared by their hashes only.
+MIN_CHARS = THRESHOLD + 1
 
 _BASE = tb.U64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = tb.U64(pow(int(_BASE), -1, 1 << 64))
@@ -48,11 +51,12 @@ def _powers(n: int) -> list[np.ndarray]:
     return _tables
 
 
-def _lines(texts: tb.Texts) -> tuple[tb.Words, np.ndarray, np.ndarray]:
-    """Non-empty lines with hashes, and their bounds in code points."""
+def _lines(texts: tb.Texts) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Non-empty lines with hashes, their bounds in code points, and whether they hold more than blanks."""
     lines = tb.words(texts, tb.NOT_NEWLINE)
     heads = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
-    return lines, heads[lines.start], heads[lines.end]
+    filled = np.concatenate([[0], np.cumsum(tb.NOT_BLANK[texts.data])])
+    return lines, heads[lines.start], heads[lines.end], filled[lines.end] > filled[lines.start]
 
 
 def segments(size: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -69,10 +73,10 @@ def segments(size: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[np.ndar
 
 def _postings(part: pa.RecordBatch) -> dict:
     texts = tb.as_texts(part.column("text"))
-    lines, begin, end = _lines(texts)
+    lines, begin, end, filled = _lines(texts)
     fresh = np.zeros(len(begin), bool)
     fresh[np.unique(lines.hash, return_index=True)[1]] = True
-    pick = np.flatnonzero(fresh & (end - begin >= MIN_CHARS))
+    pick = np.flatnonzero(fresh & filled & (end - begin >= MIN_CHARS))
     begin, end, node = begin[pick], end[pick], lines.hash[pick].astype(np.int64)
     chars = np.frombuffer(texts.data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
     power, inverse = _powers(len(chars) + 1)
@@ -145,14 +149,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _line_rows(part: pa.RecordBatch) -> dict:
     texts = tb.as_texts(part.column("text"))
-    lines, begin, end = _lines(texts)
-    long_ = np.flatnonzero(end - begin >= MIN_CHARS)
-    text = lines.text_of()[long_]
+    lines, _, _, filled = _lines(texts)
+    own = np.flatnonzero(filled)
+    text = lines.text_of()[own]
     newline = np.concatenate([[0], np.cumsum(texts.data == 0x0A)])
-    number = newline[lines.start[long_]] - newline[texts.bounds[text]]
+    number = newline[lines.start[own]] - newline[texts.bounds[text]]
     rows = pa.array(text)
     return {"doc_id": part.column("doc_id").take(rows), "text_hash": part.column("text_hash").take(rows),
-            "line": number, "node": lines.hash[long_].astype(np.int64)}
+            "line": number, "node": lines.hash[own].astype(np.int64)}
 
 
 def _verify(docs: DataFrame, firsts: DataFrame):

@@ -105,3 +105,11 @@ def test_hot_line_and_chain(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+def test_short_lines_take_part(spark):
+    rows = [(1, "Les.\n\n \r\nab\nb\n\u6f22\nAll rights reserved."), (2, "Les.\n\n \r\nac\nb\n\u6f22"),
+            (3, "All right reserved\n12345\nab"), (4, "Les.\n \r\n\nquite other"), (5, "xyz"), (6, "xyz\nxyz")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in ld.dedup(df).collect()} == {
+        1: rows[0][1], 2: "\n \r\nac", 3: "12345", 4: " \r\n\nquite other", 5: "xyz", 6: ""}
