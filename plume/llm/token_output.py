@@ -9,7 +9,9 @@ checksums and gives each document's place and checksum.
 
 Within a text, words between single blanks are encoded once per worker and
 remembered (at most :data:`MEMO` words): the tokenizer never merges across
-such a blank. Texts with other blank runs go through the tokenizer whole.
+such a blank. Texts with other blank runs, and those that hold the content of
+an added token such as ``<|endoftext|>``, go through the tokenizer whole: its
+ids are those of ``encode(text, add_special_tokens=False)`` for every text.
 
 Defined results: null and empty texts are the end id alone; the end id
 follows every document; null ids come first; rows with the same doc_id are
@@ -51,7 +53,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.n_ids = self.tokenizer.get_vocab_size()
         self.type = np.uint16 if self.n_ids <= 1 << 16 else np.uint32
         vocabulary = self.tokenizer.get_vocab()
@@ -147,6 +149,8 @@ class WordEncoder:
         column = column.fill_null("").cast(pa.large_string())
         odd = pc.match_substring_regex(column, r"(?:^|\s) |\s$| \s|[\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
         odd = odd.to_numpy(zero_copy_only=False) | (pc.binary_length(column).to_numpy() == 0)
+        for content in self.added:
+            odd = odd | pc.match_substring(column, content).to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~odd)
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(plain):

@@ -81,3 +81,18 @@ def test_archive_of_stored_documents(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+def test_added_tokens_as_a_fresh_tokenizer_gives_them(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y\n<|endoftext|> <|endoftext|>", "a b", "<|endoftext| > a"]
+    want = [fresh.encode(x, add_special_tokens=False).ids for x in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    ids, counts = t.encoder(PATH).encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(t.read_archive(spark, t.write_archive(docs, PATH)).collect(), key=lambda r: r["doc_id"])
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in rows] == [
+        (len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for x in want]
