@@ -11,7 +11,12 @@ and an item match if the sum of smaller weights is at least
 
 A window that shares no shingle with any item has similarity 0 with all, so
 only windows that do are fingerprinted: for each shared shingle, the window
-of the item's size that lies where the item would.
+of the item's size that lies where the item would. Fingerprints farther apart
+than the radius do not rule a pair out: where as many of a window's shingles
+are the item's as the similarity needs, the pair is verified too. If no such
+window of a text matches an item, the windows that begin at a shared shingle
+are tried, and those from the text's start that end at one: cut elsewhere, a
+window shares no more. So no pair is missed.
 
 Items are sent to the executors :data:`ITEMS` at a time, and the documents
 are read once for each lot; there is no other bound on the benchmark.
@@ -138,30 +143,63 @@ def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, i
     begin = place - index.offset[posting]
     end = np.minimum(begin + index.n_words[index.item[posting]], w.first[text + 1])
     begin = np.maximum(begin, w.first[text])
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+
+    def runs(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, number of shingles and the first one's place of each window."""
+        text = np.searchsorted(w.first, begin, "right") - 1
+        # A window's shingles are one run: those of a long text in order, that of a short text behind all others.
+        is_short = count[text] < SHINGLE
+        return text, np.where(is_short, 1, end - begin - SHINGLE + 1), np.where(
+            is_short, n_windows + np.searchsorted(short, text), np.searchsorted(at[:n_windows], begin))
+
+    def verify(pairs: np.ndarray) -> None:
+        """Pairs (begin, end, item), in order."""
+        text, size, start = runs(pairs[:, 0], pairs[:, 1])
+        counter, last = None, None
+        for k, (begin, end, i) in enumerate(pairs.tolist()):
+            if (begin, end) != last:
+                counter, last = Counter(value[start[k]:start[k] + size[k]].tolist()), (begin, end)
+            other = index.counters[i]
+            shared = sum(min(x, other[h]) for h, x in counter.items() if h in other)
+            total = counter.total() + other.total() - shared
+            # In whole numbers, so that a pair at the threshold itself counts.
+            if 100 * shared >= round(100 * SIMILARITY) * total:
+                key = (int(text[k]), i)
+                rank = (shared / total, -begin)
+                if key not in best or rank > best[key][:2]:
+                    best[key] = (*rank, end - begin)
+
     windows = np.unique(np.stack([begin, end], 1), axis=0)
-    begin, end = windows[:, 0], windows[:, 1]
-    text = np.searchsorted(w.first, begin, "right") - 1
-    # A window's shingles are one run: those of a long text in order, that of a short text behind all others.
-    is_short = count[text] < SHINGLE
-    size = np.where(is_short, 1, end - begin - SHINGLE + 1)
-    start = np.where(is_short, n_windows + np.searchsorted(short, text), np.searchsorted(at[:n_windows], begin))
+    _, size, start = runs(windows[:, 0], windows[:, 1])
     good = size > 0
-    begin, end, text, size, start = begin[good], end[good], text[good], size[good], start[good]
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    own, item = index.near(fingerprints(value, start, size))
-    counter, last = None, -1
-    for k, i in zip(own.tolist(), item.tolist(), strict=True):
-        if k != last:
-            counter, last = Counter(value[start[k]:start[k] + size[k]].tolist()), k
-        other = index.counters[i]
-        shared = sum(min(x, other[h]) for h, x in counter.items() if h in other)
-        total = counter.total() + other.total() - shared
-        # In whole numbers, so that a pair at the threshold itself counts.
-        if 100 * shared >= round(100 * SIMILARITY) * total:
-            key = (int(text[k]), i)
-            rank = (shared / total, -int(begin[k]))
-            if key not in best or rank > best[key][:2]:
-                best[key] = (*rank, int(end[k] - begin[k]))
+    windows, size, start = windows[good], size[good], start[good]
+    own, near = index.near(fingerprints(value, start, size))
+
+    # Places where a window's shingle is the item's: no fewer than what they share.
+    owner = index.item[posting]
+    span = len(w.hash) + 1
+    places = np.unique(owner * span + place)
+    item_size = np.maximum(index.n_words - SHINGLE + 1, 1)
+
+    def enough(begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Pairs (begin, end, item) that may be similar enough, each once and in order."""
+        _, size, _ = runs(begin, end)
+        most = np.searchsorted(places, item * span + begin + size) - np.searchsorted(places, item * span + begin)
+        most = np.minimum(most, item_size[item])
+        may = (size > 0) & (100 * most >= round(100 * SIMILARITY) * (size + item_size[item] - most))
+        return np.unique(np.stack([begin[may], end[may], item[may]], 1), axis=0)
+
+    verify(np.unique(np.concatenate([np.column_stack([windows[own], near]), enough(begin, end, owner)]), axis=0))
+    owner, place = places // span, places % span
+    text = np.searchsorted(w.first, place, "right") - 1
+    head, tail, words = w.first[text], w.first[text + 1], index.n_words[owner]
+    cut = np.flatnonzero((place + SHINGLE - head <= words) & (count[text] >= SHINGLE))
+    other = enough(np.concatenate([place, head[cut]]), np.concatenate([np.minimum(place + words, tail), place[cut] + SHINGLE]),
+                   np.concatenate([owner, owner[cut]]))
+    text = np.searchsorted(w.first, other[:, 0], "right") - 1
+    open_ = [(t, i) not in best for t, i in zip(text.tolist(), other[:, 2].tolist(), strict=True)]
+    verify(other[np.array(open_, bool)])
     return [(t, i, s, -b - int(w.first[t]), n) for (t, i), (s, b, n) in sorted(best.items())]
 
 

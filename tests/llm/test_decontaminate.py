@@ -107,3 +107,25 @@ def test_lots_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(dc, "ITEMS", 15)
     assert sorted(pairs(spark, docs, items)) == whole
     assert pairs(spark, [], items) == [] and pairs(spark, docs[:5], []) == []
+
+
+def test_every_pair_at_the_threshold(spark):
+    rng = random.Random(7)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [(i, " ".join(fresh(40))) for i in range(40)]
+    docs = []
+    for n in range(1500):  # four of 36 shingles changed: 32 / 40
+        ws = items[n % 40][1].split()
+        ws[36:37] = fresh(1)
+        docs.append((n, " ".join(fresh(n % 5) + ws + fresh(n % 3))))
+    want = {(n, n % 40) for n in range(1500)}
+    # Two words go or come at some place; brute force says which of them still match.
+    edited = []
+    for n in range(120):
+        ws = items[n % 40][1].split()
+        for _ in range(2):
+            k = rng.randrange(len(ws))
+            ws[k:k + 1] = rng.choice(([], [ws[k], *fresh(2)]))
+        edited.append((2000 + n, " ".join(fresh(n % 4) + ws + fresh(n % 3))))
+    got = pairs(spark, docs + edited, items)
+    assert len(got) == len(set(got)) and set(got) == want | brute(edited, items)
