@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plume.llm import decontaminate, importance, jaccard_join, license_scan, line_dedup, link_trust, piece_lattice, \
-    quality_rules, token_output, warc
+    quality_rules, token_output, warc, word_runs
 from plume.llm.common import table
 
 
@@ -58,6 +58,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path, payloads=False)))
 
 
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.find_runs(word_runs.repeat_tails(table(spark, sf_dir, "documents")))
+    # Of the longest runs the first, of those that with the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    return out.select("doc_id", "n_runs", (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+                      (-F.col("best.shorter")).alias("period"),
+                      F.expr("1000 * best.length div -best.shorter").alias("exponent_milli"),
+                      F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_output,
     op2_piece_lattice,
@@ -69,6 +81,7 @@ QUERIES = {f.__name__: f for f in (
     op8_importance,
     op9_license_scan,
     op10_warc,
+    op13_word_runs,
 )}
 
 ORACLE_SQL: dict[str, str] = {
