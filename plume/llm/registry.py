@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plume.llm import decontaminate, importance, jaccard_join, license_scan, line_dedup, link_trust, piece_lattice, \
+from plume.llm import decontaminate, grid_join, importance, jaccard_join, license_scan, line_dedup, link_trust, piece_lattice, \
     quality_rules, token_output, warc, word_runs
 from plume.llm.common import table
 
@@ -58,6 +58,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path, payloads=False)))
 
 
+def op12_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = word_runs.find_runs(word_runs.repeat_tails(table(spark, sf_dir, "documents")))
     # Of the longest runs the first, of those that with the smallest period.
@@ -81,6 +85,7 @@ QUERIES = {f.__name__: f for f in (
     op8_importance,
     op9_license_scan,
     op10_warc,
+    op12_grid_join,
     op13_word_runs,
 )}
 
