@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plume.llm import decontaminate, grid_join, importance, jaccard_join, license_scan, line_dedup, link_trust, piece_lattice, \
-    quality_rules, token_output, warc, word_runs
+    quality_rules, token_output, turn_repair, warc, word_runs
 from plume.llm.common import table
 
 
@@ -58,6 +58,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path, payloads=False)))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.repair(turn_repair.damage(conversations)), conversations)
+
+
 def op12_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_copies(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +90,7 @@ QUERIES = {f.__name__: f for f in (
     op8_importance,
     op9_license_scan,
     op10_warc,
+    op11_turn_repair,
     op12_grid_join,
     op13_word_runs,
 )}
