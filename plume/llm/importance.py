@@ -5,9 +5,12 @@ Gumbel top-k.
 The raw model counts every word and word pair of every document. The target
 model counts a bounded sample (:data:`SAMPLE` rows, by a hash of doc_id) of
 the rows labelled good and not toxic. A document's log weight is the sum of
-its features' log ratios; it is drawn if log weight plus Gumbel noise (from a
-hash of doc_id and the seed) is among the k largest, where k is a share of
-all documents, by default the share of good rows among the labelled ones.
+its features' log ratios. It is drawn if its log weight at the common length
+(:data:`LENGTH` times the mean of its features' log ratios) plus Gumbel noise
+(from a hash of doc_id and the seed) is among the k largest, where k is a share
+of all documents, by default the share of good rows among the labelled ones.
+At its own length a text's weight would say how long it is: the raw model has
+seen every text, the target model a sample, so each feature costs a little.
 
 Defined results: null and empty texts have weight 0 (ratio 1); without target
 rows every weight is 0 and the noise alone draws; without labels the share is
@@ -31,30 +34,32 @@ SAMPLE = 20_000
 BITS = 16
 SMOOTHING = 0.5
 SEED = 7
+#: Features that a text counts for when it is drawn.
+LENGTH = 100
 #: Histogram bins of each round of the search for the k-th largest key.
 BINS = 4096
 
 
-def _features(texts: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
+def _features(texts: tb.Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, text) of each word and word pair; the two halves of the buckets."""
     w = tb.words(texts, fold=True)
     pair, at = tb.windows(w, 2)
-    shift = tb.U64(65 - BITS)
+    shift = tb.U64(65 - bits)
     bucket = np.concatenate([(w.hash >> shift).astype(np.int64),
-                             (pair >> shift).astype(np.int64) + (1 << (BITS - 1))])
+                             (pair >> shift).astype(np.int64) + (1 << (bits - 1))])
     return bucket, np.concatenate([w.text_of(), np.searchsorted(w.first, at, "right") - 1])
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """Features by bucket over all documents: one array of 2**BITS counts a slice, summed by Spark."""
+def bucket_counts(docs: DataFrame, bits: int) -> np.ndarray:
+    """Features by bucket over all documents: one array of 2**bits counts a slice, summed by Spark."""
     def count(part: pa.RecordBatch) -> dict:
-        own = np.bincount(_features(tb.as_texts(part.column("text")))[0], minlength=1 << BITS)
+        own = np.bincount(_features(tb.as_texts(part.column("text")), bits)[0], minlength=1 << bits)
         at = np.flatnonzero(own)
         return {"bucket": at, "n": own[at]}
 
     rows = map_batches(text_columns(docs, "text"), count, "bucket int, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")).toPandas()  # 2**BITS rows at most
-    out = np.zeros(1 << BITS)
+        F.sum("n").alias("n")).toPandas()  # 2**bits rows at most
+    out = np.zeros(1 << bits)
     out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return out
 
@@ -100,20 +105,22 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float:
     return lo
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED,
+             bits: int | None = None) -> DataFrame:
     """One row per document: log weight, key, drawn or not."""
-    ratio = log_ratio(bucket_counts(target_rows(docs, labels)), bucket_counts(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)  # 2**BITS values
+    bits = bits or BITS  # goes to the executors as an argument
+    ratio = log_ratio(bucket_counts(target_rows(docs, labels), bits), bucket_counts(docs, bits))
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)  # 2**bits values
 
     def score(part: pa.RecordBatch) -> dict:
-        bucket, text = _features(tb.as_texts(part.column("text")))
+        bucket, text = _features(tb.as_texts(part.column("text")), bits)
         n = part.num_rows
         return {"doc_id": part.column("doc_id"), "n_features": np.bincount(text, minlength=n),
                 "log_weight": np.bincount(text, shared.value[bucket], n)}
 
     keys = stored(map_batches(text_columns(docs, "doc_id", "text"), score,
                               "doc_id long, n_features long, log_weight double").withColumn(
-        "key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)), "importance")
+        "key", LENGTH * F.col("log_weight") / F.greatest("n_features", F.lit(1)) + gumbel(F.col("doc_id"), seed)), "importance")
     n = keys.count()
     if not n:
         return keys.withColumn("kept", F.lit(True))

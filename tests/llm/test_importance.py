@@ -12,8 +12,8 @@ from plume.llm import importance as im
 SF = "/root/testdata/sf0.01"
 
 
-def test_weights_follow_the_two_models(spark, monkeypatch):
-    monkeypatch.setattr(im, "BITS", 24)  # so wide that no two features of the test meet
+def test_weights_follow_the_two_models(spark):
+    bits = 24  # so wide that no two features of the test meet
     docs = [(0, "good good words here"), (1, "bad stuff Bad"), (2, None), (3, ""), (4, "good words"), (None, "bad stuff"), (4, "good words")]
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, key int")
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (4, 1, None), (None, 1, 0), (2, None, None)], "doc_id long, quality int, toxic int")
@@ -22,7 +22,7 @@ def test_weights_follow_the_two_models(spark, monkeypatch):
     def log_p(model, x):
         return math.log((model[x] + 0.5) / (model.total() + 0.5 * (1 << 23)))
     want = [sum(n * (log_p(target[k], x) - log_p(raw[k], x)) for k in (0, 1) for x, n in g[k].items()) for g in grams]
-    rows = im.resample(df, labels).collect()
+    rows = im.resample(df, labels, bits=bits).collect()
     assert sorted(round(r["log_weight"], 6) for r in rows) == sorted(round(w, 6) + 0.0 for w in want)
     n, share = len(docs), 3 / 4
     cut = sorted((r["key"] for r in rows), reverse=True)[math.ceil(share * n) - 1]
