@@ -22,6 +22,7 @@ from ..operators import models as MD
 from ..operators import similarity as SIM
 from ..operators import text as TX
 from ..operators import ranking as R
+from ..operators import related as REL
 from ..operators import silver as S
 from ..operators import trends as TR
 from ..operators import views as V
@@ -803,6 +804,10 @@ def q_related_docs(spark, sf_dir):
     return TX.related_groups(docs(spark, sf_dir), "doc_id", "text")
 
 
+def q_related_classes(spark, sf_dir):
+    return REL.related_classes(docs(spark, sf_dir), "doc_id", "text")
+
+
 def queries() -> dict[str, Query]:
     return {
         "trending_windows": q_trending_windows,
@@ -915,6 +920,7 @@ def queries() -> dict[str, Query]:
         "sql_functions": q_sql_functions,
         "lda_topics": q_lda_topics,
         "related_docs": q_related_docs,
+        "related_classes": q_related_classes,
     }
 
 

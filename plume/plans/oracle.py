@@ -7,6 +7,8 @@ trip, so the envelope/bronze parse path is itself under test.
 
 from __future__ import annotations
 
+from ..operators import related as REL
+
 # Fixed values shared with the Spark side (see plume.plans.catalog).
 AS_OF = "2024-01-30 12:00:00"
 
@@ -700,3 +702,27 @@ FROM b JOIN m ON b.band = m.band AND b.bucket = m.bucket GROUP BY b.doc_id"""
 
 
 Q["related_docs"] = _related_sql()
+
+
+def _related_classes_sql() -> str:
+    """All pairs that share a band, verified; classes by recursion over the links."""
+    least = ", ".join(f"min(({a} * x + {b}) % {REL.PRIME}) AS m{i}" for i, (a, b) in enumerate(REL.multipliers()))
+    bands = ", ".join("concat_ws('|', " + ", ".join(f"m{b * REL.ROWS + r}" for r in range(REL.ROWS)) + ")" for b in range(REL.BANDS))
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '')) AS word
+  FROM documents),
+x AS (SELECT doc_id, word, CAST('0x' || substr(md5(word), 1, 7) AS BIGINT) AS x FROM w),
+s AS (SELECT doc_id, count(*) AS n, {least} FROM x GROUP BY doc_id),
+p AS (SELECT doc_id, unnest(generate_series(1, {REL.BANDS})) AS band, unnest([{bands}]) AS bucket FROM s),
+c AS (SELECT DISTINCT p.doc_id AS a, q.doc_id AS b FROM p JOIN p q ON p.band = q.band AND p.bucket = q.bucket AND p.doc_id < q.doc_id),
+shared AS (SELECT a, b, count(*) AS n FROM c JOIN w u ON u.doc_id = a JOIN w v ON v.doc_id = b AND u.word = v.word GROUP BY a, b),
+l AS (SELECT a, b FROM shared JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b
+      WHERE shared.n >= {REL.RATIO} * (p.n + q.n - shared.n)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+k AS (SELECT doc_id, min(other) AS class_id FROM r GROUP BY doc_id)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM k"""
+
+
+Q["related_classes"] = _related_classes_sql()

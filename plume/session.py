@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -66,3 +66,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+class Workspace:
+    """Tables that one job stores in the shared folder, one after another.
+
+    ``put`` writes a table and reads it back: lineage ends there, so a lost
+    executor costs one step. ``drop`` deletes tables that no later step reads,
+    once their successor is written.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root, self._n = spark, scratch_path(spark, name), 0
+
+    def put(self, df: DataFrame, *replaces: DataFrame) -> DataFrame:
+        self._n += 1
+        path = f"{self.root}/{self._n}"
+        df.write.parquet(path)
+        for old in replaces:
+            self.drop(old)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._stored_at = path
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
