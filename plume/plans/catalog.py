@@ -19,6 +19,7 @@ from ..functions.time import age_bucket, parse_time
 from ..operators import kpis as K
 from ..operators import lake as LK
 from ..operators import models as MD
+from ..operators import outliers as OUT
 from ..operators import similarity as SIM
 from ..operators import text as TX
 from ..operators import ranking as R
@@ -618,6 +619,18 @@ def q_anomaly_flag(spark, sf_dir):
     return MD.anomaly_flag(silver(spark, sf_dir, "created_at"), AS_OF, 30, 3.5)
 
 
+def _feature_posts(spark, sf_dir):
+    return silver(spark, sf_dir, "created_at", "text_clean", "hashtags", "engagement_score")
+
+
+def q_silver_features(spark, sf_dir):
+    return OUT.post_features(_feature_posts(spark, sf_dir), AS_OF, POST_TOPICS, POST_POSITIVE, POST_NEGATIVE)
+
+
+def q_unusual_posts(spark, sf_dir):
+    return OUT.unusual_posts(_feature_posts(spark, sf_dir), AS_OF, POST_TOPICS, POST_POSITIVE, POST_NEGATIVE)
+
+
 def q_dq_checks(spark, sf_dir):
     b = bronze(spark, sf_dir)
     return MD.dq_checks(b, S.silver_all(b, dedup=False), AS_OF)
@@ -901,6 +914,8 @@ def queries() -> dict[str, Query]:
         "merge_schema": q_merge_schema,
         "forecast_volume": q_forecast_volume,
         "anomaly_flag": q_anomaly_flag,
+        "silver_features": q_silver_features,
+        "unusual_posts": q_unusual_posts,
         "dq_checks": q_dq_checks,
         "log_tail": q_log_tail,
         "collector_health": q_collector_health,

@@ -7,6 +7,7 @@ trip, so the envelope/bronze parse path is itself under test.
 
 from __future__ import annotations
 
+from ..operators import outliers as OUT
 from ..operators import related as REL
 
 # Fixed values shared with the Spark side (see plume.plans.catalog).
@@ -329,7 +330,7 @@ GROUP BY ws, source""")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"trending_windows": TRENDING_WINDOWS, **Q, **_text_sql()}
+    return {"trending_windows": TRENDING_WINDOWS, **Q, **_text_sql(), **_model_sql()}
 
 
 # ------------------------------------------------------------------ text
@@ -726,3 +727,59 @@ SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FRO
 
 
 Q["related_classes"] = _related_classes_sql()
+
+
+def _features_sql() -> str:
+    from .catalog import POST_NEGATIVE, POST_POSITIVE, POST_TOPICS
+
+    topics, pos, neg = _list(POST_TOPICS), _list(POST_POSITIVE), _list(POST_NEGATIVE)
+    return f"""
+worded AS (SELECT source, post_id, text_clean, list_filter(regexp_split_to_array(lower(text_clean), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '') AS words
+           FROM ({Q["clean_text"]})),
+posts AS (
+  SELECT w.source, w.post_id, CAST(length(text_clean) AS DOUBLE) AS post_length,
+         s.engagement_score / (1 + greatest(CAST(floor(epoch({_AS_OF})) AS BIGINT) - CAST(floor(epoch(s.created_at)) AS BIGINT), 0) / 3600) AS engagement_rate,
+         CAST(len(list_distinct(list_concat(
+           list_filter({topics}, lambda k: contains(' ' || array_to_string(words, ' ') || ' ', ' ' || k || ' ')),
+           list_transform(s.hashtags, lambda h: lower(h))))) AS DOUBLE) AS keyword_count,
+         (len(list_filter(words, lambda w: list_contains({pos}, w))) - len(list_filter(words, lambda w: list_contains({neg}, w))))
+           / greatest(len(words), 1) AS sentiment
+  FROM worded w JOIN silver s ON w.source = s.source AND w.post_id = s.post_id)"""
+
+
+def _forest_sql() -> str:
+    """The same forest level by level: sample rows and posts go down the trees side by side."""
+    t, s, n = OUT.TREES, OUT.SAMPLE, len(OUT.FEATURES)
+    depth = (s - 1).bit_length()
+    code = lambda end: f"CAST('0x' || substr(md5(tree || ':' || code || '{end}'), 1, 7) AS BIGINT)"
+    path = (f"CASE WHEN n < 2 THEN 0.0 WHEN n = 2 THEN 1.0 ELSE 2 * (ln(n - 1) + {OUT.EULER}) - 2 * (n - 1) / n END")
+    order = ", ".join(f"({code('')} + {k}) % {n} + 1" for k in range(n))
+    steps = []
+    for level in range(depth + 1):
+        low, high = (", ".join(f"{f}(f[{k + 1}])" for k in range(n)) for f in ("min", "max"))
+        last = "true" if level == depth else "n < 2"
+        steps.append(f"""
+stats{level} AS (SELECT tree, code, count(*) AS n, [{low}] AS lo, [{high}] AS hi FROM rows{level} GROUP BY tree, code),
+split{level} AS (
+  SELECT tree, code, n, CASE WHEN {last} THEN NULL ELSE list_filter([{order}], lambda k: lo[k] < hi[k])[1] END AS j,
+         list_transform(lo, lambda x, i: x + (hi[i] - x) * (({code('/')} + 0.5) / {OUT.HASH})) AS cut FROM stats{level}),
+leaf{level} AS (SELECT source, post_id, {level} + {path} AS path FROM down{level} JOIN split{level} USING (tree, code) WHERE j IS NULL)""")
+        if level < depth:
+            for name in ("rows", "down"):
+                keys = "" if name == "rows" else "source, post_id, "
+                steps.append(f"""
+{name}{level + 1} AS (SELECT {keys}tree, code || CASE WHEN f[j] < cut[j] THEN '0' ELSE '1' END AS code, f
+                  FROM {name}{level} JOIN split{level} USING (tree, code) WHERE j IS NOT NULL)""")
+    leaves = " UNION ALL ".join(f"SELECT * FROM leaf{level}" for level in range(depth + 1))
+    return "WITH " + SILVER + "," + _features_sql() + f""",
+numbered AS (SELECT [{", ".join(OUT.FEATURES)}] AS f, source, post_id,
+                    row_number() OVER (ORDER BY md5(concat_ws('|', source, post_id)), {", ".join(OUT.FEATURES)}) - 1 AS i FROM posts),
+rows0 AS (SELECT CAST(i % {t} AS VARCHAR) AS tree, '' AS code, f FROM numbered WHERE i < {t * s}),
+down0 AS (SELECT source, post_id, CAST(range AS VARCHAR) AS tree, '' AS code, f FROM numbered, range({t})),""" + ",".join(steps) + f""",
+scored AS (SELECT source, post_id, round(pow(2.0, -(sum(path) / {t}) / {OUT.average_path(s)}), 6) AS score FROM ({leaves}) GROUP BY source, post_id),
+ranked AS (SELECT *, rank() OVER (ORDER BY score DESC) AS r, count(*) OVER () AS total FROM scored)
+SELECT p.*, score, r <= ceil(0.01 * total) AS is_anomaly FROM posts p JOIN ranked USING (source, post_id)"""
+
+
+def _model_sql() -> dict[str, str]:
+    return {"silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}
