@@ -705,15 +705,27 @@ FROM b JOIN m ON b.band = m.band AND b.bucket = m.bucket GROUP BY b.doc_id"""
 Q["related_docs"] = _related_sql()
 
 
+def _crc_step(k: int) -> int:
+    for _ in range(8):
+        k = (k >> 1) ^ (0xEDB88320 if k & 1 else 0)
+    return k
+
+
 def _related_classes_sql() -> str:
-    """All pairs that share a band, verified; classes by recursion over the links."""
+    """All pairs that share a band, verified; classes by recursion over the links. DuckDB has no crc32, so it is folded
+    over the bytes of each distinct word."""
+    crc_table = [_crc_step(k) for k in range(256)]
     least = ", ".join(f"min(({a} * x + {b}) % {REL.PRIME}) AS m{i}" for i, (a, b) in enumerate(REL.multipliers()))
     bands = ", ".join("concat_ws('|', " + ", ".join(f"m{b * REL.ROWS + r}" for r in range(REL.ROWS)) + ")" for b in range(REL.BANDS))
     return f"""
 WITH RECURSIVE w AS (
   SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '')) AS word
   FROM documents),
-x AS (SELECT doc_id, word, CAST('0x' || substr(md5(word), 1, 7) AS BIGINT) AS x FROM w),
+crc AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode(word))),
+               lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT))),
+               lambda c, b: xor({crc_table}[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS x
+        FROM (SELECT DISTINCT word FROM w)),
+x AS (SELECT doc_id, x FROM w JOIN crc USING (word)),
 s AS (SELECT doc_id, count(*) AS n, {least} FROM x GROUP BY doc_id),
 p AS (SELECT doc_id, unnest(generate_series(1, {REL.BANDS})) AS band, unnest([{bands}]) AS bucket FROM s),
 c AS (SELECT DISTINCT p.doc_id AS a, q.doc_id AS b FROM p JOIN p q ON p.band = q.band AND p.bucket = q.bucket AND p.doc_id < q.doc_id),
