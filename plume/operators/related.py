@@ -111,10 +111,17 @@ def carried_labels(links: DataFrame, space: Workspace) -> DataFrame:
             return now
 
 
+def one_row_each(docs: DataFrame, space: Workspace, key: str, text: str) -> DataFrame:
+    """Ids that stand in several rows are usually few; stored first, they are known to be, and no text is shuffled."""
+    again = space.put(docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
+    return docs.join(again, key, "left_anti").union(docs.join(again, key, "left_semi").groupBy(key).agg(F.max(text).alias(text)))
+
+
 def related_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, class_id, class_size): one row per document. Documents without words are classes of their own; a document
-    without an id has no class."""
+    """(key, class_id, class_size): one row per row of the table. Documents without words are classes of their own; a
+    document without an id has no class; of several rows with one id the one with the greatest text counts."""
     space = Workspace(docs.sparkSession, "related")
+    rows, docs = docs.select(key), one_row_each(docs.select(key, text), space, key, text)
     check = lambda pairs: verified(pairs, sketches, docs, space, key, text)
     signed = space.put(signatures(docs, key, text))
     heads = signed.groupBy("set").agg(F.min(key).alias("node"))
@@ -145,6 +152,6 @@ def related_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     space.drop(more)
     of_set = sets.groupBy("set").agg(F.min(key).alias("node")).join(labels, "node", "left").select("set", F.coalesce("label", "node").alias("class_id"))
     of_key = sets.join(space.put(of_set), "set").select(key, "class_id")
-    classed = space.put(docs.select(key).join(of_key, key, "left").select(key, F.coalesce("class_id", key).alias("class_id")))
+    classed = space.put(rows.join(of_key, key, "left").select(key, F.coalesce("class_id", key).alias("class_id")))
     size = space.put(classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")))
     return classed.join(size, "class_id", "left").select(key, "class_id", F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"))
