@@ -1,4 +1,5 @@
-"""Vector similarity (K6): class centroids and nearest members, exact.
+"""Vector similarity (K6): class centroids and nearest members, exact. For
+many queries see :mod:`.vector_index`.
 
 Every vector is scored against the centroid of its own label only – an
 equi-join on the label, so the work is linear in the corpus and no pair of
@@ -46,30 +47,3 @@ def nearest_to_centroid(vectors: DataFrame, k: int = 5, key: str = "label", vec:
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc(id_col))
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
             .withColumn("score", F.round("score", 4)))
-
-
-def semantic_search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec: str = "embedding",
-                    id_col: str = "vec_id", block: int = 64) -> DataFrame:
-    """K6: for each query vector (``query_id``, ``query``) the k most similar
-    vectors of the corpus (cosine, rounded to 6 places; ties by id).
-
-    The query set is stated and small next to the corpus; it is scored in
-    blocks, so a plan holds ``block`` vectors at most. Each block reads the
-    corpus once; ``row_number() <= k`` limits every query to k rows a task
-    before the shuffle. A zero or null vector is similar to nothing."""
-    stated = queries.select("query_id", F.col("query").cast("array<double>").alias("query")).orderBy("query_id").collect()
-    out = None
-    own = F.col(vec).cast("array<double>")
-    for at in range(0, len(stated), block):
-        part = F.array(*[F.struct(F.lit(q["query_id"]).alias("id"), F.array(*map(F.lit, q["query"])).alias("v"))
-                         for q in stated[at:at + block] if q["query"]])
-        found = vectors.select(F.col(id_col), F.inline(F.transform(part, lambda q: F.struct(
-            q["id"].alias("query_id"), F.round(cosine(own, q["v"]), 6).alias("score")))))
-        w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(id_col))
-        best = found.where(F.col("score").isNotNull()).withColumn(
-            "rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
-        out = best if out is None else out.unionByName(best)
-    if out is None:
-        return vectors.limit(0).select(id_col, F.lit(0).cast("bigint").alias("query_id"), F.lit(0.0).alias("score"),
-                                       F.lit(0).cast("bigint").alias("rank"))
-    return out

@@ -26,6 +26,7 @@ from ..operators import ranking as R
 from ..operators import related as REL
 from ..operators import silver as S
 from ..operators import trends as TR
+from ..operators import vector_index as VI
 from ..operators import views as V
 from ..session import ensure_utc, scratch_path
 from ..sources import testbed
@@ -361,11 +362,20 @@ def q_semantic_topk(spark, sf_dir):
     return SIM.nearest_to_centroid(testbed.read_table(spark, sf_dir, "embeddings"), 5)
 
 
-def q_semantic_search(spark, sf_dir):
+def _vector_queries(spark, sf_dir):
+    """All vectors, and every hundredth of them as a query."""
     ensure_utc(spark)
     vectors = testbed.read_table(spark, sf_dir, "embeddings")
-    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return SIM.semantic_search(vectors, queries, 10)
+    return vectors, vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
+def q_semantic_search(spark, sf_dir):
+    return VI.search_exact(*_vector_queries(spark, sf_dir), 10)
+
+
+def q_semantic_index(spark, sf_dir):
+    vectors, queries = _vector_queries(spark, sf_dir)
+    return VI.search_index(VI.build_index(vectors), vectors, queries, 10)
 
 
 def q_hashtag_counts(spark, sf_dir):
@@ -884,6 +894,7 @@ def queries() -> dict[str, Query]:
         "search_union_dedup": q_search_union_dedup,
         "semantic_topk": q_semantic_topk,
         "semantic_search": q_semantic_search,
+        "semantic_index": q_semantic_index,
         "hashtag_counts": q_hashtag_counts,
         "clean_text": q_clean_text,
         "post_features": q_post_features,
