@@ -16,7 +16,7 @@ and B to C, all three are one class, named by its smallest doc_id.
    stored tables, so adaptive execution splits a hot key.
 5. Pairs are compared by a byte of each signature value first. A pair with
    ratio RATIO agrees in 58 of 96 values, give or take five; fewer than
-   AGREE (six times that away) rule it out. Only the words of documents in
+   AGREE rule it out (one in 200,000 such pairs). Only the words of documents in
    pairs that remain are read again, and the ratio is counted exactly.
 6. Labels are carried over the verified links to a fixpoint.
 
@@ -39,7 +39,7 @@ RATIO = 0.6
 BANDS = 24
 ROWS = 4
 PRIME = 2147483647
-AGREE = 29
+AGREE = 36
 
 
 def multipliers() -> list[tuple[int, int]]:

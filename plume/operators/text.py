@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as T
-from ..session import scratch_path
 
 # Sentence punctuation: phrase candidates never cross it.
 SENTENCE_SPLIT = r"[.!?;:]+|\n"
@@ -264,33 +263,6 @@ def search_union_dedup(results: list[DataFrame], key: str) -> DataFrame:
             .select(key, "_r.*").drop("_term_order"))
 
 
-def lda_topics(docs: DataFrame, text: str = "text", k: int = 5, max_iter: int = 10,
-               vocab_size: int = 1 << 18, terms_per_topic: int = 8, seed: int = 7) -> DataFrame:
-    """K5: LDA topics (Spark ML, online optimizer, every document in every
-    iteration). Stop words removed; output one row per (topic, term rank) with
-    the term and its weight. ``vocab_size`` bounds the model: each topic holds
-    a weight per word on the driver, so words beyond the most frequent ones
-    are left out there. The token vectors are stored once, not made anew in
-    every iteration."""
-    from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer
-
-    stop = L.phrase_stop_words()
-    toks = docs.select(F.filter(word_tokens(F.col(text)),
-                                lambda w: ~w.isin(stop) & (F.length(w) >= 3)).alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size, minDF=1.0).fit(toks)
-    path = scratch_path(docs.sparkSession, "lda")
-    cv.transform(toks).select("features").write.parquet(path)
-    vec = docs.sparkSession.read.parquet(path)
-    model = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0).fit(vec)
-    desc = model.describeTopics(terms_per_topic)
-    # Only the words that are named: k * terms_per_topic at most.
-    named = sorted({i for r in desc.select("termIndices").collect() for i in r["termIndices"]})
-    vocab = F.create_map(*[F.lit(x) for i in named for x in (i, cv.vocabulary[i])])
-    return desc.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t")) \
-        .select("topic", "rank", vocab[F.col("t.termIndices")].alias("term"), F.round("t.termWeights", 6).alias("weight"))
-
-
 # Fixed parameters of the related-document signature (ours).
 MINHASH_FUNCS = 8
 MINHASH_BAND = 2

@@ -25,6 +25,7 @@ from ..operators import text as TX
 from ..operators import ranking as R
 from ..operators import related as REL
 from ..operators import silver as S
+from ..operators import topics as TOP
 from ..operators import trends as TR
 from ..operators import vector_index as VI
 from ..operators import views as V
@@ -820,7 +821,17 @@ def q_latest_feed(spark, sf_dir):
 
 
 def q_lda_topics(spark, sf_dir):
-    return TX.lda_topics(docs(spark, sf_dir), k=5, max_iter=10, terms_per_topic=8)
+    return TOP.top_terms(TOP.fit_topics(docs(spark, sf_dir), k=5, rounds=10), 8)
+
+
+def q_term_mentions(spark, sf_dir):
+    """The vocabulary: every pair and triple of neighbouring words of the benchmark items."""
+    ensure_utc(spark)
+    words = testbed.read_table(spark, sf_dir, "benchmark").select(TX.word_tokens("text").alias("t"))
+    shifted = words.select(*[F.slice("t", i + 1, F.greatest(F.size("t"), F.lit(1))).alias(f"t{i}") for i in range(3)])
+    z = shifted.select(F.explode(F.arrays_zip("t0", "t1", "t2")).alias("z"))
+    grams = F.array(*[F.when(F.col(f"z.t{n - 1}").isNotNull(), F.concat_ws(" ", *[f"z.t{i}" for i in range(n)])) for n in (2, 3)])
+    return TOP.term_mentions(docs(spark, sf_dir), z.select(F.explode(grams).alias("term")).where("term IS NOT NULL"), (2, 3))
 
 
 def q_related_docs(spark, sf_dir):
@@ -945,6 +956,7 @@ def queries() -> dict[str, Query]:
         "latest_feed": q_latest_feed,
         "sql_functions": q_sql_functions,
         "lda_topics": q_lda_topics,
+        "term_mentions": q_term_mentions,
         "related_docs": q_related_docs,
         "related_classes": q_related_classes,
     }

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..operators import outliers as OUT
 from ..operators import related as REL
+from ..operators import topics as TOP
 
 # Fixed values shared with the Spark side (see plume.plans.catalog).
 AS_OF = "2024-01-30 12:00:00"
@@ -793,5 +794,50 @@ ranked AS (SELECT *, rank() OVER (ORDER BY score DESC) AS r, count(*) OVER () AS
 SELECT p.*, score, r <= ceil(0.01 * total) AS is_anomaly FROM posts p JOIN ranked USING (source, post_id)"""
 
 
+def _topics_sql(k: int = 5, rounds: int = 10, terms: int = 8) -> str:
+    """Expectation maximisation, round by round."""
+    from ..functions import lexicon as L
+
+    stop, ks = _list(L.phrase_stop_words()), range(k)
+    shares = lambda of: ", ".join(f"(p{i} + {TOP.WORD_PRIOR}) / (sum(p{i}) OVER () + {TOP.WORD_PRIOR} * (SELECT count(*) FROM v)) AS p{i}" for i in ks)
+    steps = []
+    for r in range(rounds):
+        s = " + ".join(f"t{i} * p{i}" for i in ks)
+        total = " + ".join(f"sum(r{j})" for j in ks)
+        steps.append(f"""
+j{r} AS MATERIALIZED (SELECT doc_id, word, {", ".join(f"n * t{i} * p{i} / ({s}) AS r{i}" for i in ks)}
+  FROM counts JOIN p{r} USING (word) JOIN d{r} USING (doc_id)),
+p{r + 1} AS MATERIALIZED (SELECT word, {shares(None)} FROM (SELECT word, {", ".join(f"sum(r{i}) AS p{i}" for i in ks)} FROM j{r} GROUP BY word)),
+d{r + 1} AS MATERIALIZED (SELECT doc_id, {", ".join(f"(sum(r{i}) + {TOP.DOC_PRIOR}) / ({total} + {TOP.DOC_PRIOR * k}) AS t{i}" for i in ks)}
+  FROM j{r} GROUP BY doc_id)""")
+    long = " UNION ALL ".join(f"SELECT {i} AS topic, word AS term, round(p{i}, 6) AS weight FROM p{rounds}" for i in ks)
+    first = ", ".join(f"(CAST('0x' || substr(md5('{i}:' || word), 1, 7) AS BIGINT) + 1) / {1 << 28} AS p{i}" for i in ks)
+    return f"""
+WITH t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+'),
+                                             lambda w: length(w) >= 3 AND NOT list_contains({stop}, w))) AS word FROM documents),
+counts AS MATERIALIZED (SELECT doc_id, word, count(*) AS n FROM t GROUP BY doc_id, word),
+v AS MATERIALIZED (SELECT DISTINCT word FROM t),
+p0 AS MATERIALIZED (SELECT word, {shares(None)} FROM (SELECT word, {first} FROM v)),
+d0 AS MATERIALIZED (SELECT DISTINCT doc_id, {", ".join(f"{1.0 / k} AS t{i}" for i in ks)} FROM counts),{",".join(steps)},
+long AS ({long})
+SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) - 1 AS rank, term, weight FROM long QUALIFY rank < {terms}"""
+
+
+def _mentions_sql() -> str:
+    tokens = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '')"
+
+    def grams(key: str, table: str) -> str:
+        words = f"SELECT {key}, {tokens} AS t FROM {table}"
+        sizes = f"SELECT *, unnest([2, 3]) AS n FROM ({words})"
+        places = f"SELECT *, unnest(generate_series(1, len(t) - n + 1)) AS i FROM ({sizes})"
+        return f"SELECT {key}, i - 1 AS pos, list_aggregate(t[i:i + n - 1], 'string_agg', ' ') AS term FROM ({places})"
+
+    return f"""
+WITH v AS (SELECT DISTINCT term FROM ({grams("item_id", "benchmark")})),
+g AS ({grams("doc_id", "documents")})
+SELECT doc_id, term, count(*) AS mentions, min(pos) AS first_word FROM g JOIN v USING (term) GROUP BY doc_id, term"""
+
+
 def _model_sql() -> dict[str, str]:
-    return {"silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}
+    return {"lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
+            "silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}
