@@ -152,17 +152,24 @@ def dedup_posts(df: DataFrame, keys=("source", "post_id"), order=("topic_offset"
     ``min_by`` aggregate – hash-partial, so a key repeated a billion times is
     combined map-side instead of landing in one task.
     Stream: ``dropDuplicatesWithinWatermark`` bounds the state (quirk Q8).
-    Keys include the network: ids from different networks can collide.
+    Keys include the network: ids from different networks can collide. A row
+    with a null in its key is no copy of another one: batch rows keep to
+    their own delivery (topic coordinates), whichever key column is null.
     """
     keys = list(keys)
     if df.isStreaming:
         return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
     order_cols = [c for c in order if c in df.columns]
+    keyed = [F.col(k).isNotNull() for k in keys]
+    whole = keyed[0]
+    for k in keyed[1:]:
+        whole = whole & k
+    alone = F.when(~whole, F.struct(*order_cols) if order_cols else F.monotonically_increasing_id())
     if not order_cols:
-        return df.dropDuplicates(keys)
+        return df.withColumn("_alone", alone).dropDuplicates([*keys, "_alone"]).drop("_alone")
     rest = [c for c in df.columns if c not in keys]
     picked = F.min_by(F.struct(*rest), F.struct(*order_cols)).alias("_row")
-    return df.groupBy(*keys).agg(picked).select(*keys, "_row.*")
+    return df.groupBy(*keys, alone.alias("_alone")).agg(picked).select(*keys, "_row.*")
 
 
 def unified_posts(bronze: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from ..operators import views as V
 from ..session import ensure_utc, scratch_path
 from ..sources import testbed
 from ..sources import logs as LG
+from ..streaming import medallion as MED
 from ..streaming import runner as RUN
 from ..sources import topic as TP
 from .oracle import AS_OF
@@ -86,18 +87,26 @@ def q_silver_enriched(spark, sf_dir):
 
 
 def q_silver_write(spark, sf_dir):
-    """Enriched silver, written once by date and network and appended to, then
-    read through its partitions."""
+    """Enriched silver, stored by date and network, then read through its
+    partitions."""
     path = scratch_path(spark, "silver")
-    posts = _enriched(spark, sf_dir).withColumn("partition_date", F.to_date("created_at"))
-    first = F.col("partition_date") < F.lit(SINCE_CUTOFF).cast("date")
-    for part in (posts.where(first), posts.where(~first)):
-        part.write.mode("append").partitionBy("partition_date", "source").parquet(path)
+    MED.write_silver(_enriched(spark, sf_dir), 0, path)
     stored = spark.read.parquet(path).where("partition_date >= DATE '2024-01-15' AND source <> 'twitter'")
     return stored.groupBy("partition_date", "source").agg(
         F.count("*").alias("posts"), F.round(F.avg("sentiment"), 4).alias("avg_sentiment"))
 
 
+def q_gold_incremental(spark, sf_dir):
+    """Hourly statistics kept up to date over three waves of silver posts;
+    every wave touches some hours of the waves before it."""
+    silver_path, gold_path, checkpoint = (scratch_path(spark, n) for n in ("silver", "gold", "ckpt"))
+    posts = _enriched(spark, sf_dir).withColumn("wave", F.crc32("post_id") % 3)
+    for wave in range(3):
+        MED.write_silver(posts.where(F.col("wave") == wave), wave, silver_path)
+        RUN.drain(MED.incremental_gold(spark, silver_path, gold_path, checkpoint))
+    return MED.read_gold(spark, gold_path)
+
+
 def q_trending_windows(spark, sf_dir):
     return TR.trending_windows(silver(spark, sf_dir, "created_at", "engagement_score"))
 
@@ -850,6 +859,7 @@ def queries() -> dict[str, Query]:
         "silver_enriched": q_silver_enriched,
         "silver_write": q_silver_write,
         "hourly_stats": q_hourly_stats,
+        "gold_incremental": q_gold_incremental,
         "hourly_keywords": q_hourly_keywords,
         "unified_posts": q_unified_posts,
         "count_by_source": q_count_by_source,

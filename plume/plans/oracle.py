@@ -839,5 +839,6 @@ SELECT doc_id, term, count(*) AS mentions, min(pos) AS first_word FROM g JOIN v
 
 
 def _model_sql() -> dict[str, str]:
-    return {"lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
+    return {"gold_incremental": Q["hourly_stats"],
+            "lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
             "silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}

@@ -5,6 +5,8 @@
                sink from the same read (W9).
 * ``silver``   bronze files → typed, watermark-deduplicated silver posts.
 * ``gold``     silver files → sliding-window trend scores (append, watermark).
+* ``stats``    silver files by (partition_date, source) → hourly statistics,
+               rewriting only the partitions that new files touch.
 
 Example::
 
@@ -22,9 +24,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import bronze as B
 from ..session import checkpoint_root, ensure_utc
 from ..sources import topic as TP
+from . import medallion as MED
 from . import runner as RUN
 
 
@@ -42,14 +44,10 @@ def bronze_job(spark: SparkSession, args):
     def both(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
-            B.bronze(batch).write.mode("append").format(args.format) \
-                .partitionBy("partition_date", "source").save(args.out)
-            bad = B.split_bad(batch)
-            bad.write.mode("overwrite").format(args.format).save(f"{args.out}_quarantine/epoch={epoch_id}")
+            MED.write_bronze(batch, epoch_id, args.out, args.format)
         finally:
             batch.unpersist()
-    # bronze rows are appended per epoch; a replayed epoch can append twice, so
-    # downstream silver dedups on (source, post_id) – quarantine is per epoch.
+    # Both sinks overwrite their own epoch, so a replayed epoch stores nothing twice.
     return RUN.start_foreach_batch(records, chk, both, trigger={"processingTime": args.trigger})
 
 
@@ -70,9 +68,14 @@ def gold_job(spark: SparkSession, args):
     return RUN.start(gold, chk, args.format, args.out, trigger={"processingTime": args.trigger})
 
 
+def stats_job(spark: SparkSession, args):
+    chk = args.checkpoint or f"{checkpoint_root(spark)}/stats"
+    return MED.incremental_gold(spark, args.input, args.out, chk, sentiment=None, trigger={"processingTime": args.trigger}, fmt=args.format)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="plume.streaming.jobs")
-    ap.add_argument("job", choices=["bronze", "silver", "gold"])
+    ap.add_argument("job", choices=["bronze", "silver", "gold", "stats"])
     ap.add_argument("--servers")
     ap.add_argument("--topic", default="social-raw")
     ap.add_argument("--starting", default="latest")
@@ -86,7 +89,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"plume-{args.job}").getOrCreate()
     ensure_utc(spark)
-    q = {"bronze": bronze_job, "silver": silver_job, "gold": gold_job}[args.job](spark, args)
+    q = {"bronze": bronze_job, "silver": silver_job, "gold": gold_job, "stats": stats_job}[args.job](spark, args)
     q.awaitTermination()
 
 
