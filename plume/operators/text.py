@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as T
+from ..session import Workspace
 
 # Sentence punctuation: phrase candidates never cross it.
 SENTENCE_SPLIT = r"[.!?;:]+|\n"
@@ -302,3 +303,31 @@ def related_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     per_doc = (bands.join(bucket_min, ["band", "bucket"])
                .groupBy(key).agg(F.min("_g").alias("group_id"), F.max("_n").alias("bucket_size")))
     return per_doc.withColumn("related", F.col("bucket_size") > 1)
+
+
+def collocations(docs: DataFrame, text: str = "text", top_n: int = 20, min_count: int = 5, stop=None, generic=None) -> DataFrame:
+    """K1 nearer to noun phrases: word pairs that stand together more often than their words' counts explain, by the
+    log-likelihood ratio of the pair's two-by-two table. Pairs never cross sentence punctuation, hold no stop or generic
+    word, number or URL, and stand ``min_count`` times or more; each is counted as first and second word of all pairs.
+
+    One pass gives the pairs; their words' counts are sums over the pair counts, so texts are read once. Rows: keyword,
+    mentions, score (rounded to four places), best ``top_n`` by score, ties by keyword."""
+    stop, generic, _ = _lists(stop, generic, None)
+    seg = _segment_tokens(docs, text)
+    good = F.transform("t", lambda w: ~(w.isin(stop) | w.isin(generic) | w.rlike(r"^\p{Nd}+$")))
+    z = F.arrays_zip(F.col("t").alias("a"), F.slice("t", 2, F.size("t")).alias("b"), F.col("ok").alias("x"), F.slice("ok", 2, F.size("t")).alias("y"))
+    pairs = seg.select("t", good.alias("ok")).select(F.explode(z).alias("z")).where("z.b IS NOT NULL AND z.x AND z.y")
+    counts = pairs.groupBy(F.col("z.a").alias("a"), F.col("z.b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    space = Workspace(docs.sparkSession, "pairs")
+    counts = space.put(counts)
+    rest = F.lit(counts.agg(F.sum("n")).first()[0] or 0)  # one number
+    first = counts.groupBy("a").agg(F.sum("n").alias("na"))
+    second = counts.groupBy("b").agg(F.sum("n").alias("nb"))
+    table = counts.where(F.col("n") >= min_count).join(first, "a").join(second, "b")
+    cell = lambda k, row, column: F.when(k > 0, k * F.log(k * rest / (row * column))).otherwise(F.lit(0.0))
+    n, na, nb = F.col("n"), F.col("na"), F.col("nb")
+    score = 2 * (cell(n, na, nb) + cell(na - n, na, rest - nb) + cell(nb - n, rest - na, nb)
+                 + cell(rest - na - nb + n, rest - na, rest - nb))
+    together = n * rest > na * nb  # more often than by chance
+    out = table.where(together).select(F.concat_ws(" ", "a", "b").alias("keyword"), n.alias("mentions"), F.round(score, 4).alias("score"))
+    return out.orderBy(F.desc("score"), F.asc("keyword")).limit(top_n)

@@ -16,6 +16,7 @@ from ..functions.time import to_ntz
 from ..operators import bronze as B
 from ..functions import text as TF
 from ..functions.time import age_bucket, parse_time
+from ..operators import forecast as FC
 from ..operators import kpis as K
 from ..operators import lake as LK
 from ..operators import models as MD
@@ -24,6 +25,7 @@ from ..operators import similarity as SIM
 from ..operators import text as TX
 from ..operators import ranking as R
 from ..operators import related as REL
+from ..operators import seen as SEEN
 from ..operators import silver as S
 from ..operators import topics as TOP
 from ..operators import trends as TR
@@ -303,6 +305,10 @@ def q_cloud_weights(spark, sf_dir):
     return TX.cloud_weights(docs(spark, sf_dir), "text", 100, 50)
 
 
+def q_collocations(spark, sf_dir):
+    return TX.collocations(docs(spark, sf_dir), "text", 50, 5)
+
+
 def q_topic_mentions(spark, sf_dir):
     return TX.topic_mentions(docs(spark, sf_dir), TOPIC_TERMS)
 
@@ -533,6 +539,17 @@ def q_new_only_anti(spark, sf_dir):
     return batch.join(seen, ["source", "post_id"], "left_anti").select("source", "post_id")
 
 
+def q_new_only_filtered(spark, sf_dir):
+    """As new_only_anti, through bits of the seen posts; two epochs, the first one written twice."""
+    path = scratch_path(spark, "seen")
+    s = silver(spark, sf_dir, "created_at")
+    seen = s.where(F.col("created_at") < F.lit(SEEN_BEFORE).cast("timestamp")).select("source", "post_id")
+    for epoch in (0, 1, 0):
+        SEEN.remember(seen.where(F.crc32("post_id") % 2 == epoch), epoch, path)
+    batch = s.where(F.col("created_at") >= F.lit(BATCH_FROM).cast("timestamp"))
+    return SEEN.unseen(batch, SEEN.merged(spark.read.parquet(path)), seen).select("source", "post_id")
+
+
 def q_seen_history_cap(spark, sf_dir):
     s = silver(spark, sf_dir, "created_at")
     out = V.history_cap(s, "source", [F.desc("created_at"), F.asc("post_id")])
@@ -635,6 +652,14 @@ def q_forecast_volume(spark, sf_dir):
     return MD.forecast_volume(silver(spark, sf_dir, "created_at"), AS_OF, 30, 168)
 
 
+def q_forecast_trend(spark, sf_dir):
+    return FC.forecast_trend(silver(spark, sf_dir, "created_at"), AS_OF, 30, 168)
+
+
+def q_forecast_design(spark, sf_dir):
+    return FC.forecast_design(silver(spark, sf_dir, "created_at"), AS_OF, 30, 168)
+
+
 def q_anomaly_flag(spark, sf_dir):
     return MD.anomaly_flag(silver(spark, sf_dir, "created_at"), AS_OF, 30, 3.5)
 
@@ -901,6 +926,7 @@ def queries() -> dict[str, Query]:
         "weekly_report": q_weekly_report,
         "keyword_topn": q_keyword_topn,
         "cloud_weights": q_cloud_weights,
+        "collocations": q_collocations,
         "topic_mentions": q_topic_mentions,
         "topic_top10": q_topic_top10,
         "keyword_filter": q_keyword_filter,
@@ -934,6 +960,7 @@ def queries() -> dict[str, Query]:
         "engagement_scores": q_engagement_scores,
         "enrich_author": q_enrich_author,
         "new_only_anti": q_new_only_anti,
+        "new_only_filtered": q_new_only_filtered,
         "seen_history_cap": q_seen_history_cap,
         "upsert_latest": q_upsert_latest,
         "as_of_read": q_as_of_read,
@@ -945,6 +972,8 @@ def queries() -> dict[str, Query]:
         "zorder": q_zorder,
         "merge_schema": q_merge_schema,
         "forecast_volume": q_forecast_volume,
+        "forecast_trend": q_forecast_trend,
+        "forecast_design": q_forecast_design,
         "anomaly_flag": q_anomaly_flag,
         "silver_features": q_silver_features,
         "unusual_posts": q_unusual_posts,

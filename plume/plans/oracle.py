@@ -7,6 +7,7 @@ trip, so the envelope/bronze parse path is itself under test.
 
 from __future__ import annotations
 
+from ..operators import forecast as FC
 from ..operators import outliers as OUT
 from ..operators import related as REL
 from ..operators import topics as TOP
@@ -388,6 +389,16 @@ phr_src AS (
 , best AS (SELECT trim(regexp_replace(keyword, '\\s+', ' ', 'g')) AS keyword, mentions FROM top
            ORDER BY mentions DESC, keyword LIMIT 50)
 SELECT keyword, mentions, round(mentions / max(mentions) OVER (), 4) AS weight FROM best""")
+    cell = lambda k, row, column: f"CASE WHEN {k} > 0 THEN {k} * ln({k} * total / (({row}) * ({column}))) ELSE 0.0 END"
+    good = " AND ".join(f"NOT list_contains({stop}, {w}) AND NOT list_contains({generic}, {w}) AND NOT regexp_full_match({w}, '\\p{{Nd}}+')" for w in "ab")
+    out["collocations"] = "WITH " + topn.split("), grams AS")[0] + f""")
+, p AS (SELECT t[i] AS a, t[i + 1] AS b FROM (SELECT t, unnest(generate_series(1, len(t) - 1)) AS i FROM toks))
+, c AS (SELECT a, b, count(*) AS n FROM p WHERE {good} GROUP BY a, b)
+, x AS (SELECT a, b, n, sum(n) OVER (PARTITION BY a) AS na, sum(n) OVER (PARTITION BY b) AS nb, sum(n) OVER () AS total FROM c)
+SELECT a || ' ' || b AS keyword, n AS mentions,
+       round(2 * ({cell("n", "na", "nb")} + {cell("(na - n)", "na", "total - nb")} + {cell("(nb - n)", "total - na", "nb")}
+                  + {cell("(total - na - nb + n)", "total - na", "total - nb")}), 4) AS score
+FROM x WHERE n >= 5 AND n * total > na * nb ORDER BY score DESC, keyword LIMIT 50"""
     from .catalog import FILTER_TERMS, SEARCH_TERMS, TOPIC_TERMS
 
     topics = _list([t.lower() for t in TOPIC_TERMS])
@@ -838,7 +849,22 @@ g AS ({grams("doc_id", "documents")})
 SELECT doc_id, term, count(*) AS mentions, min(pos) AS first_word FROM g JOIN v USING (term) GROUP BY doc_id, term"""
 
 
+def _design_sql(days: int = 30) -> str:
+    x = f"((epoch(hour) - epoch({_NOW} - INTERVAL {days} DAY)) / 86400)"
+    columns = ["1.0 AS level", f"round({x}, 6) AS x"]
+    for j in range(1, FC.CHANGE_POINTS + 1):
+        at = days * FC.CHANGE_SHARE * j / (FC.CHANGE_POINTS + 1)
+        columns += [f"round(greatest({x} - {at}::DOUBLE, 0.0), 6) AS bend{j}", f"CASE WHEN {x} >= {at}::DOUBLE THEN 1.0 ELSE 0.0 END AS jump{j}"]
+    for name, span, pairs in (("day", 1, FC.DAILY), ("week", 7, FC.WEEKLY)):
+        columns += [f"round({f}({x} * (2 * pi() * {k} / {span})), 6) + 0.0 AS {name}_{f}{k}" for k in range(1, pairs + 1) for f in ("sin", "cos")]
+    return with_silver(_HOURLY_GRID + f"""
+, future AS (SELECT source, unnest(generate_series({_NOW}, {_NOW} + INTERVAL 167 HOUR, INTERVAL 1 HOUR)) AS hour, NULL AS posts
+             FROM (SELECT DISTINCT source FROM recent))
+SELECT source, hour, CAST(posts AS DOUBLE) AS posts, {", ".join(columns)} FROM (SELECT * FROM h UNION ALL SELECT * FROM future)""")
+
+
 def _model_sql() -> dict[str, str]:
-    return {"gold_incremental": Q["hourly_stats"],
+    return {"forecast_design": _design_sql(), "new_only_filtered": Q["new_only_anti"],
+            "gold_incremental": Q["hourly_stats"],
             "lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
             "silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}

@@ -10,8 +10,9 @@ from plume.plans.verify import compare, duck
 from .conftest import SF_SMALL
 
 SQL = oracle.oracle_sql()
-# An index fitted on a sample has no SQL form: its recall is tested in test_vector_index.
-NO_ORACLE = {"semantic_index"}
+# Fitted models without a SQL form: recall is tested in test_vector_index, forecasts in test_forecast (their design matrix
+# is the query forecast_design).
+NO_ORACLE = {"semantic_index", "forecast_trend"}
 NAMES = sorted(set(catalog.queries()) - NO_ORACLE)
 
 
