@@ -45,7 +45,17 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     path = scratch_path(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads; what was made of them must be stored itself by then."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str,

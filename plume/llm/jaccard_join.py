@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, map_whole, stored, text_columns, unused
+from plume.llm.common import discard, map_batches, map_whole, stored, text_columns, unused
 from plume.llm.linking import bits_of, link, may_hold
 
 SHINGLE = 5
 ORDER_BITS = 18
 BUCKETS = 128
+#: Bits of the parities that rule pairs out when all of a key's nodes meet.
+PARITIES = 512
 #: Rows that verifying one candidate costs, for the choice of the boundary.
 VERIFY_COST = 50
 #: Sizes above this always scan lists.
@@ -66,15 +68,19 @@ def _nodes(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _summaries(part: pa.RecordBatch) -> dict:
-    """Rows of documents (bucket null) and of counts by order bucket (doc columns null)."""
+    """A row for each document."""
     texts = tb.as_texts(part.column("text"))
     value, text = _sets(texts)
     n = len(texts)
     bounds = np.searchsorted(text, np.arange(n + 1))
     bucket = (value & tb.U64(BUCKETS - 1)).astype(np.int64) + text * BUCKETS
     sketch = np.bincount(bucket, minlength=n * BUCKETS).clip(max=255).astype(np.uint8).reshape(n, BUCKETS)
+    # Bit c: whether the set has an odd number of shingles of class c.
+    odd = np.bincount((value & tb.U64(PARITIES - 1)).astype(np.int64) + text * PARITIES, minlength=n * PARITIES) & 1
+    parities = np.packbits(odd.astype(np.uint8).reshape(n, PARITIES), axis=1).view(np.int64)
     return {"doc_id": part.column("doc_id"), "n_shingles": np.diff(bounds), "node": _nodes(value, bounds),
-            "sketch": [row.tobytes() for row in sketch]}
+            "sketch": [row.tobytes() for row in sketch],
+            "parities": pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * (PARITIES // 64), parities.ravel())}
 
 
 def _order_counts(docs: DataFrame) -> np.ndarray:
@@ -179,6 +185,12 @@ def _alike(a: str, b: str):
     return (5 * F.least(x, y) >= 4 * F.greatest(x, y)) & (9 * apart <= x + y)
 
 
+def _late_alike(a: str, b: str):
+    """As the parity in :func:`_alike`, by classes so many that it tells larger sets apart too."""
+    apart = sum(F.bit_count(F.col(f"{a}_parities")[k].bitwiseXOR(F.col(f"{b}_parities")[k])) for k in range(PARITIES // 64))
+    return 9 * apart <= F.col(f"{a}_size") + F.col(f"{b}_size")
+
+
 def _verify(docs: DataFrame, summaries: DataFrame):
     """Pairs of nodes to those that link: by sketches, then by whole sets."""
     known = summaries.where("n_shingles > 0")
@@ -199,6 +211,7 @@ def _verify(docs: DataFrame, summaries: DataFrame):
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
         left = stored(pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(room, "a long, b long"), "pairs")
+        discard(nodes)
         return left, facts
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -218,9 +231,9 @@ def _verify(docs: DataFrame, summaries: DataFrame):
             return {"node": _nodes(value, bounds), "set": [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
 
         # Rows with one id may hold several texts; equal sets are one node.
-        sets = stored(map_batches(texts, whole, "node long, set binary"), "sets")
-        sets = sets.groupBy("node").agg(F.first("set").alias("set"))
-        sets = stored(sets, "sets")
+        found = stored(map_batches(texts, whole, "node long, set binary"), "sets")
+        sets = stored(found.groupBy("node").agg(F.first("set").alias("set")), "sets")
+        discard(found, facts)
 
         def compare(batches):
             for part in batches:
@@ -231,9 +244,11 @@ def _verify(docs: DataFrame, summaries: DataFrame):
                     keep.append(100 * shared >= 80 * (len(a) + len(b) - shared))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
+        out = stored(left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(
-            compare, "a long, b long")
+            compare, "a long, b long"), "verified")
+        discard(pairs, left, sets)
+        return out
 
     return verify
 
@@ -241,14 +256,15 @@ def _verify(docs: DataFrame, summaries: DataFrame):
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, and ``set_id`` (null without shingles) of each document."""
     summaries = stored(map_batches(text_columns(docs, "doc_id", "text"), _summaries,
-                                   "doc_id long, n_shingles long, node long, sketch binary"), "summaries")
+                                   "doc_id long, n_shingles long, node long, sketch binary, parities array<bigint>"), "summaries")
     counts = _order_counts(docs)
     by_size = summaries.where("n_shingles > 0").groupBy(F.least("n_shingles", F.lit(4 * MAX_LIGHT)).alias("size")).count()
     light = boundary({r["size"]: r["count"] for r in by_size.collect()}, counts)  # 4 * MAX_LIGHT rows at most
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers
     postings = map_batches(text_columns(docs, "text"), lambda part: _postings(part, shared.value, light),
                            "key long, node long, size int, rank int, class int, indexed boolean, parity long")
-    labels = link(postings, _verify(docs, summaries), _may_link(light), _alike, ["size", "parity"])
+    late = summaries.where("n_shingles > 0").groupBy("node").agg(F.first("parities").alias("parities"))
+    labels = link(postings, _verify(docs, summaries), _may_link(light), _alike, ["size", "parity"], late, _late_alike)
     filled = summaries.where("n_shingles > 0").select("doc_id", "n_shingles", "node")
     named = stored(filled.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     smallest = stored(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plume.llm.common import stored
+from plume.llm.common import discard, stored
 
 #: Bits of the table that tells wanted keys from others without a shuffle: 8 MB. Where more keys are wanted than it
 #: can tell apart it lets more through; the result is the same.
@@ -47,10 +47,12 @@ def components(edges: DataFrame) -> DataFrame:
         # A label is itself a node, so its own label is as small or smaller.
         jump = moved.select(F.col("node").alias("there"), F.col("next").alias("jump"))
         after = stored(moved.join(jump, moved["next"] == jump["there"]).select(
-            "node", "label", F.least("next", "jump").alias("next")), "labels")
-        if after.where("next < label").isEmpty():
+            "node", F.least("next", "jump").alias("label"), (F.least("next", "jump") < F.col("label")).alias("fell")), "labels")
+        discard(labels, moved)
+        if after.where("fell").isEmpty():
+            discard(both)
             return after.select("node", "label")
-        labels = after.select("node", F.col("next").alias("label"))
+        labels = after
 
 
 def bits_of(keys: DataFrame) -> np.ndarray:
@@ -83,7 +85,8 @@ def narrowed(df: DataFrame, keys: DataFrame, column: str = "key") -> DataFrame:
 
 
 def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
-         alike: Callable[[str, str], Column], carry: list[str]) -> DataFrame:
+         alike: Callable[[str, str], Column], carry: list[str], late: DataFrame | None = None,
+         late_alike: Callable[[str, str], Column] | None = None) -> DataFrame:
     """(node, label) of all nodes that link with another.
 
     ``postings``: key, node, class, rank, indexed, and the columns in
@@ -91,30 +94,42 @@ def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link
     The leader of a key is the indexed node with the smallest rank.
     ``alike(a, b)``: a condition on the carried columns of two nodes, given
     their name prefixes, that holds for all that link. ``may_link(a, b)``: a
-    further one on two postings, the first one indexed. ``verify``: of pairs
-    (a, b), a < b, those that link.
+    further one on two postings, the first one indexed. ``late``: further
+    columns of nodes (by ``node``), too wide to carry all the way, and
+    ``late_alike`` on them, for the second round. ``verify``: of pairs (a, b),
+    a < b, those that link.
     """
     postings = stored(postings, "postings")
     shared = stored(postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
                                                 F.max("indexed").alias("any")).where("lo <> hi AND any").select("key"), "keys")
     members = stored(narrowed(postings, shared).join(shared, "key"), "members")
+    discard(postings, shared)
     leaders = stored(members.where("indexed").groupBy("key", "class").agg(
         F.min(F.struct("rank", "node", *carry)).alias("l")).select(
         "key", "class", F.col("l.node").alias("l_node"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in carry]), "leaders")
     own = members.select("key", "class", *[F.col(c).alias(f"m_{c}") for c in ("node", *carry)])
     first = stored(own.join(leaders, ["key", "class"]).where((F.col("m_node") != F.col("l_node")) & alike("m", "l")).select(
         F.least("m_node", "l_node").alias("a"), F.greatest("m_node", "l_node").alias("b")).distinct(), "pairs")
+    discard(leaders)
     links = stored(verify(first), "links")
     labels = components(links)
     # A shuffle join at any size: as many labels as nodes that link.
     named = stored(members.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
+    discard(members)
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = stored(named.join(mixed, "key"), "members")
+    still = named.join(mixed, "key")
+    if late is not None:
+        still = still.join(late, "node")
+    open_ = stored(still, "members")
+    discard(named)
+    carry = [*carry, *([c for c in late.columns if c != "node"] if late is not None else [])]
     side = lambda p: open_.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "label", "rank", "indexed", *carry)])
-    across = side("x").where("x_indexed").join(side("y"), "key").where(
-        (F.col("x_label") != F.col("y_label")) & may_link("x", "y") & alike("x", "y"))
+    meet = (F.col("x_label") != F.col("y_label")) & may_link("x", "y") & alike("x", "y")
+    across = side("x").where("x_indexed").join(side("y"), "key").where(meet & late_alike("x", "y") if late_alike else meet)
     second = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     more = stored(verify(second.join(first, ["a", "b"], "left_anti")), "links")
-    if more.isEmpty():
-        return labels
-    return components(links.unionByName(more))
+    discard(open_, first)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
+    discard(links, more)
+    return labels
