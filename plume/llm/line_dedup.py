@@ -1,21 +1,22 @@
 """Line dedup by a segment-partition edit join over the whole corpus.
 
-Two lines are near copies if their edit distance is :data:`THRESHOLD` or
-less; near copies, and near copies of those, form a class, of which the first
-line stays: the one with the smallest (doc_id, text hash, line number).
-
-Every line is cut into THRESHOLD + 1 segments of even length; the index holds
+Two lines are near copies if their edit distance is small for the shorter
+one: none below 8 code points, 1 below 16, 2 (:data:`THRESHOLD`) from there.
+In short lines two edits make other words of words, so these must be equal.
+Near copies, and near copies of those, form a class, of which the first line
+stays: the one with the smallest (doc_id, text hash, line number).
+
+Every line of 8 code points or more is cut into threshold + 1 segments of even
+length, by its own length's threshold; the index holds
 each segment under the line's length, the segment's number and its
 characters. Of two lines within the threshold, one segment of the shorter
 stands unchanged in the longer one, near its place: the longer line probes
-the lengths from its own down to THRESHOLD less, and for each segment only
+the lengths from its own down to the threshold less, and for each segment only
 the few starts that the edits on either side allow. Candidates are verified
 by a banded bit-parallel edit distance; :mod:`plume.llm.linking` makes the
 classes. Equal lines are one node from the start.
 
-Lines are what stands between newlines. Lines shorter than :data:`MIN_CHARS`
-code points, too short for segments that all hold a character, are near copies
-of equal lines only. Lines without any but ASCII blanks always stay and are
+Lines are what stands between newlines. Lines without any but ASCII blanks always stay and are
 compared with nothing. Defined results: null
 texts stay null, empty ones empty; a text's other lines stay in order, joined
 by newlines again; rows equal in id and text are one document and treated
@@ -31,11 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, map_whole, stored, text_columns, unused
+from plume.llm.common import discard, map_batches, map_whole, stored, text_columns, unused
 from plume.llm.linking import bits_of, link, may_hold
 
 THRESHOLD = 2
-#: Code points of the shortest line whose segments all hold one: shorter lines are compared by their hashes only.
+#: LENGTHS[t]: code points from which t edits are allowed.
+LENGTHS = [0, 8, 16, 1 << 62]
+#: Code points of the shortest line that can be longer than the edits allowed; of the lines below LENGTHS[1], equal ones
+#: only are copies.
 MIN_CHARS = THRESHOLD + 1
 
 _BASE = tb.U64(0x9E3779B97F4A7C15 | 1)
@@ -59,6 +63,11 @@ def _lines(texts: tb.Texts) -> tuple[tb.Words, np.ndarray, np.ndarray, np.ndarra
     return lines, heads[lines.start], heads[lines.end], filled[lines.end] > filled[lines.start]
 
 
+def edits_allowed(length: int) -> int:
+    """The threshold for a pair whose shorter line has so many code points."""
+    return sum(length >= least for least in LENGTHS[1:THRESHOLD + 1])
+
+
 def segments(size: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[np.ndarray, np.ndarray]]:
     """(start, length) of each of threshold + 1 even segments; the last ones are longer by one."""
     n = threshold + 1
@@ -87,33 +96,37 @@ def _postings(part: pa.RecordBatch) -> dict:
     flips = np.concatenate([[tb.U64(0)], np.bitwise_xor.accumulate(tb.U64(1) << (chars.astype(tb.U64) * tb.U64(0x9E3779B97F4A7C15) >> tb.U64(58)))]) \
         if len(chars) else np.zeros(1, tb.U64)
     parity = (flips[end] ^ flips[begin]).astype(np.int64)
-    for less in range(THRESHOLD + 1):  # how much shorter the indexed line is
-        for i, (start, length) in enumerate(segments(size - less)):
-            # Left of the segment at most i edits have happened, right of it at most THRESHOLD - i.
-            for move in range(max(-i, less - (THRESHOLD - i)), min(i, less + (THRESHOLD - i)) + 1):
-                at = start + move
-                fits = np.flatnonzero((at >= 0) & (at + length <= size) & (size - less >= MIN_CHARS))
-                a = begin[fits] + at[fits]
-                value = (sums[a + length[fits]] - sums[a]) * inverse[a]
-                place = (size[fits] - less).astype(tb.U64) * tb.U64(THRESHOLD + 1) + tb.U64(i)
-                keys.append(tb.mix(value ^ tb.mix(place)))
-                nodes.append(node[fits])
-                parities.append(parity[fits])
-                indexed.append(np.full(len(fits), less == 0 and move == 0))
-    key, nodes, indexed = np.concatenate(keys), np.concatenate(nodes), np.concatenate(indexed)
+    for t in range(1, THRESHOLD + 1):
+        for less in range(t + 1):  # how much shorter the indexed line is
+            own = np.flatnonzero((size - less >= LENGTHS[t]) & (size - less < LENGTHS[t + 1]))
+            indexed_size, first, last, n_own, p_own = size[own] - less, begin[own], end[own], node[own], parity[own]
+            for i, (start, length) in enumerate(segments(indexed_size, t)):
+                place = tb.mix(indexed_size.astype(tb.U64) * tb.U64(THRESHOLD + 1) + tb.U64(i))
+                # Left of the segment at most i edits have happened, right of it at most t - i.
+                for move in range(max(-i, less - (t - i)), min(i, less + (t - i)) + 1):
+                    a = first + start + move
+                    fits = np.flatnonzero((a >= first) & (a + length <= last))
+                    a, stop = a[fits], (a + length)[fits]
+                    keys.append(tb.mix((sums[stop] - sums[a]) * inverse[a] ^ place[fits]))
+                    nodes.append(n_own[fits])
+                    parities.append(p_own[fits])
+                    indexed.append(np.full(len(fits), less == 0 and move == 0))
+    key, nodes, indexed = (np.concatenate(x) for x in (keys, nodes, indexed))
     none = np.zeros(len(key), np.int64)
     return {"key": key.astype(np.int64), "node": nodes, "class": none, "rank": none, "indexed": indexed,
             "parity": np.concatenate(parities)}
 
 
-def within(a: str, b: str, threshold: int = THRESHOLD) -> bool:
-    """Whether the edit distance is at most the threshold.
+def within(a: str, b: str, threshold: int | None = None) -> bool:
+    """Whether the edit distance is at most the threshold, by default that of the shorter line.
 
     After j characters of b, bit t of row e says that e edits make them the
     first j + t - threshold characters of a: a band of 2 * threshold + 1 bits.
     """
     if a == b:
         return True
+    if threshold is None:
+        threshold = edits_allowed(min(len(a), len(b)))
     if abs(len(a) - len(b)) > threshold:
         return False
     lo = 0
@@ -190,9 +203,11 @@ def _verify(docs: DataFrame, firsts: DataFrame):
                 keep = [within(x, y) for x, y in zip(part.column("x").to_pylist(), part.column("y").to_pylist(), strict=True)]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return pairs.join(content.select(F.col("node").alias("a"), F.col("content").alias("x")), "a").join(
+        out = stored(pairs.join(content.select(F.col("node").alias("a"), F.col("content").alias("x")), "a").join(
             content.select(F.col("node").alias("b"), F.col("content").alias("y")), "b").select(
-            "a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+            "a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "verified")
+        discard(pairs, content)
+        return out
 
     return verify
 
@@ -214,8 +229,11 @@ def repeated(docs: DataFrame) -> DataFrame:
         "n > 1 OR label IS NOT NULL").withColumn("label", F.coalesce("label", "node")), "nodes")
     heads = nodes.groupBy("label").agg(F.min("p").alias("head"))
     heads = stored(nodes.join(heads, "label").select("node", "head"), "heads")
+    discard(firsts, nodes)
     gone = lines.join(heads, "node").where(~F.struct("doc_id", "text_hash", "line").eqNullSafe(F.col("head")))
-    return stored(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("lines")), "gone")
+    out = stored(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("lines")), "gone")
+    discard(lines, heads)
+    return out
 
 
 def dedup(docs: DataFrame, counts: tuple[str, str] | None = None) -> DataFrame:
