@@ -34,6 +34,7 @@ from ..operators import views as V
 from ..session import ensure_utc, scratch_path
 from ..sources import testbed
 from ..sources import logs as LG
+from ..streaming import bursts as BU
 from ..streaming import medallion as MED
 from ..streaming import runner as RUN
 from ..sources import topic as TP
@@ -795,6 +796,17 @@ def q_stream_trending(spark, sf_dir):
     return RUN.read_sink(spark, out)
 
 
+def q_burst_alerts(spark, sf_dir):
+    return BU.burst_alerts(topic_posts(spark, sf_dir), 1.5, 8)
+
+
+def q_stream_burst_alerts(spark, sf_dir):
+    src, out = _landed_topic(spark, sf_dir, "topic-files"), scratch_path(spark, "alerts")
+    posts = TX.with_topics(RUN.silver_stream(_bronze_stream(spark, src)), POST_TOPICS)
+    RUN.drain(RUN.start(BU.burst_alert_stream(posts, 1.5, 8), scratch_path(spark, "ckpt"), "parquet", out))
+    return RUN.read_sink(spark, out)
+
+
 def q_stream_fanout(spark, sf_dir):
     src = _landed_topic(spark, sf_dir, "topic-files")
     bronze_out, counts_out = scratch_path(spark, "fan-bronze"), scratch_path(spark, "fan-counts")
@@ -988,6 +1000,8 @@ def queries() -> dict[str, Query]:
         "stream_dedup": q_stream_dedup,
         "stream_trending": q_stream_trending,
         "stream_fanout": q_stream_fanout,
+        "burst_alerts": q_burst_alerts,
+        "stream_burst_alerts": q_stream_burst_alerts,
         "medallion_e2e": q_medallion_e2e,
         "silver_twitter": _net(S.silver_twitter),
         "silver_reddit": _net(S.silver_reddit),

@@ -863,8 +863,25 @@ def _design_sql(days: int = 30) -> str:
 SELECT source, hour, CAST(posts AS DOUBLE) AS posts, {", ".join(columns)} FROM (SELECT * FROM h UNION ALL SELECT * FROM future)""")
 
 
+def _bursts_sql(where: str = "") -> str:
+    per = "PARTITION BY topic ORDER BY m"
+    return with_silver(f"""
+, mention AS (SELECT topic, CAST(floor(epoch(created_at) / 60) AS BIGINT) AS m FROM (
+    SELECT created_at, unnest(list_distinct(CASE source WHEN 'twitter' THEN ['update', event_type] WHEN 'reddit' THEN ['thread', event_type]
+                                            ELSE ['friends', event_type] END)) AS topic FROM silver))
+, c AS (SELECT topic, m, count(*) AS n FROM mention GROUP BY topic, m)
+, j AS (SELECT topic, m, sum(n) OVER ({per} RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS mentions,
+               coalesce(sum(n) OVER ({per} RANGE BETWEEN 1499 PRECEDING AND 60 PRECEDING), 0) / 24 AS baseline FROM c)
+, o AS (SELECT *, mentions >= 8 AND mentions > 1.5 * baseline AS on_ FROM j)
+, a AS (SELECT *, coalesce(lag(on_) OVER ({per}) AND m - lag(m) OVER ({per}) < 60, false) AS going FROM o)
+SELECT topic, make_timestamp(m * 60000000) AS minute, CAST(mentions AS BIGINT) AS mentions, round(baseline, 4) AS baseline
+FROM a WHERE on_ AND NOT going{where}""")
+
+
 def _model_sql() -> dict[str, str]:
-    return {"forecast_design": _design_sql(), "new_only_filtered": Q["new_only_anti"],
+    return {"burst_alerts": _bursts_sql(),
+            "stream_burst_alerts": _bursts_sql(" AND m + 1 <= (SELECT floor((epoch(max(created_at)) - 600) / 60) FROM silver)"),
+            "forecast_design": _design_sql(), "new_only_filtered": Q["new_only_anti"],
             "gold_incremental": Q["hourly_stats"],
             "lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
             "silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}

@@ -10,7 +10,7 @@ from .conftest import SF_SMALL
 # checked through the read side only.
 WRITES = {"silver_write", "gold_incremental", "lda_topics", "bronze_scan", "partition_read", "retention_keep", "delete_where", "compact", "merge_schema",
           "stream_envelope", "bronze_roundtrip", "stream_restart", "stream_count_by_source", "sql_stream",
-          "stream_dedup", "stream_trending", "stream_fanout", "medallion_e2e"}
+          "stream_dedup", "stream_burst_alerts", "stream_trending", "stream_fanout", "medallion_e2e"}
 
 
 def plan(df) -> str:
