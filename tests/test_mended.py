@@ -76,6 +76,26 @@ def test_html_cleaning_equals_python(spark, text):
     assert of(spark, text, T.clean_html) == want
 
 
+def test_entities_decode_as_in_python(spark):
+    """Names with and without semicolons, longest prefixes, numbers of all kinds, and random mixtures."""
+    import html
+    import random
+
+    rng = random.Random(1)
+    names = [k.rstrip(";") for k in html.entities.html5]
+    texts = ["&notit; &notin; &not &ampamp; &&amp;& &#; &#x; &#xg &#0; &#128; &#x80; &#129; &#13; &#11; &#xD800; &#1114112; &#99999999999999;"
+             " &#x000000041; &#65 &#65;&#x1F600; &unknown; &lt;b&gt; a&b &nbsp;&NotEqualTilde; &#xfdd0; &#xFFFF; &;", "", "no entity", None, "&"]
+    texts += ["&" + k + e for k in names for e in (";", "", "x")]
+    for _ in range(3000):
+        texts.append("".join(rng.choice(["&", "#", "x", ";", " ", "1", "f", "6", "é", "\n", rng.choice(names), rng.choice(names)[:4]])
+                             for _ in range(rng.randint(1, 12))))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    got = {r["i"]: r["y"] for r in df.select("i", T.html_unescape("x").alias("y")).collect()}
+    wrong = [(t, got[i], html.unescape(t)) for i, t in enumerate(texts) if t is not None and got[i] != html.unescape(t)]
+    assert not wrong, wrong[:5]
+    assert got[texts.index(None)] is None
+
+
 def test_addresses_end_at_any_blank(spark):
     assert of(spark, "看 http://t.co/x　中文内容 end", T.clean_reddit) == "看 　中文内容 end"
     assert of(spark, "@me stays www.x too", T.clean_twitter) == " stays  too"
