@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
 from plume.llm.common import discard, map_batches, map_whole, stored, text_columns, unused
-from plume.llm.linking import bits_of, link, may_hold
+from plume.llm.linking import bits_of, link, may_hold, packed
 
 SHINGLE = 5
 ORDER_BITS = 18
@@ -261,8 +261,8 @@ def classes(docs: DataFrame) -> DataFrame:
     by_size = summaries.where("n_shingles > 0").groupBy(F.least("n_shingles", F.lit(4 * MAX_LIGHT)).alias("size")).count()
     light = boundary({r["size"]: r["count"] for r in by_size.collect()}, counts)  # 4 * MAX_LIGHT rows at most
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers
-    postings = map_batches(text_columns(docs, "text"), lambda part: _postings(part, shared.value, light),
-                           "key long, node long, size int, rank int, class int, indexed boolean, parity long")
+    postings = packed(text_columns(docs, "text"), lambda part: _postings(part, shared.value, light),
+                      "key long, node long, size int, rank int, class int, indexed boolean, parity long")
     late = summaries.where("n_shingles > 0").groupBy("node").agg(F.first("parities").alias("parities"))
     labels = link(postings, _verify(docs, summaries), _may_link(light), _alike, ["size", "parity"], late, _late_alike)
     filled = summaries.where("n_shingles > 0").select("doc_id", "n_shingles", "node")

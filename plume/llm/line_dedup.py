@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
 from plume.llm.common import discard, map_batches, map_whole, stored, text_columns, unused
-from plume.llm.linking import bits_of, link, may_hold
+from plume.llm.linking import bits_of, link, may_hold, packed
 
 THRESHOLD = 2
 #: LENGTHS[t]: code points from which t edits are allowed.
@@ -215,8 +215,8 @@ def _verify(docs: DataFrame, firsts: DataFrame):
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers of the lines that go, from 0, for documents that lose any."""
     lines = stored(map_batches(_keyed(docs), _line_rows, "doc_id long, text_hash long, line long, node long"), "lines")
-    postings = map_batches(text_columns(docs, "text"), _postings,
-                           "key long, node long, class int, rank int, indexed boolean, parity long")
+    postings = packed(text_columns(docs, "text"), _postings,
+                      "key long, node long, class int, rank int, indexed boolean, parity long")
     # Of two lines that are both indexed at a key, each pair once.
     once = lambda a, b: ~F.col(f"{b}_indexed") | (F.col(f"{a}_node") < F.col(f"{b}_node"))
     alike = lambda a, b: F.bit_count(F.col(f"{a}_parity").bitwiseXOR(F.col(f"{b}_parity"))) <= 2 * THRESHOLD

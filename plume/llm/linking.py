@@ -8,6 +8,11 @@ still hold more than one component, the nodes of different components. Pairs
 within a component need no comparison: they are connected already. So no link
 between components is lost, and no group is expanded into all its pairs.
 
+Most keys belong to one node only. They are told apart before postings become
+rows: postings travel as packed arrays (:func:`packed`), dealt out by ranges of
+keys, and each task sorts the keys of one range at a time. Only postings whose
+key holds several nodes come out as rows.
+
 Groups are split by Spark: both sides of the joins are stored tables, so
 adaptive execution can split a hot key, and all groupings are sums, minima or
 maxima that are taken before the shuffle too.
@@ -16,12 +21,19 @@ maxima that are taken before the shuffle too.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+
+from plume.llm import textbatch
+from plume.llm.common import discard, pa_schema, stored
 
-from plume.llm.common import discard, stored
+#: Postings that a task packs at a time, and that it sorts at a time.
+PACK = 1 << 21
+SORT = 1 << 22
 
 #: Bits of the table that tells wanted keys from others without a shuffle: 8 MB. Where more keys are wanted than it
 #: can tell apart it lets more through; the result is the same.
@@ -73,18 +85,116 @@ def may_hold(key: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[word] >> (key & np.uint64(63))) & np.uint64(1) > 0
 
 
-def narrowed(df: DataFrame, keys: DataFrame, column: str = "key") -> DataFrame:
-    """The rows whose ``column`` is among the ``key`` values, and few others, without a shuffle."""
-    bits = df.sparkSession.sparkContext.broadcast(bits_of(keys))  # 2**FILTER_BITS bits
+@dataclass
+class Packed:
+    """Postings as arrays: a row per range of keys and lot, with the bytes of each column."""
+
+    table: DataFrame
+    schema: pa.Schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            yield part.filter(pa.array(may_hold(part.column(column).to_numpy(), bits.value)))
 
-    return df.mapInArrow(run, df.schema)
+def _kinds(schema: pa.Schema) -> dict[str, type]:
+    return {f.name: np.bool_ if pa.types.is_boolean(f.type) else f.type.to_pandas_dtype() for f in schema}
 
 
-def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
+def packed(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text") -> Packed:
+    """As ``common.map_batches``, with the postings of every task packed by ranges of their ``key``: as many ranges as
+    shuffle partitions."""
+    spark = df.sparkSession
+    target = pa_schema(spark, schema)
+    kinds = _kinds(target)
+    ranges = min(1 << 15, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lots: list[dict] = []
+        n = 0
+        for part in textbatch.slices(batches, column):
+            lots.append({c: np.asarray(v, kinds[c]) for c, v in function(part).items()})
+            n += len(lots[-1]["key"])
+            if n >= PACK:
+                yield from rows(lots)
+                lots, n = [], 0
+        if n:
+            yield from rows(lots)
+
+    def rows(lots: list[dict]) -> Iterator[pa.RecordBatch]:
+        columns = {c: np.concatenate([lot[c] for lot in lots]) for c in kinds}
+        place = ((columns["key"].view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.uint16)
+        order = np.argsort(place, kind="stable")
+        columns = {c: v[order] for c, v in columns.items()}
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=ranges))])
+        held = np.flatnonzero(np.diff(cuts))
+        for some in np.split(held, range(64, len(held), 64)):
+            bodies = [pa.array([v[cuts[k]:cuts[k + 1]].tobytes() for k in some], pa.binary()) for v in columns.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *bodies], names=["range", *columns])
+
+    return Packed(df.mapInArrow(run, ", ".join(["range int", *[f"{c} binary" for c in kinds]])), target)
+
+
+def shared_postings(postings: Packed) -> DataFrame:
+    """The postings of keys that hold several nodes, at least one of them indexed, each once.
+
+    A task takes one range at a time. A range of more than SORT postings is sorted in parts: what has met another node
+    leaves, and two postings a key stay for the next part, so memory follows the keys and no hot key is held. (Then
+    postings may come out twice, and keys without an indexed node: more rows, the same links.)"""
+    schema = postings.schema
+    kinds = _kinds(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, n, cut = None, [], 0, False
+        for batch in batches:
+            for i, place in enumerate(batch.column("range").to_pylist()):
+                if place != now:
+                    if n:
+                        yield found(joined(held), not cut)
+                    now, held, n, cut = place, [], 0, False
+                held.append({c: np.frombuffer(batch.column(c)[i].as_py(), kind) for c, kind in kinds.items()})
+                n += len(held[-1]["key"])
+                if n >= SORT:
+                    part = joined(held)
+                    yield found(part, False)
+                    two = witnesses(part)
+                    held, n, cut = [{c: v[two] for c, v in part.items()}], len(two), True
+        if n:
+            yield found(joined(held), not cut)
+
+    def joined(held: list[dict]) -> dict:
+        """One table, by key, the indexed postings of a key first."""
+        part = {c: np.concatenate([lot[c] for lot in held]) for c in kinds}
+        order = np.argsort(~part["indexed"], kind="stable")
+        order = order[np.argsort(part["key"][order], kind="stable")]
+        return {c: v[order] for c, v in part.items()}
+
+    def heads(key: np.ndarray) -> np.ndarray:
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        return np.flatnonzero(fresh)
+
+    def witnesses(part: dict) -> np.ndarray:
+        """A posting of each key, and one of another node where there is one: whatever comes then meets another node."""
+        start = heads(part["key"])
+        size = np.diff(np.append(start, len(part["key"])))
+        other = part["node"] != np.repeat(part["node"][start], size)
+        second = np.minimum.reduceat(np.where(other, np.arange(len(other)), len(other)), start)
+        return np.concatenate([start, second[second < len(other)]])
+
+    def found(part: dict, whole: bool) -> pa.RecordBatch:
+        start = heads(part["key"])
+        wanted = np.minimum.reduceat(part["node"], start) != np.maximum.reduceat(part["node"], start)
+        if whole:
+            wanted &= part["indexed"][start]
+        pick = np.repeat(wanted, np.diff(np.append(start, len(part["key"]))))
+        out = {c: v[pick] for c, v in part.items()}
+        by = np.lexsort((~out["indexed"], out["rank"], out["node"], out["key"]))
+        fresh = np.ones(len(by), bool)
+        fresh[1:] = np.any([out[c][by][1:] != out[c][by][:-1] for c in ("key", "node", "rank")], axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name][by[fresh]], f.type) for f in schema], schema=schema)
+
+    dealt = postings.table.repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(run, from_arrow_schema(schema))
+
+
+def link(postings: DataFrame | Packed, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
          alike: Callable[[str, str], Column], carry: list[str], late: DataFrame | None = None,
          late_alike: Callable[[str, str], Column] | None = None) -> DataFrame:
     """(node, label) of all nodes that link with another.
@@ -99,11 +209,14 @@ def link(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link
     ``late_alike`` on them, for the second round. ``verify``: of pairs (a, b),
     a < b, those that link.
     """
-    postings = stored(postings, "postings")
-    shared = stored(postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
-                                                F.max("indexed").alias("any")).where("lo <> hi AND any").select("key"), "keys")
-    members = stored(narrowed(postings, shared).join(shared, "key"), "members")
-    discard(postings, shared)
+    if isinstance(postings, Packed):
+        members = stored(shared_postings(postings), "members")
+    else:
+        postings = stored(postings, "postings")
+        shared = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                             F.max("indexed").alias("any")).where("lo <> hi AND any").select("key")
+        members = stored(postings.join(shared, "key"), "members")
+        discard(postings)
     leaders = stored(members.where("indexed").groupBy("key", "class").agg(
         F.min(F.struct("rank", "node", *carry)).alias("l")).select(
         "key", "class", F.col("l.node").alias("l_node"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in carry]), "leaders")
