@@ -1,9 +1,12 @@
 """Quality rules: fixed text statistics, and a hashed n-gram logistic
 regression trained on labelled quality rows, calibrated, and scored in Arrow
-batches against a fixed threshold.
+batches against a threshold that is fixed when the model is.
 
 Training takes a bounded sample of labelled rows (:data:`SAMPLE`, chosen by a
-hash of doc_id, each class up to half); scoring reads every whole text.
+hash of doc_id, each class up to half); scoring reads every whole text. The
+calibration rows are weighed by the class counts of all labels, so that a
+probability means the same at every table size, and the cut comes from
+held-out rows.
 
 Defined results: null and empty texts have no words and fail the base rule;
 repeated rows are judged alike, row by row; rows without a label are only
@@ -29,8 +32,10 @@ from plume.llm.common import map_batches, map_whole, text_columns
 SAMPLE = 3000
 #: Feature buckets for words (one and two in a row) and for characters (three bytes in a row).
 WORD_BITS, CHAR_BITS = 15, 15
-#: A row is kept if the calibrated probability of good quality reaches this.
-KEEP_AT = 0.05
+#: A row is kept if its calibrated probability of good quality reaches the cut: the highest one, MOST at most, below
+#: which no more than this share of the held-out good rows falls.
+GOOD_LOST = 0.005
+MOST = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 _SYMBOLS = tb.table(lambda b: chr(b) in "#*$%&|<>")
@@ -38,7 +43,7 @@ _CHAR = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 BASE = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean")
-SCHEMA = f"doc_id long, {BASE}, probability double, kept boolean"
+SCHEMA = f"doc_id long, {BASE}, kept boolean, probability double"
 
 
 def base_statistics(texts: tb.Texts, w: tb.Words) -> dict[str, np.ndarray]:
@@ -104,6 +109,7 @@ class Model:
     bias: float
     slope: float
     offset: float
+    cut: float
 
     def probability(self, texts: tb.Texts, w: tb.Words) -> np.ndarray:
         score = np.full(len(texts), self.bias)
@@ -117,11 +123,16 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Up to SAMPLE / 2 labelled rows of each class, by a hash of doc_id."""
-    marked = text_columns(labels, "doc_id", "quality").where(
+def _marked(labels: DataFrame) -> DataFrame:
+    """One label for each labelled document."""
+    return text_columns(labels, "doc_id", "quality").where(
         F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("quality"))
+
+
+def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Up to SAMPLE / 2 labelled rows of each class, by a hash of doc_id."""
+    marked = _marked(labels)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = None
     for value in (0, 1):
@@ -168,8 +179,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     weights, bias = _descend([ids[i] for i in fit], [values[i] for i in fit], y[fit])
     score = np.array([float(weights[i] @ v) + bias for i, v in zip(ids, values, strict=True)])
     at = held if held.any() else ~held
-    slope, offset = _calibrate(score[at], y[at])
-    return Model(weights, bias, slope, offset)
+    # The sample holds each class up to a bound; the calibration counts the classes as the labels do, whatever the table's size.
+    count = {r["quality"]: r["count"] for r in _marked(labels).groupBy("quality").count().collect()}
+    own = np.where(y[at] > 0, count[1] / y[at].sum(), count[0] / (1 - y[at]).sum())
+    slope, offset = _calibrate(score[at], y[at], own * len(own) / own.sum())
+    good = np.sort(_logistic(slope * score[at] + offset)[y[at] > 0])
+    return Model(weights, bias, slope, offset, min(MOST, float(good[int(GOOD_LOST * len(good))])))
 
 
 def _descend(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray,
@@ -190,17 +205,17 @@ def _descend(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray,
     return w, float(b)
 
 
-def _calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic curve through held-out scores, with smoothed targets (Newton steps)."""
-    good = y.sum()
-    target = np.where(y > 0, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
+def _calibrate(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Logistic curve through held-out scores of given weights, with smoothed targets (Newton steps)."""
+    good = (weight * y).sum()
+    target = np.where(y > 0, (good + 1) / (good + 2), 1 / (weight.sum() - good + 2))
     scale = max(float(np.abs(score).max()), 1e-9)
     x = np.stack([score / scale, np.ones_like(score)], 1)
     beta = np.zeros(2)
     for _ in range(50):
         p = _logistic(x @ beta)
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - target) + 1e-6 * beta)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        step = np.linalg.solve(h, x.T @ (weight * (p - target)) + 1e-6 * beta)
         beta = beta - np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
@@ -237,4 +252,4 @@ def _verdicts(part: pa.RecordBatch, model: Model | None) -> dict:
     if model is None:
         return out | {"probability": pa.nulls(len(texts), pa.float64()), "kept": ~out["base_failed"]}
     p = model.probability(texts, w)
-    return out | {"probability": p, "kept": ~out["base_failed"] & (p >= KEEP_AT)}
+    return out | {"probability": p, "kept": ~out["base_failed"] & (p >= model.cut)}
