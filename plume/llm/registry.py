@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plume.llm import decontaminate, grid_join, importance, jaccard_join, license_scan, line_dedup, link_trust, piece_lattice, \
     quality_rules, token_output, turn_repair, warc, word_runs
-from plume.llm.common import table
+from plume.llm.common import stored, table
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archive(table(spark, sf_dir, "pages"))
-    return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path, payloads=False)))
+    records = stored(warc.read_records(spark, path, payloads=False), "records")  # the archives are parsed once
+    return warc.resolve_revisits(warc.assemble(records))
 
 
 def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

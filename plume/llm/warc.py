@@ -7,8 +7,9 @@ writer ends each with CRLF CRLF, as the format asks. Of pages with the same
 payload of :data:`REVISIT_BYTES` or more, the one with the smallest id is a
 response; the others are revisits that refer to it and hold no payload.
 
-Reading parses whole archive files by Content-Length (files hold
-:data:`FILE_RECORDS` records at most), so payloads may contain anything.
+Files are bounded by bytes (:data:`FILE_BYTES`), however large the pages are.
+Reading parses whole archive files by Content-Length, so payloads may contain
+anything.
 
 Defined results: null payloads are empty ones; a page with a null id is a
 response; of rows with one id, payload and size that allow a revisit, but
@@ -33,7 +34,12 @@ from plume.llm.common import pa_schema, stored, text_columns
 from plume.session import scratch_path
 
 REVISIT_BYTES = 100
-FILE_RECORDS = 3000
+#: Bytes of an archive file, about and at most, before compression; a larger record has a file of its own.
+FILE_BYTES = 64 << 20
+#: Payloads up to this size share files of FILE_BYTES / SMALL_BYTES pages; larger ones those of their own.
+SMALL_BYTES = 64 << 10
+#: Records of a page.
+PER_PAGE = 3
 CRLF = "\r\n"
 
 RECORDS = ("type string, id string, concurrent_to string, refers_to string, target_uri string, page_id long, "
@@ -55,16 +61,27 @@ def _record(kind: str, record_id: Column, concurrent: Column | None, uri: Column
 
 
 def write_archive(pages: DataFrame, path: str | None = None) -> str:
-    """Write the pages (page_id, url, html) as WARC files; gives the folder."""
+    """Write the pages (page_id, url, html) as WARC files; gives the folder. Large pages are written by themselves, as many
+    to a file as the largest one allows; equal payloads have equal sizes, so each group is in one of the two parts."""
     path = path or scratch_path(pages.sparkSession, "warc")
+    size = F.coalesce(F.octet_length(F.col("html").cast("binary")), F.lit(0))
+    largest = pages.agg(F.max(size)).first()[0] or 0
+    _write(pages.where(size <= SMALL_BYTES) if largest > SMALL_BYTES else pages, path, SMALL_BYTES)
+    if largest > SMALL_BYTES:
+        _write(pages.where(size > SMALL_BYTES), path, largest)
+    return path
+
+
+def _write(pages: DataFrame, path: str, largest: int) -> None:
     own = text_columns(pages, "page_id", "url", "html").withColumn(
         "payload", F.coalesce(F.col("html").cast("binary"), F.lit(b""))).withColumn(
         "digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload")).withColumn(
         "name", F.concat_ws("-", F.coalesce(F.col("page_id").cast("string"), F.lit("none")),
                             F.substring(F.sha2(F.concat_ws(" ", "digest", "url"), 256), 1, 16)))
-    # Heads of groups with equal payloads: counted before the shuffle, so a hot payload is one row a task.
-    heads = own.where((F.col("bytes") >= REVISIT_BYTES) & F.col("page_id").isNotNull()).groupBy("digest").agg(
-        F.min(F.struct("page_id", "name")).alias("head"), F.count("*").alias("copies")).where("copies > 1")
+    # Heads of groups with equal payloads: counted before the shuffle, so a hot payload is one row a task. They are stored,
+    # so that the join below reads two tables and adaptive execution can split a payload with very many copies.
+    heads = stored(own.where((F.col("bytes") >= REVISIT_BYTES) & F.col("page_id").isNotNull()).groupBy("digest").agg(
+        F.min(F.struct("page_id", "name")).alias("head"), F.count("*").alias("copies")).where("copies > 1"), "heads")
     joined = own.join(heads, "digest", "left")
     urn = lambda kind, name="name": F.concat(F.lit(f"<urn:plume:{kind}:"), F.col(name), F.lit(">"))
     revisit = F.col("page_id").isNotNull() & F.col("head").isNotNull() & (F.col("name") != F.col("head.name"))
@@ -89,9 +106,9 @@ def write_archive(pages: DataFrame, path: str | None = None) -> str:
                    F.concat(F.lit("fetched-bytes: "), F.col("bytes").cast("string")).cast("binary"))
     records = joined.select(F.explode(F.array(request, F.when(revisit, again).otherwise(response), note)).alias("record"))
     # Text keeps the bytes of a binary value as they are.
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", CRLF * 2).option(
-        "compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
-    return path
+    in_file = max(1, FILE_BYTES // max(largest, 1)) * (PER_PAGE if largest <= FILE_BYTES else 1)
+    records.select(F.col("record").cast("string").alias("value")).write.mode("append").option("lineSep", CRLF * 2).option(
+        "compression", "gzip").option("maxRecordsPerFile", in_file).text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

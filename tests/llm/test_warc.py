@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 
+from pyspark.sql import functions as F
+
 from plume.llm import registry, warc
 
 BIG = "x" * 150
@@ -67,3 +69,30 @@ def test_identifier_chains(spark):
     assert got["r1"] == ("response", "q1", ["m1", "m2", "m3", "m4"])
     assert got["lost"] == (None, "lost", [])
     assert {k for k in got} == {"r1", "lost", "a", "b", "c", "tail"}
+
+
+def test_many_copies_of_one_payload(spark):
+    rows = [(k, f"http://a/{k}", BIG) for k in range(50_000)] + [(60_000, "http://b", "other")]
+    df = spark.range(50_000).selectExpr("id AS page_id", "concat('http://a/', id) AS url", f"'{BIG}' AS html").unionByName(
+        spark.createDataFrame(rows[-1:], "page_id long, url string, html string"))
+    out = warc.resolve_revisits(warc.assemble(warc.read_records(spark, warc.write_archive(df), payloads=False)))
+    got = {(r["record_type"], r["refers_to"]): r["n"] for r in out.groupBy("record_type", "refers_to").agg(F.count("*").alias("n")).collect()}
+    assert got == {("response", None): 2, ("revisit", 0): 49_999}
+    assert out.where("payload_bytes <> 150").count() == 1
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4 << 20)
+    rows = [(k, f"http://a/{k}", chr(97 + k % 26) * (1 << 20) + str(k)) for k in range(30)] + [(100 + k, "http://b", f"small {k}") for k in range(400)]
+    df = frame(spark, rows).coalesce(1)
+    path = warc.write_archive(df)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").collect()
+    sizes = [len(gzip.decompress(r["content"])) for r in files]
+    assert max(sizes) <= (4 << 20) * 1.1 and len(sizes) >= 8
+    assert read(spark, path) == expected(rows)
+
+
+def test_pages_of_a_megabyte(spark):
+    df = spark.range(200).selectExpr("id AS page_id", "concat('http://a/', id) AS url", "concat(repeat('x', 1000000), id % 150) AS html")
+    out = warc.resolve_revisits(warc.assemble(warc.read_records(spark, warc.write_archive(df), payloads=False))).collect()
+    assert {r["page_id"]: r["refers_to"] for r in out} == {k: k - 150 if k >= 150 else None for k in range(200)}
