@@ -11,12 +11,14 @@ and an item match if the sum of smaller weights is at least
 
 A window that shares no shingle with any item has similarity 0 with all, so
 only windows that do are fingerprinted: for each shared shingle, the window
-of the item's size that lies where the item would. Fingerprints farther apart
-than the radius do not rule a pair out: where as many of a window's shingles
-are the item's as the similarity needs, the pair is verified too. If no such
-window of a text matches an item, the windows that begin at a shared shingle
-are tried, and those from the text's start that end at one: cut elsewhere, a
-window shares no more. So no pair is missed.
+of the item's size that lies where the item would. The index gives the pairs
+to verify. Fingerprints farther apart than the radius do not rule a pair out:
+of the pairs that the index leaves, those are verified too in which as many of
+a window's shingles are the item's as the similarity needs; a result row says
+which kind it is (``within_radius``). If no such window of a text matches an
+item, the windows that begin at a shared shingle are tried, and those from the
+text's start that end at one: cut elsewhere, a window shares no more. So no
+pair is missed.
 
 Items are sent to the executors :data:`ITEMS` at a time, and the documents
 are read once for each lot; there is no other bound on the benchmark.
@@ -51,7 +53,7 @@ RADIUS = 16
 ITEMS, ITEM_BYTES = 20_000, 16 << 20
 _FILTER_BITS = 20
 
-SCHEMA = "doc_id long, item_id long, similarity double, start_word long, n_words long"
+SCHEMA = "doc_id long, item_id long, similarity double, start_word long, n_words long, within_radius boolean"
 
 
 def fingerprints(value: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -121,8 +123,8 @@ def build_index(items: pa.Table) -> Index:
                  value[order], text[order], (np.arange(len(value)) - first[text])[order], seen, blocks)
 
 
-def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, int, int]]:
-    """(text, item, similarity, first word, words) of the best window of each pair, in order."""
+def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, int, int, bool]]:
+    """(text, item, similarity, first word, words, found by the index) of the best window of each pair, in order."""
     texts = tb.as_texts(part.column("text"))
     w = tb.words(texts, tb.ALNUM, fold=True)
     value, at = tb.windows(w, SHINGLE)
@@ -143,7 +145,7 @@ def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, i
     begin = place - index.offset[posting]
     end = np.minimum(begin + index.n_words[index.item[posting]], w.first[text + 1])
     begin = np.maximum(begin, w.first[text])
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    best: dict[tuple[int, int], tuple[float, int, int, bool]] = {}
 
     def runs(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, number of shingles and the first one's place of each window."""
@@ -153,7 +155,7 @@ def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, i
         return text, np.where(is_short, 1, end - begin - SHINGLE + 1), np.where(
             is_short, n_windows + np.searchsorted(short, text), np.searchsorted(at[:n_windows], begin))
 
-    def verify(pairs: np.ndarray) -> None:
+    def verify(pairs: np.ndarray, indexed: bool) -> None:
         """Pairs (begin, end, item), in order."""
         text, size, start = runs(pairs[:, 0], pairs[:, 1])
         counter, last = None, None
@@ -168,7 +170,7 @@ def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, i
                 key = (int(text[k]), i)
                 rank = (shared / total, -begin)
                 if key not in best or rank > best[key][:2]:
-                    best[key] = (*rank, end - begin)
+                    best[key] = (*rank, end - begin, indexed)
 
     windows = np.unique(np.stack([begin, end], 1), axis=0)
     _, size, start = runs(windows[:, 0], windows[:, 1])
@@ -190,7 +192,9 @@ def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, i
         may = (size > 0) & (100 * most >= round(100 * SIMILARITY) * (size + item_size[item] - most))
         return np.unique(np.stack([begin[may], end[may], item[may]], 1), axis=0)
 
-    verify(np.unique(np.concatenate([np.column_stack([windows[own], near]), enough(begin, end, owner)]), axis=0))
+    found = np.unique(np.column_stack([windows[own], near]), axis=0)
+    verify(found, True)
+    verify(without(enough(begin, end, owner), found), False)
     owner, place = places // span, places % span
     text = np.searchsorted(w.first, place, "right") - 1
     head, tail, words = w.first[text], w.first[text + 1], index.n_words[owner]
@@ -199,8 +203,14 @@ def matches(part: pa.RecordBatch, index: Index) -> list[tuple[int, int, float, i
                    np.concatenate([owner, owner[cut]]))
     text = np.searchsorted(w.first, other[:, 0], "right") - 1
     open_ = [(t, i) not in best for t, i in zip(text.tolist(), other[:, 2].tolist(), strict=True)]
-    verify(other[np.array(open_, bool)])
-    return [(t, i, s, -b - int(w.first[t]), n) for (t, i), (s, b, n) in sorted(best.items())]
+    verify(other[np.array(open_, bool)], False)
+    return [(t, i, s, -b - int(w.first[t]), n, near) for (t, i), (s, b, n, near) in sorted(best.items())]
+
+
+def without(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The rows that are not among the others; both hold each row once, in order."""
+    every, first, times = np.unique(np.concatenate([others, rows]), axis=0, return_index=True, return_counts=True)
+    return every[(first >= len(others)) & (times == 1)]
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
@@ -226,9 +236,9 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def judge(part: pa.RecordBatch, shared=shared) -> dict:
             ids, items = part.column("doc_id").to_pylist(), shared.value.item_id
-            rows = [(ids[t], items[i], s, b, n) for t, i, s, b, n in matches(part, shared.value)]
-            return dict(zip(("doc_id", "item_id", "similarity", "start_word", "n_words"),
-                            map(list, zip(*rows, strict=True)) if rows else ([],) * 5, strict=True))
+            rows = [(ids[t], items[i], *rest) for t, i, *rest in matches(part, shared.value)]
+            return dict(zip(("doc_id", "item_id", "similarity", "start_word", "n_words", "within_radius"),
+                            map(list, zip(*rows, strict=True)) if rows else ([],) * 6, strict=True))
 
         found = map_batches(own, judge, SCHEMA)
         out = found if out is None else out.unionByName(found)
