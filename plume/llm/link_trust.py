@@ -3,21 +3,28 @@
 Rules judge the addresses they fit. For the others the verdict is that of
 their host: trust flows from the hosts of allowed pages along links
 (personalised PageRank), distrust flows from the hosts of blocked pages
-against the links' direction, and a host is blocked if distrust is more than
-:data:`BLOCK_SHARE` of its trust and distrust together.
-
-Links are the absolute addresses in ``href`` attributes; counts of links
-between two different hosts, each direction normalised, are the edges. A
-host's seed weight is the share of its pages that rules allow (block). A host
-without links passes nothing on. Scores are rewritten to the shared folder
-every round.
+against the links' direction. Both are counted in pages: a host's seed is the
+number of its pages that rules allow (block). A host is blocked if its distrust
+exceeds its trust and is large for its pages: rules block :data:`OWN_SHARE` of
+them or more, or links to other hosts bring distrust of :data:`LINK_SHARE` of
+them. So a few blocked pages do not block a large host, and a host that feeds
+blocked ones is blocked by what they pass back.
+
+Links are all ``href`` values that lead to a page. Absolute and scheme-relative
+ones lead to their host, relative ones to the own host: a host that links
+mostly to itself keeps most of its score. Each direction is normalised over all
+links of a host; a host without links in a direction keeps what it has. So the
+sum of all scores stays the sum of the seeds. Rounds go on until a round moves
+less than :data:`REST` of the seeds (at most :data:`ROUNDS`, by when damping has
+brought any graph below that); every round is stored in the shared folder.
 
 Defined results: a null address, or one without ``://``, has an empty host
 and path, fits no rule, and is judged like any host ("" has no links, so it
-is allowed); null html has no links; repeated pages and links count as often
-as they occur; a host without trust and distrust is allowed. A rule fits if
-its path begins the address's path, so an empty path fits none; of rules that
-fit, the longest wins. Extra columns are ignored.
+is allowed); null html has no links; other schemes (``mailto:``) and fragments
+are no links; repeated pages and links count as often as they occur; a host
+without distrust is allowed. A rule fits if its path begins the address's path,
+so an empty path fits none; of rules that fit, the longest wins. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,10 +36,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plume.llm.common import stored, text_columns
 
-DAMPING, ROUNDS = 0.85, 15
-BLOCK_SHARE = 0.5
-#: An absolute or scheme-relative address in an href attribute.
-HREF = r"""(?i)href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s<>]+)"""
+DAMPING, ROUNDS, REST = 0.85, 60, 1e-4
+OWN_SHARE, LINK_SHARE = 0.5, 0.05
+#: The address in an href attribute.
+HREF = r"""(?i)href\s*=\s*["']?\s*([^"'\s<>]+)"""
 
 
 class Rule(NamedTuple):
@@ -84,12 +91,15 @@ def apply_rules(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(source, target, links) between different hosts, summed before the shuffle."""
+    """(source, target, links) between hosts, relative links from a host to itself; summed before the shuffle."""
     links = text_columns(pages, "url", "html").select(
         host_of(F.col("url")).alias("source"),
         F.explode(F.expr(f"regexp_extract_all(html, r'{_sql(HREF)}', 1)")).alias("link"))
-    target = host_of(F.when(F.col("link").startswith("//"), F.concat(F.lit("x:"), "link")).otherwise(F.col("link")))
-    return links.select("source", target.alias("target")).where("source <> target AND source <> '' AND target <> ''") \
+    link = F.col("link")
+    target = F.when(link.rlike("^(?i)[a-z][a-z0-9+.-]*://"), host_of(link)).when(
+        link.startswith("//"), host_of(F.concat(F.lit("x:"), link))).when(
+        ~link.rlike("^(?i)(#|[a-z][a-z0-9+.-]*:)"), F.col("source"))
+    return links.select("source", target.alias("target")).where("source <> '' AND target <> ''") \
         .groupBy("source", "target").agg(F.count("*").alias("links"))
 
 
@@ -97,46 +107,65 @@ def _sql(pattern: str) -> str:
     return pattern.replace("'", r"\x27")
 
 
-def seeds(judged: DataFrame) -> DataFrame:
-    """(kind, host, weight): the share of each host's pages that rules allow (trust) or block (distrust)."""
-    share = lambda verdict: F.avg(F.when(F.col("rule_verdict") == verdict, 1.0).otherwise(0.0))
-    by_host = judged.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
-    return by_host.select("host", F.explode(F.create_map(F.lit("trust"), F.col("trust"), F.lit("distrust"),
-                                                         F.col("distrust"))).alias("kind", "weight")).where("weight > 0")
+def host_pages(judged: DataFrame) -> DataFrame:
+    """(host, pages, trust, distrust): how many pages a host has, and how many of them rules allow and block."""
+    n = lambda verdict: F.count(F.when(F.col("rule_verdict") == verdict, True)).cast("double")
+    return judged.where("host <> ''").groupBy("host").agg(
+        F.count("*").alias("pages"), n("allow").alias("trust"), n("block").alias("distrust"))
 
 
-def transitions(edges: DataFrame) -> DataFrame:
-    """(kind, from_host, to_host, p): trust along links, distrust against them."""
-    both = edges.select(F.lit("trust").alias("kind"), F.col("source").alias("from_host"), F.col("target").alias("to_host"),
-                        "links").unionByName(
-        edges.select(F.lit("distrust").alias("kind"), F.col("target").alias("from_host"),
-                     F.col("source").alias("to_host"), "links"))
-    total = both.groupBy("kind", "from_host").agg(F.sum("links").alias("total"))
-    return both.join(total, ["kind", "from_host"]).select("kind", "from_host", "to_host",
-                                                          (F.col("links") / F.col("total")).alias("p"))
+def _by_kind(hosts: DataFrame) -> DataFrame:
+    """(kind, host, score) of the scores that are not 0."""
+    return hosts.select("host", F.explode(F.create_map(F.lit("trust"), F.col("trust"), F.lit("distrust"), F.col("distrust")))
+                        .alias("kind", "score")).where("score > 0")
 
 
-def propagate(start: DataFrame, steps: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(kind, host, score) after the rounds, from (kind, host, weight) seeds."""
-    again = start.select("kind", "host", (F.col("weight") * (1 - damping)).alias("score"))
-    scores = again
+def transitions(edges: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(kind, from_host, to_host, p): trust along links, distrust against them; a host without links in a direction has
+    one to itself. A hub's edges and their totals are stored tables, so adaptive execution can split the hub."""
+    both = stored(edges.select(F.lit("trust").alias("kind"), F.col("source").alias("from_host"), F.col("target").alias("to_host"),
+                               "links").unionByName(
+        edges.select(F.lit("distrust").alias("kind"), F.col("target").alias("from_host"),
+                     F.col("source").alias("to_host"), "links")), "directions")
+    total = stored(both.groupBy("kind", "from_host").agg(F.sum("links").alias("total")), "totals")
+    known = hosts.select("host").unionByName(both.select(F.col("to_host").alias("host"))).distinct().select(
+        F.col("host").alias("from_host"), F.explode(F.array(F.lit("trust"), F.lit("distrust"))).alias("kind"))
+    alone = known.join(total, ["kind", "from_host"], "left_anti").select(
+        "kind", "from_host", F.col("from_host").alias("to_host"), F.lit(1.0).alias("p"))
+    return both.join(total, ["kind", "from_host"]).select(
+        "kind", "from_host", "to_host", (F.col("links") / F.col("total")).alias("p")).unionByName(alone)
+
+
+def propagate(start: DataFrame, steps: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, rest: float = REST) -> DataFrame:
+    """(kind, host, score): seeds (kind, host, score) spread over the steps until they rest."""
+    begun = start.agg(F.sum("score")).first()[0] or 0.0
+    again = start.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"), F.lit(0.0).alias("before"))
+    scores = start
     for _ in range(rounds):
         passed = steps.join(scores, (steps["kind"] == scores["kind"]) & (steps["from_host"] == scores["host"])).select(
-            steps["kind"], F.col("to_host").alias("host"), (F.col("p") * F.col("score") * damping).alias("score"))
-        scores = stored(passed.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score")), "trust")
-    return scores
+            steps["kind"], F.col("to_host").alias("host"), (F.col("p") * F.col("score") * damping).alias("score"), F.lit(0.0).alias("before"))
+        before = scores.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("before"))
+        scores = stored(passed.unionByName(again).unionByName(before).groupBy("kind", "host").agg(
+            F.sum("score").alias("score"), F.sum("before").alias("before")), "trust")
+        if (scores.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0) <= rest * begun:
+            break
+    return scores.select("kind", "host", "score")
 
 
 def host_verdicts(judged: DataFrame, pages: DataFrame) -> DataFrame:
-    """(host, trust, distrust, host_verdict) of every host that has a score."""
-    start = stored(seeds(judged), "seeds")
-    edges = stored(host_edges(pages), "edges")
-    steps = stored(transitions(edges), "steps")
-    scores = propagate(start, steps, 0 if edges.isEmpty() else ROUNDS)
+    """(host, trust, distrust, host_verdict) of every host that has pages."""
+    hosts = stored(host_pages(judged), "hosts")
+    steps = stored(transitions(host_edges(pages), hosts), "steps")
+    scores = propagate(stored(_by_kind(hosts), "seeds"), steps)
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
-    by_host = scores.groupBy("host").agg(of("trust"), of("distrust"))
-    bad = F.col("distrust") > BLOCK_SHARE * (F.col("trust") + F.col("distrust"))
-    return by_host.withColumn("host_verdict", F.when(bad, "block").otherwise("allow"))
+    own = hosts.select("host", "pages", F.col("distrust").alias("blocked"))
+    self_ = steps.where("kind = 'distrust' AND from_host = to_host").select(F.col("from_host").alias("host"), F.col("p").alias("kept"))
+    by_host = own.join(scores.groupBy("host").agg(of("trust"), of("distrust")), "host").join(self_, "host", "left")
+    # What other hosts pass on: the score without the own seed and what the host keeps of it.
+    received = F.col("distrust") * (1 - DAMPING * F.coalesce("kept", F.lit(0.0))) - (1 - DAMPING) * F.col("blocked")
+    large = (F.col("blocked") >= OWN_SHARE * F.col("pages")) | (received >= LINK_SHARE * F.col("pages"))
+    bad = (F.col("distrust") > F.col("trust")) & large
+    return by_host.select("host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("host_verdict"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -116,43 +116,49 @@ fitting AS (
     GROUP BY page_id),
 judged AS (SELECT p.page_id, host, path, rule, rule_verdict FROM parts p LEFT JOIN fitting f ON p.page_id = f.page_id),
 links AS (
-    SELECT host AS source, unnest(regexp_extract_all(coalesce(html, ''),
-        '(?i)href\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"''\s<>]+)', 1)) AS link FROM parts),
+    SELECT host AS source, unnest(regexp_extract_all(coalesce(html, ''), '(?i)href\s*=\s*["'']?\s*([^"''\s<>]+)', 1)) AS link FROM parts),
 targets AS (
-    SELECT source, translate(regexp_extract(substr(full_link, strpos(full_link, '://') + 3), '^([^/?#]*)', 1),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target
-    FROM (SELECT source, CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END AS full_link FROM links)),
-edges AS (
-    SELECT source, target, count(*) AS links FROM targets
-    WHERE source <> target AND source <> '' AND target <> '' GROUP BY ALL),
-steps AS (
+    SELECT source, CASE WHEN regexp_matches(link, '^(?i)([a-z][a-z0-9+.-]*:)?//') THEN
+        translate(regexp_extract(substr(link, strpos(link, '//') + 2), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+        WHEN NOT regexp_matches(link, '^(?i)(#|[a-z][a-z0-9+.-]*:)') THEN source END AS target
+    FROM links),
+edges AS (SELECT source, target, count(*) AS links FROM targets WHERE source <> '' AND target <> '' GROUP BY ALL),
+own AS (
+    SELECT host, count(*) AS pages, CAST(count(*) FILTER (WHERE rule_verdict = 'allow') AS DOUBLE) AS trust,
+           CAST(count(*) FILTER (WHERE rule_verdict = 'block') AS DOUBLE) AS distrust
+    FROM judged WHERE host <> '' GROUP BY host),
+steps AS MATERIALIZED (
     SELECT 'trust' AS kind, source AS from_host, target AS to_host, links / sum(links) OVER (PARTITION BY source) AS p FROM edges
     UNION ALL
     SELECT 'distrust', target, source, links / sum(links) OVER (PARTITION BY target) FROM edges),
-shares AS (
-    SELECT host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
-           avg(CASE WHEN rule_verdict = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
-    FROM judged WHERE host <> '' GROUP BY host),
-seeds AS (
-    SELECT 'trust' AS kind, host, 0.15 * trust AS score FROM shares WHERE trust > 0
-    UNION ALL SELECT 'distrust', host, 0.15 * distrust FROM shares WHERE distrust > 0),
+hosts AS (SELECT host FROM own UNION SELECT target FROM edges),
+every AS MATERIALIZED (
+    SELECT * FROM steps
+    UNION ALL
+    SELECT kind, host, host, 1.0 FROM hosts, (VALUES ('trust'), ('distrust')) k(kind)
+    WHERE NOT EXISTS (SELECT 1 FROM steps s WHERE s.kind = k.kind AND s.from_host = hosts.host)),
+seeds AS MATERIALIZED (
+    SELECT 'trust' AS kind, host, trust AS score FROM own WHERE trust > 0
+    UNION ALL SELECT 'distrust', host, distrust FROM own WHERE distrust > 0),
 scores AS (
     SELECT 0 AS step, kind, host, score FROM seeds
     UNION ALL
     SELECT step, kind, host, sum(score) FROM (
         SELECT s.step + 1 AS step, e.kind, e.to_host AS host, 0.85 * s.score * e.p AS score
-        FROM scores s JOIN steps e ON s.kind = e.kind AND s.host = e.from_host WHERE s.step < 15
+        FROM scores s JOIN every e ON s.kind = e.kind AND s.host = e.from_host WHERE s.step < 60
         UNION ALL
-        SELECT b.step + 1, seeds.kind, seeds.host, seeds.score
-        FROM seeds, (SELECT DISTINCT step FROM scores WHERE step < 15) b)
+        SELECT b.step + 1, seeds.kind, seeds.host, 0.15 * seeds.score
+        FROM seeds, (SELECT DISTINCT step FROM scores WHERE step < 60) b)
     GROUP BY ALL),
-hosts AS (
+totals AS (
     SELECT host, sum(CASE WHEN kind = 'trust' THEN score ELSE 0 END) AS trust,
            sum(CASE WHEN kind = 'distrust' THEN score ELSE 0 END) AS distrust
-    FROM scores WHERE step = 15 GROUP BY host)
+    FROM scores WHERE step = 60 GROUP BY host)
 SELECT page_id, j.host, path, rule,
-       coalesce(rule_verdict, CASE WHEN distrust > 0.5 * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged j LEFT JOIN hosts h ON j.host = h.host""",
+       coalesce(rule_verdict, CASE WHEN t.distrust > t.trust AND (o.distrust >= 0.5 * pages OR
+           t.distrust * (1 - 0.85 * coalesce(p, 0)) - 0.15 * o.distrust >= 0.05 * pages) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN totals t ON j.host = t.host LEFT JOIN own o ON j.host = o.host
+LEFT JOIN every e ON j.host = e.from_host AND e.kind = 'distrust' AND e.to_host = e.from_host""",
     "op5_jaccard_join": r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
