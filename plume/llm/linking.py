@@ -1,9 +1,10 @@
 """Connected components of a similarity join, without all pairs of a group.
 
 Candidates come as postings: (key, node, ...), where any two nodes that may
-link share a key. A first round compares each node with one leader of its
-key (and class) only, and joins what links into components; most groups of
-near copies become one component here. A second round compares, for keys that
+link share a key. A first round compares each node with the leaders of its
+keys (and classes) only, the closest leader first and the others if they are
+of other components by then; most groups of near copies become one component
+here. A second round compares, for keys that
 still hold more than one component, the nodes of different components. Pairs
 within a component need no comparison: they are connected already. So no link
 between components is lost, and no group is expanded into all its pairs.
@@ -32,7 +33,7 @@ from plume.llm import textbatch
 from plume.llm.common import discard, pa_schema, stored
 
 #: Postings that a task packs at a time, and that it sorts at a time.
-PACK = 1 << 21
+PACK = 1 << 19
 SORT = 1 << 22
 
 #: Bits of the table that tells wanted keys from others without a shuffle: 8 MB. Where more keys are wanted than it
@@ -221,11 +222,21 @@ def link(postings: DataFrame | Packed, verify: Callable[[DataFrame], DataFrame],
         F.min(F.struct("rank", "node", *carry)).alias("l")).select(
         "key", "class", F.col("l.node").alias("l_node"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in carry]), "leaders")
     own = members.select("key", "class", *[F.col(c).alias(f"m_{c}") for c in ("node", *carry)])
-    first = stored(own.join(leaders, ["key", "class"]).where((F.col("m_node") != F.col("l_node")) & alike("m", "l")).select(
-        F.least("m_node", "l_node").alias("a"), F.greatest("m_node", "l_node").alias("b")).distinct(), "pairs")
+    met = own.join(leaders, ["key", "class"]).where((F.col("m_node") != F.col("l_node")) & alike("m", "l"))
+    first = stored(met.groupBy("m_node", "l_node").agg(F.count("*").alias("n")).select(
+        "m_node", "n", F.least("m_node", "l_node").alias("a"), F.greatest("m_node", "l_node").alias("b")), "pairs")
     discard(leaders)
-    links = stored(verify(first), "links")
+    # Of a node's leaders the one that it shares most keys with: that joins most of a group, and what is connected then
+    # needs no further comparison.
+    closest = stored(first.groupBy("m_node").agg(F.max(F.struct("n", "a", "b")).alias("p")).select("p.a", "p.b").distinct(), "pairs")
+    links = stored(verify(closest), "links")
     labels = components(links)
+    rest = stored(_apart(first.select("a", "b").distinct().join(closest, ["a", "b"], "left_anti"), labels), "pairs")
+    if not rest.isEmpty():
+        more = stored(verify(rest), "links")
+        links = links.unionByName(more)
+        labels = components(links)
+    first = first.select("a", "b").distinct()
     # A shuffle join at any size: as many labels as nodes that link.
     named = stored(members.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
     discard(members)
@@ -241,8 +252,14 @@ def link(postings: DataFrame | Packed, verify: Callable[[DataFrame], DataFrame],
     across = side("x").where("x_indexed").join(side("y"), "key").where(meet & late_alike("x", "y") if late_alike else meet)
     second = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     more = stored(verify(second.join(first, ["a", "b"], "left_anti")), "links")
-    discard(open_, first)
+    discard(open_)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    discard(links, more)
     return labels
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    of = lambda p: labels.select(F.col("node").alias(p), F.col("label").alias(f"{p}_label"))
+    named = pairs.join(of("a").hint("merge"), "a", "left").join(of("b").hint("merge"), "b", "left")
+    return named.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
