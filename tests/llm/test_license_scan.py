@@ -54,3 +54,58 @@ def test_notices_and_odd_texts(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_edited_notices_are_found(spark):
+    """Words added, left out and replaced outside the mandatory phrases, one to four of them."""
+    import random
+
+    rng = random.Random(5)
+    rows, want = [], {}
+    for n in range(400):
+        label, notice, phrases = rng.choice([t for t in ls.TEMPLATES if len(t[1].split()) >= 25])
+        ws = notice.split()
+        fixed = set()
+        for phrase in phrases:
+            p = phrase.split()
+            start = next(i for i in range(len(ws)) if ws[i:i + len(p)] == p)
+            fixed |= set(range(start, start + len(p)))
+        edits = dict.fromkeys(rng.sample([i for i in range(len(ws)) if i not in fixed and i - 1 not in fixed], rng.randint(1, 4)))
+        out = []
+        for i, word in enumerate(ws):
+            out += rng.choice(([], [f"x{n}"], [f"y{n}", word])) if i in edits else [word]
+        rows.append((n, f"file {n} begins " + " ".join(out) + " and goes on"))
+        want[n] = label
+    rows += [(1000 + i, f"software is provided with conditions of use {i} and the rights to copy and distribute files of any kind") for i in range(300)]
+    got = {r["doc_id"]: r for r in run(spark, rows)}
+    assert sum(label in got[n]["labels"].split(",") for n, label in want.items()) >= 0.95 * len(want)
+    assert all(0.8 <= got[n]["score"] <= 1 for n in want if got[n]["labels"])
+    assert not any(got[1000 + i]["labels"] for i in range(300))
+
+
+def test_chain_by_brute_force():
+    """The chain against all common subsequences."""
+    import itertools
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = [[rng.randrange(4) for _ in range(rng.randint(0, 7))] for _ in range(2)]
+        weight = np.array([rng.random() for _ in a])
+        t = ls.Template("x", np.array(a, np.uint64), weight / max(weight.sum(), 1e-9), [])
+        best = 0.0
+        for size in range(len(a) + 1):
+            for pick in itertools.combinations(range(len(a)), size):
+                it = iter(b)
+                if all(a[i] in it for i in pick):
+                    best = max(best, t.weights[list(pick)].sum())
+        assert abs(ls.chained(t, np.array(b, np.uint64)) - min(best, 1.0)) < 1e-9
+
+
+def test_whole_licences_and_repeated_ones(spark):
+    rows = [(i, f"Copyright. {notice}.") for i, (_, notice, _) in enumerate(ls.TEMPLATES)] + [(100, (ls.MIT + " next file ") * 200)]
+    got = {r["doc_id"]: r for r in run(spark, rows)}
+    assert all(label in got[i]["labels"].split(",") for i, (label, _, _) in enumerate(ls.TEMPLATES))
+    assert got[100]["labels"] == "mit" and got[100]["score"] > 0.99
