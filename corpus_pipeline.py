@@ -38,8 +38,10 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document, and whether they decode to its text."""
-    return piece_lattice.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
+    """Piece ids of every document, whether they decode to its text, and which segmentation they are: the best one of the
+    lattice, not the library's merges."""
+    out = piece_lattice.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
+    return out.withColumn("segmentation", F.lit("lattice"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

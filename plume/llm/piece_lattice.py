@@ -13,6 +13,13 @@ remembers chunks (at most :data:`MEMO`). A text's N best segmentations differ
 from the best one only in the N - 1 chunks whose second best costs least, so
 A-star runs on those, and their lists are merged.
 
+The lattice is that of a unigram model: it adds up scores and takes the best
+sum. The query's model is a BPE one, whose scores are the ranks of its merges,
+not log-probabilities. So its best segmentation here is the one of least total
+rank among all ways through the lattice; the library's ``encode`` merges
+greedily and gives other, fewer pieces. ``segmentation`` in the pipeline's last
+stage says that its ids are the lattice's. Both decode to the text.
+
 A character without a piece of its own is an edge with the lowest score of
 all less 10; it is written as byte pieces if the model has them, else as the
 unknown piece. The text gets a blank in front, and blanks become U+2581.

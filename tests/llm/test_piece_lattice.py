@@ -104,3 +104,18 @@ def test_memory_may_be_cleared(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert rows(spark, []).collect() == []
+
+
+def test_lattice_and_merges_are_two_segmentations(spark):
+    """The model is a BPE one: the library merges greedily, the lattice takes the best sum of scores. Both decode to the text."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    texts = {r["doc_id"]: r["text"] for r in rows if r["text"]}
+    out = {r["doc_id"]: r["ids"] for r in pl.encode(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), PATH, with_ids=True).collect()}
+    merged = {i: library.encode(t) for i, t in texts.items()}
+    own, other = (sum(map(len, x.values())) for x in (out, merged))
+    assert 1.0 < own / other < 1.3 and sum(out[i] != merged[i] for i in texts) > 0.9 * len(texts)
+    score = library.GetScore if hasattr(library, "GetScore") else library.get_score
+    assert all(sum(map(score, out[i])) >= sum(map(score, merged[i])) - 1e-3 for i in texts)
