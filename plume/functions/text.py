@@ -146,10 +146,6 @@ def tokens(text) -> Column:
     return F.filter(F.split(F.trim(_c(text)), r"\s+"), lambda w: F.length(w) > 0)
 
 
-def word_count(text) -> Column:
-    return F.size(tokens(text))
-
-
 def uri_tail(uri) -> Column:
     """last path part of a URI."""
     return F.element_at(F.split(_c(uri), "/"), -1)
@@ -165,8 +161,9 @@ def percent1(x) -> Column:
     return F.format_string("%.1f%%", _c(x))
 
 
-def any_keyword_regex(keywords: list[str]) -> str:
-    """OR of terms as one case-insensitive alternation (regex-quoted)."""
-    import re
-
-    return "(?i)(" + "|".join(re.escape(k) for k in keywords) + ")"
+def permalink(source, community, author, post_id) -> Column:
+    """a post's public address: ``https://reddit.com`` and its path in the community, or the network's own form."""
+    src, who, key = _c(source), _c(author), _c(post_id)
+    return (F.when(src == "reddit", F.concat(F.lit("https://reddit.com/r/"), _c(community), F.lit("/comments/"), key, F.lit("/")))
+            .when(src == "twitter", F.concat(F.lit("https://twitter.com/"), who, F.lit("/status/"), key))
+            .when(src == "bluesky", F.concat(F.lit("https://bsky.app/profile/"), who, F.lit("/post/"), key)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.metrics import SOURCE_LABELS
 from ..schemas import ENVELOPE_MAP
 
 
@@ -30,15 +31,23 @@ def parse_envelope(decoded: DataFrame) -> DataFrame:
     return parsed.withColumnRenamed("timestamp", "event_timestamp").withColumnRenamed("data", "raw_data")
 
 
-def bronze(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
+def bronze(records: DataFrame, processed_at: Column | None = None, observe: str | None = None) -> DataFrame:
     """The bronze table rows.
 
+    ``observe`` names counts that are taken on the way (A19): records,
+    parsed envelopes, and posts of a known network, as ``Dataset.observe``
+    metrics of every batch.
+
     ``processed_at`` is the ingestion stamp (``current_timestamp()`` when
     omitted); tests pass the record time so the result is reproducible.
     ``partition_date`` is its date, as in the reference sink layout.
     Rows whose envelope does not parse are *kept out* (see ``split_bad``).
     """
     parsed = parse_envelope(decode(records))
+    if observe:
+        known = F.col("source").isin(list(SOURCE_LABELS))
+        parsed = parsed.observe(observe, F.count(F.lit(1)).alias("records"), F.count("source").alias("parsed"),
+                                F.count_if(F.coalesce(known, F.lit(False))).alias("known_source"))
     stamp = processed_at if processed_at is not None else F.current_timestamp()
     out = (parsed.where(F.col("source").isNotNull())
            .withColumn("processed_at", stamp)

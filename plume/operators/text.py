@@ -120,38 +120,6 @@ def _lists(stop, generic, excluded):
             list(excluded if excluded is not None else L.EXCLUDED_PHRASES))
 
 
-def phrase_rows(docs: DataFrame, text: str = "text", min_n: int = 2, max_n: int = 4,
-                min_chars: int = 8, stop=None, generic=None, excluded=None) -> DataFrame:
-    """K1 candidates, one row per phrase occurrence.
-
-    URLs are removed, the text is cut at sentence punctuation, other
-    punctuation becomes a blank, words are lower-cased; an n-gram
-    (n = 2..4) is kept when none of its words is a stop word or all digits,
-    its first and last words are not generic, it is not an over-general
-    phrase and it has at least ``min_chars`` characters.
-
-    N-grams come from ``arrays_zip`` of the token array with its shifted
-    copies, so every lambda reads only its own element (linear work per
-    segment, no per-position re-evaluation of the token array).
-    """
-    stop, generic, excluded = _lists(stop, generic, excluded)
-    arrays = _phrase_array(_segment_tokens(docs, text), min_n, max_n, min_chars, stop, generic, excluded)
-    return arrays.select(F.explode("grams").alias("keyword"))
-
-
-def word_rows(docs: DataFrame, text: str = "text", min_len: int = 4, stop=None, generic=None) -> DataFrame:
-    """K1 fallback words: alphabetic, ≥ 4 letters, not stop/generic, not 'ai…'."""
-    stop = list(stop if stop is not None else L.phrase_stop_words())
-    generic = list(generic if generic is not None else L.GENERIC_WORDS)
-    c = F.col(text)
-    toks = F.filter(F.split(F.trim(F.lower(T.drop_punct(F.regexp_replace(c, T.URL_PATTERN, "")))), rf"[{T.BLANK}]+"),
-                    lambda w: w != "")
-    w = F.col("keyword")
-    return (docs.select(F.explode(toks).alias("keyword"))
-            .where((F.length(w) >= min_len) & ~w.isin(stop) & ~w.isin(generic)
-                   & w.rlike(r"^\p{L}+$") & ~w.startswith("ai")))
-
-
 def _top(counts: DataFrame, n: int) -> DataFrame:
     return counts.orderBy(F.desc("mentions"), F.asc("keyword")).limit(n)
 
@@ -251,19 +219,6 @@ def extract_tags(docs: DataFrame, text: str = "text") -> DataFrame:
                        T.extract_mentions(F.col(text)).alias("mentions"))
 
 
-def search_union_dedup(results: list[DataFrame], key: str) -> DataFrame:
-    """Union of per-term result sets; a row found by several terms is
-    kept once, with the first term (list order) that found it. ``min_by``
-    is a partial aggregate, so a key found a million times is merged map-side."""
-    tagged = None
-    for i, r in enumerate(results):
-        t = r.withColumn("_term_order", F.lit(i))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    rest = [c for c in tagged.columns if c != key]
-    return (tagged.groupBy(key).agg(F.min_by(F.struct(*rest), F.col("_term_order")).alias("_r"))
-            .select(key, "_r.*").drop("_term_order"))
-
-
 # Fixed parameters of the related-document signature (ours).
 MINHASH_FUNCS = 8
 MINHASH_BAND = 2

@@ -19,9 +19,25 @@ def filter_source(df: DataFrame, source: str | None) -> DataFrame:
 
 
 def filter_communities(df: DataFrame, communities, col: str = "subreddit") -> DataFrame:
-    """Multi-select; an empty selection means no filter."""
+    """Multi-select; an empty selection means no filter. Only Reddit has communities, so only its partitions of a
+    stored table are read."""
     communities = list(communities or [])
-    return df.where(F.col(col).isin(communities)) if communities else df
+    if not communities:
+        return df
+    chosen = df.where(F.col(col).isin(communities))
+    return chosen.where(F.col("source") == M.SOURCE_LABELS["reddit"]) if DATE in df.columns else chosen
+
+
+#: Date that a stored table of posts is partitioned by; times are then bounded by it too, which prunes the scan.
+DATE = "partition_date"
+
+
+def _dated(df: DataFrame, low, high=None) -> DataFrame:
+    """Only the partitions of the dates, where the table has such."""
+    if DATE not in df.columns:
+        return df
+    out = df.where(F.col(DATE) >= F.to_date(low))
+    return out if high is None else out.where(F.col(DATE) <= F.to_date(high))
 
 
 def filter_period(df: DataFrame, period: str, as_of, ts: str = "created_ts") -> DataFrame:
@@ -35,20 +51,22 @@ def filter_period(df: DataFrame, period: str, as_of, ts: str = "created_ts") ->
     if period == "all":
         return df
     if period == "today":
-        return df.where(F.to_date(t) == F.to_date(now))
+        return _dated(df, now, now).where(F.to_date(t) == F.to_date(now))
     if period == "yesterday":
-        return df.where(F.to_date(t) == F.date_sub(F.to_date(now), 1))
-    if period == "week":
-        return df.where(t >= now - F.expr("INTERVAL 7 DAYS"))
-    if period == "month":
-        return df.where(t >= now - F.expr("INTERVAL 30 DAYS"))
+        day = F.date_sub(F.to_date(now), 1)
+        return _dated(df, day, day).where(F.to_date(t) == day)
+    days = {"week": 7, "month": 30}.get(period)
+    if days:
+        low = now - F.make_dt_interval(days=F.lit(days))
+        return _dated(df, low).where(t >= low)
     raise ValueError(f"unknown period {period!r}")
 
 
 def filter_last_hours(df: DataFrame, hours: int, as_of, ts: str = "created_ts") -> DataFrame:
     """P10: the last n hours up to the clock (inclusive lower bound)."""
     now = as_of_lit(as_of)
-    return df.where((F.col(ts) >= now - F.make_dt_interval(hours=F.lit(hours))) & (F.col(ts) <= now))
+    low = now - F.make_dt_interval(hours=F.lit(hours))
+    return _dated(df, low, now).where((F.col(ts) >= low) & (F.col(ts) <= now))
 
 
 def recent_posts(df: DataFrame, n: int = 50, ts: str = "created_ts", key: str = "post_id") -> DataFrame:

@@ -682,6 +682,7 @@ Q["stream_dedup"] = with_silver("SELECT source, post_id FROM silver")
 Q["stream_trending"] = TRENDING_WINDOWS + """
 HAVING ws + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM silver) - INTERVAL 10 MINUTE"""
 Q["stream_fanout"] = Q["count_by_source"]
+Q["stream_parse_yield"] = Q["parse_yield"]
 Q["medallion_e2e"] = TRENDING_WINDOWS
 
 
@@ -885,3 +886,10 @@ def _model_sql() -> dict[str, str]:
             "gold_incremental": Q["hourly_stats"],
             "lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
             "silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}
+Q["post_links"] = with_silver("""
+SELECT source, post_id, CASE source WHEN 'reddit' THEN 'https://reddit.com/r/' || community || '/comments/' || post_id || '/'
+  WHEN 'twitter' THEN 'https://twitter.com/' || author || '/status/' || post_id
+  ELSE 'https://bsky.app/profile/' || author || '/post/' || post_id END AS link FROM silver""")
+Q["share_labels"] = with_unified("""
+SELECT source, format('{:,}', count(*)) AS posts_label,
+       printf('%.1f%%', round(count(*) * 100.0 / sum(count(*)) OVER (), 4)) AS share_label FROM unified GROUP BY source""")

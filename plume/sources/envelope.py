@@ -11,19 +11,3 @@ def envelope_json(source, data: Column, timestamp) -> Column:
     src = F.col(source) if isinstance(source, str) else source
     ts = F.col(timestamp) if isinstance(timestamp, str) else timestamp
     return F.to_json(F.struct(src.alias("source"), ts.alias("timestamp"), data.alias("data")))
-
-
-def to_topic_records(df: DataFrame, key: str, value: str, topic: str,
-                     partition: str | None = None, offset: str | None = None,
-                     timestamp: str | None = None) -> DataFrame:
-    """Shape rows as topic records (key/value binary). Keyed by post id so one
-    post always lands in one partition, which keeps per-key order."""
-    cols = [F.col(key).cast("binary").alias("key"), F.col(value).cast("binary").alias("value"),
-            F.lit(topic).alias("topic")]
-    if partition:
-        cols.append(F.col(partition).cast("int").alias("partition"))
-    if offset:
-        cols.append(F.col(offset).cast("bigint").alias("offset"))
-    if timestamp:
-        cols.append(F.col(timestamp).cast("timestamp").alias("timestamp"))
-    return df.select(*cols)

@@ -63,10 +63,23 @@ def dropped_late_rows(q: StreamingQuery) -> int:
     return total
 
 
+def intake(q: StreamingQuery, name: str = "intake") -> list[dict[str, int]]:
+    """Per micro-batch, the records read, envelopes parsed, bad ones, posts of known networks, and rows that came
+    too late; from the query's own progress, without another pass over the data. (Progress keeps the last 100 batches.)"""
+    out = []
+    for p in q.recentProgress:
+        counts = p["observedMetrics"].get(name) if p.get("observedMetrics") else None
+        if counts is not None:
+            late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+            row = {c: int(counts[c] or 0) for c in ("records", "parsed", "known_source")}
+            out.append({"batch": int(p["batchId"]), **row, "bad": row["records"] - row["parsed"], "late": late})
+    return out
+
+
 # ---------------------------------------------------------------- stages
-def bronze_stream(records: DataFrame, processed_at=None) -> DataFrame:
-    """Topic records → bronze rows."""
-    return B.bronze(records, processed_at=processed_at)
+def bronze_stream(records: DataFrame, processed_at=None, observe: str | None = None) -> DataFrame:
+    """Topic records → bronze rows (P1–P4), counted on the way if ``observe`` names the counts."""
+    return B.bronze(records, processed_at=processed_at, observe=observe)
 
 
 def silver_stream(bronze_df: DataFrame, watermark: str = "10 minutes") -> DataFrame:

@@ -10,7 +10,7 @@ from .conftest import SF_SMALL
 # checked through the read side only.
 WRITES = {"silver_write", "gold_incremental", "lda_topics", "bronze_scan", "partition_read", "retention_keep", "delete_where", "compact", "merge_schema",
           "stream_envelope", "bronze_roundtrip", "stream_restart", "stream_count_by_source", "sql_stream",
-          "stream_dedup", "stream_burst_alerts", "stream_trending", "stream_fanout", "medallion_e2e"}
+          "stream_dedup", "stream_parse_yield", "stream_burst_alerts", "stream_trending", "stream_fanout", "medallion_e2e"}
 
 
 def plan(df) -> str:
@@ -46,3 +46,14 @@ def test_topk_per_group_limits_before_shuffle(spark, name):
 def test_dedup_is_a_partial_aggregate(spark, name):
     p = plan(catalog.queries()[name](spark, SF_SMALL))
     assert "partial_min_by" in p or "partial_max_by" in p, p
+
+
+@pytest.mark.parametrize("name, column", [("filter_source", "source"), ("filter_community", "source"), ("filter_today", "partition_date"),
+                                          ("filter_yesterday", "partition_date"), ("filter_week", "partition_date"),
+                                          ("filter_month", "partition_date"), ("filter_last_hours", "partition_date")])
+def test_filters_prune_the_stored_view(spark, name, column):
+    import re
+
+    p = catalog.queries()[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    filters = re.search(r"PartitionFilters: \[(.*?), PushedFilters", p).group(1)
+    assert column in filters and "json" not in p, p

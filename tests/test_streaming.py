@@ -102,3 +102,18 @@ def test_submit_jobs_bronze_silver_gold(spark):
     assert sorted(r["post_id"] for r in spark.read.parquet(silver).collect()) == ["1", "2", "3"]
     run("gold", input=silver, out=gold)
     assert spark.read.parquet(gold).count() >= 1
+
+
+def test_intake_counts_per_batch(spark):
+    src, out, ckpt = (scratch_path(spark, n) for n in ("src", "out", "ckpt"))
+    bad = (b"x", b"{bad", "t", 0, 99, dt.datetime(2025, 11, 11))
+    _land(spark, src, [_post(1, 0), _post(2, 5), _post(3, 95), bad])
+    _land(spark, src, [_post(6, 100), bad, bad])
+    _land(spark, src, [_post(4, 10)])                             # too late
+    stream = RUN.bronze_stream(read_topic_files(spark, src, streaming=True, max_files_per_trigger=1),
+                               processed_at=F.col("topic_timestamp"), observe="intake")
+    q = RUN.start(RUN.trending_stream(RUN.silver_stream(stream)), ckpt, "parquet", out)
+    RUN.drain(q)
+    counted = [b for b in RUN.intake(q) if b["records"]]
+    assert [(b["records"], b["parsed"], b["bad"], b["known_source"]) for b in counted] == [(4, 3, 1, 3), (3, 1, 2, 1), (1, 1, 0, 1)]
+    assert sum(b["late"] for b in RUN.intake(q)) >= 1
