@@ -92,9 +92,11 @@ POST_POSITIVE, POST_NEGATIVE = ["up", "friends"], ["score"]
 
 
 def topic_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver posts with their topics, from text and hashtags."""
-    posts = silver(spark, sf_dir, "created_at", "community", "text_clean", "hashtags", "engagement_score")
-    return TX.with_topics(posts, POST_TOPICS).drop("text_clean", "hashtags")
+    """Silver posts with their topics, from text and hashtags. Topics are matched before the dedup, which then carries a
+    few words instead of the text."""
+    posts = S.silver_all(bronze(spark, sf_dir), dedup=False,
+                         columns=["created_at", "community", "text_clean", "hashtags", "engagement_score"])
+    return S.dedup_posts(TX.with_topics(posts, POST_TOPICS).drop("text_clean", "hashtags"))
 
 
 def _enriched(spark, sf_dir):
@@ -140,9 +142,9 @@ def q_window_posts(spark, sf_dir):
 
 
 def q_hourly_stats(spark, sf_dir):
-    posts = silver(spark, sf_dir, "created_at", "community", "text_clean", "engagement_score")
-    scored = TX.sentiment(posts, "text_clean", POST_POSITIVE, POST_NEGATIVE)
-    return TR.hourly_stats(scored, "sentiment")
+    posts = S.silver_all(bronze(spark, sf_dir), dedup=False, columns=["created_at", "community", "text_clean", "engagement_score"])
+    scored = TX.sentiment(posts, "text_clean", POST_POSITIVE, POST_NEGATIVE).drop("text_clean", "positive", "negative", "label")
+    return TR.hourly_stats(S.dedup_posts(scored), "sentiment")
 
 
 def q_hourly_keywords(spark, sf_dir):
