@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -58,6 +59,14 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Give freed memory back to the system. Workers are used again, and what one stage held would stay with the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str,
                 column: str = "text") -> DataFrame:
     """Arrow map over byte-bounded slices; ``function`` gives the output columns of a slice."""
@@ -69,6 +78,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schem
         for part in textbatch.slices(batches, column):
             made = function(part)
             yield pa.RecordBatch.from_arrays([as_array(made[f.name], f.type) for f in target], schema=target)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -112,4 +122,8 @@ def map_whole(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     kept = [i for i, c in enumerate(df.columns) if c not in drop]
     schema = StructType([StructField(inside[i], df.schema.fields[i].dataType) for i in kept]
                         + [StructField(c, LongType()) for c in longs])
-    return df.toDF(*inside).mapInArrow(run, schema).toDF(*[df.columns[i] for i in kept], *longs)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return df.toDF(*inside).mapInArrow(whole, schema).toDF(*[df.columns[i] for i in kept], *longs)

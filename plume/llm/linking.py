@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from plume.llm import textbatch
-from plume.llm.common import discard, pa_schema, stored
+from plume.llm.common import discard, pa_schema, release, stored
 
 #: Postings that a task packs at a time, and that it sorts at a time.
 PACK = 1 << 19
@@ -117,6 +117,8 @@ def packed(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: st
                 lots, n = [], 0
         if n:
             yield from rows(lots)
+        lots.clear()
+        release()
 
     def rows(lots: list[dict]) -> Iterator[pa.RecordBatch]:
         columns = {c: np.concatenate([lot[c] for lot in lots]) for c in kinds}
@@ -158,6 +160,8 @@ def shared_postings(postings: Packed) -> DataFrame:
                     held, n, cut = [{c: v[two] for c, v in part.items()}], len(two), True
         if n:
             yield found(joined(held), not cut)
+        held.clear()
+        release()
 
     def joined(held: list[dict]) -> dict:
         """One table, by key, the indexed postings of a key first."""
