@@ -192,4 +192,19 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN h.head <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN h.head <> p.page_id THEN h.head END AS refers_to
 FROM p LEFT JOIN h USING (payload_digest)""",
+    "op12_grid_join": """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS i, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+    SELECT i, e, sqrt(list_inner_product(e, e)) AS norm FROM v
+    WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+links AS (
+    SELECT a.i AS x, b.i AS y FROM good a JOIN good b ON a.i < b.i AND len(a.e) = len(b.e)
+    WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT i, i AS other FROM v UNION SELECT reach.i, both_ways.y FROM reach JOIN both_ways ON reach.other = both_ways.x),
+least AS (SELECT reach.i, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.other = v.i GROUP BY reach.i),
+n AS (SELECT x AS i, count(*) AS n FROM both_ways GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id IS NOT DISTINCT FROM coalesce(component_id, vec_id) AS kept
+FROM v JOIN least USING (i) LEFT JOIN n USING (i)""",
 }

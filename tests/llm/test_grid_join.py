@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plume.llm import grid_join as gj, registry
+from plume.plans.verify import compare, duck
 
 SF = "/root/testdata/sf0.01"
 
@@ -127,3 +128,5 @@ def test_query_equals_brute_force(spark):
     got = registry.QUERIES["op12_grid_join"](spark, SF)
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+    ok, detail = compare(got, duck(SF), registry.ORACLE_SQL["op12_grid_join"])
+    assert ok, detail
