@@ -1,4 +1,4 @@
-"""The four text functions as SQL functions (``CREATE TEMPORARY
+"""The text functions as SQL functions (``CREATE TEMPORARY
 FUNCTION … RETURN <expr>``). The bodies are Spark SQL expressions, so a SQL
 user gets the same JVM-side code as the Column API: no Python worker."""
 
@@ -44,6 +44,20 @@ def keywords_sql(x: str = "x") -> str:
             f"AND NOT {_among(L.GENERIC_WORDS)} AND w RLIKE {_lit(r'^\p{L}+$')} AND NOT startswith(w, 'ai'))")
 
 
+def phrases_sql(x: str = "x") -> str:
+    """K1's phrases of one text, in order: two to four words of a sentence part, as ``operators.text`` counts them."""
+    words = (f"filter(split(trim(lower(regexp_replace(s, {_lit(rf'[^\p{{L}}\p{{N}}_{BLANK}]')}, ' '))), {_lit(rf'[{BLANK}]+')}), w -> w != '')")
+    bad = f"{_among(L.phrase_stop_words())} OR w RLIKE {_lit(r'^\p{Nd}+$')}"
+    generic = f"exists(array(t[i - 1], t[i + n - 2]), w -> {_among(L.GENERIC_WORDS)})"
+    gram = (f"CASE WHEN i + n - 1 <= size(t) THEN CASE WHEN NOT exists(slice(t, i, n), w -> {bad}) AND NOT {generic} "
+            f"THEN array_join(slice(t, i, n), ' ') END END")
+    of_part = f"flatten(transform(array(2, 3, 4), n -> transform(sequence(1, greatest(size(t), 1)), i -> {gram})))"
+    parts = f"split(regexp_replace({x}, {_lit(URL_PATTERN)}, ''), {_lit('[.!?;:]+|' + chr(92) + 'n')})"
+    every = f"flatten(transform({parts}, s -> element_at(transform(array({words}), t -> {of_part}), 1)))"
+    excluded = "g IN (" + ", ".join(_lit(w) for w in L.EXCLUDED_PHRASES) + ")"
+    return f"filter({every}, g -> g IS NOT NULL AND length(g) >= 8 AND NOT {excluded})"
+
+
 def sentiment_sql(x: str = "x") -> str:
     hits = lambda words: f"size(filter(t, w -> {_among(words)}))"
     return _with_tokens(x, f"round(CASE WHEN size(t) > 0 THEN ({hits(L.POSITIVE_WORDS)} - {hits(L.NEGATIVE_WORDS)})"
@@ -63,6 +77,7 @@ def language_sql(x: str = "x") -> str:
 FUNCTIONS = {
     "clean_html": ("STRING", clean_html_sql),
     "extract_keywords": ("ARRAY<STRING>", keywords_sql),
+    "extract_phrases": ("ARRAY<STRING>", phrases_sql),
     "sentiment_score": ("DOUBLE", sentiment_sql),
     "detect_language": ("STRING", language_sql),
 }

@@ -37,17 +37,15 @@ def topic_hourly(df: DataFrame, topic_col: str = "topics", ts: str = "created_at
 
 def topic_timeseries(topic_hour: DataFrame) -> DataFrame:
     """One row per topic and hour between its first and last hour, gaps
-    filled with 0. A topic's busy hours are folded into a map (bounded by its
-    span in hours, not by the data volume), the grid comes from ``sequence``
-    and is looked up: one pass, no self-join."""
-    per = topic_hour.groupBy("topic").agg(
-        F.min("hour").alias("lo"), F.max("hour").alias("hi"),
-        F.map_from_entries(F.collect_list(F.struct("hour", F.struct("mention_count", "total_engagement"))))
-        .alias("m"))
-    grid = per.select("topic", "m", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    v = F.col("m")[F.col("hour")]
-    return grid.select("topic", "hour", F.coalesce(v["mention_count"], F.lit(0)).alias("mention_count"),
-                       F.coalesce(v["total_engagement"], F.lit(0)).alias("total_engagement"))
+    filled with 0: every busy hour also gives the empty hours up to the next
+    one, by a window over the topic's hours. One pass, no self-join and no
+    look-up."""
+    per, step = Window.partitionBy("topic").orderBy("hour"), F.expr("INTERVAL 1 HOUR")
+    spans = topic_hour.withColumn("last", F.coalesce(F.lead("hour").over(per) - step, F.col("hour")))
+    grid = spans.select("topic", F.col("hour").alias("busy"), "mention_count", "total_engagement",
+                        F.explode(F.sequence("hour", "last", step)).alias("hour"))
+    at = lambda c: F.when(F.col("hour") == F.col("busy"), F.col(c)).otherwise(0).alias(c)
+    return grid.select("topic", "hour", at("mention_count"), at("total_engagement"))
 
 
 def topic_rank(topic_hour: DataFrame, score: str = "trend_score") -> DataFrame:

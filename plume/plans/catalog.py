@@ -904,6 +904,16 @@ def q_sql_functions(spark, sf_dir):
     return d.unionByName(h)
 
 
+def q_sql_phrases(spark, sf_dir):
+    """X2 as a SQL user calls it: how many phrases a document has, and how many different ones."""
+    from ..functions import sql as SQLF
+
+    SQLF.register(spark)
+    docs(spark, sf_dir).createOrReplaceTempView("plume_documents")
+    return spark.sql("SELECT doc_id, CAST(size(p) AS BIGINT) AS phrases, CAST(size(array_distinct(p)) AS BIGINT) AS distinct_phrases "
+                     "FROM (SELECT doc_id, plume_extract_phrases(text) AS p FROM plume_documents)")
+
+
 def q_latest_feed(spark, sf_dir):
     return _view(V.recent_posts(unified(spark, sf_dir), 20))
 
@@ -1053,6 +1063,7 @@ def queries() -> dict[str, Query]:
         "silver_bluesky": _net(S.silver_bluesky),
         "latest_feed": q_latest_feed,
         "sql_functions": q_sql_functions,
+        "sql_phrases": q_sql_phrases,
         "lda_topics": q_lda_topics,
         "term_mentions": q_term_mentions,
         "related_docs": q_related_docs,

@@ -462,6 +462,14 @@ FROM s2"""
     wrd = (f"list_filter({words_of.format(x=url_free)},"
            f" lambda w: length(w) >= 4 AND NOT list_contains({stop}, w) AND NOT list_contains({generic}, w)"
            f" AND regexp_full_match(w, '\\p{{L}}+') AND NOT starts_with(w, 'ai'))")
+    parts = "regexp_split_to_array(regexp_replace(text, 'http[^\\s\\p{Z}]+|www[^\\s\\p{Z}]+', '', 'g'), '[.!?;:]+|\\n')"
+    out["sql_phrases"] = f"""
+WITH s AS (SELECT doc_id, unnest({parts}) AS seg FROM documents),
+t AS (SELECT doc_id, {words_of.format(x='seg')} AS t FROM s),
+g AS (SELECT doc_id, unnest(flatten([{', '.join(grams)}])) AS g FROM t)
+SELECT d.doc_id, count(g) AS phrases, count(DISTINCT g) AS distinct_phrases
+FROM documents d LEFT JOIN (SELECT * FROM g WHERE length(g) >= 8 AND NOT list_contains({excluded}, g)) g ON d.doc_id = g.doc_id
+GROUP BY d.doc_id"""
     det = out["detect_lang"].replace("SELECT doc_id, lang,", "SELECT doc_id,")
     snt = out["sentiment"]
     out["sql_functions"] = f"""

@@ -33,3 +33,17 @@ def test_pairs_that_belong_together_come_first(spark):
 def test_nothing_to_pair(spark):
     for rows in ([], [(1, None), (2, ""), (3, "one"), (4, "the of the of. 12 13")]):
         assert TX.collocations(spark.createDataFrame(rows, "doc_id long, text string"), min_count=1).collect() == []
+
+
+def test_phrases_of_a_sql_user_are_those_that_are_counted(spark):
+    from pyspark.sql import functions as F
+
+    from plume.functions import sql
+
+    sql.register(spark)
+    rows = [(1, "Neural network training is fun. Neural network! see http://x.y/z big data pipelines\nthe end of 2024 budgets"), (2, None), (3, ""), (4, "one")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    own = df.select("doc_id", F.expr("plume_extract_phrases(text)").alias("p"))
+    counted = {r["keyword"]: r["mentions"] for r in TX.keyword_topn(df, top_n=100, min_phrases=0).collect() if " " in r["keyword"]}
+    found = Counter(g for r in own.collect() for g in (r["p"] or []))
+    assert found == counted and found["big data pipelines"] == 1 and len(found) > 3
