@@ -35,6 +35,8 @@ from plume.llm.common import as_array, pa_schema, text_columns
 from plume.session import scratch_path
 
 END_ID = 0
+#: Marks a word's end that stands without a blank before it; texts that hold the character are encoded whole.
+GLUE = "\x01"
 #: Words a worker remembers before it starts anew.
 MEMO = 1_000_000
 SLICE = 6 << 20
@@ -72,7 +74,14 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         """Encode words as they stand after a blank, in the parts that the tokenizer keeps apart anyway: two words
         with one newline between them, and letters with full stops or commas behind them. A key that begins with a
-        newline stands for just that; other keys stand after a blank."""
+        newline stands for just that, one that begins with GLUE for what follows, without a blank; other keys stand
+        after a blank."""
+        glued = [word for word in words if word[0:1] == GLUE]
+        if glued:
+            ids = [np.array(x.ids, self.type) for x in
+                   self.tokenizer.encode_batch_fast([word[1:] for word in glued], add_special_tokens=False)]
+            self._store(glued, np.concatenate(ids), np.array([len(x) for x in ids], np.int64))
+            words = [word for word in words if word[0:1] != GLUE]
         single, pairs = set(), []
         for word in words:
             parts = word.split() if "\n" in word else ()
@@ -149,12 +158,12 @@ class WordEncoder:
         column = column.fill_null("").cast(pa.large_string())
         odd = pc.match_substring_regex(column, r"(?:^|\s) |\s$| \s|[\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
         odd = odd.to_numpy(zero_copy_only=False) | (pc.binary_length(column).to_numpy() == 0)
-        for content in self.added:
+        for content in (*self.added, GLUE):
             odd = odd | pc.match_substring(column, content).to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~odd)
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(plain):
-            split = pc.split_pattern(column.take(pa.array(plain)) if odd.any() else column, " ")
+            split = pc.split_pattern(_apart(column.take(pa.array(plain)) if odd.any() else column), " ")
             bounds = np.asarray(split.offsets)
             words = split.flatten().dictionary_encode()
             known = words.dictionary.to_pylist()
@@ -197,6 +206,33 @@ class WordEncoder:
         return (np.concatenate(pieces) if pieces else np.zeros(0, self.type)), counts
 
 
+def _apart(column: pa.Array) -> pa.Array:
+    """Blanks where the tokenizer keeps characters apart anyway, so that words are not learned anew with every line end
+    and mark beside them: before a newline between two characters that are no blanks, and (with GLUE) before a full stop
+    or comma behind an ASCII letter."""
+    texts = tb.as_texts(column)
+    data = texts.data
+    if len(data) < 3:
+        return column
+    inside = np.ones(len(data) + 1, bool)
+    inside[texts.bounds] = False  # the first character of a text
+    before, after = data[:-2], data[2:]
+    own = data[1:-1]
+    line = (own == 0x0A) & (before > 0x20) & (after > 0x20) & inside[1:-2] & inside[2:-1]
+    mark = ((own == 0x2E) | (own == 0x2C)) & ((before | 0x20) >= 0x61) & ((before | 0x20) <= 0x7A) & inside[1:-2]
+    at, glue = np.flatnonzero(line) + 1, np.flatnonzero(mark) + 1
+    # Where a text holds other blanks too, or empty lines, a piece from a newline on might hold more than one blank.
+    blank = np.concatenate([[0], np.cumsum((data == 0x09) | ((data >= 0x0B) & (data <= 0x0D)) | ((data == 0x0A) & (np.append(data[1:], 0) == 0x0A)))])
+    simple = blank[texts.bounds[1:]] == blank[texts.bounds[:-1]]
+    at = at[simple[np.searchsorted(texts.bounds, at, "right") - 1]]
+    added = np.concatenate([at, np.repeat(glue, 2)])
+    order = np.argsort(added, kind="stable")
+    filled = np.concatenate([np.full(len(at), 0x20, np.uint8), np.tile(np.array([0x20, ord(GLUE)], np.uint8), len(glue))])
+    added = added[order]
+    bounds = texts.bounds + np.searchsorted(added, texts.bounds)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(bounds), pa.py_buffer(np.insert(data, added, filled[order])))
+
+
 def _gather(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Runs ids[at:at + size], one behind the other."""
     return ids[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
