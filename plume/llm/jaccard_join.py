@@ -230,10 +230,10 @@ def _verify(docs: DataFrame, summaries: DataFrame):
             bounds = np.searchsorted(text, np.arange(part.num_rows + 1))
             return {"node": _nodes(value, bounds), "set": [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
 
-        # Rows with one id may hold several texts; equal sets are one node.
-        found = stored(map_batches(texts, whole, "node long, set binary"), "sets")
-        sets = stored(found.groupBy("node").agg(F.first("set").alias("set")), "sets")
-        discard(found, facts)
+        # One document stands for each node. Rows with one id may hold several texts, and the bits let a few others
+        # through: a set may come twice then, and so may a pair.
+        sets = stored(map_batches(texts, whole, "node long, set binary"), "sets")
+        discard(facts)
 
         def compare(batches):
             for part in batches:
@@ -246,7 +246,7 @@ def _verify(docs: DataFrame, summaries: DataFrame):
 
         out = stored(left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(
-            compare, "a long, b long"), "verified")
+            compare, "a long, b long").distinct(), "verified")
         discard(pairs, left, sets)
         return out
 
