@@ -14,21 +14,23 @@ from pyspark.sql import functions as F
 
 def latest_per_key(df: DataFrame, keys, version: str) -> DataFrame:
     """Newest row per key by ``version`` (``max_by`` – partial aggregate,
-    so a key with a huge history is merged map-side, never sorted in one task)."""
+    so a key with a huge history is merged map-side, never sorted in one task);
+    of equal versions the row with the greatest hash, on every run the same."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_r"))
+    newest = F.struct(F.col(version), F.xxhash64(*rest))
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), newest).alias("_r"))
             .select(*keys, "_r.*"))
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys, version: str) -> DataFrame:
     """Matched → update all, not matched → insert all; the newest version
-    of each key wins (ties keep the update). Applying it twice changes nothing."""
+    of each key wins (ties keep the update, then the greatest hash). Applying it twice changes nothing."""
     tagged = (base.withColumn("_side", F.lit(0)).unionByName(updates.withColumn("_side", F.lit(1)),
                                                              allowMissingColumns=True))
-    ver = F.struct(F.col(version), F.col("_side"))
     keys = list(keys)
     rest = [c for c in tagged.columns if c not in keys]
+    ver = F.struct(F.col(version), F.col("_side"), F.xxhash64(*rest))
     return (tagged.groupBy(*keys).agg(F.max_by(F.struct(*rest), ver).alias("_r"))
             .select(*keys, "_r.*").drop("_side"))
 

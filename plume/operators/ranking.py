@@ -48,10 +48,14 @@ def topic_timeseries(topic_hour: DataFrame) -> DataFrame:
     return grid.select("topic", "hour", at("mention_count"), at("total_engagement"))
 
 
-def topic_rank(topic_hour: DataFrame, score: str = "trend_score") -> DataFrame:
-    """Dense rank of topics inside each hour (ties by topic name)."""
+def topic_rank(topic_hour: DataFrame, score: str = "trend_score", limit: int | None = None) -> DataFrame:
+    """Dense rank of topics inside each hour (ties by topic name). With a ``limit`` only the best ranks are kept, and
+    every task cuts to them before the shuffle; without one an hour's window holds all topics of that hour."""
     w = Window.partitionBy("hour").orderBy(F.desc(score), F.asc("topic"))
-    return topic_hour.withColumn("rank", F.dense_rank().over(w).cast("bigint"))
+    rank = F.dense_rank().over(w)
+    if limit is None:
+        return topic_hour.withColumn("rank", rank.cast("bigint"))
+    return topic_hour.withColumn("rank", rank).where(F.col("rank") <= limit).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def top_posts_per_hour(df: DataFrame, k: int = 3, topic_col: str = "topics",

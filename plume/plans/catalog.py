@@ -32,7 +32,7 @@ from ..operators import topics as TOP
 from ..operators import trends as TR
 from ..operators import vector_index as VI
 from ..operators import views as V
-from ..session import ensure_utc, scratch_path
+from ..session import ensure_utc, exists, scratch_path
 from ..sources import testbed
 from ..sources import logs as LG
 from ..streaming import bursts as BU
@@ -70,7 +70,7 @@ def stored_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unified posts, stored by (partition_date, source): parsed once a
     session and folder, then read through partition filters."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
+    if key not in _STORED or not exists(spark, _STORED[key][0]):
         path = scratch_path(spark, "unified")
         posts = unified(spark, sf_dir).withColumn(V.DATE, F.to_date("created_ts"))
         MED.overwrite_touched(posts, path, [V.DATE, "source"])

@@ -184,19 +184,6 @@ _SENTIMENT = ("CASE source WHEN 'twitter' THEN round(1 / 8, 4) WHEN 'reddit' THE
 Q["silver_enriched"] = with_silver("""
 SELECT source, post_id, CASE source WHEN 'twitter' THEN 'update,' WHEN 'reddit' THEN 'thread,' ELSE 'friends,' END
        || event_type AS topics, """ + _SENTIMENT + """ AS sentiment FROM silver""")
-Q["silver_write"] = with_silver("""
-SELECT CAST(created_at AS DATE) AS partition_date, source, count(*) AS posts, round(avg(""" + _SENTIMENT + """), 4) AS avg_sentiment
-FROM silver WHERE CAST(created_at AS DATE) >= DATE '2024-01-15' AND source <> 'twitter' GROUP BY ALL""")
-Q["hourly_stats"] = with_silver("""
-SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, count(*) AS post_count,
-       round(avg(CASE source WHEN 'twitter' THEN round(1 / 8, 4) WHEN 'reddit' THEN round(-1 / 13, 4)
-                             ELSE round(1 / 6, 4) END), 4) AS avg_sentiment,
-       CAST(sum(engagement_score) AS BIGINT) AS total_engagement
-FROM silver GROUP BY ALL""")
-Q["hourly_keywords"] = with_silver("""
-SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, keyword, count(*) AS mentions
-FROM (SELECT *, unnest(CASE source WHEN 'twitter' THEN ['update', event_type] WHEN 'reddit' THEN ['thread', event_type]
-         ELSE ['friends', event_type] END) AS keyword FROM silver) GROUP BY ALL""")
 Q["unified_posts"] = with_unified("""
 SELECT source, post_id, text, author, created_at, engagement, likes, retweets, hashtags, subreddit FROM unified""")
 Q["count_by_source"] = with_rec("SELECT source, count(*) AS post_count FROM rec GROUP BY source")
@@ -887,11 +874,47 @@ SELECT topic, make_timestamp(m * 60000000) AS minute, CAST(mentions AS BIGINT) A
 FROM a WHERE on_ AND NOT going{where}""")
 
 
+def _tagged_sql() -> str:
+    """Silver posts with the topics and the sentiment of their texts."""
+    from .catalog import POST_NEGATIVE, POST_POSITIVE, POST_TOPICS
+
+    topics, pos, neg = _list(POST_TOPICS), _list(POST_POSITIVE), _list(POST_NEGATIVE)
+    return with_silver(f""",
+worded AS (SELECT source, post_id, list_filter(regexp_split_to_array(lower(text_clean), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '') AS words
+           FROM ({Q["clean_text"]})),
+tagged AS (
+  SELECT s.*, list_distinct(list_concat(
+           list_filter({topics}, lambda k: contains(' ' || array_to_string(words, ' ') || ' ', ' ' || k || ' ')),
+           list_transform(s.hashtags, lambda h: lower(h)))) AS topics,
+         round((len(list_filter(words, lambda w: list_contains({pos}, w))) - len(list_filter(words, lambda w: list_contains({neg}, w))))
+               / greatest(len(words), 1), 4) AS sentiment
+  FROM silver s JOIN worded w ON w.source = s.source AND w.post_id = s.post_id)
+""")
+
+
+def _tagged_queries() -> dict[str, str]:
+    """Queries over topics and sentiment, derived from the texts as the operators do."""
+    stats = """
+SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, count(*) AS post_count,
+       round(avg(sentiment), 4) AS avg_sentiment, CAST(sum(engagement_score) AS BIGINT) AS total_engagement
+FROM tagged GROUP BY ALL"""
+    return {
+        "hourly_stats": _tagged_sql() + stats,
+        "gold_incremental": _tagged_sql() + stats,
+        "hourly_keywords": _tagged_sql() + """
+SELECT date_trunc('hour', created_at) AS hour, source, coalesce(community, '') AS community, keyword, count(*) AS mentions
+FROM (SELECT *, unnest(topics) AS keyword FROM tagged) GROUP BY ALL""",
+        "silver_write": _tagged_sql() + """
+SELECT CAST(created_at AS DATE) AS partition_date, source, count(*) AS posts, round(avg(sentiment), 4) AS avg_sentiment
+FROM tagged WHERE CAST(created_at AS DATE) >= DATE '2024-01-15' AND source <> 'twitter' GROUP BY ALL""",
+    }
+
+
 def _model_sql() -> dict[str, str]:
-    return {"burst_alerts": _bursts_sql(),
+    return {**_tagged_queries(),
+            "burst_alerts": _bursts_sql(),
             "stream_burst_alerts": _bursts_sql(" AND m + 1 <= (SELECT floor((epoch(max(created_at)) - 600) / 60) FROM silver)"),
             "forecast_design": _design_sql(), "new_only_filtered": Q["new_only_anti"],
-            "gold_incremental": Q["hourly_stats"],
             "lda_topics": _topics_sql(), "term_mentions": _mentions_sql(),
             "silver_features": "WITH " + SILVER + "," + _features_sql() + " SELECT * FROM posts", "unusual_posts": _forest_sql()}
 Q["post_links"] = with_silver("""

@@ -68,6 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there, in whatever store it lies."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).exists(own)
+
+
 class Workspace:
     """Tables that one job stores in the shared folder, one after another.
 

@@ -87,3 +87,23 @@ def test_lake_format_falls_back_and_console_sink_runs(spark, capfd):
     q.processAllAvailable()
     q.stop()
     assert q.lastProgress is not None and RUN.dropped_late_rows(q) == 0
+
+
+def test_equal_versions_are_settled_the_same_way(spark):
+    from plume.operators import lake
+
+    rows = [("k", 5, v) for v in "abcdef"] + [("k", 4, "z"), ("l", 1, "y")]
+    picks = {tuple(sorted((r["id"], r["v"]) for r in lake.latest_per_key(
+        spark.createDataFrame(rows[n:] + rows[:n], "id string, version int, v string").repartition(1 + n % 3), ["id"], "version").collect()))
+        for n in range(5)}
+    assert len(picks) == 1 and dict(picks.pop())["k"] in "abcdef"
+
+
+def test_ranks_are_cut_before_the_shuffle(spark):
+    from plume.operators import ranking
+
+    hours = [dt.datetime(2024, 1, 1, h) for h in range(3)]
+    df = spark.createDataFrame([(f"t{k}", h, float(k % 4)) for h in hours for k in range(8)], "topic string, hour timestamp, trend_score double")
+    whole, cut = ranking.topic_rank(df), ranking.topic_rank(df, limit=3)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.where("rank <= 3").collect())) and whole.count() == 24
+    assert "WindowGroupLimit" in cut._jdf.queryExecution().sparkPlan().toString()
