@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -51,8 +52,16 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return out
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over. It does so when the driver collects its garbage, which a
+    driver with little to do puts off while its executors' disks fill."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that no later step reads; what was made of them must be stored itself by then."""
+    tidy(tables[0].sparkSession)
     for df in tables:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)

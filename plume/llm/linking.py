@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from plume.llm import textbatch
-from plume.llm.common import discard, pa_schema, release, stored
+from plume.llm.common import discard, pa_schema, release, stored, tidy
 
 #: Postings that a task packs at a time, and that it sorts at a time.
 PACK = 1 << 19
@@ -215,6 +215,7 @@ def link(postings: DataFrame | Packed, verify: Callable[[DataFrame], DataFrame],
     """
     if isinstance(postings, Packed):
         members = stored(shared_postings(postings), "members")
+        tidy(members.sparkSession)
     else:
         postings = stored(postings, "postings")
         shared = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
