@@ -10,9 +10,8 @@ Archive layout, all Parquet folders under one path:
   them; ``sections`` holds a checkpoint (word offset and all coder states)
   every :data:`SECTION` ids, so that sections decode in parallel too;
   ``crc32`` is the checksum of the block's ids as little-endian 32-bit;
-* ``documents``: (segment, doc_id, first, n): where each document's ids lie
-  in its segment. Segments in order, and documents by ``first`` within, give
-  the ids of all documents in ascending doc_id order.
+  ``pieces`` holds (doc_id, at, n): whose ids the block has, in order. Blocks by
+  segment and number give the ids of all documents in ascending doc_id order.
 
 Coder states are kept in [2**23, 2**47) and renormalised by 24-bit words.
 """
