@@ -66,61 +66,24 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.tail: dict[str, np.ndarray] = {}
         self.code: dict[str, int] = {}
         self.ids, self.size, self.at, self.used, self.total = np.zeros(1 << 16, self.type), np.zeros(1 << 12, np.int64), \
             np.zeros(1 << 12, np.int64), 0, 0
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words as they stand after a blank, in the parts that the tokenizer keeps apart anyway: two words
-        with one newline between them, and letters with full stops or commas behind them. A key that begins with a
-        newline stands for just that, one that begins with GLUE for what follows, without a blank; other keys stand
-        after a blank."""
-        glued = [word for word in words if word[0:1] == GLUE]
+        """Encode new words as they stand after a blank. A key that begins with a newline stands for just that, one that
+        begins with GLUE for what follows it, without a blank."""
+        glued = [word for word in words if word[:1] == GLUE]
         if glued:
             ids = [np.array(x.ids, self.type) for x in
                    self.tokenizer.encode_batch_fast([word[1:] for word in glued], add_special_tokens=False)]
             self._store(glued, np.concatenate(ids), np.array([len(x) for x in ids], np.int64))
-            words = [word for word in words if word[0:1] != GLUE]
-        single, pairs = set(), []
-        for word in words:
-            parts = word.split() if "\n" in word else ()
-            if len(parts) == 2 and len(parts[0]) + len(parts[1]) + 1 == len(word):
-                pairs.append((word, parts[0], "\n" + parts[1]))
-            else:
-                single.add(word)
-        single.update(part for _, *own in pairs for part in own)
-        single -= self.code.keys()
-        plain, joined = set(), []
-        for word in single:
-            core = word.rstrip(".,")
-            if len(core) < len(word) and (core[1:] if core[:1] == "\n" else core).isalpha():
-                plain.add(core)
-                joined.append((word, core, word[len(core):]))
-            else:
-                plain.add(word)
-        plain -= self.code.keys()
-        for mark in ("\n", " "):
-            own = [word for word in plain if (word[0] == "\n") == (mark == "\n")]
-            if own:
-                self._store(own, *self._encode(own, mark))
-        for tail in {tail for _, _, tail in joined} - self.tail.keys():
-            self.tail[tail] = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, self.type)
-        if joined:
-            self._compose([(word, core) for word, core, _ in joined], [self.tail[tail] for _, _, tail in joined])
-        if pairs:
-            code = np.fromiter((self.code[b] for _, _, b in pairs), np.int64, len(pairs))
-            self._compose([(word, a) for word, a, _ in pairs], None, code)
-
-    def _compose(self, words: list[tuple[str, str]], ends: list[np.ndarray] | None, code: np.ndarray | None = None) -> None:
-        """Store words that are a known key and what follows it: given ids, or another known key."""
-        head = np.fromiter((self.code[core] for _, core in words), np.int64, len(words))
-        if code is None:
-            size, flat = np.array([len(x) for x in ends], np.int64), np.concatenate(ends)
-        else:
-            size, flat = self.size[code], _gather(self.ids, self.at[code], self.size[code])
-        self._store([word for word, _ in words],
-                    *_put_together(_gather(self.ids, self.at[head], self.size[head]), self.size[head], flat, size))
+        lines = [word for word in words if word[:1] == "\n"]
+        if lines:
+            self._store(lines, *self._encode(lines, "\n"))
+        rest = [word for word in words if word[:1] not in (GLUE, "\n")] if glued or lines else words
+        if rest:
+            self._store(rest, *self._encode(rest, " "))
 
     def _encode(self, words: list[str], mark: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many each word has). Many words go in one line; a word's ids begin at each piece that opens
