@@ -131,3 +131,41 @@ def test_state_follows_the_clock_not_the_posts():
 
 def test_no_posts(spark):
     assert BU.burst_alerts(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_the_processor_travels_with_its_code(tmp_path):
+    """Workers that lack the package can load it, the driver's own worker too."""
+    import os
+    import subprocess
+    import sys
+
+    import pyspark
+    from pyspark import cloudpickle
+
+    (tmp_path / "processor").write_bytes(cloudpickle.dumps(BU.BurstProcessor(2.0, 5)))
+    code = ("import sys, pickle; assert 'plume' not in sys.modules; p = pickle.load(open('processor', 'rb'));"
+            "assert 'plume' not in sys.modules; print(p.threshold, p.minimum)")
+    where = os.path.dirname(os.path.dirname(pyspark.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": where}, capture_output=True, text=True)
+    assert done.stdout.split() == ["2.0", "5"], done.stderr
+
+
+def test_keyed_state_is_kept_in_rocksdb_whatever_the_session_uses(spark):
+    """And the session's own setting is back once the stream has begun."""
+    key, own = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, own)
+    try:
+        rows = posts(3)
+        src, out = scratch_path(spark, "src"), scratch_path(spark, "alerts")
+        land(spark, src, rows)
+        stream = spark.readStream.schema(SCHEMA).parquet(src).withWatermark("created_at", "10 minutes")
+        with BU.keyed_state(spark):
+            q = RUN.start(BU.burst_alert_stream(stream, 2.0, 5), scratch_path(spark, "ckpt"), "parquet", out)
+        assert spark.conf.get(key) == own
+        RUN.drain(q)
+        until = int((rows[-1][1] - dt.timedelta(minutes=10) - dt.datetime(1970, 1, 1)).total_seconds()) // 60
+        got = alerts(spark.read.parquet(out))
+        assert got == plain(rows, 2.0, 5, until) and len(got) >= 3
+    finally:
+        spark.conf.set(key, before)
