@@ -47,13 +47,14 @@ def keywords_sql(x: str = "x") -> str:
 def phrases_sql(x: str = "x") -> str:
     """K1's phrases of one text, in order: two to four words of a sentence part, as ``operators.text`` counts them."""
     words = (f"filter(split(trim(lower(regexp_replace(s, {_lit(rf'[^\p{{L}}\p{{N}}_{BLANK}]')}, ' '))), {_lit(rf'[{BLANK}]+')}), w -> w != '')")
-    bad = f"{_among(L.phrase_stop_words())} OR w RLIKE {_lit(r'^\p{Nd}+$')}"
-    generic = f"exists(array(t[i - 1], t[i + n - 2]), w -> {_among(L.GENERIC_WORDS)})"
-    gram = (f"CASE WHEN i + n - 1 <= size(t) THEN CASE WHEN NOT exists(slice(t, i, n), w -> {bad}) AND NOT {generic} "
-            f"THEN array_join(slice(t, i, n), ' ') END END")
-    of_part = f"flatten(transform(array(2, 3, 4), n -> transform(sequence(1, greatest(size(t), 1)), i -> {gram})))"
+    # Every word is judged once: m has null for a stop word or number, y for a generic one too; a null makes a phrase null.
+    judged = f"transform({words}, w -> CASE WHEN NOT ({_among(L.phrase_stop_words())} OR w RLIKE {_lit(r'^\p{Nd}+$')}) THEN w END)"
+    ends = f"transform(m, w -> CASE WHEN NOT {_among(L.GENERIC_WORDS)} THEN w END)"
+    grams = [", ' ', ".join(["w", *[f"get({'m' if j < n - 1 else 'y'}, i + {j})" for j in range(1, n)]]) for n in (2, 3, 4)]
+    each = ", ".join(f"transform(y, (w, i) -> CASE WHEN w IS NOT NULL THEN concat({g}) END)" for g in grams)
+    of_part = f"element_at(transform(array({ends}), y -> flatten(array({each}))), 1)"
     parts = f"split(regexp_replace({x}, {_lit(URL_PATTERN)}, ''), {_lit('[.!?;:]+|' + chr(92) + 'n')})"
-    every = f"flatten(transform({parts}, s -> element_at(transform(array({words}), t -> {of_part}), 1)))"
+    every = f"flatten(transform({parts}, s -> element_at(transform(array({judged}), m -> {of_part}), 1)))"
     excluded = "g IN (" + ", ".join(_lit(w) for w in L.EXCLUDED_PHRASES) + ")"
     return f"filter({every}, g -> g IS NOT NULL AND length(g) >= 8 AND NOT {excluded})"
 
