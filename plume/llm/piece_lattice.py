@@ -44,10 +44,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import map_batches, text_columns
+from plume.llm.common import map_batches, release, text_columns
 
 MARK = "▁"
-MEMO = 400_000
+MEMO = 100_000
+#: New chunks that go through Viterbi together: their lattices are the largest arrays of a worker.
+LEARN = 4_000
 N_BEST = 4
 SLICE = 4 << 20
 #: Feature of the model: scores below the lowest one for a character without a piece.
@@ -308,8 +310,8 @@ class Lattice:
             codes = np.array([order.setdefault(c, len(order)) for x in lists for c in x], np.int64)
             known = list(order)
         missing = [c for c in known if c not in self.code]
-        for at in range(0, len(missing), 20_000):
-            self._learn(missing[at:at + 20_000])
+        for at in range(0, len(missing), LEARN):
+            self._learn(missing[at:at + LEARN])
         own = np.fromiter(map(self.code.__getitem__, known), np.int64, len(known))
         return own[codes] if len(codes) else np.zeros(0, np.int64), counts
 
@@ -379,6 +381,7 @@ def lattice(path: str) -> Lattice:
     """One for each worker and model; its memory of chunks stays from batch to batch."""
     if path not in _lattices:
         _lattices[path] = Lattice(path)
+        release()  # what reading the model took
     return _lattices[path]
 
 
