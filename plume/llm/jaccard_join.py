@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plume.llm import textbatch as tb
-from plume.llm.common import discard, map_batches, map_whole, stored, text_columns, unused
+from plume.llm.common import discard, map_batches, map_whole, stored, text_columns, tidy, unused
 from plume.llm.linking import bits_of, link, may_hold, packed
 
 SHINGLE = 5
@@ -221,6 +221,7 @@ def _verify(docs: DataFrame, summaries: DataFrame):
         left, facts = bounded(pairs)
         nodes = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
         ids = bits_of(facts.join(nodes, "node", "left_semi").select(F.xxhash64("doc_id").alias("key")))
+        discard(facts)
         wanted = docs.sparkSession.sparkContext.broadcast(ids)  # 2**FILTER_BITS bits
         texts = text_columns(docs, "doc_id", "text").select(F.xxhash64("doc_id").alias("key"), "text")
 
@@ -231,9 +232,9 @@ def _verify(docs: DataFrame, summaries: DataFrame):
             return {"node": _nodes(value, bounds), "set": [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
 
         # One document stands for each node. Rows with one id may hold several texts, and the bits let a few others
-        # through: a set may come twice then, and so may a pair.
-        sets = stored(map_batches(texts, whole, "node long, set binary"), "sets")
-        discard(facts)
+        # through: a set may come twice then, and so may a pair. Both joins read one shuffle of the sets, so that they
+        # take disk once and are not stored beside it.
+        sets = map_batches(texts, whole, "node long, set binary")
 
         def compare(batches):
             for part in batches:
@@ -247,7 +248,7 @@ def _verify(docs: DataFrame, summaries: DataFrame):
         out = stored(left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(
             compare, "a long, b long").distinct(), "verified")
-        discard(pairs, left, sets)
+        discard(pairs, left)
         return out
 
     return verify
@@ -261,6 +262,7 @@ def classes(docs: DataFrame) -> DataFrame:
     by_size = summaries.where("n_shingles > 0").groupBy(F.least("n_shingles", F.lit(4 * MAX_LIGHT)).alias("size")).count()
     light = boundary({r["size"]: r["count"] for r in by_size.collect()}, counts)  # 4 * MAX_LIGHT rows at most
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2**ORDER_BITS numbers
+    tidy(docs.sparkSession)
     postings = packed(text_columns(docs, "text"), lambda part: _postings(part, shared.value, light),
                       "key long, node long, size int, rank int, class int, indexed boolean, parity long")
     late = summaries.where("n_shingles > 0").groupBy("node").agg(F.first("parities").alias("parities"))

@@ -119,6 +119,28 @@ def test_stored_documents(spark):
     assert ok, detail
 
 
+def test_whole_sets_take_disk_once(spark, monkeypatch):
+    """Both joins of a verification read one shuffle of the sets; no copy of them is stored beside it."""
+    rng, keep, plans = random.Random(5), jj.stored, []
+
+    def stored(df, name, *rest):
+        assert "set" not in df.columns
+        if name == "verified":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name, *rest)
+
+    monkeypatch.setattr(jj, "stored", stored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = [f"w{k}" for k in range(100)]
+        got = jj.classes(frame(spark, [(k, " ".join(mutate(rng, base, 1))) for k in range(12)])).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r["component_id"] for r in got} == {0}
+    assert plans and all("ReusedExchange" in p or "ReusedQueryStage" in p for p in plans)
+
+
 def test_empty_table(spark):
     df = frame(spark, [])
     assert jj.classes(df).collect() == [] and jj.keep_one(df).collect() == []
