@@ -112,3 +112,26 @@ def test_stored_tables_are_dropped(spark, tmp_path):
     assert second.count() == 6
     with pytest.raises(Exception):
         first.count()
+
+
+def test_signatures_are_folded_where_texts_are_read(spark):
+    """No shuffle, no column for each value; sketch and bands follow from the least crc32 values of the words."""
+    import zlib
+
+    rng = random.Random(4)
+    rows = [(i, " ".join(drawn(rng, rng.randint(1, 40)) * rng.randint(1, 2))) for i in range(60)] + [(60, None), (61, "?"), (None, "a b")]
+    rows += [(70, rows[0][1].upper()), (71, " ".join(rows[1][1].split() + ["more"]))]
+    signed = R.signatures(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert signed.columns == ["doc_id", "n", "set", "bands", "sketch"]
+    assert "Exchange" not in signed._jdf.queryExecution().executedPlan().toString()
+    got, want = {r["doc_id"]: r for r in signed.collect()}, {}
+    for i, t in rows:
+        if i is not None and words(t):
+            x = [zlib.crc32(w.encode()) for w in words(t)]
+            want[i] = [min((a * c + b) % R.PRIME for c in x) for a, b in R.multipliers()]
+    assert got.keys() == want.keys() and all(got[i]["n"] == len(words(dict(rows)[i])) for i in want)
+    assert all(bytes(got[i]["sketch"]) == bytes(m & 255 for m in want[i]) for i in want)
+    band = lambda m, b: (b, *m[b * R.ROWS:(b + 1) * R.ROWS])
+    pairs = {(band(want[i], b), got[i]["bands"][b]) for i in want for b in range(R.BANDS)}
+    assert len(pairs) == len({p for p, _ in pairs}) == len({k for _, k in pairs})
+    assert got[0]["set"] == got[70]["set"] != got[1]["set"] != got[71]["set"]
