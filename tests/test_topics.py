@@ -1,6 +1,7 @@
 """Topic model by joins (K5) and vocabularies as tables (K2)."""
 
 import math
+import pathlib
 import random
 import re
 import time
@@ -82,6 +83,45 @@ def test_odd_documents(spark, rows):
     assert len(T.top_terms(model, 3).collect()) == 2 * min(3, len(worded))
 
 
+def test_blocks_give_what_one_block_gives(spark, monkeypatch):
+    """Several blocks, rounds in several jobs, ids that come twice or are null, a word of more than 255 places."""
+    docs = mixed(40, 3) + [(3, "apple1 engine2 again"), (None, "apple1 none " * 3), (None, "engine1 none"), (41, "often " * 700 + "seldom"), (42, ""), (43, None)]
+    whole = {i: " ".join(t or "" for j, t in docs if j == i) for i, _ in docs}
+    phi, theta = plain_em([(i, t) for i, t in whole.items() if t], 3, 7)
+    for chars, at_once in ((1000, 3), (100_000_000, 7)):
+        monkeypatch.setattr(T, "BLOCK_CHARS", chars)
+        monkeypatch.setattr(T, "ROUNDS_PER_JOB", at_once)
+        model = T.fit_topics(spark.createDataFrame(docs, "doc_id long, text string"), k=3, rounds=7)
+        got = {r["term"]: [r[f"p{i}"] for i in range(3)] for r in model.words.collect()}
+        assert got.keys() == phi.keys() and all(math.isclose(a, b, rel_tol=1e-9) for w in phi for a, b in zip(got[w], phi[w]))
+        got = {r["doc_id"]: [r[f"t{i}"] for i in range(3)] for r in model.documents.collect()}
+        assert got.keys() == theta.keys() and all(math.isclose(a, b, rel_tol=1e-9) for d in theta for a, b in zip(got[d], theta[d]))
+        gains = [b - a for a, b in zip(model.posterior, model.posterior[1:])]
+        assert len(model.posterior) == 7 and min(gains) > -1e-6
+
+
+def test_rounds_move_words_and_not_counts(spark):
+    """What a further round shuffles does not follow the number of (document, word) counts."""
+    rng = random.Random(4)
+    words = [f"w{i:04d}" for i in range(500)]
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(words, 300))) for i in range(600)], "doc_id long, text string").cache()
+    folders = [pathlib.Path(d.getPath()) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled(rounds):
+        files = lambda: {p: p.stat().st_size for d in folders for p in d.rglob("shuffle_*.data")}
+        before = files()
+        T.fit_topics(docs, k=5, rounds=rounds)
+        return sum(n for p, n in files().items() if p not in before)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables of any size
+    try:
+        a_round = (shuffled(5) - shuffled(1)) / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        docs.unpersist()
+    assert 0 < a_round < 2 * 600 * 300, a_round  # two bytes a count
+
+
 def found_plainly(docs, terms):
     out = {}
     for i, t in docs:
