@@ -48,10 +48,10 @@ BLOCK_CHARS, FEW_BLOCKS, LEAST_CHARS = 400_000_000, 8, 1 << 24
 ROUNDS_PER_JOB = 5
 
 
-def model_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, word): words of three letters or more, without stop words."""
+def model_words(text: str = "text") -> Column:
+    """Words of three letters or more, without stop words."""
     stop = L.phrase_stop_words()
-    return docs.select(key, F.explode(F.filter(word_tokens(F.col(text)), lambda w: ~w.isin(stop) & (F.length(w) >= 3))).alias("word"))
+    return F.filter(word_tokens(F.col(text)), lambda w: ~w.isin(stop) & (F.length(w) >= 3))
 
 
 @dataclass
@@ -73,7 +73,7 @@ def _first_weight(topic: int) -> Column:
 
 def fit_topics(docs: DataFrame, k: int = 5, rounds: int = 10, key: str = "doc_id", text: str = "text") -> TopicModel:
     space = Workspace(docs.sparkSession, "topics")
-    found = model_words(docs, key, text).select(F.xxhash64("word").alias("w"), F.col("word").alias("term")).distinct()
+    found = docs.select(F.explode(model_words(text)).alias("term")).select(F.xxhash64("term").alias("w"), "term").distinct()
     vocabulary = space.put(found.groupBy("w").agg(F.min("term").alias("term")))
     size = vocabulary.count()
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
@@ -104,10 +104,8 @@ def fit_topics(docs: DataFrame, k: int = 5, rounds: int = 10, key: str = "doc_id
 
 def _dealt(docs: DataFrame, blocks: int, parts: int, key: str, text: str) -> DataFrame:
     """(block, d, key, words): a text's words as sorted hashes; d numbers a block's documents, texts of one id (or of none) as one."""
-    stop = L.phrase_stop_words()
-    words = F.filter(word_tokens(F.col(text)), lambda w: ~w.isin(stop) & (F.length(w) >= 3))
     dealt = docs.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), F.col(key).alias("key"),
-                        F.sort_array(F.transform(words, lambda w: F.xxhash64(w))).alias("words"))
+                        F.sort_array(F.transform(model_words(text), lambda w: F.xxhash64(w))).alias("words"))
     order = Window.partitionBy("block").orderBy("key")
     return dealt.repartition(parts, "block").withColumn("d", F.dense_rank().over(order))
 
